@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.functions.text import iso_utc, limit_text, number_text
-from gaugeline.schema import SOURCE_KEYS
+from gaugeline.schema import RULES, SOURCE_KEYS, Rule
 
 CRITICAL = "critical"
 
 
+def critical_rules(rules: Iterable[Rule] = RULES) -> list[Rule]:
+    """Rules worth an alert. Detecting with these alone skips readings that only warn at the scan."""
+    return [rule for rule in rules if rule.severity == CRITICAL]
+
+
 def critical_alerts(
     breaches: DataFrame,
     alert_ts: Column | None = None,

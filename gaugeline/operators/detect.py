@@ -39,7 +39,10 @@ def detect_breaches(
             for rule in rules
         ]
     )
-    return detect_any(readings, rules).select(*keep, F.inline(F.array_compact(candidates)))
+    # Rules that hold leave a null struct. Dropping those after inline() instead of inside the
+    # array keeps filter, expansion and projection in one generated loop.
+    expanded = detect_any(readings, rules).select(*keep, F.inline(candidates))
+    return expanded.filter(F.col("type").isNotNull())
 
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule] = RULES) -> DataFrame:

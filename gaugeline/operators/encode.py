@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 
 from gaugeline.functions.text import iso_utc
 
+# The default formats stop at milliseconds.
+_JSON = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def to_messages(
     readings: DataFrame, key: str = "well_id", columns: Sequence[str] | None = None
@@ -17,7 +23,7 @@ def to_messages(
     names = list(columns or readings.columns)
     return readings.select(
         F.encode(F.col(key).cast("string"), "UTF-8").alias("key"),
-        F.encode(F.to_json(F.struct(*names)), "UTF-8").alias("value"),
+        F.encode(F.to_json(F.struct(*names), _JSON), "UTF-8").alias("value"),
     )
 
 

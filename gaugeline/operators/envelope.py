@@ -50,4 +50,5 @@ def out_of_envelope(
             )
         )
     joined = readings.join(broadcast_within(per_well, counted=baselines), "well_id")
-    return joined.select(*keep, F.inline(F.array_compact(F.array(*candidates))))
+    # Values within the envelope leave a null struct, dropped after inline() to stay in codegen.
+    return joined.select(*keep, F.inline(F.array(*candidates))).filter(F.col("field").isNotNull())

@@ -25,16 +25,14 @@ def _from_json(text: Column, schema: StructType) -> Column:
     return F.from_json(text, with_corrupt, options)
 
 
-def _has_extra_text(text: Column) -> Column:
-    """True when something follows the JSON object, which from_json ignores.
+def _is_whole(text: Column) -> Column:
+    """False when something follows the JSON object, which from_json ignores.
 
-    Only texts with a brace before their end are looked at, so flat messages cost one search.
-    As the only element of an array, the object must be followed by the closing bracket.
+    A flat message has its only brace at its end and passes at once. Others are parsed as the
+    only element of an array, where the closing bracket must follow the object.
     """
-    body = F.rtrim(F.regexp_replace(text, r"\s+$", ""))
-    inner_brace = F.instr(text, "}") < F.length(body)
     elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    return F.when(inner_brace, F.coalesce(F.size(elements) != 1, F.lit(True))).otherwise(False)
+    return (F.instr(text, "}") == F.length(text)) | F.coalesce(F.size(elements) == 1, F.lit(False))
 
 
 def route_messages(
@@ -43,32 +41,36 @@ def route_messages(
     """Parse every message once. Adds the schema's columns, the source position, ingest_ts, the
     original text of dead letters in ``raw`` with the reason in ``error``, and ``route``."""
     text = F.col("value").cast("string")
+    # Exploding a one-element array keeps the optimizer from copying from_json into every filter
+    # and column that uses it: each message is parsed once.
     parsed = messages.select(
-        *SOURCE_KEYS,
-        F.col("timestamp").alias("ingest_ts"),
-        text.alias("raw"),
-        _from_json(text, schema).alias("d"),
-    )
-    error = (
-        F.when(F.col("raw").isNull() | (F.trim("raw") == ""), "empty message")
-        .when(~F.is_valid_utf8("raw"), "invalid UTF-8")
-        .when(F.col("d").isNull() | F.col(f"d.{_CORRUPT}").isNotNull(), "malformed or mistyped JSON")
-        .when(_has_extra_text(F.col("raw")), "text after the JSON object")
-    )
+        *SOURCE_KEYS, F.col("timestamp").alias("ingest_ts"), text.alias("raw")
+    ).select("*", F.explode(F.array(_from_json(F.col("raw"), schema))).alias("d"))
+    raw, d = F.col("raw"), F.col("d")
+    parses = d.isNotNull() & d[_CORRUPT].isNull()
+    present = F.lit(True)
     if required:
-        value = F.col(f"d.{required}")
-        missing = value.isNull()
+        present = d[required].isNotNull()
         if isinstance(schema[required].dataType, StringType):
-            missing = missing | (value == "")
-        error = error.when(missing, f"missing {required}")
-    routed = parsed.select(
-        *[F.col(f"d.{name}").alias(name) for name in schema.names],
+            present = present & (d[required] != "")
+    # One test lets good messages through; reasons are worked out for the others only.
+    good = F.coalesce(parses & present & F.is_valid_utf8(raw) & _is_whole(raw), F.lit(False))
+    error = (
+        F.when(good, F.lit(None))
+        .when(raw.isNull() | (F.trim(raw) == ""), "empty message")
+        .when(~F.is_valid_utf8(raw), "invalid UTF-8")
+        .when(~parses, "malformed or mistyped JSON")
+        .when(~_is_whole(raw), "text after the JSON object")
+        .otherwise(f"missing {required}")
+    )
+    return parsed.select(
+        *[d[name].alias(name) for name in schema.names],
         *SOURCE_KEYS,
         "ingest_ts",
-        F.when(error.isNotNull(), F.col("raw")).alias("raw"),
+        F.when(~good, raw).alias("raw"),
         error.alias("error"),
+        F.when(good, RAW_ROUTE).otherwise(DEAD_ROUTE).alias("route"),
     )
-    return routed.withColumn("route", F.when(F.col("error").isNull(), RAW_ROUTE).otherwise(DEAD_ROUTE))
 
 
 def with_event_time(df: DataFrame, text_col: str = "timestamp") -> DataFrame:
@@ -77,7 +79,7 @@ def with_event_time(df: DataFrame, text_col: str = "timestamp") -> DataFrame:
 
 
 def good_readings(routed: DataFrame) -> DataFrame:
-    return routed.filter(F.col("error").isNull()).drop("raw", "error", "route")
+    return routed.filter(F.col("route") == RAW_ROUTE).drop("raw", "error", "route")
 
 
 def parse_messages(
@@ -96,6 +98,6 @@ def dead_letters(
 
 
 def as_dead_letters(routed: DataFrame) -> DataFrame:
-    return routed.filter(F.col("error").isNotNull()).select(
+    return routed.filter(F.col("route") == DEAD_ROUTE).select(
         "raw", "error", F.col("ingest_ts").alias("dead_ts"), *SOURCE_KEYS
     )

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.operators.alerts import critical_alerts
+from gaugeline.operators.alerts import critical_alerts, critical_rules
 from gaugeline.operators.coverage import label_coverage
 from gaugeline.operators.detect import (
     detect_any,
@@ -160,12 +160,15 @@ def detect_rule_table_wells(spark, sf_dir):
 
 
 def alerts_lines(spark, sf_dir):
-    alerts = critical_alerts(_line_breaches(spark, sf_dir), alert_ts=F.col("ts"))
+    breaches = detect_breaches(_lines(spark, sf_dir), critical_rules(LINE_RULES))
+    alerts = critical_alerts(breaches, alert_ts=F.col("ts"))
     return alerts.drop("alert_ts")
 
 
 def alerts_wells(spark, sf_dir):
-    alerts = critical_alerts(_well_breaches(spark, sf_dir), alert_ts=F.col("ts"), keep=("event_id",))
+    keep = ("event_id", "well_id", "ts")
+    breaches = detect_breaches(_wells(spark, sf_dir), critical_rules(), keep)
+    alerts = critical_alerts(breaches, alert_ts=F.col("ts"), keep=("event_id",))
     return alerts.drop("alert_ts")
 
 
