@@ -1,0 +1,128 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.operators.coverage import label_coverage
+from gaugeline.operators.envelope import out_of_envelope
+from gaugeline.schema import BASELINES, FAULT_LABELS, SENSORS
+from gaugeline.sources.baselines import default_baselines, read_baselines
+
+
+def test_read_baselines(spark, tmp_path):
+    for i, (well, levels) in enumerate(BASELINES.items()):
+        (tmp_path / f"{i}.json").write_text(json.dumps({well: dict(zip(SENSORS, levels))}, indent=1))
+    got = read_baselines(spark, str(tmp_path))
+    assert got.count() == 85
+    assert got.exceptAll(default_baselines(spark)).count() == 0
+
+
+def test_one_document_for_all_wells(spark, tmp_path):
+    document = {well: dict(zip(SENSORS, levels)) for well, levels in BASELINES.items()}
+    (tmp_path / "all.json").write_text(json.dumps(document))
+    got = read_baselines(spark, str(tmp_path / "all.json"))
+    assert got.count() == 85
+    assert got.select("well_id").distinct().count() == 5
+    assert got.select("sensor").distinct().count() == 17
+
+
+def envelope(spark, rows, baselines, max_rows=None):
+    readings = spark.createDataFrame(rows, "well_id string, ts int, a double, b double")
+    levels = spark.createDataFrame(baselines, "well_id string, sensor string, baseline double")
+    return out_of_envelope(readings, levels, ["a", "b"])
+
+
+def test_envelope_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        ("w", 1, 105.0, 1.0),
+        ("w", 2, 105.01, 0.0),
+        ("w", 3, 94.9, None),
+        ("w", 4, nan, nan),
+        ("w", 5, inf, 0.0),
+        ("v", 6, 1.0, 1.0),
+        ("x", 7, 1.0, 1.0),
+    ]
+    baselines = [("w", "a", 100.0), ("w", "b", 0.0), ("v", "a", -1.0)]
+    got = {(r.ts, r.field): r.deviation for r in envelope(spark, rows, baselines).collect()}
+    assert set(got) == {(1, "b"), (2, "a"), (3, "a"), (5, "a"), (6, "a")}
+    assert got[(1, "b")] is None
+    assert got[(3, "a")] == pytest.approx(-0.051)
+
+
+def test_envelope_is_the_same_without_broadcast(spark, monkeypatch):
+    rows = [(f"w{i % 7}", i, float(i), float(-i)) for i in range(200)]
+    baselines = [(f"w{i}", s, float(10 * i)) for i in range(7) for s in ("a", "b")]
+    expected = sorted(map(str, envelope(spark, rows, baselines).collect()))
+    monkeypatch.setattr("gaugeline.operators.envelope.broadcast_within", lambda df, counted=None: df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = envelope(spark, rows, baselines)
+        assert sorted(map(str, shuffled.collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def uniform(low, high, seed):
+    return F.rand(seed) * (high - low) + low
+
+
+def faults(spark, per_cell):
+    """Labelled faults: each changes its columns by its factor range, the rest stays at baseline."""
+    wells = default_baselines(spark).groupBy("well_id").pivot("sensor", list(SENSORS)).agg(F.max("baseline"))
+    label = F.explode(F.array(*map(F.lit, FAULT_LABELS))).alias("anomaly_type")
+    cells = wells.select("*", label).crossJoin(spark.range(per_cell))
+    changes = [
+        ("pressure_drop", "wellhead_pressure", F.col("wellhead_pressure") * uniform(0.5, 0.7, 1)),
+        ("vibration_spike", "vibration_level", F.col("vibration_level") * uniform(3, 5, 2)),
+        ("h2s_leak", "h2s_concentration", uniform(15, 80, 3)),
+        ("pump_failure", "motor_current", F.lit(0.0)),
+        ("water_cut_surge", "water_cut", F.least(F.col("water_cut") * uniform(2, 3, 4), F.lit(95.0))),
+        ("gas_breakthrough", "gas_oil_ratio", F.col("gas_oil_ratio") * uniform(2, 4, 5)),
+        ("sand_erosion", "sand_rate", F.col("sand_rate") * uniform(5, 10, 6)),
+        ("casing_integrity_loss", "casing_pressure", F.col("casing_pressure") * uniform(2, 3.5, 7)),
+    ]
+    for fault, sensor, value in changes:
+        hit = F.col("anomaly_type") == fault
+        cells = cells.withColumn(sensor, F.when(hit, F.round(value, 2)).otherwise(F.col(sensor)))
+    return cells
+
+
+# Chance that a fault breaches a rule, per well, worked out from the factor ranges.
+EXPECTED = {
+    "pressure_drop": (0, 0.278, 0, 0.948, 0.032),
+    "vibration_spike": (0.900, 1, 0.278, 1, 1),
+    "h2s_leak": (1, 1, 1, 1, 1),
+    "pump_failure": (1, 1, 1, 1, 1),
+    "water_cut_surge": (0, 1, 0, 1, 0),
+    "gas_breakthrough": (0, 0, 0, 0, 0),
+    "sand_erosion": (0.400, 1, 0, 1, 0.667),
+    "casing_integrity_loss": (0.667, 0.481, 0.818, 0.250, 0.579),
+}
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    return faults(spark, 2000).cache()
+
+
+def test_coverage_of_each_fault(labelled):
+    got = {(r.anomaly_type, r.well_id): r for r in label_coverage(labelled, by=["well_id"]).collect()}
+    assert len(got) == 40
+    for fault, rates in EXPECTED.items():
+        for well, rate in zip(BASELINES, rates):
+            row = got[(fault, well)]
+            assert row.readings == 2000
+            assert row.rate == pytest.approx(rate, abs=0 if rate in (0, 1) else 0.05), (fault, well)
+
+
+def test_envelope_catches_the_fault_no_rule_covers(spark, labelled):
+    fault = labelled.filter("anomaly_type = 'gas_breakthrough'")
+    found = out_of_envelope(fault, default_baselines(spark), keep=("well_id", "id"))
+    assert {r.field for r in found.select("field").distinct().collect()} == {"gas_oil_ratio"}
+    assert found.count() == fault.count()
+
+
+def test_unlabelled_readings_are_left_out(labelled):
+    mixed = labelled.withColumn("anomaly_type", F.when(F.col("id") % 2 == 0, F.col("anomaly_type")))
+    assert label_coverage(mixed).agg(F.sum("readings")).first()[0] == labelled.count() // 2
