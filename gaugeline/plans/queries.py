@@ -335,13 +335,13 @@ def pipeline_dead_letters(spark, sf_dir):
 def pipeline_anomalies(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_anomalies(spark, pipeline))
-    return jobs.read_anomalies(spark, pipeline).select("offset", "well_id", *SENSORS)
+    return jobs.read(spark, pipeline, "anomalies").select("offset", "well_id", *SENSORS)
 
 
 def pipeline_points(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_points(spark, pipeline))
-    points = jobs.read_points(spark, pipeline).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    points = jobs.read(spark, pipeline, "points").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return points.select("ts", "well_id", "well_status", "measurement", "field", "value")
 
 
@@ -349,7 +349,7 @@ def pipeline_panel(spark, sf_dir):
     """A panel over the stored points: reads one folder of one day."""
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_points(spark, pipeline))
-    points = jobs.read_points(spark, pipeline)
+    points = jobs.read(spark, pipeline, "points")
     recent = sensor_panel(points, "wellhead_pressure", EVENTS_END, timedelta(hours=24))
     pruned = recent.filter(F.col("date") >= F.lit("2024-01-30").cast("date"))
     return pruned.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
@@ -358,7 +358,7 @@ def pipeline_panel(spark, sf_dir):
 def pipeline_breaches(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_breaches(spark, pipeline))
-    breaches = jobs.read_breaches(spark, pipeline)
+    breaches = jobs.read(spark, pipeline, "breaches")
     return breaches.select("offset", "well_id", "field", "value", "threshold", "severity", "type")
 
 
@@ -366,7 +366,7 @@ def pipeline_alerts(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_breaches(spark, pipeline))
     _finish(jobs.start_alerts(spark, pipeline))
-    alerts = jobs.read_alerts(spark, pipeline)
+    alerts = jobs.read(spark, pipeline, "alerts")
     return alerts.select(
         "alert_id", "well_id", "anomaly_type", "severity", "value", "threshold", "subject"
     )

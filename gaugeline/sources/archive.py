@@ -52,19 +52,35 @@ def write_archive(
     clustered(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _partitions_last(schema: StructType, partition_by: Sequence[str]) -> StructType:
+    """Spark puts partition columns behind the others once it finds their folders. A stream that
+    starts on an empty folder must use that order from the beginning, since its columns are
+    matched by position."""
+    data = [f for f in schema.fields if f.name not in partition_by]
+    return StructType([*data, *(schema[name] for name in partition_by)])
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Retention may remove files that a streaming sink's log still names; skip those."""
-    return spark.read.schema(schema).option("ignoreMissingFiles", "true").parquet(path)
+    reader = spark.read.schema(_partitions_last(schema, partition_by))
+    return reader.option("ignoreMissingFiles", "true").parquet(path).select(*schema.names)
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, max_files: int = 1000
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+    max_files: int = 1000,
 ) -> DataFrame:
+    reader = spark.readStream.schema(_partitions_last(schema, partition_by))
     return (
-        spark.readStream.schema(schema)
-        .option("ignoreMissingFiles", "true")
+        reader.option("ignoreMissingFiles", "true")
         .option("maxFilesPerTrigger", max_files)
         .parquet(path)
+        .select(*schema.names)
     )
 
 

@@ -11,10 +11,10 @@ stream, where the detection filter reaches Parquet, so one more rule costs no mo
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
     DateType,
@@ -29,8 +29,20 @@ from pyspark.sql.types import (
 
 from gaugeline.operators.alerts import critical_alerts
 from gaugeline.operators.detect import detect_any, detect_breaches
-from gaugeline.operators.parse import RAW_ROUTE, as_dead_letters, route_messages, with_event_time
+from gaugeline.operators.parse import (
+    as_dead_letters,
+    good_readings,
+    route_messages,
+    with_event_time,
+)
 from gaugeline.operators.points import to_points
+from gaugeline.operators.replay import replay_dead_letters
+from gaugeline.operators.retention import (
+    ARCHIVE_DAYS,
+    DEAD_LETTER_DAYS,
+    POINT_DAYS,
+    drop_expired,
+)
 from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, Rule
 from gaugeline.session import file_system
 from gaugeline.sources.archive import (
@@ -40,6 +52,7 @@ from gaugeline.sources.archive import (
     read_table,
     stream_table,
     with_partitions,
+    write_archive,
 )
 
 _SOURCE_FIELDS = [
@@ -105,6 +118,26 @@ class Pipeline:
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     max_files: int = 1000
 
+    def partition_by(self, table: str) -> list[str]:
+        return {
+            "readings": ["route", *self.layout],
+            "replayed": [*self.layout],
+            "anomalies": [*self.layout],
+            "points": ["measurement", "date", "field"],
+            "breaches": ["date"],
+            "alerts": ["date"],
+        }[table]
+
+    def schema_of(self, table: str) -> StructType:
+        return {
+            "readings": self.readings_schema,
+            "replayed": self.raw_schema,
+            "anomalies": self.raw_schema,
+            "points": POINT_SCHEMA,
+            "breaches": BREACH_SCHEMA,
+            "alerts": ALERT_SCHEMA,
+        }[table]
+
     def path(self, table: str) -> str:
         return f"{self.base.rstrip('/')}/{table}"
 
@@ -127,18 +160,19 @@ class Pipeline:
         return StructType([*self.schema.fields, *extra])
 
     @property
-    def anomalies_schema(self) -> StructType:
+    def raw_schema(self) -> StructType:
         dropped = {"raw", "error", "route"}
         return StructType([f for f in self.readings_schema.fields if f.name not in dropped])
 
 
 def append_to(
-    df: DataFrame, pipeline: Pipeline, table: str, partition_by: Sequence[str], name: str | None = None
+    df: DataFrame, pipeline: Pipeline, table: str, partition_by: Sequence[str] | None = None
 ) -> StreamingQuery:
     """Append a stream to a Parquet table, exactly once."""
+    partition_by = partition_by or pipeline.partition_by(table)
     return (
         clustered(df, partition_by)
-        .writeStream.queryName(name or table)
+        .writeStream.queryName(table)
         .format("parquet")
         .outputMode("append")
         .option("path", pipeline.path(table))
@@ -149,54 +183,82 @@ def append_to(
     )
 
 
+def _placed(readings: DataFrame, pipeline: Pipeline) -> DataFrame:
+    placed = with_partitions(readings, fallback="ingest_ts", buckets=pipeline.buckets)
+    return placed if "well_bucket" in pipeline.layout else placed.drop("well_bucket")
+
+
 def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
     """Messages to the ``readings`` table. Raw readings and dead letters are folders of one sink,
     so both are written exactly once from one parse."""
     routed = with_event_time(route_messages(messages, pipeline.schema))
-    placed = with_partitions(routed, fallback="ingest_ts", buckets=pipeline.buckets)
-    if "well_bucket" not in pipeline.layout:
-        placed = placed.drop("well_bucket")
-    return append_to(placed, pipeline, "readings", ["route", *pipeline.layout])
+    return append_to(_placed(routed, pipeline), pipeline, "readings")
 
 
-def table_stream(
-    spark: SparkSession, pipeline: Pipeline, table: str, schema: StructType
-) -> DataFrame:
-    """A table of the pipeline as a stream. It may be started before its table has rows."""
+def _ensured_path(spark: SparkSession, pipeline: Pipeline, table: str) -> str:
     fs, path = file_system(spark, pipeline.path(table))
     fs.mkdirs(path)
-    return stream_table(spark, pipeline.path(table), schema, pipeline.max_files)
+    return pipeline.path(table)
+
+
+def table_stream(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
+    """A table of the pipeline as a stream, which may start before the table has rows."""
+    path = _ensured_path(spark, pipeline, table)
+    return stream_table(
+        spark, path, pipeline.schema_of(table), pipeline.partition_by(table), pipeline.max_files
+    )
+
+
+def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
+    path = _ensured_path(spark, pipeline, table)
+    return read_table(spark, path, pipeline.schema_of(table), pipeline.partition_by(table))
 
 
 def raw_stream(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    rows = table_stream(spark, pipeline, "readings", pipeline.readings_schema)
-    return rows.filter(F.col("route") == RAW_ROUTE).drop("raw", "error", "route")
+    """Every raw reading once: those taken in, and dead letters that were replayed."""
+    taken_in = good_readings(table_stream(spark, pipeline, "readings"))
+    return taken_in.unionByName(table_stream(spark, pipeline, "replayed"))
 
 
 def start_anomalies(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
     flagged = detect_any(raw_stream(spark, pipeline), pipeline.rules)
-    return append_to(flagged, pipeline, "anomalies", pipeline.layout)
+    return append_to(flagged, pipeline, "anomalies")
 
 
 def start_points(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
-    points = to_points(
-        raw_stream(spark, pipeline), pipeline.sensors, keep=("ts", "ingest_ts", "well_id", "date")
-    )
-    return append_to(points, pipeline, "points", ["measurement", "date", "field"])
+    keep = ("ts", "ingest_ts", "well_id", "date")
+    points = to_points(raw_stream(spark, pipeline), pipeline.sensors, keep)
+    return append_to(points, pipeline, "points")
 
 
 def start_breaches(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
     keep = ("well_id", "ts", "ingest_ts", "topic", "partition", "offset", "date")
     breaches = detect_breaches(raw_stream(spark, pipeline), pipeline.rules, keep)
-    return append_to(breaches, pipeline, "breaches", ["date"])
+    return append_to(breaches, pipeline, "breaches")
 
 
 def start_alerts(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
-    breaches = table_stream(spark, pipeline, "breaches", BREACH_SCHEMA)
-    return append_to(critical_alerts(breaches, keep=("date",)), pipeline, "alerts", ["date"])
+    breaches = table_stream(spark, pipeline, "breaches")
+    return append_to(critical_alerts(breaches, keep=("date",)), pipeline, "alerts")
+
+
+def with_trigger(pipeline: Pipeline, **trigger) -> Pipeline:
+    return replace(pipeline, trigger=trigger)
+
+
+def run_once(spark: SparkSession, messages: DataFrame, pipeline: Pipeline) -> None:
+    """Work off what is there and stop: a backfill, or a scheduled run. Tables that only need the
+    readings run side by side."""
+    once = with_trigger(pipeline, availableNow=True)
+    start_ingest(messages, once).awaitTermination()
+    side_by_side = [start(spark, once) for start in (start_anomalies, start_points, start_breaches)]
+    for query in side_by_side:
+        query.awaitTermination()
+    start_alerts(spark, once).awaitTermination()
 
 
 def start_all(spark: SparkSession, messages: DataFrame, pipeline: Pipeline) -> list[StreamingQuery]:
+    spark.streams.resetTerminated()
     return [
         start_ingest(messages, pipeline),
         start_anomalies(spark, pipeline),
@@ -206,6 +268,37 @@ def start_all(spark: SparkSession, messages: DataFrame, pipeline: Pipeline) -> l
     ]
 
 
+def replay(spark: SparkSession, pipeline: Pipeline, repair: Column | None = None) -> None:
+    """Bring dead letters that parse now into the raw readings, each once over any number of runs.
+
+    A message was written either as raw or as dead letter, so only earlier replays can hold it.
+    Run one replay at a time.
+    """
+    fixed = replay_dead_letters(
+        read_dead_letters(spark, pipeline), read(spark, pipeline, "replayed"), pipeline.schema, repair
+    )
+    write_archive(_placed(fixed, pipeline), pipeline.path("replayed"), pipeline.layout)
+
+
+def drop_old(
+    spark: SparkSession, pipeline: Pipeline, as_of: datetime, archive_days: int = ARCHIVE_DAYS["other"]
+) -> list[str]:
+    """Apply retention to every table; checkpoints are never touched. Returns what was removed."""
+    days = {
+        "readings/route=raw": archive_days,
+        "replayed": archive_days,
+        "anomalies": archive_days,
+        "readings/route=dead_letter": DEAD_LETTER_DAYS,
+        "points": POINT_DAYS,
+        "breaches": POINT_DAYS,
+    }
+    return [
+        folder
+        for table, kept in days.items()
+        for folder in drop_expired(spark, pipeline.path(table), kept, as_of)
+    ]
+
+
 def await_any(spark: SparkSession) -> None:
     """Wait on every query: the first that fails ends the job with its error."""
     try:
@@ -216,27 +309,9 @@ def await_any(spark: SparkSession) -> None:
 
 
 def read_raw(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    rows = read_table(spark, pipeline.path("readings"), pipeline.readings_schema)
-    return rows.filter(F.col("route") == RAW_ROUTE).drop("raw", "error", "route")
+    taken_in = good_readings(read(spark, pipeline, "readings"))
+    return taken_in.unionByName(read(spark, pipeline, "replayed"))
 
 
 def read_dead_letters(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    rows = read_table(spark, pipeline.path("readings"), pipeline.readings_schema)
-    return as_dead_letters(rows.filter(F.col("route") != RAW_ROUTE))
-
-
-def read_anomalies(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    return read_table(spark, pipeline.path("anomalies"), pipeline.anomalies_schema)
-
-
-def read_points(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    return read_table(spark, pipeline.path("points"), POINT_SCHEMA)
-
-
-def read_breaches(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    return read_table(spark, pipeline.path("breaches"), BREACH_SCHEMA)
-
-
-def read_alerts(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
-    return read_table(spark, pipeline.path("alerts"), ALERT_SCHEMA)
-
+    return as_dead_letters(read(spark, pipeline, "readings"))
