@@ -17,7 +17,7 @@ LAYOUTS = {"well": WELL_LAYOUT, "bucket": BUCKET_LAYOUT}
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     common = argparse.ArgumentParser(add_help=False)
     common.add_argument("--base", required=True, help="folder of the tables, shared by the cluster")
-    common.add_argument("--layout", choices=LAYOUTS, default="well")
+    common.add_argument("--layout", choices=LAYOUTS, default="bucket")
     common.add_argument("--buckets", type=int, default=BUCKETS)
 
     parser = argparse.ArgumentParser(prog="gaugeline", description=__doc__)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.joins import broadcast_within
-from gaugeline.functions.predicates import above, breaches_any, breaches_rule
+from gaugeline.functions.predicates import above, breaches_any
 from gaugeline.schema import RULES, SENSORS, Rule
 
 
@@ -22,27 +22,36 @@ def detect_breaches(
 ) -> DataFrame:
     """One row per reading and breached rule: (*keep, field, value, threshold, severity, type).
 
-    The filter reaches the scan; only breaching readings are expanded, within their task.
+    The filter reaches the scan; only breaching readings are expanded, within their task. Rules
+    are tested again after the expansion, in code that does not grow with their number.
     """
-    candidates = F.array(
-        *[
-            F.when(
-                breaches_rule(rule),
-                F.struct(
-                    F.lit(rule.field).alias("field"),
-                    F.col(rule.field).cast("double").alias("value"),
-                    F.lit(float(rule.threshold)).alias("threshold"),
-                    F.lit(rule.severity).alias("severity"),
-                    F.lit(rule.type).alias("type"),
-                ),
-            )
-            for rule in rules
-        ]
+    columns = ("field", "value", "threshold", "severity", "type", "kind")
+    expanded = detect_any(readings, rules).select(
+        *keep,
+        F.stack(
+            F.lit(len(rules)),
+            *[
+                column
+                for rule in rules
+                for column in (
+                    F.lit(rule.field),
+                    F.col(rule.field).cast("double"),
+                    F.lit(float(rule.threshold)),
+                    F.lit(rule.severity),
+                    F.lit(rule.type),
+                    F.lit(rule.kind),
+                )
+            ],
+        ).alias(*columns),
+    )
+    return expanded.filter(_limit_broken()).drop("kind")
+
+
+def _limit_broken() -> Column:
+    value, threshold = F.col("value"), F.col("threshold")
+    return ((F.col("kind") == "max") & above(value, threshold)) | (
+        (F.col("kind") == "min") & (value < threshold)
     )
-    # Rules that hold leave a null struct. Dropping those after inline() instead of inside the
-    # array keeps filter, expansion and projection in one generated loop.
-    expanded = detect_any(readings, rules).select(*keep, F.inline(candidates))
-    return expanded.filter(F.col("type").isNotNull())
 
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -66,13 +75,9 @@ def detect_with_rule_table(
         .unpivot(list(keep), list(sensors), "field", "value")
         .filter(F.col("value").isNotNull())
     )
-    value, threshold = F.col("value"), F.col("threshold")
-    breached = ((F.col("kind") == "max") & above(value, threshold)) | (
-        (F.col("kind") == "min") & (value < threshold)
-    )
     suffix = F.when(F.col("kind") == "max", "_high").otherwise("_low")
     return (
         values.join(broadcast_within(rules), on)
-        .filter(breached)
+        .filter(_limit_broken())
         .select(*keep, "field", "value", "threshold", "severity", F.concat("field", suffix).alias("type"))
     )

@@ -35,20 +35,15 @@ def out_of_envelope(
             for sensor, name in base.items()
         ]
     )
-    candidates = []
-    for sensor, name in base.items():
-        value, level = F.col(sensor).cast("double"), F.col(name)
-        candidates.append(
-            F.when(
-                above(F.abs(value - level), F.lit(tolerance) * F.abs(level)),
-                F.struct(
-                    F.lit(sensor).alias("field"),
-                    value.alias("value"),
-                    level.alias("baseline"),
-                    F.try_divide(value - level, level).alias("deviation"),
-                ),
-            )
-        )
     joined = readings.join(broadcast_within(per_well, counted=baselines), "well_id")
-    # Values within the envelope leave a null struct, dropped after inline() to stay in codegen.
-    return joined.select(*keep, F.inline(F.array(*candidates))).filter(F.col("field").isNotNull())
+    # Expanding first and testing afterwards keeps the generated loop small: one test per sensor
+    # inside the expansion outgrows the JVM's limit for compiled methods.
+    triples = [
+        column
+        for sensor, name in base.items()
+        for column in (F.lit(sensor), F.col(sensor).cast("double"), F.col(name))
+    ]
+    levels = joined.select(*keep, F.stack(F.lit(len(base)), *triples).alias("field", "value", "baseline"))
+    away = F.col("value") - F.col("baseline")
+    outside = levels.filter(above(F.abs(away), F.lit(tolerance) * F.abs("baseline")))
+    return outside.withColumn("deviation", F.try_divide(away, F.col("baseline")))

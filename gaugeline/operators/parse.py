@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gaugeline.functions.once import with_column_once
 from gaugeline.schema import READING_SCHEMA, SOURCE_KEYS
 
 _CORRUPT = "_corrupt_record"
@@ -41,11 +42,10 @@ def route_messages(
     """Parse every message once. Adds the schema's columns, the source position, ingest_ts, the
     original text of dead letters in ``raw`` with the reason in ``error``, and ``route``."""
     text = F.col("value").cast("string")
-    # Exploding a one-element array keeps the optimizer from copying from_json into every filter
-    # and column that uses it: each message is parsed once.
-    parsed = messages.select(
+    source = messages.select(
         *SOURCE_KEYS, F.col("timestamp").alias("ingest_ts"), text.alias("raw")
-    ).select("*", F.explode(F.array(_from_json(F.col("raw"), schema))).alias("d"))
+    )
+    parsed = with_column_once(source, "d", _from_json(F.col("raw"), schema))
     raw, d = F.col("raw"), F.col("d")
     parses = d.isNotNull() & d[_CORRUPT].isNull()
     present = F.lit(True)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gaugeline.functions.once import with_column_once
 from gaugeline.schema import BASELINES, FAULT_LABELS, READING_SCHEMA, SENSORS, Rule
 from gaugeline.session import file_system
 
@@ -83,7 +84,7 @@ def line_readings(lineitem: DataFrame) -> DataFrame:
 
 def well_readings(events: DataFrame) -> DataFrame:
     """Full readings, with the event's own ts and id."""
-    numbered = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    numbered = with_column_once(events, "k", F.get_json_object("props", "$.k").cast("int"))
     return numbered.select(
         "event_id", "ts", *[F.expr(sql).alias(name) for name, sql in WELL_COLUMNS.items()]
     )

@@ -46,8 +46,8 @@ from gaugeline.operators.retention import (
 from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, Rule
 from gaugeline.session import file_system
 from gaugeline.sources.archive import (
+    BUCKET_LAYOUT,
     BUCKETS,
-    WELL_LAYOUT,
     clustered,
     read_table,
     stream_table,
@@ -113,7 +113,7 @@ class Pipeline:
     schema: StructType = READING_SCHEMA
     sensors: Sequence[str] = SENSORS
     rules: Sequence[Rule] = RULES
-    layout: Sequence[str] = WELL_LAYOUT
+    layout: Sequence[str] = BUCKET_LAYOUT
     buckets: int = BUCKETS
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     max_files: int = 1000
@@ -123,7 +123,7 @@ class Pipeline:
             "readings": ["route", *self.layout],
             "replayed": [*self.layout],
             "anomalies": [*self.layout],
-            "points": ["measurement", "date", "field"],
+            "points": ["measurement", "date"],
             "breaches": ["date"],
             "alerts": ["date"],
         }[table]
@@ -166,13 +166,18 @@ class Pipeline:
 
 
 def append_to(
-    df: DataFrame, pipeline: Pipeline, table: str, partition_by: Sequence[str] | None = None
+    df: DataFrame,
+    pipeline: Pipeline,
+    table: str,
+    partition_by: Sequence[str] | None = None,
+    gather: bool = True,
 ) -> StreamingQuery:
-    """Append a stream to a Parquet table, exactly once."""
+    """Append a stream to a Parquet table, exactly once. ``gather`` shuffles the rows so that each
+    folder gets few files; leave it off where the input files already follow the folders."""
     partition_by = partition_by or pipeline.partition_by(table)
+    df = clustered(df, partition_by) if gather else df
     return (
-        clustered(df, partition_by)
-        .writeStream.queryName(table)
+        df.writeStream.queryName(table)
         .format("parquet")
         .outputMode("append")
         .option("path", pipeline.path(table))
@@ -228,7 +233,9 @@ def start_anomalies(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
 def start_points(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
     keep = ("ts", "ingest_ts", "well_id", "date")
     points = to_points(raw_stream(spark, pipeline), pipeline.sensors, keep)
-    return append_to(points, pipeline, "points")
+    # Readings come in files of one day, so their points do too. Shuffling here would move every
+    # reading once per sensor.
+    return append_to(points, pipeline, "points", gather=False)
 
 
 def start_breaches(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
