@@ -8,14 +8,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 
-def broadcast_within(
-    small: DataFrame, counted: DataFrame | None = None, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def broadcast_within(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Ask for a broadcast only when a count proves the bound. Beyond it the join shuffles both
-    sides and AQE splits hot keys.
-
-    ``counted`` is a cheaper table with at least as many rows, such as the input of the
-    aggregation that made ``small``. The bound is on rows, so rows must be narrow.
-    """
-    rows = (small if counted is None else counted).limit(max_rows + 1).count()
+    sides and AQE splits hot keys. The bound is on rows, so rows must be narrow."""
+    rows = small.limit(max_rows + 1).count()
     return F.broadcast(small) if rows <= max_rows else small

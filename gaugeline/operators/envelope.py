@@ -35,7 +35,7 @@ def out_of_envelope(
             for sensor, name in base.items()
         ]
     )
-    joined = readings.join(broadcast_within(per_well, counted=baselines), "well_id")
+    joined = readings.join(broadcast_within(per_well), "well_id")
     # Expanding first and testing afterwards keeps the generated loop small: one test per sensor
     # inside the expansion outgrows the JVM's limit for compiled methods.
     triples = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gaugeline.plans.tables import CUT_OFF, LINE_RULES, LINE_SENSORS, WELL_COLUMNS
+from gaugeline.plans.tables import DAMAGED, LINE_RULES, LINE_SENSORS, WELL_COLUMNS
 from gaugeline.schema import BASELINES, RULES, SENSORS
 
 _WELL_LIST = ", ".join(f"{sql} AS {name}" for name, sql in WELL_COLUMNS.items() if name != "timestamp")
@@ -101,13 +101,13 @@ def _panel(sensor: str) -> str:
     return f"WITH {_WELLS} " + _points("wells", [sensor], "event_id, ts, well_id", recent)
 
 
-_MESSAGE_TEXT = f"CASE WHEN {CUT_OFF} THEN substr(props, 1, 4) ELSE props END"
+_MESSAGE_TEXT = f"CASE WHEN {DAMAGED} THEN substr(props, 1, 4) ELSE props END"
 _DEAD = (
     f"SELECT {_MESSAGE_TEXT} AS raw, 'malformed or mistyped JSON' AS error, ts AS dead_ts, "
     "'events' AS topic, CAST(0 AS INTEGER) AS \"partition\", event_id AS \"offset\" "
     f"FROM events WHERE NOT json_valid({_MESSAGE_TEXT})"
 )
-_WHOLE = f"NOT ({CUT_OFF})"
+_WHOLE = f"NOT ({DAMAGED})"
 _LINE_BREACHES = _breaches("lines", LINE_RULES, "well_id, ts")
 _WELL_BREACHES = _breaches("wells", RULES, "event_id, well_id, ts")
 
@@ -210,7 +210,14 @@ ORACLES = {
     ),
     "pipeline_dead_letters": (
         "SELECT '{\"we' AS raw, 'malformed or mistyped JSON' AS error, 'readings' AS topic, "
-        f"CAST(0 AS INTEGER) AS \"partition\", event_id AS \"offset\" FROM events WHERE {CUT_OFF}"
+        f"CAST(0 AS INTEGER) AS \"partition\", event_id AS \"offset\" FROM events WHERE {DAMAGED}"
+    ),
+    "pipeline_replay": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", ts, well_id, well_status, {_SENSOR_LIST}, "
+        "anomaly_type FROM wells"
+    ),
+    "stream_replay": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells WHERE {DAMAGED}"
     ),
     "pipeline_anomalies": (
         f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells "

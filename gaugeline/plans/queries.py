@@ -27,7 +27,7 @@ from gaugeline.operators.parse import (
     route_messages,
 )
 from gaugeline.operators.points import breach_points, to_points
-from gaugeline.operators.replay import replay_dead_letters
+from gaugeline.operators.replay import replay_dead_letters, replay_stream
 from gaugeline.operators.retention import (
     ARCHIVE_DAYS,
     DEAD_LETTER_DAYS,
@@ -39,8 +39,11 @@ from gaugeline.plans.tables import (
     EVENT_MESSAGE_SCHEMA,
     LINE_RULES,
     LINE_SENSORS,
+    cut_off,
     event_messages,
     line_readings,
+    number_quoted,
+    numbers_unquoted,
     table,
     table_stream,
     well_messages,
@@ -91,14 +94,14 @@ def parse_events(spark, sf_dir):
 
 
 def parse_well_messages(spark, sf_dir):
-    parsed = parse_messages(well_messages(table(spark, sf_dir, "events"), damaged=True))
+    parsed = parse_messages(well_messages(table(spark, sf_dir, "events"), cut_off))
     return parsed.select(
         "offset", F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", *SENSORS, "anomaly_type"
     )
 
 
 def dead_letter(spark, sf_dir):
-    messages = event_messages(table(spark, sf_dir, "events"), damaged=True)
+    messages = event_messages(table(spark, sf_dir, "events"), cut_off)
     dead = dead_letters(messages, EVENT_MESSAGE_SCHEMA, "k")
     return dead.withColumn("dead_ts", F.col("dead_ts").cast("timestamp_ntz"))
 
@@ -107,7 +110,7 @@ def replay(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     # Routing is written once, as the streaming job does, so messages are not parsed per use.
     path = scratch_path(spark, "routed")
-    routed = route_messages(event_messages(events, damaged=True), EVENT_MESSAGE_SCHEMA, "k")
+    routed = route_messages(event_messages(events, cut_off), EVENT_MESSAGE_SCHEMA, "k")
     routed.write.partitionBy("route").parquet(path)
     landed = read_table(spark, path, routed.schema)
     raw = landed.filter(F.col("route") == RAW_ROUTE)
@@ -312,12 +315,24 @@ def stream_anomalies(spark, sf_dir):
     return read_table(spark, pipeline.path("anomalies"), placed.schema).drop("year")
 
 
-def _ingested(spark: SparkSession, sf_dir: str) -> jobs.Pipeline:
-    """Well messages, some of them cut off, taken in by the streaming job."""
+def stream_replay(spark, sf_dir):
+    """Dead letters delivered twice come back once."""
+    letters = dead_letters(well_messages(table_stream(spark, sf_dir, "events"), number_quoted))
+    repair = numbers_unquoted(F.col("raw"))
+    fixed = replay_stream(letters.unionByName(letters), "40 days", repair=repair)
+    pipeline = jobs.Pipeline(scratch_path(spark, "stream"), trigger=ONCE)
+    dated = fixed.withColumn("date", F.to_date("ts"))
+    _finish(jobs.append_to(dated, pipeline, "replayed", ["date"], gather=False))
+    replayed = read_table(spark, pipeline.path("replayed"), fixed.schema)
+    return replayed.select("offset", "well_id", *SENSORS)
+
+
+def _ingested(spark: SparkSession, sf_dir: str, damage=cut_off) -> jobs.Pipeline:
+    """Well messages, some of them damaged, taken in by the streaming job."""
     pipeline = jobs.Pipeline(
         scratch_path(spark, "pipeline"), layout=BUCKET_LAYOUT, buckets=4, trigger=ONCE
     )
-    messages = well_messages(table_stream(spark, sf_dir, "events"), damaged=True)
+    messages = well_messages(table_stream(spark, sf_dir, "events"), damage)
     _finish(jobs.start_ingest(messages, pipeline))
     return pipeline
 
@@ -332,6 +347,13 @@ def pipeline_dead_letters(spark, sf_dir):
     return jobs.read_dead_letters(spark, pipeline).drop("dead_ts")
 
 
+def pipeline_replay(spark, sf_dir):
+    pipeline = _ingested(spark, sf_dir, number_quoted)
+    jobs.replay(spark, pipeline, numbers_unquoted(F.col("raw")))
+    raw = jobs.read_raw(spark, pipeline).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return raw.select("offset", "ts", "well_id", "well_status", *SENSORS, "anomaly_type")
+
+
 def pipeline_anomalies(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_anomalies(spark, pipeline))
@@ -410,8 +432,10 @@ _QUERIES = {
     "retention_partitions": retention_partitions,
     "stream_archive": stream_archive,
     "stream_anomalies": stream_anomalies,
+    "stream_replay": stream_replay,
     "pipeline_raw": pipeline_raw,
     "pipeline_dead_letters": pipeline_dead_letters,
+    "pipeline_replay": pipeline_replay,
     "pipeline_anomalies": pipeline_anomalies,
     "pipeline_points": pipeline_points,
     "pipeline_panel": pipeline_panel,

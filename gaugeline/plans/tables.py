@@ -6,6 +6,8 @@ databases read them alike (1e2 is a double in both).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,8 +56,9 @@ WELL_COLUMNS = {
 }
 assert list(WELL_COLUMNS) == READING_SCHEMA.names and set(SENSORS) < set(WELL_COLUMNS)
 
-# Every 97th message arrives cut off after four characters.
-CUT_OFF = "event_id % 97 = 0"
+# Damage done to the messages, all of which are still read: every 97th is cut off after four
+# characters, or has one number written as text.
+DAMAGED = "event_id % 97 = 0"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,18 +107,32 @@ def as_messages(rows: DataFrame, value: Column, key: str, topic: str) -> DataFra
 
 
 def cut_off(text: Column) -> Column:
-    return F.when(F.expr(CUT_OFF), F.substring(text, 1, 4)).otherwise(text)
+    return F.when(F.expr(DAMAGED), F.substring(text, 1, 4)).otherwise(text)
+
+
+def number_quoted(text: Column) -> Column:
+    quoted = F.regexp_replace(text, r'("water_cut"):(-?[0-9][0-9.eE+-]*)', r'$1:"$2"')
+    return F.when(F.expr(DAMAGED), quoted).otherwise(text)
+
+
+def numbers_unquoted(text: Column) -> Column:
+    """Repair of number_quoted."""
+    return F.regexp_replace(text, r':"(-?[0-9][0-9.eE+-]*)"', ":$1")
+
+
+def _untouched(text: Column) -> Column:
+    return text
 
 
-def event_messages(events: DataFrame, damaged: bool = False) -> DataFrame:
-    text = F.col("props")
-    return as_messages(events, cut_off(text) if damaged else text, "user_id", "events")
+def event_messages(
+    events: DataFrame, damage: Callable[[Column], Column] = _untouched
+) -> DataFrame:
+    return as_messages(events, damage(F.col("props")), "user_id", "events")
 
 
-def well_messages(events: DataFrame, damaged: bool = False) -> DataFrame:
+def well_messages(events: DataFrame, damage: Callable[[Column], Column] = _untouched) -> DataFrame:
     text = F.to_json(F.struct(*READING_SCHEMA.names))
-    value = cut_off(text) if damaged else text
-    return as_messages(well_readings(events), value, "well_id", "readings")
+    return as_messages(well_readings(events), damage(text), "well_id", "readings")
 
 
 EVENT_MESSAGE_SCHEMA = StructType().add("k", "long")

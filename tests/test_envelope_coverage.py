@@ -26,7 +26,7 @@ def test_one_document_for_all_wells(spark, tmp_path):
     assert got.select("sensor").distinct().count() == 17
 
 
-def envelope(spark, rows, baselines, max_rows=None):
+def envelope(spark, rows, baselines):
     readings = spark.createDataFrame(rows, "well_id string, ts int, a double, b double")
     levels = spark.createDataFrame(baselines, "well_id string, sensor string, baseline double")
     return out_of_envelope(readings, levels, ["a", "b"])
@@ -54,7 +54,7 @@ def test_envelope_is_the_same_without_broadcast(spark, monkeypatch):
     rows = [(f"w{i % 7}", i, float(i), float(-i)) for i in range(200)]
     baselines = [(f"w{i}", s, float(10 * i)) for i in range(7) for s in ("a", "b")]
     expected = sorted(map(str, envelope(spark, rows, baselines).collect()))
-    monkeypatch.setattr("gaugeline.operators.envelope.broadcast_within", lambda df, counted=None: df)
+    monkeypatch.setattr("gaugeline.operators.envelope.broadcast_within", lambda df: df)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         shuffled = envelope(spark, rows, baselines)

@@ -10,7 +10,7 @@ from gaugeline.operators.alerts import critical_alerts
 from gaugeline.operators.detect import detect_any, detect_breaches
 from gaugeline.operators.parse import dead_letters, parse_messages
 from gaugeline.operators.points import to_points
-from gaugeline.plans.tables import table, well_messages
+from gaugeline.plans.tables import cut_off, table, well_messages
 from gaugeline.schema import READING_SCHEMA
 from gaugeline.sources.archive import BUCKET_LAYOUT, WELL_LAYOUT, clustered
 from gaugeline.sources.kafka import read_message_files
@@ -28,7 +28,7 @@ def same(got, want, columns):
 def messages(spark, sf_dir, tmp_path_factory):
     """Two deliveries of messages, one in ten cut off."""
     events = table(spark, sf_dir, "events")
-    rows = well_messages(events, damaged=True)
+    rows = well_messages(events, cut_off)
     cut = F.when(F.col("offset") % 10 == 0, F.substring(F.col("value").cast("string"), 1, 9))
     rows = rows.withColumn("value", F.coalesce(cut, F.col("value").cast("string")).cast("binary"))
     folder = str(tmp_path_factory.mktemp("messages"))
