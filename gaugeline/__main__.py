@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--starting", default="latest", help="startingOffsets of the first run")
     stream.add_argument("--min-partitions", type=int)
     stream.add_argument("--max-offsets", type=int)
+    stream.add_argument("--log-retention", help="age at which files leave a sink's log, such as 100d")
     stream.add_argument("--trigger", default="1 minute", help="time between batches, or 'once'")
 
     jobs_of.add_parser("replay", parents=[common], help="bring back dead letters that parse now")
@@ -48,7 +49,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = spark_session(f"gaugeline-{args.job}")
-    pipeline = jobs.Pipeline(args.base, layout=LAYOUTS[args.layout], buckets=args.buckets)
+    pipeline = jobs.Pipeline(
+        args.base,
+        layout=LAYOUTS[args.layout],
+        buckets=args.buckets,
+        log_retention=getattr(args, "log_retention", None),
+    )
     if args.job == "replay":
         jobs.replay(spark, pipeline)
     elif args.job == "retain":

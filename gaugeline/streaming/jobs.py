@@ -117,6 +117,9 @@ class Pipeline:
     buckets: int = BUCKETS
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     max_files: int = 1000
+    # Files written longer ago leave the sink's log, and so the table. Keeps the log of a
+    # long-lived table short; should exceed the days that drop_old keeps.
+    log_retention: str | None = None
 
     def partition_by(self, table: str) -> list[str]:
         return {
@@ -176,7 +179,7 @@ def append_to(
     folder gets few files; leave it off where the input files already follow the folders."""
     partition_by = partition_by or pipeline.partition_by(table)
     df = clustered(df, partition_by) if gather else df
-    return (
+    writer = (
         df.writeStream.queryName(table)
         .format("parquet")
         .outputMode("append")
@@ -184,8 +187,10 @@ def append_to(
         .option("checkpointLocation", pipeline.checkpoint(table))
         .partitionBy(*partition_by)
         .trigger(**pipeline.trigger)
-        .start()
     )
+    if pipeline.log_retention:
+        writer = writer.option("retention", pipeline.log_retention)
+    return writer.start()
 
 
 def _placed(readings: DataFrame, pipeline: Pipeline) -> DataFrame:

@@ -63,6 +63,34 @@ def test_envelope_is_the_same_without_broadcast(spark, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_hot_well_is_split_in_the_join(spark, monkeypatch):
+    """Past the broadcast bound, the well with a third of all readings goes to many tasks."""
+    monkeypatch.setattr("gaugeline.operators.envelope.broadcast_within", lambda df: df)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        well = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 10_000)
+        rows = spark.range(2_000_000, numPartitions=8).select(
+            well.alias("well_id"), F.col("id").alias("ts"), (F.rand(1) * 100).alias("a")
+        )
+        levels = spark.range(10_000).selectExpr("id well_id", "'a' sensor", "50D baseline")
+        counted = out_of_envelope(rows, levels, ["a"], tolerance=0.5).groupBy().count()
+        [total] = counted.collect()
+        plan = counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert total[0] == rows.filter("abs(a - 50) > 25").count()
+
+
 def uniform(low, high, seed):
     return F.rand(seed) * (high - low) + low
 

@@ -1,5 +1,6 @@
 """Streams against batch, restarts, supervision, replay and retention of the pipeline tables."""
 
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -115,6 +116,23 @@ def test_retention_leaves_streams_running(spark, messages, tmp_path):
     assert jobs.read(spark, pipeline, "points").count() == kept.count()
 
 
+def test_old_files_leave_the_log(spark, tmp_path):
+    source, rows = str(tmp_path / "in"), spark.range(1).withColumn("p", F.lit(1))
+    spark.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "2")
+    try:
+        for retention, expected in ((None, 4), ("1s", 1)):
+            name = f"t{expected}"
+            pipeline = jobs.Pipeline(str(tmp_path), trigger={"availableNow": True}, log_retention=retention)
+            for _ in range(4):
+                rows.write.mode("append").parquet(f"{source}{expected}")
+                time.sleep(1.5)
+                stream = spark.readStream.schema(rows.schema).parquet(f"{source}{expected}")
+                jobs.append_to(stream, pipeline, name, ["p"]).awaitTermination()
+            assert spark.read.parquet(pipeline.path(name)).count() == expected
+    finally:
+        spark.conf.unset("spark.sql.streaming.fileSink.log.compactInterval")
+
+
 def test_any_failed_query_ends_the_job(spark, messages, tmp_path):
     folder, _, _ = messages
     spark.streams.resetTerminated()
