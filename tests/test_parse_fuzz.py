@@ -1,0 +1,83 @@
+"""Routes of damaged messages against Python's own JSON reader."""
+
+import json
+import math
+import random
+import string
+from datetime import datetime, timezone
+
+from gaugeline.operators.parse import route_messages
+from gaugeline.schema import MESSAGE_SCHEMA, SENSORS
+
+NOW = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def message(pick):
+    body = {"well_id": pick.choice(["w1", "w}2", 'w"3', "wé4", ""])}
+    for sensor in pick.sample(SENSORS, 5):
+        body[sensor] = pick.choice([0, 1.5, -2e-7, 12345678.9, 1e40, None, math.nan, math.inf, "7.5", "x", True, [1], {"a": 1}])
+    if pick.random() < 0.5:
+        body = {k: v for k, v in body.items() if v is None or type(v) in (int, float, str) and k == "well_id" or type(v) in (int, float)}
+    if pick.random() < 0.2:
+        body["extra"] = pick.choice([{"a": "}"}, [1, {"b": "]"}], "{", 5])
+    if pick.random() < 0.1:
+        del body["well_id"]
+    text = json.dumps(body, ensure_ascii=False)
+    damage = pick.random()
+    at = pick.randrange(len(text))
+    if damage < 0.15:
+        text = text[:at]
+    elif damage < 0.3:
+        text = text[:at] + pick.choice('{}[]",:x1 ') + text[at:]
+    elif damage < 0.4:
+        text = text[:at] + text[at + 1 :]
+    elif damage < 0.45:
+        text += pick.choice([" ", "\n", "}", "{}", " x", "\t\r\n", text])
+    elif damage < 0.5:
+        text = pick.choice(string.punctuation + "1n ") + text
+    return text
+
+
+def expected(text):
+    """The sensors of a readable message, or None for a dead letter."""
+    try:
+        body = json.loads(text)
+    except ValueError:
+        return None
+    if not isinstance(body, dict) or body.get("well_id") in (None, ""):
+        return None
+    values = {}
+    for sensor in SENSORS:
+        value = body.get(sensor)
+        if value is not None and type(value) not in (int, float):
+            return None
+        values[sensor] = value
+    return values
+
+
+def test_damaged_messages(spark):
+    pick = random.Random(11)
+    texts = sorted({message(pick) for _ in range(6000)})
+    rows = [(None, text.encode(), "t", 0, i, NOW, 0) for i, text in enumerate(texts)]
+    routed = route_messages(spark.createDataFrame(rows, MESSAGE_SCHEMA)).collect()
+    assert len(routed) == len(texts)
+    wrong, good = [], 0
+    for row in routed:
+        text = texts[row.offset]
+        want = expected(text)
+        got = None if row.route != "raw" else {s: row[s] for s in SENSORS}
+        good += got is not None
+        if (want is None) != (got is None):
+            wrong.append((text, row.error))
+        elif want is not None and any(
+            (want[s] is None) != (got[s] is None)
+            or want[s] is not None
+            and want[s] != got[s]
+            and not (math.isnan(want[s]) and math.isnan(got[s]))
+            for s in SENSORS
+        ):
+            wrong.append((text, got))
+        if row.route != "raw":
+            assert row.raw == text and row.error
+    assert not wrong, (len(wrong), wrong[:15])
+    assert 500 < good < len(texts) - 500
