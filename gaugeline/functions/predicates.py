@@ -49,3 +49,14 @@ def within(df: DataFrame, time_col: str, as_of: datetime, width: timedelta) -> C
     return (F.col(time_col) >= time_bound(df, time_col, as_of - width)) & (
         F.col(time_col) < time_bound(df, time_col, as_of)
     )
+
+
+def recent(
+    df: DataFrame, time_col: str, as_of: datetime, width: timedelta, day_col: str = "date"
+) -> DataFrame:
+    """Rows within the range. A table kept in folders by event day is read from those days only."""
+    rows = df.filter(within(df, time_col, as_of, width))
+    if time_col == "ts" and day_col in df.columns:
+        first, last = (F.to_date(time_bound(df, time_col, at)) for at in (as_of - width, as_of))
+        rows = rows.filter(F.col(day_col).between(first, last))
+    return rows

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.functions.predicates import within
+from gaugeline.functions.predicates import recent
 from gaugeline.operators.points import READINGS, breach_points, to_points
 
 # Default ranges of the sensor panels and of the anomaly panel.
@@ -24,11 +24,8 @@ def sensor_panel(
     time_col: str = "ts",
 ) -> DataFrame:
     """Samples of one field in [as_of - width, as_of) from the points table."""
-    return points.filter(
-        (F.col("measurement") == measurement)
-        & (F.col("field") == field)
-        & within(points, time_col, as_of, width)
-    )
+    samples = points.filter((F.col("measurement") == measurement) & (F.col("field") == field))
+    return recent(samples, time_col, as_of, width)
 
 
 def sensor_panel_of_readings(
@@ -40,12 +37,11 @@ def sensor_panel_of_readings(
     keep: tuple[str, ...] = ("ts", "well_id"),
 ) -> DataFrame:
     """The same samples straight from wide readings: reads one sensor and the range only."""
-    recent = readings.filter(within(readings, time_col, as_of, width))
-    return to_points(recent, [sensor], keep)
+    return to_points(recent(readings, time_col, as_of, width), [sensor], keep)
 
 
 def anomaly_panel(
     breaches: DataFrame, as_of: datetime, width: timedelta = ANOMALY_RANGE, time_col: str = "ts"
 ) -> DataFrame:
     """Value and threshold of every breach in [as_of - width, as_of)."""
-    return breach_points(breaches.filter(within(breaches, time_col, as_of, width)))
+    return breach_points(recent(breaches, time_col, as_of, width))

@@ -50,7 +50,7 @@ from gaugeline.plans.tables import (
     well_readings,
 )
 from gaugeline.schema import SENSORS, SOURCE_KEYS
-from gaugeline.session import scratch_path, use_utc
+from gaugeline.session import scratch_path, use_rocksdb, use_utc
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
     BUCKETS,
@@ -317,6 +317,7 @@ def stream_anomalies(spark, sf_dir):
 
 def stream_replay(spark, sf_dir):
     """Dead letters delivered twice come back once."""
+    use_rocksdb(spark)
     letters = dead_letters(well_messages(table_stream(spark, sf_dir, "events"), number_quoted))
     repair = numbers_unquoted(F.col("raw"))
     fixed = replay_stream(letters.unionByName(letters), "40 days", repair=repair)
@@ -368,13 +369,12 @@ def pipeline_points(spark, sf_dir):
 
 
 def pipeline_panel(spark, sf_dir):
-    """A panel over the stored points: reads one folder of one day."""
+    """A panel over the stored points: reads the folders of its days only."""
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_points(spark, pipeline))
     points = jobs.read(spark, pipeline, "points")
     recent = sensor_panel(points, "wellhead_pressure", EVENTS_END, timedelta(hours=24))
-    pruned = recent.filter(F.col("date") >= F.lit("2024-01-30").cast("date"))
-    return pruned.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
+    return recent.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
 
 
 def pipeline_breaches(spark, sf_dir):

@@ -8,12 +8,25 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def spark_session(app_name: str = "gaugeline", **conf: str) -> SparkSession:
-    """A session in UTC. Master, packages and credentials are left to spark-submit."""
-    builder = SparkSession.builder.appName(app_name).config("spark.sql.session.timeZone", "UTC")
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def spark_session(app_name: str = "gaugeline") -> SparkSession:
+    """A session in UTC, with streaming state on disk instead of in executor memory. Master,
+    packages and credentials are left to spark-submit."""
+    return (
+        SparkSession.builder.appName(app_name)
+        .config("spark.sql.session.timeZone", "UTC")
+        .config(STATE_STORE, ROCKSDB)
+        .getOrCreate()
+    )
+
+
+def use_rocksdb(spark: SparkSession) -> SparkSession:
+    """Keep the state of streams started from now on off the executors' heap."""
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    return spark
 
 
 def use_utc(spark: SparkSession) -> SparkSession:

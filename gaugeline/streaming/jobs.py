@@ -15,6 +15,7 @@ from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (
     DateType,
@@ -30,6 +31,7 @@ from pyspark.sql.types import (
 from gaugeline.operators.alerts import critical_alerts
 from gaugeline.operators.detect import detect_any, detect_breaches
 from gaugeline.operators.parse import (
+    RAW_ROUTE,
     as_dead_letters,
     good_readings,
     route_messages,
@@ -200,9 +202,11 @@ def _placed(readings: DataFrame, pipeline: Pipeline) -> DataFrame:
 
 def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
     """Messages to the ``readings`` table. Raw readings and dead letters are folders of one sink,
-    so both are written exactly once from one parse."""
-    routed = with_event_time(route_messages(messages, pipeline.schema))
-    return append_to(_placed(routed, pipeline), pipeline, "readings")
+    so both are written exactly once from one parse. Readings lie under their event day, dead
+    letters under the day they arrived."""
+    placed = _placed(with_event_time(route_messages(messages, pipeline.schema)), pipeline)
+    day = F.when(F.col("route") == RAW_ROUTE, F.col("date")).otherwise(F.to_date("ingest_ts"))
+    return append_to(placed.withColumn("date", day), pipeline, "readings")
 
 
 def _ensured_path(spark: SparkSession, pipeline: Pipeline, table: str) -> str:

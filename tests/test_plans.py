@@ -83,7 +83,8 @@ def test_panel_of_points_is_pushed_down(spark, stored):
     points = to_points(stored, keep=("ts", "well_id")).withColumn("date", F.to_date("ts"))
     points.coalesce(1).write.partitionBy("measurement", "date").parquet(path)
     text = plan(sensor_panel(spark.read.parquet(path), "water_cut", AS_OF))
-    assert "measurement" in text.split("PartitionFilters: ")[1].split("\n")[0]
+    pruned = text.split("PartitionFilters: ")[1].split("\n")[0]
+    assert "measurement" in pruned and "2024-01-30" in pruned and "2024-01-31" in pruned
     pushed = text.split("PushedFilters: ")[1].split("\n")[0]
     assert "EqualTo(field,water_cut)" in pushed and "GreaterThanOrEqual(ts" in pushed
 

@@ -74,6 +74,21 @@ def test_panel_of_readings_equals_panel_of_points(readings, sensor):
     assert sorted(map(str, stored.collect())) == sorted(map(str, direct.collect()))
 
 
+def test_days_do_not_change_the_panel(readings):
+    """Around midnight, with a day column: the same samples as without it."""
+    midnight = datetime(2024, 1, 2, tzinfo=timezone.utc)
+    points = to_points(readings.withColumn("ts", F.col("ts") + F.expr("INTERVAL 12 HOURS")))
+    dated = points.withColumn("date", F.to_date("ts"))
+    for shift in (-1, 0, 1, 6):
+        as_of, width = midnight + timedelta(minutes=shift), timedelta(minutes=10)
+        plain = sensor_panel(points, "water_cut", as_of, width)
+        by_day = sensor_panel(dated, "water_cut", as_of, width).drop("date")
+        assert plain.count() > 0
+        assert sorted(map(str, plain.collect())) == sorted(map(str, by_day.collect()))
+    assert sensor_panel(dated.withColumn("ingest_ts", F.col("ts")), "water_cut", midnight,
+                        time_col="ingest_ts").count() == 1
+
+
 def test_anomaly_panel_default_range(readings):
     breaches = detect_breaches(readings)
     assert {r.anomaly_type for r in anomaly_panel(breaches, NOON).collect()} == {"motor_current_low"}

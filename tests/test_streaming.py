@@ -12,7 +12,7 @@ from gaugeline.operators.detect import detect_any, detect_breaches
 from gaugeline.operators.parse import dead_letters, parse_messages
 from gaugeline.operators.points import to_points
 from gaugeline.plans.tables import cut_off, table, well_messages
-from gaugeline.schema import READING_SCHEMA
+from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA
 from gaugeline.sources.archive import BUCKET_LAYOUT, WELL_LAYOUT, clustered
 from gaugeline.sources.kafka import read_message_files
 from gaugeline.streaming import jobs
@@ -116,6 +116,18 @@ def test_retention_leaves_streams_running(spark, messages, tmp_path):
     assert jobs.read(spark, pipeline, "points").count() == kept.count()
 
 
+def test_dead_letters_lie_under_their_arrival(spark, tmp_path):
+    at = datetime(2024, 1, 5, tzinfo=timezone.utc)
+    good, bad = '"water_cut":1}', '"water_cut":"1"}'
+    texts = ['{"well_id":"w","timestamp":"2024-01-02T00:00:00+00:00",' + end for end in (good, bad)]
+    rows = [(b"w", t.encode(), "t", 0, i, at, 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.parquet(str(tmp_path / "in"))
+    pipeline = jobs.Pipeline(str(tmp_path / "t"), trigger={"availableNow": True})
+    jobs.start_ingest(read_message_files(spark, str(tmp_path / "in")), pipeline).awaitTermination()
+    got = {(r.route, str(r.date)) for r in jobs.read(spark, pipeline, "readings").collect()}
+    assert got == {("raw", "2024-01-02"), ("dead_letter", "2024-01-05")}
+
+
 def test_old_files_leave_the_log(spark, tmp_path):
     source, rows = str(tmp_path / "in"), spark.range(1).withColumn("p", F.lit(1))
     spark.conf.set("spark.sql.streaming.fileSink.log.compactInterval", "2")
