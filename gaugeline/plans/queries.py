@@ -107,18 +107,15 @@ def dead_letter(spark, sf_dir):
 
 
 def replay(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    messages = event_messages(table(spark, sf_dir, "events"), number_quoted("k"))
     # Routing is written once, as the streaming job does, so messages are not parsed per use.
     path = scratch_path(spark, "routed")
-    routed = route_messages(event_messages(events, cut_off), EVENT_MESSAGE_SCHEMA, "k")
+    routed = route_messages(messages, EVENT_MESSAGE_SCHEMA, "k")
     routed.write.partitionBy("route").parquet(path)
     landed = read_table(spark, path, routed.schema)
-    raw = landed.filter(F.col("route") == RAW_ROUTE)
-    dead = as_dead_letters(landed.filter(F.col("route") != RAW_ROUTE))
-    repaired = dead.join(events.select(F.col("event_id").alias("offset"), "props"), "offset")
-    fixed = replay_dead_letters(
-        repaired, raw, EVENT_MESSAGE_SCHEMA, repair=F.col("props"), required="k"
-    )
+    raw, dead = landed.filter(F.col("route") == RAW_ROUTE), as_dead_letters(landed)
+    repair = numbers_unquoted(F.col("raw"))
+    fixed = replay_dead_letters(dead, raw, EVENT_MESSAGE_SCHEMA, repair, required="k")
     return raw.select("offset", "k").unionByName(fixed.select("offset", "k"))
 
 
@@ -318,7 +315,7 @@ def stream_anomalies(spark, sf_dir):
 def stream_replay(spark, sf_dir):
     """Dead letters delivered twice come back once."""
     use_rocksdb(spark)
-    letters = dead_letters(well_messages(table_stream(spark, sf_dir, "events"), number_quoted))
+    letters = dead_letters(well_messages(table_stream(spark, sf_dir, "events"), number_quoted("water_cut")))
     repair = numbers_unquoted(F.col("raw"))
     fixed = replay_stream(letters.unionByName(letters), "40 days", repair=repair)
     pipeline = jobs.Pipeline(scratch_path(spark, "stream"), trigger=ONCE)
@@ -349,7 +346,7 @@ def pipeline_dead_letters(spark, sf_dir):
 
 
 def pipeline_replay(spark, sf_dir):
-    pipeline = _ingested(spark, sf_dir, number_quoted)
+    pipeline = _ingested(spark, sf_dir, number_quoted("water_cut"))
     jobs.replay(spark, pipeline, numbers_unquoted(F.col("raw")))
     raw = jobs.read_raw(spark, pipeline).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return raw.select("offset", "ts", "well_id", "well_status", *SENSORS, "anomaly_type")

@@ -110,9 +110,12 @@ def cut_off(text: Column) -> Column:
     return F.when(F.expr(DAMAGED), F.substring(text, 1, 4)).otherwise(text)
 
 
-def number_quoted(text: Column) -> Column:
-    quoted = F.regexp_replace(text, r'("water_cut"):(-?[0-9][0-9.eE+-]*)', r'$1:"$2"')
-    return F.when(F.expr(DAMAGED), quoted).otherwise(text)
+def number_quoted(field: str) -> Callable[[Column], Column]:
+    def damage(text: Column) -> Column:
+        quoted = F.regexp_replace(text, rf'("{field}"): ?(-?[0-9][0-9.eE+-]*)', r'$1:"$2"')
+        return F.when(F.expr(DAMAGED), quoted).otherwise(text)
+
+    return damage
 
 
 def numbers_unquoted(text: Column) -> Column:
