@@ -209,23 +209,26 @@ def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
     return append_to(placed.withColumn("date", day), pipeline, "readings")
 
 
-def _ensured_path(spark: SparkSession, pipeline: Pipeline, table: str) -> str:
-    fs, path = file_system(spark, pipeline.path(table))
-    fs.mkdirs(path)
-    return pipeline.path(table)
-
-
 def table_stream(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
     """A table of the pipeline as a stream, which may start before the table has rows."""
-    path = _ensured_path(spark, pipeline, table)
+    fs, path = file_system(spark, pipeline.path(table))
+    fs.mkdirs(path)
     return stream_table(
-        spark, path, pipeline.schema_of(table), pipeline.partition_by(table), pipeline.max_files
+        spark,
+        pipeline.path(table),
+        pipeline.schema_of(table),
+        pipeline.partition_by(table),
+        pipeline.max_files,
     )
 
 
 def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
-    path = _ensured_path(spark, pipeline, table)
-    return read_table(spark, path, pipeline.schema_of(table), pipeline.partition_by(table))
+    """A table of the pipeline, empty if nothing was written yet."""
+    fs, path = file_system(spark, pipeline.path(table))
+    schema = pipeline.schema_of(table)
+    if not fs.exists(path):
+        return spark.createDataFrame([], schema)
+    return read_table(spark, pipeline.path(table), schema, pipeline.partition_by(table))
 
 
 def raw_stream(spark: SparkSession, pipeline: Pipeline) -> DataFrame:

@@ -116,6 +116,16 @@ def test_retention_leaves_streams_running(spark, messages, tmp_path):
     assert jobs.read(spark, pipeline, "points").count() == kept.count()
 
 
+def test_tables_not_written_yet_are_empty(spark, tmp_path):
+    pipeline = jobs.Pipeline(str(tmp_path / "none"))
+    assert jobs.read_raw(spark, pipeline).count() == 0
+    assert jobs.read_dead_letters(spark, pipeline).count() == 0
+    assert jobs.read(spark, pipeline, "alerts").columns == jobs.ALERT_SCHEMA.names
+    jobs.replay(spark, pipeline)
+    assert jobs.drop_old(spark, pipeline, datetime(2024, 1, 31)) == []
+    assert jobs.read_raw(spark, pipeline).count() == 0
+
+
 def test_dead_letters_lie_under_their_arrival(spark, tmp_path):
     at = datetime(2024, 1, 5, tzinfo=timezone.utc)
     good, bad = '"water_cut":1}', '"water_cut":"1"}'
