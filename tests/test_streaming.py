@@ -116,6 +116,31 @@ def test_retention_leaves_streams_running(spark, messages, tmp_path):
     assert jobs.read(spark, pipeline, "points").count() == kept.count()
 
 
+def test_a_batch_that_fails_midway_is_written_once(spark, sf_dir, tmp_path):
+    rows = well_messages(table(spark, sf_dir, "events"), cut_off)
+    source, spare = tmp_path / "in", tmp_path / "spare"
+    rows.filter("offset % 4 < 3").repartition(6).write.parquet(str(source))
+    rows.filter("offset % 4 = 3").coalesce(1).write.parquet(str(spare))
+    [good] = spare.glob("*.parquet")
+    (source / "part-unreadable.parquet").write_bytes(b"not parquet")
+    pipeline = jobs.Pipeline(
+        str(tmp_path / "t"), layout=BUCKET_LAYOUT, buckets=1, trigger={"availableNow": True}
+    )
+    # Without the shuffle of the ingest job, tasks with readable files write before one fails.
+    messages = read_message_files(spark, str(source)).withColumn("p", F.lit(1))
+    for attempt in range(2):
+        with pytest.raises(Exception, match="(?i)parquet"):
+            jobs.append_to(messages, pipeline, "copy", ["p"], gather=False).awaitTermination()
+        with pytest.raises(Exception, match="(?i)parquet"):
+            jobs.start_ingest(read_message_files(spark, str(source)), pipeline).awaitTermination()
+    (source / "part-unreadable.parquet").write_bytes(good.read_bytes())
+    jobs.append_to(messages, pipeline, "copy", ["p"], gather=False).awaitTermination()
+    jobs.run_once(spark, read_message_files(spark, str(source)), pipeline)
+    same(spark.read.parquet(pipeline.path("copy")), rows, ["offset", "value"])
+    check(spark, pipeline, rows)
+    spark.streams.resetTerminated()
+
+
 def test_tables_not_written_yet_are_empty(spark, tmp_path):
     pipeline = jobs.Pipeline(str(tmp_path / "none"))
     assert jobs.read_raw(spark, pipeline).count() == 0
