@@ -47,9 +47,17 @@ def archive_schema(schema: StructType) -> StructType:
 
 
 def write_archive(
-    df: DataFrame, path: str, partition_by: Sequence[str] = WELL_LAYOUT, mode: str = "append"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = WELL_LAYOUT,
+    mode: str = "append",
+    sort_by: Sequence[str] = ("well_id", "ts"),
 ) -> None:
-    clustered(df, partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    """Write a batch. Rows are sorted within each file, so a read of some wells skips the other
+    row groups; the sort by folder, which the writer needs anyway, is part of it."""
+    order = [*partition_by, *(c for c in sort_by if c in df.columns and c not in partition_by)]
+    rows = clustered(df, partition_by).sortWithinPartitions(*order)
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def _partitions_last(schema: StructType, partition_by: Sequence[str]) -> StructType:

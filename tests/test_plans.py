@@ -3,6 +3,7 @@
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gaugeline.operators.coverage import label_coverage
@@ -14,6 +15,7 @@ from gaugeline.plans.queries import QUERIES
 from gaugeline.plans.tables import table, well_readings
 from gaugeline.schema import SENSORS
 from gaugeline.session import scratch_path
+from gaugeline.sources.archive import BUCKET_LAYOUT, with_partitions, write_archive
 from gaugeline.sources.baselines import default_baselines
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -89,6 +91,19 @@ def test_panel_of_points_is_pushed_down(spark, stored):
     assert "EqualTo(field,water_cut)" in pushed and "GreaterThanOrEqual(ts" in pushed
 
 
+def test_archive_files_are_sorted(spark, sf_dir):
+    """Wells are in order within each written file."""
+    path = scratch_path(spark, "archive")
+    rows = table(spark, sf_dir, "events").withColumn("well_id", F.col("user_id").cast("string"))
+    write_archive(with_partitions(rows, buckets=2), path, BUCKET_LAYOUT)
+    back = spark.read.parquet(path).select(
+        F.input_file_name().alias("file"), "well_id", "ts", F.monotonically_increasing_id().alias("n")
+    )
+    order = Window.partitionBy("file").orderBy("n")
+    before = F.lag(F.struct("well_id", "ts")).over(order)
+    assert back.withColumn("before", before).filter(F.struct("well_id", "ts") < F.col("before")).count() == 0
+
+
 NO_SHUFFLE = [
     "parse_messages", "parse_well_messages", "dead_letter", "encode_roundtrip", "encode_messages",
     "detect_any", "detect_any_wells", "detect_breaches", "detect_breaches_wells", "detect_rule_table",

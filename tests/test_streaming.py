@@ -13,7 +13,7 @@ from gaugeline.operators.parse import dead_letters, parse_messages
 from gaugeline.operators.points import to_points
 from gaugeline.plans.tables import cut_off, table, well_messages
 from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA
-from gaugeline.sources.archive import BUCKET_LAYOUT, WELL_LAYOUT, clustered
+from gaugeline.sources.archive import BUCKET_LAYOUT, WELL_LAYOUT, write_archive
 from gaugeline.sources.kafka import read_message_files
 from gaugeline.streaming import jobs
 
@@ -231,7 +231,7 @@ def test_a_hot_well_is_split_over_tasks(spark, tmp_path):
         spark.conf.set(key, value)
     try:
         path = str(tmp_path / "t")
-        clustered(rows.repartition(8), ["well_id"]).write.partitionBy("well_id").parquet(path)
+        write_archive(rows.repartition(8), path, ["well_id"])
     finally:
         for key in settings:
             spark.conf.unset(key)
