@@ -4,7 +4,8 @@ import duckdb
 import pandas as pd
 import pytest
 
-import __spark_entry__ as registered
+from gaugeline.plans.oracles import ORACLES
+from gaugeline.plans.queries import QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -27,13 +28,13 @@ def rows(frame: pd.DataFrame) -> list[tuple]:
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, database, name):
-    got = registered.queries()[name](spark, sf_dir).toPandas()
-    want = database.execute(registered.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, sf_dir).toPandas()
+    want = database.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(want) > 0
     got_rows, want_rows = rows(got), rows(want)
