@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import langid, toxicity
+from gaugeline.llm import iblt, langid, toxicity
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -29,7 +29,13 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how near they are."""
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op4_fingerprints": op4_fingerprints,
 }
