@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import iblt, langid, toxicity
+from gaugeline.llm import iblt, langid, linededup, toxicity
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -34,8 +34,15 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats, but for a word at most."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_repeated_lines(docs)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op4_fingerprints": op4_fingerprints,
+    "op6_line_dedup": op6_line_dedup,
 }
