@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import iblt, langid, linededup, toxicity
+from gaugeline.llm import decontam, iblt, langid, linededup, toxicity
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -40,9 +40,17 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(docs)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that they contain, in part or whole."""
+    return decontam.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op4_fingerprints": op4_fingerprints,
     "op6_line_dedup": op6_line_dedup,
+    "op9_decontamination": op9_decontamination,
 }
