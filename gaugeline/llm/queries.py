@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, linededup, toxicity
+from gaugeline.llm import decontam, iblt, langid, linededup, sigtree, toxicity
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -47,10 +47,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles are at least 0.9 alike."""
+    return sigtree.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op4_fingerprints": op4_fingerprints,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op9_decontamination": op9_decontamination,
 }
