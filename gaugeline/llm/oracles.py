@@ -1,3 +1,20 @@
 """SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT *, CASE WHEN payload_bytes >= 100
+                      THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+            FROM p
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+        FROM f
+    """,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, linededup, sigtree, toxicity
+from gaugeline.llm import decontam, iblt, langid, linededup, sigtree, toxicity, warc
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -52,6 +52,16 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sigtree.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and found again through the capture index."""
+    pages = table(spark, sf_dir, "pages")
+    _, shards, folder = warc.archive(spark, pages)
+    keys = pages.select(warc.key_of(F.col("url"), F.col("page_id")).alias("key")).distinct()
+    return warc.look_up(keys, shards, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -59,4 +69,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op9_decontamination": op9_decontamination,
+    "op10_warc": op10_warc,
 }
