@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, linededup, sigtree, toxicity, warc
+from gaugeline.llm import decontam, iblt, langid, linededup, mixing, sigtree, toxicity, warc
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -62,12 +62,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each time that a document is drawn, in an order for each source."""
+    draws = mixing.drawn(table(spark, sf_dir, "documents"))
+    return draws.withColumnRenamed("id", "doc_id").drop("text_hash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
     "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
+    "op8_source_mixing": op8_source_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
 }
