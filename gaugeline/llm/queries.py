@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, linededup, mixing, sigtree, toxicity, warc
+from gaugeline.llm import decontam, iblt, langid, licenses, linededup, mixing, sigtree, toxicity, warc
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -68,9 +68,23 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return draws.withColumnRenamed("id", "doc_id").drop("text_hash")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    names = F.transform("licences", lambda m: m["licence"])
+    return found.select(
+        "doc_id",
+        F.array_sort(F.array_distinct(names)).alias("licence_ids"),
+        F.size("licences").alias("n_matches"),
+        F.array_max(F.transform("licences", lambda m: m["dice"])).alias("best_dice"),
+        "licences",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
+    "op3_license_scan": op3_license_scan,
     "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
