@@ -81,6 +81,107 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_INSIDE = np.ones(256, bool)
+_INSIDE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+#: Bytes of text whose words are hashed at once.
+_WINDOW = 1 << 17
+
+
+class _Powers:
+    """Powers of an odd number and of its inverse, modulo 2 ** 64."""
+
+    BASE = 0x9E3779B97F4A7C15
+    made: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.made[0]) < n:
+            found = []
+            for base in (cls.BASE, pow(cls.BASE, -1, 1 << 64)):
+                powers = np.full(n, base, np.uint64)
+                powers[0] = 1
+                found.append(np.multiply.accumulate(powers))
+            if n > 2 * _WINDOW:
+                return found[0], found[1]  # for one very long word; not kept
+            cls.made = found[0], found[1]
+        return cls.made
+
+
+class Words:
+    """Words of some texts: runs of bytes other than ASCII white space, A to Z lower-cased.
+
+    `start` and `end` are places in `text`, the lower-cased bytes of all texts; `size` is the number
+    of words of each text. With `edges`, these bytes are taken off both ends of every word,
+    and words that have no others are left out.
+    """
+
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, edges: bytes = b""):
+        self.text = _LOWER[raw]
+        inside = _INSIDE[raw]
+        firsts, lasts = offsets[:-1], offsets[1:]
+        full = lasts > firsts
+        before = np.zeros(len(raw), bool)
+        before[1:] = inside[:-1]
+        before[firsts[full]] = False
+        after = np.zeros(len(raw), bool)
+        after[:-1] = inside[1:]
+        after[lasts[full] - 1] = False
+        self.start = np.flatnonzero(inside & ~before)
+        self.end = np.flatnonzero(inside & ~after) + 1
+        if edges:
+            self._strip(edges)
+        self.size = np.diff(np.searchsorted(self.start, offsets))
+
+    def _strip(self, edges: bytes) -> None:
+        taken = np.zeros(256, bool)
+        taken[list(edges)] = True
+        for side, place in ((self.start, 0), (self.end, -1)):
+            todo = np.arange(len(side))
+            while len(todo):
+                todo = todo[(self.start[todo] < self.end[todo])]
+                todo = todo[taken[self.text[side[todo] + place]]]
+                side[todo] += 1 if place == 0 else -1
+        some = self.start < self.end
+        self.start, self.end = self.start[some], self.end[some]
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hash of each word: a polynomial over random values of its bytes, scrambled."""
+        found = np.empty(len(self.start), np.uint64)
+        low = 0
+        while low < len(found):
+            base = int(self.start[low])
+            high = max(int(np.searchsorted(self.end, base + _WINDOW, side="right")), low + 1)
+            start, end = self.start[low:high] - base, self.end[low:high] - base
+            part = self.text[base : base + int(end[-1])]
+            powers, back = _Powers.of(max(len(part), _WINDOW))
+            sums = np.empty(len(part) + 1, np.uint64)
+            sums[0] = 0
+            np.cumsum(_BYTE_VALUES[part] * powers[: len(part)], out=sums[1:])
+            found[low:high] = (sums[end] - sums[start]) * back[start]
+            low = high
+        return mixed(found)
+
+
+def text_groups(column: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of neighbouring texts of a string column that have at most
+    `most` bytes together; a longer text is alone. Null counts as empty."""
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = column.fill_null(b"")
+    if len(column) == 0:
+        return
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+    buffer = column.buffers()[2]
+    raw = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
+    low = 0
+    while low < len(column):
+        high = max(int(np.searchsorted(ends, ends[low] + most, side="right")) - 1, low + 1)
+        yield low, raw[ends[low] : ends[high]], ends[low : high + 1] - ends[low]
+        low = high
+
+
 #: Odd 64-bit multipliers of the shingle hash, one per word of a shingle.
 _FACTORS = [
     np.uint64(0x9E3779B97F4A7C15),
@@ -109,6 +210,9 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return total
 
 
+_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.large_binary()).to_pylist()
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, licenses, linededup, mixing, sigtree, toxicity, warc
+from gaugeline.llm import decontam, iblt, langid, licenses, linededup, mixing, mixlm, sigtree, toxicity, warc
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -81,6 +81,12 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned from those that are not held out."""
+    training = F.coalesce(id_bucket(F.col("doc_id"), 7) != 2, F.lit(True))
+    return mixlm.scores(table(spark, sf_dir, "documents"), training)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -88,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_source_mixing": op8_source_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
