@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
@@ -58,29 +56,6 @@ def settled(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Words with A to Z lower-cased. bytes.lower and bytes.split know ASCII only, as wanted."""
-    return text.lower().split() if text else []
-
-
-class WordHashes(dict):
-    """Word -> 64-bit hash, computed once per worker and word. Emptied when it holds `most`
-    words, so its memory is bounded; a later look-up computes the same hash again."""
-
-    def __init__(self, most: int = 400_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 _INSIDE = np.ones(256, bool)
@@ -213,21 +188,6 @@ def shingle_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
 _BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
-    return batch.column(name).cast(pa.large_binary()).to_pylist()
-
-
-def per_batch(frame: DataFrame, function, schema: str) -> DataFrame:
-    """`function` maps one Arrow batch to one Arrow batch, or to a dict of columns."""
-
-    def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for out in function(batch):
-                yield out if isinstance(out, pa.RecordBatch) else pa.RecordBatch.from_pydict(out)
-
-    return frame.mapInArrow(over, schema)
-
-
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(node, component): component is the smallest node id reachable over the edges.
 

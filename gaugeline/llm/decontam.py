@@ -28,21 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import WordHashes, shingle_hashes, words_of
+from gaugeline.llm.common import Words, shingle_hashes, text_groups
 
 SHINGLE = 5
 RADIUS = 10
 SIMILAR = 0.8
 ITEMS = 20_000
 ITEM_WORDS = 500_000
+GROUP_BYTES = 1 << 20
 #: Characters removed at the edges of words, so that punctuation does not hide a copy.
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def plain_words(text: bytes | None) -> list[bytes]:
-    return [w for w in (x.strip(EDGES) for x in words_of(text)) if w]
-
-
 def bit_signs(hashes: np.ndarray) -> np.ndarray:
     """+1 or -1 for each of 64 bits, one row per word."""
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1)
@@ -80,9 +77,10 @@ class Items:
     blocks: list[dict[int, np.ndarray]]
 
     @classmethod
-    def of(cls, rows: list[tuple[int, list[bytes]]], hashes: WordHashes) -> "Items":
+    def of(cls, rows: list[tuple[int, np.ndarray]]) -> "Items":
+        """From the ids of items and the hashes of their words."""
         ids = [i for i, _ in rows]
-        words = [hashes.of(w) for _, w in rows]
+        words = [w for _, w in rows]
         sizes = np.array([len(w) for w in words])
         prints = simhash(np.array([bit_signs(w).sum(axis=0) for w in words]))
         each = [shingle_hashes(w, SHINGLE) for w in words]
@@ -190,7 +188,7 @@ class Items:
 
 def item_blocks(
     items: DataFrame, item_id: str, text: str, most: int = ITEMS, most_words: int = ITEM_WORDS
-) -> Iterator[list[tuple[int, list[bytes]]]]:
+) -> Iterator[list[tuple[int, np.ndarray]]]:
     """The items in blocks of bounded size, streamed through the driver one partition at a time."""
     rows = (
         items.select(F.col(item_id).alias("id"), F.col(text).cast("binary").alias("text"))
@@ -199,7 +197,8 @@ def item_blocks(
     )
     block, words = [], 0
     for row in rows.toLocalIterator():
-        found = plain_words(bytes(row["text"]))
+        raw = np.frombuffer(row["text"], np.uint8)
+        found = Words(raw, np.array([0, len(raw)]), EDGES).hashes()
         if len(found) < SHINGLE:
             continue
         if block and (len(block) >= most or words + len(found) > most_words):
@@ -229,18 +228,19 @@ def contaminated(
     schema = f"doc_id {kind}, {PAIRS}"
     found = None
     for block in item_blocks(items, item_id, item_text):
-        index = Items.of(block, WordHashes())
+        index = Items.of(block)
 
         def search(batches, known=index):
-            hashes, seen = WordHashes(), known.table()
+            seen = known.table()
             for batch in batches:
                 at, rows = [], []
-                texts = batch.column("text").cast(pa.large_binary())
-                for number, value in enumerate(texts):
-                    words = plain_words(value.as_py())
-                    for match in known.matches(hashes.of(words), seen):
-                        at.append(number)
-                        rows.append(match)
+                for first, raw, offsets in text_groups(batch.column("text"), GROUP_BYTES):
+                    words = Words(raw, offsets, EDGES)
+                    hashes, end = words.hashes(), np.cumsum(words.size)
+                    for number, (low, high) in enumerate(zip(end - words.size, end), first):
+                        for match in known.matches(hashes[low:high], seen):
+                            at.append(number)
+                            rows.append(match)
                 columns = list(zip(*rows)) or [[], [], [], []]
                 yield pa.RecordBatch.from_arrays(
                     [

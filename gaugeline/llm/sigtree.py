@@ -1,9 +1,9 @@
 """Exact Jaccard self-join of documents' word shingles with signature trees.
 
 1. Documents with equal shingle sets are one node; only one of them goes on.
-2. Routing, which loses no link: two sets of at most y shingles that link differ in at most
-   k = 2y / 19 shingles. Shingles are dealt by hash to k + 1 + SPARE parts, so linked sets agree
-   in SPARE + 1 parts or more. Sets that agree in a part meet through the part's signature.
+2. Routing, which loses no link: two sets that link differ in at most a fixed share of their
+   sizes, that is in at most k shingles. Shingles are dealt by hash to k + 1 + SPARE parts, so linked
+   sets agree in SPARE + 1 parts or more. Sets that agree in a part meet through the part's signature.
    Empty parts agree by chance; a set emits them only if it has more than SPARE, for with fewer
    some part agrees that is not empty.
 3. Sets that meet, directly or through others, form a block. Every block gets a signature tree: its
@@ -24,6 +24,7 @@ value like any other, but never the name of a component if another member has an
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,37 +33,84 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import (
-    WordHashes,
+    Words,
     components,
     mixed,
     settled,
     shingle_hashes,
-    words_of,
+    text_groups,
 )
 
-SHINGLE = 3
-#: Sizes of sets are cut into classes by this ratio; sets of neighbouring classes meet too.
+#: Sizes of sets are cut into classes by this ratio; sets of neighbouring classes meet too. It has
+#: to be at least 1 / similarity.
 RATIO = 1.25
 SPARE = 2
 BITS = 2048
 LEAF = 32
 FANOUT = 8
 TILE_BYTES = 8 << 20
-#: Sets with fewer shingles only link when they are equal.
-LEAST = 9
 _SALT = np.uint64(0x5851F42D4C957F2D)
 #: Distinct sets remembered in a task, so that copies are routed once for each task.
 REMEMBERED = 1_000_000
-
-
-def linked(common: int, left: int, right: int) -> bool:
-    """Whether 100 * intersection >= 90 * union."""
-    return 100 * common >= 90 * (left + right - common)
-
-
-def most_differing(total: int) -> int:
-    """How many shingles two linked sets of `total` shingles together can differ in."""
-    return total // 19
+GROUP_BYTES = 1 << 20
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Documents link when 100 * intersection >= percent * union of their runs of `width` words."""
+
+    width: int = 3
+    percent: int = 90
+
+    def __post_init__(self):
+        if not 80 <= self.percent < 100:
+            raise ValueError("percent must be from 80 to 99")
+
+    def linked(self, common: int, left: int, right: int) -> bool:
+        return 100 * common >= self.percent * (left + right - common)
+
+    @property
+    def least(self) -> int:
+        """Sets with fewer shingles only link when they are equal."""
+        return -(-100 // (100 - self.percent)) - 1
+
+    def most_differing(self, total: int) -> int:
+        """How many shingles two linked sets of `total` shingles together can differ in."""
+        return total * (100 - self.percent) // (100 + self.percent)
+
+    def signatures(self, shingles: np.ndarray) -> np.ndarray:
+        """Signatures of the parts of a set, for its class and, if a larger partner can be in the
+        next one, for that."""
+        size = len(shingles)
+        if size < self.least:
+            return np.zeros(0, np.uint64)
+        out = []
+        own = size_class(size)
+        for c in (own, own + 1):
+            low, high = class_bounds(c)
+            if c > own and 100 * size < self.percent * low:
+                continue
+            parts = self.most_differing(2 * high) + 1 + SPARE
+            part = (mixed(shingles ^ _SALT) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            first = np.flatnonzero(np.diff(part[order], prepend=-1))
+            sums = np.add.reduceat(mixed(shingles)[order], first)
+            numbers = part[order][first]
+            if parts - len(numbers) > SPARE:
+                full = np.zeros(parts, np.uint64)
+                full[numbers] = sums
+                sums, numbers = full, np.arange(parts)
+            name = numbers.astype(np.uint64) * np.uint64(1009) + np.uint64(c)
+            out.append(mixed(sums ^ mixed(name + _SALT)))
+        return np.concatenate(out)
+
+    def sets(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The shingle set of each text of a column."""
+        for _, raw, offsets in text_groups(column, GROUP_BYTES):
+            words = Words(raw, offsets)
+            hashes, end = words.hashes(), np.cumsum(words.size)
+            for low, high in zip(end - words.size, end):
+                yield np.unique(shingle_hashes(hashes[low:high], self.width))
 
 
 def size_class(size: int) -> int:
@@ -79,45 +127,10 @@ def class_bounds(c: int) -> tuple[int, int]:
     return int(np.ceil(RATIO**c)), int(np.ceil(RATIO ** (c + 1))) - 1
 
 
-def signatures(shingles: np.ndarray) -> np.ndarray:
-    """Signatures of the parts of a set, for its class and, if a larger partner can be in the
-    next one, for that."""
-    size = len(shingles)
-    if size < LEAST:
-        return np.zeros(0, np.uint64)
-    out = []
-    own = size_class(size)
-    for c in (own, own + 1):
-        low, high = class_bounds(c)
-        if c > own and 10 * size < 9 * low:
-            continue
-        parts = most_differing(2 * high) + 1 + SPARE
-        part = (mixed(shingles ^ _SALT) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        first = np.flatnonzero(np.diff(part[order], prepend=-1))
-        sums = np.add.reduceat(mixed(shingles)[order], first)
-        numbers = part[order][first]
-        if parts - len(numbers) > SPARE:
-            full = np.zeros(parts, np.uint64)
-            full[numbers] = sums
-            sums, numbers = full, np.arange(parts)
-        name = numbers.astype(np.uint64) * np.uint64(1009) + np.uint64(c)
-        out.append(mixed(sums ^ mixed(name + _SALT)))
-    return np.concatenate(out)
-
-
-def shingle_set(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    return np.unique(shingle_hashes(hashes.of(words_of(text)), SHINGLE))
-
-
 def set_key(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).astype(np.int64))
 
 
-def _long(values: np.ndarray) -> np.ndarray:
-    return values.view(np.int64)
-
-
 class Tree:
     """A signature tree over shingle sets."""
 
@@ -150,7 +163,7 @@ class Tree:
         )
 
 
-def _possible(a, rows_a: slice, b, rows_b: slice) -> np.ndarray:
+def _possible(rule: Rule, a, rows_a: slice, b, rows_b: slice) -> np.ndarray:
     """Which pairs of nodes may hold a link.
 
     A set below a node has at least its `pops` bits; at most the bits common to both ORs can be
@@ -158,11 +171,12 @@ def _possible(a, rows_a: slice, b, rows_b: slice) -> np.ndarray:
     """
     bits_a, low_a, high_a, pops_a = (x[rows_a] for x in a)
     bits_b, low_b, high_b, pops_b = (x[rows_b] for x in b)
-    fits = 10 * high_b[None, :] >= 9 * low_a[:, None]
-    fits &= 10 * high_a[:, None] >= 9 * low_b[None, :]
+    fits = 100 * high_b[None, :] >= rule.percent * low_a[:, None]
+    fits &= 100 * high_a[:, None] >= rule.percent * low_b[None, :]
     shared = np.bitwise_count(bits_a[:, None, :] & bits_b[None, :, :]).sum(axis=2, dtype=np.int64)
     lacking = np.maximum(pops_a[:, None] - shared, 0) + np.maximum(pops_b[None, :] - shared, 0)
-    return fits & (19 * lacking <= high_a[:, None] + high_b[None, :])
+    most = (100 - rule.percent) * (high_a[:, None] + high_b[None, :])
+    return fits & ((100 + rule.percent) * lacking <= most)
 
 
 def _below(tree: Tree, level: int, node: int) -> slice:
@@ -189,7 +203,7 @@ class Groups:
         self.parent[self.find(a)] = self.find(b)
 
 
-def links(left: Tree, right: Tree | None = None) -> Iterator[tuple[int, int]]:
+def links(rule: Rule, left: Tree, right: Tree | None = None) -> Iterator[tuple[int, int]]:
     """Links that connect the sets of a tree, or of two trees with each other: positions in the
     lists that the trees were made from. Links within one of two trees are not looked for."""
     same = right is None
@@ -206,7 +220,7 @@ def links(left: Tree, right: Tree | None = None) -> Iterator[tuple[int, int]]:
             next_a, next_b = level_a - down_a, level_b - down_b
             rows_a = rows_a if down_a else slice(a, a + 1)
             rows_b = rows_b if down_b else slice(b, b + 1)
-            fits = _possible(left.levels[next_a], rows_a, right.levels[next_b], rows_b)
+            fits = _possible(rule, left.levels[next_a], rows_a, right.levels[next_b], rows_b)
             for i, j in np.argwhere(fits).tolist():
                 i, j = rows_a.start + i, rows_b.start + j
                 if not same or i <= j:
@@ -218,26 +232,25 @@ def links(left: Tree, right: Tree | None = None) -> Iterator[tuple[int, int]]:
             continue
         sets_a = (left.bits, left.sizes, left.sizes, left.pops)
         sets_b = (right.bits, right.sizes, right.sizes, right.pops)
-        for i, j in np.argwhere(_possible(sets_a, rows_a, sets_b, rows_b)).tolist():
+        for i, j in np.argwhere(_possible(rule, sets_a, rows_a, sets_b, rows_b)).tolist():
             i, j = rows_a.start + i, rows_b.start + j
             if (same and i >= j) or groups.find(i) == groups.find(shift + j):
                 continue
             one, two = left.sets[i], right.sets[j]
             common = len(one) + len(two) - len(np.union1d(one, two))
-            if linked(common, len(one), len(two)):
+            if rule.linked(common, len(one), len(two)):
                 groups.join(i, shift + j)
                 yield left.order[i], right.order[j]
 
 
-def _routed(docs: DataFrame) -> DataFrame:
+def _routed(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n, key, signatures) for each row."""
 
     def run(batches):
-        hashes, seen = WordHashes(), set()
+        seen: set[int] = set()
         for batch in batches:
             sizes, keys, routes = [], [], []
-            for text in batch.column("text").cast(pa.large_binary()):
-                shingles = shingle_set(text.as_py(), hashes)
+            for shingles in rule.sets(batch.column("text")):
                 key = set_key(shingles)
                 known = key in seen
                 if len(seen) >= REMEMBERED:
@@ -245,7 +258,7 @@ def _routed(docs: DataFrame) -> DataFrame:
                 seen.add(key)
                 sizes.append(len(shingles))
                 keys.append(key)
-                routes.append([] if known else _long(signatures(shingles)))
+                routes.append([] if known else rule.signatures(shingles).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -260,7 +273,7 @@ def _routed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, routes array<long>")
 
 
-def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(key, block, tiles, shingles) of the documents that stand for the nodes."""
     named = nodes.withColumnRenamed("doc_id", "of")
     rows = docs.join(named, docs["doc_id"].eqNullSafe(named["of"])).select(
@@ -268,12 +281,10 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
     def run(batches):
-        hashes = WordHashes()
         for batch in batches:
             keep, found = [], []
             keys = batch.column("key").to_pylist()
-            for at, text in enumerate(batch.column("text").cast(pa.large_binary())):
-                shingles = shingle_set(text.as_py(), hashes)
+            for at, shingles in enumerate(rule.sets(batch.column("text"))):
                 if set_key(shingles) == keys[at]:  # another row may have the same id
                     keep.append(at)
                     found.append(shingles.tobytes())
@@ -286,7 +297,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "key long, block long, tiles int, shingles binary")
 
 
-def _tile_links(table: pa.Table) -> pa.Table:
+def _tile_links(rule: Rule, table: pa.Table) -> pa.Table:
     """Links within a tile, or between two."""
     rows = {}
     for key, tile, i, j, raw in zip(
@@ -299,7 +310,7 @@ def _tile_links(table: pa.Table) -> pa.Table:
     out: list[tuple[int, int]] = []
     if all(sides):
         trees = [Tree([rows[k][3] for k in side]) for side in sides]
-        out = [(sides[0][a], sides[-1][b]) for a, b in links(*trees)]
+        out = [(sides[0][a], sides[-1][b]) for a, b in links(rule, *trees)]
     return pa.table(
         {
             "a": pa.array([a for a, _ in out], pa.int64()),
@@ -308,11 +319,13 @@ def _tile_links(table: pa.Table) -> pa.Table:
     )
 
 
-def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def similar_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = Rule()
+) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row; component_id is the smallest id that links
     lead to."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    routed = settled(_routed(docs))
+    routed = settled(_routed(docs, rule))
     nodes = (
         routed.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
     )
@@ -331,16 +344,19 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     tiles = members.groupBy("block").agg(
         F.ceil(F.sum("n") * 8 / TILE_BYTES).cast("int").alias("tiles")
     )
-    sets = _sets(docs, members.join(tiles, "block").select("doc_id", "key", "block", "tiles"))
+    chosen = members.join(tiles, "block").select("doc_id", "key", "block", "tiles")
+    sets = _sets(docs, chosen, rule)
     tiled = (
         sets.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         .withColumn("i", F.least("tile", "other"))
         .withColumn("j", F.greatest("tile", "other"))
     )
-    found = settled(
-        tiled.groupBy("block", "i", "j").applyInArrow(_tile_links, "a long, b long")
-    )
+
+    def compare(tile: pa.Table) -> pa.Table:
+        return _tile_links(rule, tile)
+
+    found = settled(tiled.groupBy("block", "i", "j").applyInArrow(compare, "a long, b long"))
     joined = components(found)
     names = (
         nodes.join(joined, nodes["key"] == joined["node"], "left")

@@ -1,16 +1,19 @@
 """Stages of the corpus pipeline. Each takes (spark, docs, sf_dir) and returns a DataFrame; all
-but the last return the columns of `docs`. Texts are whole texts."""
+but the last return the columns of `docs`. Texts are whole texts, and every decision rests on all
+documents that the stage before has kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import langid
-from gaugeline.llm.common import table  # noqa: F401
+from gaugeline.llm import decontam, langid, linededup, mixing, sigtree
+from gaugeline.llm.common import settled, table
 
 #: A document needs this share of its letters in spans of one language.
 MAIN_LANGUAGE_SHARE = 0.5
+#: Near duplicates have a Jaccard similarity of 0.8 or more in their five-word shingles.
+NEAR = sigtree.Rule(width=5, percent=80)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,3 +28,44 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pred, share, _ = found.columns[len(given) :]
     kept = found.filter((F.col(pred) != langid.UND) & (F.col(share) >= MAIN_LANGUAGE_SHARE))
     return kept.withColumn("lang", F.coalesce("lang", pred)).select(*given)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line repeats, but for a word at most.
+    Documents that lose all their lines go; `n_chars` follows the text."""
+    given = docs.columns
+    clean = linededup.drop_repeated_lines(docs)
+    lines, dropped = clean.columns[len(given) :]
+    kept = clean.filter(F.coalesce(F.size(dropped), F.lit(0)) < F.col(lines))
+    changed = F.col(dropped).isNotNull()
+    length = F.length("text").cast(dict(docs.dtypes)["n_chars"])
+    return kept.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars"))).select(
+        *given
+    )
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: that with the smallest id, and of several
+    rows with this id the one with the smallest hash of its text. Documents without words stay."""
+    given = docs.columns
+    same = sigtree.similar_documents(docs, rule=NEAR)
+    first = (
+        same.filter("n_shingles > 0")
+        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select(F.col("doc_id").alias("first"))
+        .union(same.filter("n_shingles = 0").select("doc_id"))
+        .distinct()
+    )
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["first"]), "left_semi").select(*given)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    bad = settled(found.select(F.col("doc_id").alias("bad")).distinct())
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad"]), "left_anti")
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture draws them, with pass and place in the sequence."""
+    return mixing.mixed_documents(docs)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import appended, binary_column
+from gaugeline.llm.common import appended
 
 BUCKETS = 1 << 18
 #: Labelled rows of each class that the fit reads at most, taken by the smallest hash of the id.
@@ -165,7 +165,7 @@ def fit(
 
     def sparse(batches):
         for batch in batches:
-            made = [features(t) for t in binary_column(batch, "text")]
+            made = [features(t) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_pydict(
                 {
                     "id": batch.column("id").cast(pa.int64()),
