@@ -8,11 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gaugeline.llm import stages
 from gaugeline.llm.common import settled, table
-from gaugeline.llm.stages import language_id
 
 STAGES = [
-    ("language_id", language_id),
+    ("language_id", stages.language_id),
+    ("line_dedup", stages.line_dedup),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
+    ("source_mixing", stages.source_mixing),
 ]
 
 #: Viterbi labels, edit distances and block permutations are not expressible in SQL; the stages
