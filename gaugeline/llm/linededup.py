@@ -72,13 +72,20 @@ def _of_documents(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
 
 
 def _variants(texts: DataFrame) -> DataFrame:
-    """(line, place, at, key): each line whole (at -1) and without its word `at`, hashed."""
-    words = F.col("words")
+    """(line, place, at, key): each line whole (at -1) and without its word `at`, hashed. Words are
+    hashed once; a variant is a hash of these hashes."""
+    hashes = F.col("hashes")
     at = F.col("at")
-    without = F.concat(F.slice(words, 1, at), F.slice(words, at + 2, F.size(words)))
-    return texts.select(
-        "line", "place", "words", F.explode(F.sequence(F.lit(-1), F.size(words) - 1)).alias("at")
-    ).select("line", "place", "at", F.xxhash64(F.when(at < 0, words).otherwise(without)).alias("key"))
+    without = F.concat(F.slice(hashes, 1, at), F.slice(hashes, at + 2, F.size(hashes)))
+    return (
+        texts.select(
+            "line", "place", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes")
+        )
+        .select(
+            "line", "place", "hashes", F.explode(F.sequence(F.lit(-1), F.size(hashes) - 1)).alias("at")
+        )
+        .select("line", "place", "at", F.xxhash64(F.when(at < 0, hashes).otherwise(without)).alias("key"))
+    )
 
 
 def _earlier_alike(texts: DataFrame) -> DataFrame:
