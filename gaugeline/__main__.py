@@ -38,6 +38,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
     keep = jobs_of.add_parser("retain", parents=[common], help="remove expired days")
     keep.add_argument("--archive-days", type=int, default=ARCHIVE_DAYS["other"])
+    keep.add_argument(
+        "--consumers",
+        nargs="*",
+        default=["anomalies", "points", "breaches", "alerts"],
+        help="tables whose streams are in use; days they have not read stay",
+    )
     keep.add_argument("--as-of", type=datetime.fromisoformat, default=None)
 
     args = parser.parse_args(argv)
@@ -59,7 +65,7 @@ def main(argv: list[str] | None = None) -> None:
         jobs.replay(spark, pipeline)
     elif args.job == "retain":
         as_of = args.as_of or datetime.now(timezone.utc)
-        for folder in jobs.drop_old(spark, pipeline, as_of, args.archive_days):
+        for folder in jobs.drop_old(spark, pipeline, as_of, args.archive_days, args.consumers):
             print(f"removed {folder}")
     else:
         if args.files:

@@ -9,7 +9,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from gaugeline.schema import RULES, Rule
 
@@ -34,9 +34,13 @@ def breaches_any(rules: Iterable[Rule] = RULES) -> Column:
     return reduce(or_, [breaches_rule(rule) for rule in rules])
 
 
+def _in_utc(at: datetime) -> datetime:
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
 def time_bound(df: DataFrame, time_col: str, at: datetime) -> Column:
     """A literal of the column's own type, so the comparison needs no cast and is pushed to the scan."""
-    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+    at = _in_utc(at)
     column_type = df.schema[time_col].dataType
     text = at.replace(tzinfo=None).isoformat(sep=" ")
     if not isinstance(column_type, TimestampNTZType):
@@ -44,6 +48,18 @@ def time_bound(df: DataFrame, time_col: str, at: datetime) -> Column:
     return F.lit(text).cast(column_type)
 
 
+def utc_day(time: Column) -> Column:
+    """The day of a TIMESTAMP in UTC, in every session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_micros(time) / 86_400_000_000).cast("int"))
+
+
+def day_of(df: DataFrame, time: Column, like: str) -> Column:
+    """The UTC day of a time of the same type as column ``like``."""
+    if isinstance(df.schema[like].dataType, TimestampType):
+        return utc_day(time)
+    return F.to_date(time)
+
+
 def within(df: DataFrame, time_col: str, as_of: datetime, width: timedelta) -> Column:
     """as_of - width <= time < as_of."""
     return (F.col(time_col) >= time_bound(df, time_col, as_of - width)) & (
@@ -57,6 +73,6 @@ def recent(
     """Rows within the range. A table kept in folders by event day is read from those days only."""
     rows = df.filter(within(df, time_col, as_of, width))
     if time_col == "ts" and day_col in df.columns:
-        first, last = (F.to_date(time_bound(df, time_col, at)) for at in (as_of - width, as_of))
+        first, last = (F.lit(_in_utc(at).date()) for at in (as_of - width, as_of))
         rows = rows.filter(F.col(day_col).between(first, last))
     return rows

@@ -59,6 +59,14 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule] = RULES) -> DataFrame:
     return spark.createDataFrame(rows, "field string, kind string, threshold double, severity string")
 
 
+def _checked(rules: DataFrame, sensors: Sequence[str]) -> None:
+    """A rule that cannot be applied must not vanish."""
+    known = F.col("kind").isin("max", "min") & F.col("field").isin(list(sensors))
+    bad = rules.filter(~F.coalesce(known, F.lit(False)) | F.col("threshold").isNull()).head(3)
+    if bad:
+        raise ValueError(f"rules of unknown kind or field, or without threshold: {bad}")
+
+
 def detect_with_rule_table(
     readings: DataFrame,
     rules: DataFrame,
@@ -67,23 +75,65 @@ def detect_with_rule_table(
 ) -> DataFrame:
     """detect_breaches with rules read from a table (field, kind, threshold, severity).
 
-    Rules with a ``well_id`` column apply to that well only.
+    With a ``well_id`` column, rules without one are the default, and a rule of a well replaces the
+    default of the same field and kind there. Rules are folded to one row per well, so a reading
+    is joined once. Default rules go into the plan; there are two for each sensor at most that
+    differ in field and kind, and any number of the same.
     """
-    # Sensors are joined by their number: hashing a name per value took five times as long.
-    sensor_number = F.array_position(F.array(*map(F.lit, sensors)), F.col("field"))
-    numbered = rules.withColumn("sensor_number", sensor_number)
-    on = [name for name in ("sensor_number", "well_id") if name in numbered.columns]
-    pairs = [
-        column
-        for number, sensor in enumerate(sensors, start=1)
-        for column in (F.lit(number).cast("long"), F.col(sensor).cast("double"))
+    _checked(rules, sensors)
+    numbers = F.array(*map(F.lit, sensors))
+    rule = F.struct(
+        F.array_position(numbers, F.col("field")).cast("int").alias("sensor_number"),
+        "field",
+        "kind",
+        F.col("threshold").cast("double").alias("threshold"),
+        "severity",
+    )
+    of_wells = "well_id" in rules.columns
+    default = rules.filter("well_id is null") if of_wells else rules
+    chosen = [
+        F.struct(
+            F.lit(sensors.index(r["field"]) + 1).alias("sensor_number"),
+            *[F.lit(r[name]).alias(name) for name in ("field", "kind")],
+            F.lit(float(r["threshold"])).alias("threshold"),
+            F.lit(r["severity"]).alias("severity"),
+        )
+        for r in default.select("field", "kind", "threshold", "severity").collect()
     ]
-    values = readings.select(
-        *keep, F.stack(F.lit(len(sensors)), *pairs).alias("sensor_number", "value")
-    ).filter(F.col("value").isNotNull())
-    suffix = F.when(F.col("kind") == "max", "_high").otherwise("_low")
-    return (
-        values.join(broadcast_within(numbered), on)
-        .filter(_limit_broken())
-        .select(*keep, "field", "value", "threshold", "severity", F.concat("field", suffix).alias("type"))
+    kind = "array<struct<sensor_number:int,field:string,kind:string,threshold:double,severity:string>>"
+    defaults = F.array(*chosen).cast(kind)
+    rows, applied = readings, defaults
+    if of_wells:
+        own = (
+            rules.filter("well_id is not null")
+            .groupBy("well_id")
+            .agg(F.collect_list(rule).cast(kind).alias("own_rules"))
+        )
+        rows = readings.join(broadcast_within(own), "well_id", "left")
+        own_rules = F.coalesce("own_rules", F.array().cast(kind))
+        left = F.filter(
+            defaults,
+            lambda d: ~F.exists(
+                own_rules, lambda o: (o["field"] == d["field"]) & (o["kind"] == d["kind"])
+            ),
+        )
+        applied = F.concat(own_rules, left)
+    values = F.array(*[F.col(sensor).cast("double") for sensor in sensors])
+
+    def broken(r: Column) -> Column:
+        value = F.get(values, r["sensor_number"] - 1)
+        return ((r["kind"] == "max") & above(value, r["threshold"])) | (
+            (r["kind"] == "min") & (value < r["threshold"])
+        )
+
+    suffix = F.when(F.col("r.kind") == "max", "_high").otherwise("_low")
+    return rows.select(
+        *keep, values.alias("sensor_values"), F.explode(F.filter(applied, broken)).alias("r")
+    ).select(
+        *keep,
+        "r.field",
+        F.get("sensor_values", F.col("r.sensor_number") - 1).alias("value"),
+        "r.threshold",
+        "r.severity",
+        F.concat("r.field", suffix).alias("type"),
     )

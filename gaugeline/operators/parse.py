@@ -30,13 +30,17 @@ def _is_whole(text: Column) -> Column:
     """False when something follows the JSON object, which from_json ignores.
 
     A flat message has its only brace at its end and passes at once; comparing byte counts is
-    cheaper than finding a character. Others are parsed as the only element of an array, where
-    the closing bracket must follow the object.
+    cheaper than finding a character. Others are parsed as the first of two elements of an array.
+    The second is a digest of the text, which the text cannot hold itself: it is found in its
+    place only if the object ends where the text does.
     """
     without_braces = F.octet_length(F.replace(text, F.lit("}"), F.lit("")))
     flat = text.endswith("}") & (without_braces + 1 == F.octet_length(text))
-    elements = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
-    return flat | F.coalesce(F.size(elements) == 1, F.lit(False))
+    digest = F.sha2(text.cast("binary"), 256)
+    array = F.concat(F.lit("["), text, F.lit(',"'), digest, F.lit('"]'))
+    elements = F.from_json(array, "array<string>")
+    marked = (F.size(elements) == 2) & (F.get(elements, F.lit(1)) == digest)
+    return flat | F.coalesce(marked, F.lit(False))
 
 
 def route_messages(
@@ -81,8 +85,14 @@ def route_messages(
 
 
 def with_event_time(df: DataFrame, text_col: str = "timestamp") -> DataFrame:
-    """Add ``ts``, the event time, or null where the text is no timestamp."""
-    return df.withColumn("ts", F.try_to_timestamp(F.col(text_col)))
+    """Add ``ts``, the event time, or null where the text is no timestamp. Text without a zone is
+    in UTC, whatever the zone of the session."""
+    text = F.trim(text_col)
+    zoned = F.substring(text, 11, 64).rlike("[A-SU-Za-z+-]")
+    in_utc = F.when(F.length(text) <= 10, F.concat(text, F.lit("T00:00:00Z"))).otherwise(
+        F.concat(text, F.lit("Z"))
+    )
+    return df.withColumn("ts", F.try_to_timestamp(F.when(zoned, text).otherwise(in_utc)))
 
 
 def good_readings(routed: DataFrame) -> DataFrame:

@@ -39,11 +39,12 @@ def replay_dead_letters(
 
 def replay_stream(
     dead: DataFrame,
-    delay: str = "1 hour",
     schema: StructType = READING_SCHEMA,
     repair: Column | None = None,
     required: str | None = "well_id",
 ) -> DataFrame:
-    """Streaming form: a dead letter delivered again within ``delay`` is dropped."""
-    once = dead.withWatermark("dead_ts", delay).dropDuplicatesWithinWatermark(list(SOURCE_KEYS))
+    """Streaming form: a dead letter delivered again, however late, is dropped. The state holds the
+    position of every letter seen and grows with their number alone; there is no watermark, since
+    one would drop letters of a partition that lags."""
+    once = dead.dropDuplicates(list(SOURCE_KEYS))
     return parse_messages(_as_messages(once, repair), schema, required)

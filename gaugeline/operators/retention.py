@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date, datetime, timedelta
 from urllib.parse import unquote
 
@@ -15,6 +16,8 @@ from gaugeline.session import file_system
 POINT_DAYS = 7
 ARCHIVE_DAYS = {"dev": 7, "other": 90}
 DEAD_LETTER_DAYS = 14
+# Not fixed: replayed positions are remembered longer than the letters that could return.
+LEDGER_DAYS = DEAD_LETTER_DAYS + 7
 
 
 def retain(df: DataFrame, time_col: str, days: int, as_of: datetime) -> DataFrame:
@@ -22,13 +25,17 @@ def retain(df: DataFrame, time_col: str, days: int, as_of: datetime) -> DataFram
     return df.filter(F.col(time_col) >= time_bound(df, time_col, as_of - timedelta(days=days)))
 
 
+def first_kept_day(days: int, as_of: datetime) -> date:
+    return (as_of - timedelta(days=days)).date()
+
+
 def expired_partitions(spark: SparkSession, path: str, days: int, as_of: datetime) -> list[str]:
     """date=... folders of a table, at its root or below one partition level, that end before
     as_of - days. Lists folders only; never looks below names that start with an underscore."""
     fs, root = file_system(spark, path)
     if not fs.exists(root):
         return []
-    first_kept = (as_of - timedelta(days=days)).date()
+    first_kept = first_kept_day(days, as_of)
     found = []
     for status in fs.listStatus(root):
         name = status.getPath().getName()
@@ -53,13 +60,22 @@ def expired_partitions(spark: SparkSession, path: str, days: int, as_of: datetim
     return sorted(expired)
 
 
-def drop_expired(spark: SparkSession, path: str, days: int, as_of: datetime) -> list[str]:
-    """Remove expired date partitions and return what was removed, for the job's log.
-
-    Run it only for days that every stream reading the table has passed, and read the table with
-    ignoreMissingFiles, since a streaming sink's log still names the removed files.
-    """
-    removed = expired_partitions(spark, path, days, as_of)
+def drop_expired(
+    spark: SparkSession,
+    path: str,
+    days: int,
+    as_of: datetime,
+    keep: Collection[date] = (),
+) -> list[str]:
+    """Remove expired date partitions but those in ``keep`` and return what was removed, for the
+    job's log. A streaming sink's log still names the removed files: read such a table from the first
+    kept day on."""
+    kept = {f"date={day.isoformat()}" for day in keep}
+    removed = [
+        folder
+        for folder in expired_partitions(spark, path, days, as_of)
+        if unquote(folder.rstrip("/").rpartition("/")[2]) not in kept
+    ]
     for folder in removed:
         fs, hadoop_path = file_system(spark, folder)
         if not fs.delete(hadoop_path, True):

@@ -2,8 +2,51 @@
 
 from __future__ import annotations
 
-from gaugeline.plans.tables import DAMAGED, LINE_RULES, LINE_SENSORS, WELL_COLUMNS
-from gaugeline.schema import BASELINES, RULES, SENSORS
+from typing import NamedTuple
+
+from gaugeline.plans.tables import DAMAGED, LINE_SENSORS, WELL_COLUMNS
+from gaugeline.schema import SENSORS
+
+
+class _Rule(NamedTuple):
+    """A rule as SQL text, written down again here so that the check does not share its values."""
+
+    field: str
+    condition: str
+    threshold: str
+    severity: str
+    type: str
+
+
+RULES = (
+    _Rule("h2s_concentration", "h2s_concentration > 10", "10.0", "critical", "h2s_concentration_high"),
+    _Rule("vibration_level", "vibration_level > 8", "8.0", "critical", "vibration_level_high"),
+    _Rule("wellhead_pressure", "wellhead_pressure < 400", "400.0", "critical", "wellhead_pressure_low"),
+    _Rule("water_cut", "water_cut > 85", "85.0", "warning", "water_cut_high"),
+    _Rule("motor_current", "motor_current < 1", "1.0", "critical", "motor_current_low"),
+    _Rule("sand_rate", "sand_rate > 40", "40.0", "warning", "sand_rate_high"),
+    _Rule("casing_pressure", "casing_pressure > 500", "500.0", "critical", "casing_pressure_high"),
+)
+LINE_RULES = (
+    _Rule("l_quantity", "l_quantity > 49", "49.0", "critical", "l_quantity_high"),
+    _Rule("l_discount", "l_discount > CAST(0.09 AS DOUBLE)", "0.09", "warning", "l_discount_high"),
+    _Rule("l_extendedprice", "l_extendedprice < 1000", "1000.0", "critical", "l_extendedprice_low"),
+    _Rule("l_tax", "l_tax > CAST(0.07 AS DOUBLE)", "0.07", "warning", "l_tax_high"),
+)
+OVERRIDES = (
+    ("WELL-AB-001", _Rule("h2s_concentration", "h2s_concentration > 4", "4.0", "critical", "h2s_concentration_high")),
+    ("WELL-AB-001", _Rule("water_cut", "water_cut > 60", "60.0", "info", "water_cut_high")),
+    ("WELL-AB-003", _Rule("pump_speed", "pump_speed < 6", "6.0", "warning", "pump_speed_low")),
+)
+
+# Normal levels in the order of the sensors, written down again for the same reason.
+_BASE_ROWS = """
+    ('WELL-AB-001', 250, 500, 80, 850, 3200, 200, 750, 35, 95, 32, 24, 2000, 8, 45, 2.5, 5, 3),
+    ('WELL-AB-002', 180, 620, 150, 720, 2800, 180, 650, 38, 102, 28, 45, 3400, 10, 52, 3.1, 8, 5),
+    ('WELL-AB-003', 420, 380, 40, 980, 3600, 220, 880, 32, 88, 40, 9, 900, 6, 38, 1.8, 3, 1),
+    ('WELL-AB-004', 95, 820, 220, 580, 2200, 160, 500, 42, 110, 24, 70, 8600, 12, 60, 4.2, 12, 8),
+    ('WELL-AB-005', 310, 450, 110, 790, 3000, 190, 700, 36, 98, 36, 26, 1450, 9, 48, 2.8, 6, 4)
+"""
 
 _WELL_LIST = ", ".join(f"{sql} AS {name}" for name, sql in WELL_COLUMNS.items() if name != "timestamp")
 _WELLS = (
@@ -17,19 +60,15 @@ _LINES = (
 _SENSOR_LIST = ", ".join(SENSORS)
 
 
-def _condition(rule) -> str:
-    return f"{rule.field} {'>' if rule.kind == 'max' else '<'} {float(rule.threshold)!r}"
-
-
 def _any(rules) -> str:
-    return "(" + " OR ".join(_condition(rule) for rule in rules) + ")"
+    return "(" + " OR ".join(rule.condition for rule in rules) + ")"
 
 
 def _breaches(source: str, rules, keep: str, where: str = "TRUE") -> str:
     return " UNION ALL ".join(
         f"SELECT {keep}, '{r.field}' AS field, {r.field} AS \"value\", "
-        f"CAST({float(r.threshold)!r} AS DOUBLE) AS threshold, '{r.severity}' AS severity, "
-        f"'{r.type}' AS type FROM {source} WHERE {_condition(r)} AND {where}"
+        f"CAST({r.threshold} AS DOUBLE) AS threshold, '{r.severity}' AS severity, "
+        f"'{r.type}' AS type FROM {source} WHERE {r.condition} AND {where}"
         for r in rules
     )
 
@@ -66,6 +105,12 @@ _MESSAGE = (
 )
 
 
+# Where the time is not known
+_MESSAGE_OF_ALERT = _MESSAGE.replace(
+    "replace(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), '.000000', '') || '+00:00'", "''"
+)
+
+
 def _alerts(breaches: str, keep: str = "") -> str:
     return (
         f"SELECT {keep} well_id, type AS anomaly_type, severity, \"value\", threshold, "
@@ -83,12 +128,12 @@ def _coverage(source: str, rules, label: str, by: str = "") -> str:
 
 
 def _envelope_wells() -> str:
-    rows = ", ".join(
-        f"('{well}', {', '.join(f'CAST({level} AS DOUBLE)' for level in levels)})"
-        for well, levels in BASELINES.items()
-    )
-    names = ", ".join(f"base_{s}" for s in SENSORS)
-    return f"WITH {_WELLS}, base(well_id, {names}) AS (VALUES {rows}) " + " UNION ALL ".join(
+    names = ", ".join(f"raw_{s}" for s in SENSORS)
+    doubles = ", ".join(f"CAST(raw_{s} AS DOUBLE) AS base_{s}" for s in SENSORS)
+    return (
+        f"WITH {_WELLS}, levels(well_id, {names}) AS (VALUES {_BASE_ROWS}), "
+        f"base AS (SELECT well_id, {doubles} FROM levels) "
+    ) + " UNION ALL ".join(
         f"SELECT event_id, w.well_id, ts, '{s}' AS field, {s} AS \"value\", base_{s} AS baseline, "
         f"({s} - base_{s}) / base_{s} AS deviation FROM wells w JOIN base b ON w.well_id = b.well_id "
         f"WHERE abs({s} - base_{s}) > CAST(0.5 AS DOUBLE) * abs(base_{s})"
@@ -96,6 +141,18 @@ def _envelope_wells() -> str:
     )
 
 
+def _with_overrides(keep: str) -> str:
+    own = [
+        _breaches("wells", [rule], keep, f"well_id = '{well}'") for well, rule in OVERRIDES
+    ]
+    rest = []
+    for rule in RULES:
+        wells = [well for well, other in OVERRIDES if other.type == rule.type]
+        where = " AND ".join(f"coalesce(well_id, '') <> '{well}'" for well in wells) or "TRUE"
+        rest.append(_breaches("wells", [rule], keep, where))
+    return " UNION ALL ".join(own + rest)
+
+
 def _panel(sensor: str) -> str:
     recent = "ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'"
     return f"WITH {_WELLS} " + _points("wells", [sensor], "event_id, ts, well_id", recent)
@@ -123,6 +180,14 @@ ORACLES = {
         f"anomaly_type FROM wells WHERE {_WHOLE}"
     ),
     "dead_letter": _DEAD,
+    "dead_letter_trailing": (
+        "SELECT props || CASE WHEN event_id % 2 = 0 THEN '] x' ELSE ']' || props END AS raw, "
+        f"'text after the JSON object' AS error, event_id AS \"offset\" FROM events WHERE {DAMAGED}"
+    ),
+    "dead_letter_body": (
+        "SELECT raw AS reading, error, replace(strftime(dead_ts, '%Y-%m-%dT%H:%M:%S.%f'), "
+        f"'.000000', '') || '+00:00' AS \"timestamp\" FROM ({_DEAD})"
+    ),
     "replay_dead_letters": (
         "SELECT event_id AS \"offset\", CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"
     ),
@@ -141,6 +206,7 @@ ORACLES = {
     "detect_rule_table_wells": f"WITH {_WELLS} {_WELL_BREACHES}",
     "critical_alerts": f"WITH {_LINES} {_alerts(_LINE_BREACHES)}",
     "critical_alerts_wells": f"WITH {_WELLS} {_alerts(_WELL_BREACHES, 'event_id,')}",
+    "detect_rule_table_overrides": f"WITH {_WELLS} {_with_overrides('event_id, well_id, ts')}",
     "baseline_envelope": (
         "WITH r AS (SELECT l_partkey AS well_id, l_shipdate AS ts, "
         "l_extendedprice / l_quantity AS unit_price FROM lineitem) "
@@ -209,13 +275,17 @@ ORACLES = {
         f"anomaly_type FROM wells WHERE {_WHOLE}"
     ),
     "pipeline_dead_letters": (
-        "SELECT '{\"we' AS raw, 'malformed or mistyped JSON' AS error, 'readings' AS topic, "
+        "SELECT '{\"we' AS raw, 'malformed or mistyped JSON' AS error, ts AS dead_ts, 'readings' AS topic, "
         f"CAST(0 AS INTEGER) AS \"partition\", event_id AS \"offset\" FROM events WHERE {DAMAGED}"
     ),
     "pipeline_replay": (
         f"WITH {_WELLS} SELECT event_id AS \"offset\", ts, well_id, well_status, {_SENSOR_LIST}, "
         "anomaly_type FROM wells"
     ),
+    "pipeline_replay_after_retention": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells "
+        f"WHERE {DAMAGED} AND ts >= TIMESTAMP '2024-01-24'"
+    ),
     "stream_replay": (
         f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells WHERE {DAMAGED}"
     ),
@@ -223,7 +293,19 @@ ORACLES = {
         f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells "
         f"WHERE {_any(RULES)} AND {_WHOLE}"
     ),
-    "pipeline_points": f"WITH {_WELLS} {_points('wells', SENSORS, 'ts, well_id', _WHOLE)}",
+    "pipeline_points": (
+        f"WITH {_WELLS} {_points('wells', SENSORS, 'ts, ts AS ingest_ts, well_id', _WHOLE)}"
+    ),
+    "pipeline_anomaly_panel": f"WITH {_WELLS} "
+    + _two_fields(
+        _breaches(
+            "wells",
+            RULES,
+            "well_id, ts",
+            f"{_WHOLE} AND ts >= TIMESTAMP '2024-01-29' AND ts < TIMESTAMP '2024-01-31'",
+        ),
+        "ts, well_id",
+    ),
     "pipeline_panel": (
         f"WITH {_WELLS} SELECT ts, well_id, coalesce(well_status, 'unknown') AS well_status, "
         "wellhead_pressure AS \"value\" FROM wells "
@@ -232,7 +314,8 @@ ORACLES = {
     "pipeline_breaches": f"WITH {_WELLS} {_PIPELINE_BREACHES}",
     "pipeline_alerts": (
         f"WITH {_WELLS} SELECT sha256('readings|0|' || \"offset\" || '|' || type) AS alert_id, well_id, "
-        f"type AS anomaly_type, severity, \"value\", threshold, {_SUBJECT} AS subject "
+        f"type AS anomaly_type, severity, \"value\", threshold, {_SUBJECT} AS subject, "
+        f"regexp_replace({_MESSAGE_OF_ALERT}, 'Timestamp: [^\n]*', 'Timestamp:') AS message "
         f"FROM ({_PIPELINE_BREACHES}) WHERE severity = 'critical'"
     ),
 }

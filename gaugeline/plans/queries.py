@@ -8,6 +8,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeline.functions.predicates import utc_day
 from gaugeline.operators.alerts import critical_alerts, critical_rules
 from gaugeline.operators.coverage import label_coverage
 from gaugeline.operators.detect import (
@@ -16,7 +17,7 @@ from gaugeline.operators.detect import (
     detect_with_rule_table,
     rule_table,
 )
-from gaugeline.operators.encode import to_messages
+from gaugeline.operators.encode import dead_letter_messages, to_messages
 from gaugeline.operators.envelope import out_of_envelope
 from gaugeline.operators.panels import anomaly_panel, sensor_panel, sensor_panel_of_readings
 from gaugeline.operators.parse import (
@@ -46,14 +47,15 @@ from gaugeline.plans.tables import (
     numbers_unquoted,
     table,
     table_stream,
+    text_after,
     well_messages,
     well_readings,
 )
 from gaugeline.schema import SENSORS
-from gaugeline.session import scratch_path, use_rocksdb, use_utc
+from gaugeline.session import in_utc, scratch_path, with_rocksdb
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
-    BUCKETS,
+    MAX_FILE_AGE,
     archive_schema,
     for_wells,
     read_table,
@@ -106,6 +108,27 @@ def dead_letter(spark, sf_dir):
     return dead.withColumn("dead_ts", F.col("dead_ts").cast("timestamp_ntz"))
 
 
+def parse_trailing(spark, sf_dir):
+    """Messages with text after the object, brackets among it, are dead letters."""
+    messages = event_messages(table(spark, sf_dir, "events"), text_after)
+    dead = dead_letters(messages, EVENT_MESSAGE_SCHEMA, "k")
+    return dead.select("raw", "error", "offset")
+
+
+def dead_letter_body(spark, sf_dir):
+    """Dead letters as they are published."""
+    sent = dead_letter_messages(dead_letter_rows(spark, sf_dir)).select(
+        F.decode("value", "UTF-8").alias("body")
+    )
+    fields = [F.get_json_object("body", f"$.{name}").alias(name) for name in ("reading", "error", "timestamp")]
+    return sent.select(*fields)
+
+
+def dead_letter_rows(spark, sf_dir):
+    messages = event_messages(table(spark, sf_dir, "events"), cut_off)
+    return dead_letters(messages, EVENT_MESSAGE_SCHEMA, "k")
+
+
 def replay(spark, sf_dir):
     messages = event_messages(table(spark, sf_dir, "events"), number_quoted("k"))
     # Routing is written once, as the streaming job does, so messages are not parsed per use.
@@ -159,6 +182,22 @@ def detect_rule_table_wells(spark, sf_dir):
     return detect_with_rule_table(_wells(spark, sf_dir), rule_table(spark), keep=keep)
 
 
+def detect_rule_table_overrides(spark, sf_dir):
+    """Default rules, and other limits for some wells."""
+    defaults = rule_table(spark).withColumn("well_id", F.lit(None).cast("string"))
+    own = spark.createDataFrame(
+        [
+            ("h2s_concentration", "max", 4.0, "critical", "WELL-AB-001"),
+            ("water_cut", "max", 60.0, "info", "WELL-AB-001"),
+            ("pump_speed", "min", 6.0, "warning", "WELL-AB-003"),
+        ],
+        defaults.select("field", "kind", "threshold", "severity", "well_id").schema,
+    )
+    keep = ("event_id", "well_id", "ts")
+    rules = defaults.unionByName(own)
+    return detect_with_rule_table(_wells(spark, sf_dir), rules, keep=keep)
+
+
 def alerts_lines(spark, sf_dir):
     breaches = detect_breaches(_lines(spark, sf_dir), critical_rules(LINE_RULES))
     alerts = critical_alerts(breaches, alert_ts=F.col("ts"))
@@ -266,8 +305,8 @@ def _event_archive(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
 
 
 def archive_pruned_read(spark, sf_dir):
-    archive, _ = _event_archive(spark, sf_dir)
-    return for_wells(archive, WELLS, BUCKETS).select("event_id", "well_id", "ts", "event_type", "value")
+    archive, path = _event_archive(spark, sf_dir)
+    return for_wells(archive, WELLS, path).select("event_id", "well_id", "ts", "event_type", "value")
 
 
 def retention_partitions(spark, sf_dir):
@@ -313,14 +352,26 @@ def stream_anomalies(spark, sf_dir):
 
 
 def stream_replay(spark, sf_dir):
-    """Dead letters delivered twice come back once."""
-    use_rocksdb(spark)
-    letters = dead_letters(well_messages(table_stream(spark, sf_dir, "events"), number_quoted("water_cut")))
-    repair = numbers_unquoted(F.col("raw"))
-    fixed = replay_stream(letters.unionByName(letters), "40 days", repair=repair)
+    """Dead letters that come in any order, and twice, come back once. The files of the stream are
+    cut by event id, and times jump by up to a month from one to the next."""
+    damaged = well_messages(table(spark, sf_dir, "events"), number_quoted("water_cut"))
+    letters = dead_letters(damaged)
+    source = scratch_path(spark, "letters")
+    again = letters.unionByName(letters)
+    for low, high in (("1/3", "1"), ("0", "1/3")):  # newest first, then those long before
+        day = F.dayofmonth("dead_ts") / 31.0
+        again.filter((day > F.expr(low)) & (day <= F.expr(high))).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema(letters.schema)
+        .option("maxFilesPerTrigger", 1)
+        .option("maxFileAge", MAX_FILE_AGE)
+        .parquet(source)
+    )
+    fixed = replay_stream(stream, repair=numbers_unquoted(F.col("raw")))
     pipeline = jobs.Pipeline(scratch_path(spark, "stream"), trigger=ONCE)
-    dated = fixed.withColumn("date", F.to_date("ts"))
-    _finish(jobs.append_to(dated, pipeline, "replayed", ["date"], gather=False))
+    dated = fixed.withColumn("date", utc_day(F.col("ts")))
+    with with_rocksdb(spark):
+        _finish(jobs.append_to(dated, pipeline, "replayed", ["date"], gather=False))
     replayed = read_table(spark, pipeline.path("replayed"), fixed.schema)
     return replayed.select("offset", "well_id", *SENSORS)
 
@@ -342,7 +393,8 @@ def pipeline_raw(spark, sf_dir):
 
 def pipeline_dead_letters(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
-    return jobs.read_dead_letters(spark, pipeline).drop("dead_ts")
+    dead = jobs.read_dead_letters(spark, pipeline)
+    return dead.withColumn("dead_ts", F.col("dead_ts").cast("timestamp_ntz"))
 
 
 def pipeline_replay(spark, sf_dir):
@@ -352,6 +404,20 @@ def pipeline_replay(spark, sf_dir):
     return raw.select("offset", "ts", "well_id", "well_status", *SENSORS, "anomaly_type")
 
 
+def pipeline_replay_after_retention(spark, sf_dir):
+    """Replayed rows after replay, retention and another replay: the letters of removed days are
+    still there, and do not come in again."""
+    pipeline = _ingested(spark, sf_dir, number_quoted("water_cut"))
+    repair = numbers_unquoted(F.col("raw"))
+    jobs.replay(spark, pipeline, repair)
+    jobs.drop_old(spark, pipeline, EVENTS_END, POINT_DAYS, consumers=())
+    jobs.replay(spark, pipeline, repair)
+    rows = read_table(
+        spark, pipeline.path("replayed"), pipeline.raw_schema, pipeline.partition_by("replayed")
+    )
+    return rows.select("offset", "well_id", *SENSORS)
+
+
 def pipeline_anomalies(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_anomalies(spark, pipeline))
@@ -361,8 +427,9 @@ def pipeline_anomalies(spark, sf_dir):
 def pipeline_points(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_points(spark, pipeline))
-    points = jobs.read(spark, pipeline, "points").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    return points.select("ts", "well_id", "well_status", "measurement", "field", "value")
+    points = jobs.read(spark, pipeline, "points")
+    times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("ts", "ingest_ts")]
+    return points.select(*times, "well_id", "well_status", "measurement", "field", "value")
 
 
 def pipeline_panel(spark, sf_dir):
@@ -374,6 +441,15 @@ def pipeline_panel(spark, sf_dir):
     return recent.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
 
 
+def pipeline_anomaly_panel(spark, sf_dir):
+    """The anomaly panel over the stored breaches: reads the folders of its days only."""
+    pipeline = _ingested(spark, sf_dir)
+    _finish(jobs.start_breaches(spark, pipeline))
+    breaches = jobs.read(spark, pipeline, "breaches")
+    panel = anomaly_panel(breaches, EVENTS_END, timedelta(hours=48))
+    return panel.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def pipeline_breaches(spark, sf_dir):
     pipeline = _ingested(spark, sf_dir)
     _finish(jobs.start_breaches(spark, pipeline))
@@ -387,7 +463,15 @@ def pipeline_alerts(spark, sf_dir):
     _finish(jobs.start_alerts(spark, pipeline))
     alerts = jobs.read(spark, pipeline, "alerts")
     return alerts.select(
-        "alert_id", "well_id", "anomaly_type", "severity", "value", "threshold", "subject"
+        "alert_id",
+        "well_id",
+        "anomaly_type",
+        "severity",
+        "value",
+        "threshold",
+        "subject",
+        # the line with the time of the alert is its own
+        F.regexp_replace("message", "Timestamp: .*", "Timestamp:").alias("message"),
     )
 
 
@@ -395,6 +479,8 @@ _QUERIES = {
     "parse_messages": parse_events,
     "parse_well_messages": parse_well_messages,
     "dead_letter": dead_letter,
+    "dead_letter_trailing": parse_trailing,
+    "dead_letter_body": dead_letter_body,
     "replay_dead_letters": replay,
     "encode_roundtrip": encode_roundtrip,
     "encode_messages": encode_messages,
@@ -404,6 +490,7 @@ _QUERIES = {
     "detect_breaches_wells": _well_breaches,
     "detect_rule_table": detect_rule_table,
     "detect_rule_table_wells": detect_rule_table_wells,
+    "detect_rule_table_overrides": detect_rule_table_overrides,
     "critical_alerts": alerts_lines,
     "critical_alerts_wells": alerts_wells,
     "baseline_envelope": baseline_envelope,
@@ -433,16 +520,22 @@ _QUERIES = {
     "pipeline_raw": pipeline_raw,
     "pipeline_dead_letters": pipeline_dead_letters,
     "pipeline_replay": pipeline_replay,
+    "pipeline_replay_after_retention": pipeline_replay_after_retention,
     "pipeline_anomalies": pipeline_anomalies,
     "pipeline_points": pipeline_points,
     "pipeline_panel": pipeline_panel,
+    "pipeline_anomaly_panel": pipeline_anomaly_panel,
     "pipeline_breaches": pipeline_breaches,
     "pipeline_alerts": pipeline_alerts,
 }
 
 
 def _in_utc(query: Callable[[SparkSession, str], DataFrame]):
-    return lambda spark, sf_dir: query(use_utc(spark), sf_dir)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with in_utc(spark):
+            return query(spark, sf_dir)
+
+    return run
 
 
 QUERIES = {name: _in_utc(query) for name, query in _QUERIES.items()}

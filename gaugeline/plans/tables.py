@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from gaugeline.functions.once import with_column_once
 from gaugeline.schema import BASELINES, FAULT_LABELS, READING_SCHEMA, SENSORS, Rule
 from gaugeline.session import file_system
+from gaugeline.sources.archive import MAX_FILE_AGE
 
 LINE_SENSORS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 LINE_RULES = (
@@ -70,6 +71,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1
     path = f"{sf_dir}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFileAge", MAX_FILE_AGE)
     fs, hadoop_path = file_system(spark, path)
     if fs.getFileStatus(hadoop_path).isDirectory():
         return reader.parquet(path)
@@ -110,6 +112,12 @@ def cut_off(text: Column) -> Column:
     return F.when(F.expr(DAMAGED), F.substring(text, 1, 4)).otherwise(text)
 
 
+def text_after(text: Column) -> Column:
+    """Something after the object: for every 97th message a bracket and more, or another object."""
+    more = F.when(F.expr("event_id % 2 = 0"), F.lit("] x")).otherwise(F.concat(F.lit("]"), text))
+    return F.when(F.expr(DAMAGED), F.concat(text, more)).otherwise(text)
+
+
 def number_quoted(field: str) -> Callable[[Column], Column]:
     def damage(text: Column) -> Column:
         quoted = F.regexp_replace(text, rf'("{field}"): ?(-?[0-9][0-9.eE+-]*)', r'$1:"$2"')

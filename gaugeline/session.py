@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -19,20 +21,37 @@ def spark_session(app_name: str = "gaugeline") -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config(STATE_STORE, ROCKSDB)
+        # lets AQE split hot folders in the file sinks of streams without state
+        .config("spark.sql.adaptive.streaming.stateless.enabled", "true")
         .getOrCreate()
     )
 
 
-def use_rocksdb(spark: SparkSession) -> SparkSession:
-    """Keep the state of streams started from now on off the executors' heap."""
-    spark.conf.set(STATE_STORE, ROCKSDB)
-    return spark
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[SparkSession]:
+    """Settings of the session for a while; names have dots for double underscores."""
+    named = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in named}
+    try:
+        for name, value in named.items():
+            spark.conf.set(name, value)
+        yield spark
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Event times carry offsets; UTC makes days and timestamp text independent of the host."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+def in_utc(spark: SparkSession):
+    """UTC for a while: time zones are fixed when a plan is made, not when it runs."""
+    return settings(spark, spark__sql__session__timeZone="UTC")
+
+
+def with_rocksdb(spark: SparkSession):
+    """Keep the state of streams started within off the executors' heap."""
+    return settings(spark, **{STATE_STORE.replace(".", "__"): ROCKSDB})
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -50,3 +69,24 @@ def file_system(spark: SparkSession, path: str):
     """The Hadoop file system that holds a path, and the path as Hadoop sees it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """A small text file, which Spark's readers may take for hidden; None if there is none."""
+    fs, file = file_system(spark, path)
+    if not fs.exists(file):
+        return None
+    stream = fs.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    fs, file = file_system(spark, path)
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

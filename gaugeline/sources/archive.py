@@ -11,12 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
+from gaugeline.functions.predicates import day_of
+from gaugeline.session import read_note, write_note
+
 # One folder per day and well suits fleets whose wells fill a file a day. Larger fleets use the
 # bucket layout: a fixed number of folders a day, and wells are found by bucket, then by the
 # Parquet statistics and filters on well_id.
 WELL_LAYOUT = ("date", "well_id")
 BUCKET_LAYOUT = ("date", "well_bucket")
 BUCKETS = 16
+# File streams forget files this much older than the newest one. The default of a week would skip
+# late deliveries without a word.
+MAX_FILE_AGE = "36500d"
+_BUCKETS_FILE = "_buckets"
 
 
 def well_bucket(well: Column, buckets: int = BUCKETS) -> Column:
@@ -26,12 +33,11 @@ def well_bucket(well: Column, buckets: int = BUCKETS) -> Column:
 def with_partitions(
     df: DataFrame, time_col: str = "ts", fallback: str | None = None, buckets: int = BUCKETS
 ) -> DataFrame:
-    """Add ``date`` (event day, or the day of ``fallback`` where the event time is unknown) and
-    ``well_bucket``."""
+    """Add ``date`` (event day in UTC, or the day of ``fallback`` where the event time is unknown)
+    and ``well_bucket``."""
     event_time = F.col(time_col) if fallback is None else F.coalesce(time_col, fallback)
-    return df.withColumns(
-        {"date": F.to_date(event_time), "well_bucket": well_bucket(F.col("well_id"), buckets)}
-    )
+    day = day_of(df, event_time, time_col)
+    return df.withColumns({"date": day, "well_bucket": well_bucket(F.col("well_id"), buckets)})
 
 
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -40,6 +46,23 @@ def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
+def fix_buckets(spark: SparkSession, path: str, buckets: int) -> None:
+    """Store the number of buckets beside a table when it is first written, and refuse another."""
+    note = f"{path.rstrip('/')}/{_BUCKETS_FILE}"
+    if read_note(spark, note) is None:
+        write_note(spark, note, str(buckets))
+    stored = stored_buckets(spark, path)
+    if stored != buckets:
+        raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int:
+    stored = read_note(spark, f"{path.rstrip('/')}/{_BUCKETS_FILE}")
+    if stored is None:
+        raise ValueError(f"no number of buckets is stored with {path}")
+    return int(stored)
+
+
 def archive_schema(schema: StructType) -> StructType:
     """A schema to read a table back with: partition values keep their declared types."""
     extra = [StructField("date", DateType()), StructField("well_bucket", IntegerType())]
@@ -52,12 +75,17 @@ def write_archive(
     partition_by: Sequence[str] = WELL_LAYOUT,
     mode: str = "append",
     sort_by: Sequence[str] = ("well_id", "ts"),
+    buckets: int = BUCKETS,
 ) -> None:
     """Write a batch. Rows are sorted within each file, so a read of some wells skips the other
     row groups; the sort by folder, which the writer needs anyway, is part of it."""
     order = [*partition_by, *(c for c in sort_by if c in df.columns and c not in partition_by)]
     rows = clustered(df, partition_by).sortWithinPartitions(*order)
+    if "well_bucket" in partition_by and mode == "append":
+        fix_buckets(df.sparkSession, path, buckets)
     rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    if "well_bucket" in partition_by and mode != "append":
+        fix_buckets(df.sparkSession, path, buckets)
 
 
 def _partitions_last(schema: StructType, partition_by: Sequence[str]) -> StructType:
@@ -71,9 +99,8 @@ def _partitions_last(schema: StructType, partition_by: Sequence[str]) -> StructT
 def read_table(
     spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Retention may remove files that a streaming sink's log still names; skip those."""
     reader = spark.read.schema(_partitions_last(schema, partition_by))
-    return reader.option("ignoreMissingFiles", "true").parquet(path).select(*schema.names)
+    return reader.parquet(path).select(*schema.names)
 
 
 def stream_table(
@@ -85,18 +112,19 @@ def stream_table(
 ) -> DataFrame:
     reader = spark.readStream.schema(_partitions_last(schema, partition_by))
     return (
-        reader.option("ignoreMissingFiles", "true")
-        .option("maxFilesPerTrigger", max_files)
+        reader.option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
         .parquet(path)
         .select(*schema.names)
     )
 
 
-def for_wells(df: DataFrame, wells: Sequence[str | int], buckets: int | None = None) -> DataFrame:
-    """Rows of some wells; with ``buckets``, of their folders only."""
+def for_wells(df: DataFrame, wells: Sequence[str | int], path: str | None = None) -> DataFrame:
+    """Rows of some wells; with the path of a table in the bucket layout, of their folders only."""
     chosen = df.filter(F.col("well_id").isin(list(wells)))
-    if buckets is None:
+    if path is None:
         return chosen
+    buckets = stored_buckets(df.sparkSession, path)
     well_type = df.schema["well_id"].dataType
     folders = [F.col("well_bucket") == well_bucket(F.lit(w).cast(well_type), buckets) for w in wells]
     return chosen.filter(reduce(or_, folders))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.schema import MESSAGE_SCHEMA
+from gaugeline.sources.archive import MAX_FILE_AGE
 
 
 def read_messages(
@@ -36,7 +37,12 @@ def read_messages(
 
 def read_message_files(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """The same stream from Parquet files of Kafka-shaped rows."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
+    return (
+        spark.readStream.schema(MESSAGE_SCHEMA)
+        .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", MAX_FILE_AGE)
+        .parquet(path)
+    )
 
 
 def publish(messages: DataFrame, broker: str, topic: str) -> None:

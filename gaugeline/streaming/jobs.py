@@ -10,9 +10,10 @@ stream, where the detection filter reaches Parquet, so one more rule costs no mo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,18 +40,23 @@ from gaugeline.operators.parse import (
 )
 from gaugeline.operators.points import to_points
 from gaugeline.operators.replay import replay_dead_letters
+from gaugeline.functions.predicates import utc_day
 from gaugeline.operators.retention import (
     ARCHIVE_DAYS,
     DEAD_LETTER_DAYS,
+    LEDGER_DAYS,
     POINT_DAYS,
     drop_expired,
+    first_kept_day,
 )
-from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, Rule
-from gaugeline.session import file_system
+from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, SOURCE_KEYS, Rule
+from gaugeline.session import file_system, read_note, write_note
+from gaugeline.streaming.progress import files_read
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
     BUCKETS,
     clustered,
+    fix_buckets,
     read_table,
     stream_table,
     with_partitions,
@@ -107,6 +113,35 @@ ALERT_SCHEMA = StructType(
 )
 
 
+# Positions of replayed letters, under the day the letters arrived.
+LEDGER_SCHEMA = StructType([*_SOURCE_FIELDS, StructField("date", DateType())])
+
+#: Days kept by default, by folder of the base.
+KEPT_DAYS = {
+    "readings/route=raw": ARCHIVE_DAYS["other"],
+    "replayed": ARCHIVE_DAYS["other"],
+    "anomalies": ARCHIVE_DAYS["other"],
+    "readings/route=dead_letter": DEAD_LETTER_DAYS,
+    "replay_ledger": LEDGER_DAYS,
+    "points": POINT_DAYS,
+    "breaches": POINT_DAYS,
+    "alerts": POINT_DAYS,
+}
+
+#: The tables that are filled by streams reading a table.
+CONSUMERS = {
+    "readings": ("anomalies", "points", "breaches"),
+    "replayed": ("anomalies", "points", "breaches"),
+    "breaches": ("alerts",),
+}
+
+
+def _as_days(age: str) -> float:
+    units = {"d": 1, "h": 1 / 24, "m": 1 / 1440, "min": 1 / 1440, "s": 1 / 86400}
+    number = age.strip().rstrip("dhmins ")
+    return float(number) * units[age.strip().removeprefix(number).strip()]
+
+
 @dataclass(frozen=True)
 class Pipeline:
     """Where the tables live, how they are laid out and what is checked."""
@@ -119,10 +154,18 @@ class Pipeline:
     buckets: int = BUCKETS
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
     max_files: int = 1000
+    kept_days: dict = field(default_factory=lambda: dict(KEPT_DAYS))
     # Files written longer ago leave the sink's log, and so the table. Keeps the log of a
-    # long-lived table short; should exceed the days that drop_old keeps.
+    # long-lived table short; has to exceed the days that drop_old keeps.
     log_retention: str | None = None
 
+    def __post_init__(self):
+        longest = max(self.kept_days.values(), default=0)
+        if self.log_retention and _as_days(self.log_retention) <= longest and longest:
+            raise ValueError(
+                f"log_retention of {self.log_retention} would lose rows that are kept {longest} days"
+            )
+
     def partition_by(self, table: str) -> list[str]:
         return {
             "readings": ["route", *self.layout],
@@ -131,6 +174,7 @@ class Pipeline:
             "points": ["measurement", "date"],
             "breaches": ["date"],
             "alerts": ["date"],
+            "replay_ledger": ["date"],
         }[table]
 
     def schema_of(self, table: str) -> StructType:
@@ -141,6 +185,7 @@ class Pipeline:
             "points": POINT_SCHEMA,
             "breaches": BREACH_SCHEMA,
             "alerts": ALERT_SCHEMA,
+            "replay_ledger": LEDGER_SCHEMA,
         }[table]
 
     def path(self, table: str) -> str:
@@ -180,6 +225,8 @@ def append_to(
     """Append a stream to a Parquet table, exactly once. ``gather`` shuffles the rows so that each
     folder gets few files; leave it off where the input files already follow the folders."""
     partition_by = partition_by or pipeline.partition_by(table)
+    if "well_bucket" in partition_by:
+        fix_buckets(df.sparkSession, pipeline.path(table), pipeline.buckets)
     df = clustered(df, partition_by) if gather else df
     writer = (
         df.writeStream.queryName(table)
@@ -205,7 +252,8 @@ def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
     so both are written exactly once from one parse. Readings lie under their event day, dead
     letters under the day they arrived."""
     placed = _placed(with_event_time(route_messages(messages, pipeline.schema)), pipeline)
-    day = F.when(F.col("route") == RAW_ROUTE, F.col("date")).otherwise(F.to_date("ingest_ts"))
+    arrival = utc_day(F.col("ingest_ts"))
+    day = F.when(F.col("route") == RAW_ROUTE, F.col("date")).otherwise(arrival)
     return append_to(placed.withColumn("date", day), pipeline, "readings")
 
 
@@ -213,13 +261,14 @@ def table_stream(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFra
     """A table of the pipeline as a stream, which may start before the table has rows."""
     fs, path = file_system(spark, pipeline.path(table))
     fs.mkdirs(path)
-    return stream_table(
+    rows = stream_table(
         spark,
         pipeline.path(table),
         pipeline.schema_of(table),
         pipeline.partition_by(table),
         pipeline.max_files,
     )
+    return _from_first_kept(spark, pipeline, table, rows)
 
 
 def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
@@ -228,7 +277,35 @@ def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
     schema = pipeline.schema_of(table)
     if not fs.exists(path):
         return spark.createDataFrame([], schema)
-    return read_table(spark, pipeline.path(table), schema, pipeline.partition_by(table))
+    rows = read_table(spark, pipeline.path(table), schema, pipeline.partition_by(table))
+    return _from_first_kept(spark, pipeline, table, rows)
+
+
+def _first_kept_file(pipeline: Pipeline, folder: str) -> str:
+    return f"{pipeline.base.rstrip('/')}/_first_kept/{folder.replace('/', '-')}"
+
+
+def _first_kept(spark: SparkSession, pipeline: Pipeline, folder: str) -> date | None:
+    day = read_note(spark, _first_kept_file(pipeline, folder))
+    return date.fromisoformat(day) if day else None
+
+
+def _from_first_kept(
+    spark: SparkSession, pipeline: Pipeline, table: str, rows: DataFrame
+) -> DataFrame:
+    """Rows from the first day on that retention has left. Only files of removed days may be
+    missing; the filter on their folders keeps these from being opened, and any other file that
+    is missing is an error."""
+    for folder in pipeline.kept_days:
+        name, _, part = folder.partition("/")
+        first = _first_kept(spark, pipeline, folder) if name == table else None
+        if first is not None:
+            kept = F.col("date").isNull() | (F.col("date") >= F.lit(first))
+            if part:
+                column, _, value = part.partition("=")
+                kept = (F.col(column) != value) | kept
+            rows = rows.filter(kept)
+    return rows
 
 
 def raw_stream(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
@@ -290,32 +367,92 @@ def start_all(spark: SparkSession, messages: DataFrame, pipeline: Pipeline) -> l
 def replay(spark: SparkSession, pipeline: Pipeline, repair: Column | None = None) -> None:
     """Bring dead letters that parse now into the raw readings, each once over any number of runs.
 
-    A message was written either as raw or as dead letter, so only earlier replays can hold it.
-    Run one replay at a time.
+    A message was written either as raw or as dead letter, so only earlier replays can hold it. Their
+    positions stay in a ledger for longer than the letters, also when retention has removed the
+    rows. Run one replay at a time.
     """
+    _note_replayed(spark, pipeline)  # in case the last replay stopped before it got here
+    keys = list(SOURCE_KEYS)
     fixed = replay_dead_letters(
-        read_dead_letters(spark, pipeline), read(spark, pipeline, "replayed"), pipeline.schema, repair
+        read_dead_letters(spark, pipeline),
+        read(spark, pipeline, "replay_ledger").select(*keys),
+        pipeline.schema,
+        repair,
+    )
+    placed = _placed(fixed, pipeline)
+    write_archive(
+        placed, pipeline.path("replayed"), pipeline.layout, buckets=pipeline.buckets
+    )
+    _note_replayed(spark, pipeline)
+
+
+def _note_replayed(spark: SparkSession, pipeline: Pipeline) -> None:
+    """Bring the ledger up to what has been replayed."""
+    keys = list(SOURCE_KEYS)
+    replayed = read(spark, pipeline, "replayed").select(
+        *keys, utc_day(F.col("ingest_ts")).alias("date")
     )
-    write_archive(_placed(fixed, pipeline), pipeline.path("replayed"), pipeline.layout)
+    new = replayed.join(read(spark, pipeline, "replay_ledger").select(*keys), keys, "left_anti")
+    if not new.isEmpty():
+        write_archive(new.dropDuplicates(keys), pipeline.path("replay_ledger"), ["date"])
 
 
 def drop_old(
-    spark: SparkSession, pipeline: Pipeline, as_of: datetime, archive_days: int = ARCHIVE_DAYS["other"]
+    spark: SparkSession,
+    pipeline: Pipeline,
+    as_of: datetime,
+    archive_days: int | None = None,
+    consumers: Collection[str] = ("anomalies", "points", "breaches", "alerts"),
 ) -> list[str]:
-    """Apply retention to every table; checkpoints are never touched. Returns what was removed."""
-    days = {
-        "readings/route=raw": archive_days,
-        "replayed": archive_days,
-        "anomalies": archive_days,
-        "readings/route=dead_letter": DEAD_LETTER_DAYS,
-        "points": POINT_DAYS,
-        "breaches": POINT_DAYS,
-    }
-    return [
-        folder
-        for table, kept in days.items()
-        for folder in drop_expired(spark, pipeline.path(table), kept, as_of)
-    ]
+    """Apply retention to every table; checkpoints are never touched. Returns what was removed.
+
+    A day stays, with a warning, while it has a file that one of the streams in ``consumers`` has
+    not passed yet. Name only the streams that are in use.
+    """
+    _note_replayed(spark, pipeline)
+    days = dict(pipeline.kept_days)
+    if archive_days is not None:
+        days |= dict.fromkeys(("readings/route=raw", "replayed", "anomalies"), archive_days)
+    removed = []
+    for folder, kept in days.items():
+        waiting = _unread_days(spark, pipeline, folder, first_kept_day(kept, as_of), consumers)
+        if waiting:
+            warnings.warn(f"{folder}: {len(waiting)} days have files not read yet", stacklevel=2)
+        gone = drop_expired(spark, pipeline.path(folder), kept, as_of, waiting)
+        if gone:
+            first = min([first_kept_day(kept, as_of), *waiting])
+            _keep_from(spark, pipeline, folder, first)
+        removed += gone
+    return removed
+
+
+def _keep_from(spark: SparkSession, pipeline: Pipeline, folder: str, first: date) -> None:
+    day = max(first, _first_kept(spark, pipeline, folder) or first)
+    write_note(spark, _first_kept_file(pipeline, folder), day.isoformat())
+
+
+def _unread_days(
+    spark: SparkSession,
+    pipeline: Pipeline,
+    folder: str,
+    before: date,
+    consumers: Collection[str],
+) -> list[date]:
+    """Days before ``before`` with files that a stream has still to read."""
+    table, _, part = folder.partition("/")
+    streams = [c for c in CONSUMERS.get(table, ()) if c in consumers]
+    if not streams or part == "route=dead_letter":
+        return []
+    rows = read(spark, pipeline, table).filter(F.col("date") < F.lit(before))
+    if part:
+        rows = good_readings(rows)
+    path = F.regexp_replace(F.input_file_name(), "^file:/+", "file:/")
+    files = rows.select("date", path.alias("path")).distinct()
+    days: set[date] = set()
+    for stream in streams:
+        unread = files.join(files_read(spark, pipeline.checkpoint(stream)), "path", "left_anti")
+        days |= {row["date"] for row in unread.select("date").distinct().collect()}
+    return sorted(days)
 
 
 def await_any(spark: SparkSession) -> None:

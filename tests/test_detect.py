@@ -135,6 +135,42 @@ def test_rules_of_one_well(spark):
     assert got == {("a", "water_cut_high", "critical"), ("b", "water_cut_low", "warning")}
 
 
+def test_rules_of_a_well_replace_the_default(spark):
+    df = readings(
+        spark,
+        {"well_id": "a", "water_cut": 50.0, "sand_rate": 45.0},
+        {"well_id": "b", "water_cut": 90.0},
+        {"well_id": None, "water_cut": 90.0},
+    )
+    rules = spark.createDataFrame(
+        [
+            (None, "water_cut", "max", 85.0, "warning"),
+            (None, "sand_rate", "max", 40.0, "warning"),
+            ("a", "water_cut", "max", 40.0, "critical"),
+        ],
+        "well_id string, field string, kind string, threshold double, severity string",
+    )
+    got = {(r.well_id, r.type, r.severity) for r in detect_with_rule_table(df, rules).collect()}
+    assert got == {
+        ("a", "water_cut_high", "critical"),
+        ("a", "sand_rate_high", "warning"),
+        ("b", "water_cut_high", "warning"),
+        (None, "water_cut_high", "warning"),
+    }
+
+
+@pytest.mark.parametrize(
+    "rule", [("water_cut", "MAX", 1.0), ("watercut", "max", 1.0), ("water_cut", "max", None), (None, "max", 1.0)]
+)
+def test_rules_that_cannot_be_applied_are_errors(spark, rule):
+    df = readings(spark, {"well_id": "a", "water_cut": 50.0})
+    rules = spark.createDataFrame(
+        [(*rule, "warning")], "field string, kind string, threshold double, severity string"
+    )
+    with pytest.raises(ValueError, match="rules"):
+        detect_with_rule_table(df, rules)
+
+
 def test_critical_rules_alone_give_the_same_alerts(mixed):
     df, _ = mixed
     columns = ["well_id", "anomaly_type", "value"]

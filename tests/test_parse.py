@@ -5,8 +5,14 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeline.functions.predicates import utc_day
 from gaugeline.operators.detect import detect_any
-from gaugeline.operators.parse import dead_letters, parse_messages, route_messages
+from gaugeline.operators.parse import (
+    dead_letters,
+    parse_messages,
+    route_messages,
+    with_event_time,
+)
 from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA
 
 NOW = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
@@ -57,6 +63,13 @@ DEAD = {
     "word": ('{"well_id":"w","h2s_concentration":"abc"}', MALFORMED),
     "boolean": ('{"well_id":"w","h2s_concentration":true}', MALFORMED),
     "array": ("[1,2]", MALFORMED),
+    "bracket after": ('{"well_id":"x"}]', "text after the JSON object"),
+    "bracket and text after": ('{"well_id":"x"}] garbage', "text after the JSON object"),
+    "bracket and object after": (
+        '{"well_id":"x","h2s_concentration":1}]{"well_id":"y"}',
+        "text after the JSON object",
+    ),
+    "second element after": ('{"well_id":"x"},"abc"', "text after the JSON object"),
     "text": ('"str"', MALFORMED),
     "null literal": ("null", MALFORMED),
     "single quotes": ("{'well_id':'w'}", MALFORMED),
@@ -118,3 +131,17 @@ def test_messages_are_parsed_once(spark):
 def test_columns(spark):
     parsed = parse_messages(messages(spark, '{"well_id":"w"}'))
     assert parsed.columns == [*READING_SCHEMA.names, "topic", "partition", "offset", "ingest_ts", "ts"]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_times_without_a_zone_are_utc_in_every_session(spark, zone):
+    texts = ["2024-01-05T23:30:00", "2024-01-05 23:30:00+00:00", "2024-01-06T01:30:00+02:00", "2024-01-05"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        frame = spark.createDataFrame([(t,) for t in texts], "timestamp string")
+        rows = with_event_time(frame).select(F.unix_seconds("ts").alias("s"), utc_day(F.col("ts")).alias("d")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.s for r in rows] == [1704497400] * 3 + [1704412800]
+    assert {str(r.d) for r in rows} == {"2024-01-05"}

@@ -32,7 +32,7 @@ def message(pick):
     elif damage < 0.4:
         text = text[:at] + text[at + 1 :]
     elif damage < 0.45:
-        text += pick.choice([" ", "\n", "}", "{}", " x", "\t\r\n", text])
+        text += pick.choice([" ", "\n", "}", "{}", " x", "\t\r\n", text, "]", "] x", "]" + text, ',"x"', "],["])
     elif damage < 0.5:
         text = pick.choice(string.punctuation + "1n ") + text
     return text

@@ -53,13 +53,29 @@ def test_breaches_and_points_stay_in_generated_code(stored):
         assert tree.count("*(1)") >= 3 and "Exchange" not in tree
 
 
+def own_rules(spark):
+    rows = [("water_cut", "max", 60.0, "info", well) for well in ("WELL-AB-001", "WELL-AB-002")]
+    return spark.createDataFrame(
+        rows, "field string, kind string, threshold double, severity string, well_id string"
+    )
+
+
 def test_rules_and_baselines_are_broadcast(spark, stored):
+    own = own_rules(spark)
     for df in (
-        detect_with_rule_table(stored, rule_table(spark)),
+        detect_with_rule_table(stored, own),
         out_of_envelope(stored, default_baselines(spark)),
     ):
         text = plan(df)
         assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert "Join" not in plan(detect_with_rule_table(stored, rule_table(spark)))
+
+
+def test_each_reading_joins_its_rules_once(spark, stored):
+    own = own_rules(spark)
+    tree = detect_with_rule_table(stored, own)._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("Generate explode") == 1
+    assert tree.index("Generate explode") < tree.index("BroadcastHashJoin")
 
 
 def test_each_reading_joins_its_baselines_once(spark, stored):

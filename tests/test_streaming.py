@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from gaugeline.__main__ import arguments, main
 from gaugeline.operators.alerts import critical_alerts
 from gaugeline.operators.detect import detect_any, detect_breaches
+from gaugeline.operators.panels import sensor_panel
 from gaugeline.operators.parse import dead_letters, parse_messages
 from gaugeline.operators.points import to_points
 from gaugeline.plans.tables import cut_off, table, well_messages
 from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA
+from gaugeline.session import settings
 from gaugeline.sources.archive import BUCKET_LAYOUT, WELL_LAYOUT, write_archive
 from gaugeline.sources.kafka import read_message_files
 from gaugeline.streaming import jobs
@@ -169,7 +171,9 @@ def test_old_files_leave_the_log(spark, tmp_path):
     try:
         for retention, expected in ((None, 4), ("1s", 1)):
             name = f"t{expected}"
-            pipeline = jobs.Pipeline(str(tmp_path), trigger={"availableNow": True}, log_retention=retention)
+            pipeline = jobs.Pipeline(
+                str(tmp_path), trigger={"availableNow": True}, kept_days={}, log_retention=retention
+            )
             for _ in range(4):
                 rows.write.mode("append").parquet(f"{source}{expected}")
                 time.sleep(1.5)
@@ -240,3 +244,103 @@ def test_a_hot_well_is_split_over_tasks(spark, tmp_path):
     counts = {r.well_id: r.files for r in files.collect()}
     assert counts["hot"] >= 4
     assert sum(counts.values()) < 8 * 51
+
+
+def test_retention_waits_for_the_streams(spark, messages, tmp_path):
+    folder, _, _ = messages
+    pipeline = jobs.Pipeline(
+        str(tmp_path), layout=BUCKET_LAYOUT, buckets=1, trigger={"availableNow": True}
+    )
+    jobs.start_ingest(read_message_files(spark, folder), pipeline).awaitTermination()
+    as_of = datetime(2024, 1, 31, tzinfo=timezone.utc)
+    with pytest.warns(UserWarning, match="not read yet"):
+        removed = jobs.drop_old(spark, pipeline, as_of, archive_days=7)
+    assert not any("route=raw" in folder for folder in removed)
+    want = detect_breaches(jobs.read_raw(spark, pipeline)).count()
+    jobs.start_breaches(spark, pipeline).awaitTermination()
+    assert jobs.read(spark, pipeline, "breaches").count() == want
+    # breaches has passed all days; anomalies and points have not begun, and are not in use
+    removed = jobs.drop_old(spark, pipeline, as_of, archive_days=7, consumers=["breaches"])
+    assert any("route=raw" in folder for folder in removed)
+    assert jobs.read_raw(spark, pipeline).agg(F.min("date")).first()[0].isoformat() == "2024-01-24"
+    # a stream that starts now reads what is left
+    jobs.start_points(spark, pipeline).awaitTermination()
+    left = to_points(jobs.read_raw(spark, pipeline)).count()
+    assert jobs.read(spark, pipeline, "points").count() == left > 0
+
+
+def test_a_missing_file_is_an_error(spark, messages, tmp_path):
+    folder, _, _ = messages
+    pipeline = jobs.Pipeline(
+        str(tmp_path), layout=BUCKET_LAYOUT, buckets=1, trigger={"availableNow": True}
+    )
+    jobs.start_ingest(read_message_files(spark, folder), pipeline).awaitTermination()
+    file = next((tmp_path / "readings").glob("route=raw/date=2024-01-3*/*/*.parquet"))
+    kept = file.read_bytes()
+    file.unlink()
+    with pytest.raises(Exception, match="(?i)not exist|FILE_NOT_EXIST|FAILED_READ_FILE"):
+        jobs.read_raw(spark, pipeline).agg(F.sum("water_cut")).collect()
+    file.write_bytes(kept)
+
+
+def test_replay_remembers_beyond_retention(spark, messages, tmp_path):
+    folder, _, _ = messages
+    pipeline = jobs.Pipeline(
+        str(tmp_path), layout=BUCKET_LAYOUT, buckets=1, trigger={"availableNow": True}
+    )
+    jobs.run_once(spark, read_message_files(spark, folder), pipeline)
+    repair = F.lit('{"well_id":"WELL-AB-001","h2s_concentration":50,"timestamp":"2024-01-18T00:00:00"}')
+    jobs.replay(spark, pipeline, repair)
+    jobs.run_once(spark, read_message_files(spark, folder), pipeline)
+    letters = jobs.read_dead_letters(spark, pipeline).count()
+    jobs.drop_old(spark, pipeline, datetime(2024, 1, 31, tzinfo=timezone.utc), archive_days=7)
+    assert jobs.read(spark, pipeline, "replayed").count() == 0
+    assert 0 < jobs.read_dead_letters(spark, pipeline).count() < letters
+    jobs.replay(spark, pipeline, repair)
+    assert jobs.read(spark, pipeline, "replayed").count() == 0
+    assert not list((tmp_path / "replayed").glob("date=2024-01-18/**/*.parquet"))
+    jobs.run_once(spark, read_message_files(spark, folder), pipeline)
+    ids = jobs.read(spark, pipeline, "alerts").select("alert_id")
+    assert ids.count() == ids.distinct().count() > 0
+
+
+def test_log_retention_has_to_exceed_what_is_kept(tmp_path):
+    for age in ("89d", "90d", "12h"):
+        with pytest.raises(ValueError, match="log_retention"):
+            jobs.Pipeline(str(tmp_path), log_retention=age)
+    assert jobs.Pipeline(str(tmp_path), log_retention="100d").log_retention == "100d"
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/Los_Angeles"])
+def test_stored_panels_do_not_depend_on_the_session_zone(spark, tmp_path, zone):
+    at = datetime(2024, 1, 5, 23, 30, tzinfo=timezone.utc)
+    text = '{"well_id":"w","timestamp":"2024-01-05T23:30:00","water_cut":1}'
+    spark.createDataFrame([(b"w", text.encode(), "t", 0, 0, at, 0)], MESSAGE_SCHEMA).write.parquet(
+        str(tmp_path / "in")
+    )
+    pipeline = jobs.Pipeline(str(tmp_path / "t"), trigger={"availableNow": True})
+    jobs.run_once(spark, read_message_files(spark, str(tmp_path / "in")), pipeline)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        as_of = datetime(2024, 1, 5, 23, 32, tzinfo=timezone.utc)
+        panel = sensor_panel(jobs.read(spark, pipeline, "points"), "water_cut", as_of)
+        assert panel.count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_hot_well_of_a_stream_is_split_over_tasks(spark, tmp_path):
+    rows = spark.range(300_000).select(
+        F.lit("hot").alias("well_id"), F.sha2(F.col("id").cast("string"), 512).alias("payload")
+    )
+    rows.repartition(8).write.parquet(str(tmp_path / "in"))
+    values = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m",
+        "spark.sql.adaptive.streaming.stateless.enabled": "true",
+    }
+    with settings(spark, **{k.replace(".", "__"): v for k, v in values.items()}):
+        pipeline = jobs.Pipeline(str(tmp_path), trigger={"availableNow": True})
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        jobs.append_to(stream, pipeline, "t", ["well_id"]).awaitTermination()
+    assert len(list((tmp_path / "t").glob("well_id=hot/*.parquet"))) >= 4

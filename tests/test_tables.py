@@ -1,5 +1,7 @@
 """Encoding, replay, archive layouts and retention."""
 
+import os
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -11,7 +13,7 @@ from gaugeline.operators.parse import parse_messages
 from gaugeline.operators.replay import replay_dead_letters, replay_stream
 from gaugeline.operators.retention import drop_expired, expired_partitions, retain
 from gaugeline.plans.tables import table, well_readings
-from gaugeline.schema import READING_SCHEMA, SOURCE_KEYS
+from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA, SOURCE_KEYS
 from gaugeline.session import scratch_path
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
@@ -23,6 +25,7 @@ from gaugeline.sources.archive import (
     with_partitions,
     write_archive,
 )
+from gaugeline.sources.kafka import read_message_files
 from gaugeline.sources.kafka import publish, read_messages
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
@@ -94,6 +97,50 @@ def test_streaming_replay_drops_repeats(spark, tmp_path):
     assert sorted(r.offset for r in spark.read.parquet(out).collect()) == list(range(10))
 
 
+def test_streaming_replay_waits_for_late_letters(spark, tmp_path):
+    """A letter hours, or weeks, older than those of an earlier batch still comes back."""
+    source, out = str(tmp_path / "dead"), str(tmp_path / "out")
+    rows = dead(spark, *[('{"well_id":"a"}', i) for i in range(4)])
+    for offset, hours in ((3, 0), (1, 3), (0, 24 * 30), (2, 1)):
+        late = rows.filter(F.col("offset") == offset).withColumn(
+            "dead_ts", F.col("dead_ts") - F.expr(f"interval {hours} hours")
+        )
+        late.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(DEAD).parquet(source)
+        replay_stream(stream).writeStream.format("parquet").option("path", out).option(
+            "checkpointLocation", str(tmp_path / "cp")
+        ).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.offset for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3]
+
+
+def test_files_with_old_times_are_read(spark, tmp_path):
+    source = str(tmp_path / "in")
+    seen = []
+    for value, age in ((0, 0), (1, 10), (2, 400)):
+        before = set((tmp_path / "in").glob("*.parquet")) if (tmp_path / "in").exists() else set()
+        rows = [(b"k", b"{}", "t", 0, value, AS_OF, 0)]
+        spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        for file in set((tmp_path / "in").glob("*.parquet")) - before:
+            at = time.time() - age * 86400
+            os.utime(file, (at, at))
+        read_message_files(spark, source).writeStream.format("parquet").option(
+            "path", str(tmp_path / "out")
+        ).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        seen.append(spark.read.parquet(str(tmp_path / "out")).count())
+    assert seen == [1, 2, 3]
+
+
+def test_the_number_of_buckets_is_that_of_the_table(spark, fleet):
+    path = scratch_path(spark, "archive")
+    placed = with_partitions(fleet, buckets=4)
+    write_archive(placed, path, BUCKET_LAYOUT, buckets=4)
+    back = read_table(spark, path, archive_schema(fleet.schema), BUCKET_LAYOUT)
+    for well in ("001", "w2", "w7"):
+        assert for_wells(back, [well], path).count() == fleet.filter(F.col("well_id") == well).count() > 0
+    with pytest.raises(ValueError, match="4 buckets"):
+        write_archive(with_partitions(fleet, buckets=16), path, BUCKET_LAYOUT, buckets=16)
+
+
 @pytest.fixture(scope="module")
 def fleet(spark):
     """30 days; one well has a third of all rows, and ids that look like numbers."""
@@ -109,12 +156,12 @@ def test_archive_roundtrip_and_pruning(spark, fleet, layout, buckets):
     path = scratch_path(spark, "archive")
     placed = with_partitions(fleet, buckets=buckets or 4).select(*fleet.columns, *layout[:1], *(
         ["well_bucket"] if buckets else []))
-    write_archive(placed, path, layout)
+    write_archive(placed, path, layout, buckets=buckets or 16)
     schema = archive_schema(fleet.schema) if buckets else placed.schema
     back = read_table(spark, path, schema)
     assert back.select(*fleet.columns).exceptAll(fleet).count() == 0
     assert back.count() == fleet.count()
-    some = for_days(for_wells(back, ["001", "w2"], buckets), AS_OF.date() - timedelta(days=3))
+    some = for_days(for_wells(back, ["001", "w2"], path if buckets else None), AS_OF.date() - timedelta(days=3))
     want = fleet.filter("well_id in ('001', 'w2') and ts >= timestamp '2024-01-28'")
     assert want.count() > 0
     assert some.select(*fleet.columns).exceptAll(want).count() == 0 and some.count() == want.count()
