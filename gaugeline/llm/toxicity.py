@@ -69,15 +69,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
+def _odds(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray, prior: float) -> np.ndarray:
+    """Log ratio of the shares of toxic and of clean texts that have a word."""
+    bad, clean = (np.bincount(keys[mask[rows]], minlength=BUCKETS) for mask in (toxic, ~toxic))
+    return np.log((bad + prior) / (toxic.sum() + 2 * prior)) - np.log(
+        (clean + prior) / ((~toxic).sum() + 2 * prior)
+    )
+
+
 def _grades(rows: np.ndarray, keys: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Grade of each text from its label and the weight of words typical of toxic texts."""
-    clean, bad = (
-        np.bincount(keys[mask[rows]], minlength=BUCKETS)
-        for mask in (~toxic, toxic)
-    )
-    n_clean, n_bad = (~toxic).sum(), toxic.sum()
-    odds = np.log((bad + 0.5) / (n_bad + 1)) - np.log((clean + 0.5) / (n_clean + 1))
-    typical = (odds > 2.0) & (bad >= max(3, 0.01 * n_bad))
+    bad = np.bincount(keys[toxic[rows]], minlength=BUCKETS)
+    typical = (_odds(rows, keys, toxic, 0.5) > 2.0) & (bad >= max(3, 0.01 * toxic.sum()))
     size = np.bincount(rows, minlength=len(toxic))
     share = np.bincount(rows, weights=typical[keys], minlength=len(toxic)) / np.maximum(size, 1)
     edges = np.quantile(share[toxic], np.arange(1, GRADES) / GRADES)
@@ -189,7 +192,11 @@ def fit(
     rows = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
     keys, values = np.concatenate(keys).astype(np.int64), np.concatenate(values).astype(np.float64)
     weight = np.where(bad, shares[True] / bad.sum(), shares[False] / (~bad).sum())
-    return fit_arrays(rows, keys, values, _grades(rows, keys, bad), weight)
+    # Words weigh by how much more toxic texts use them (Wang and Manning, 2012), which keeps few
+    # labels from being fitted by chance words.
+    odds = _odds(rows, keys, bad, 1.0)
+    model = fit_arrays(rows, keys, values * odds[keys], _grades(rows, keys, bad), weight)
+    return Model(model.weights * odds, model.cuts)
 
 
 def score(
