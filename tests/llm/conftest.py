@@ -1,0 +1,35 @@
+import pytest
+from pyspark.sql import functions as F
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+@pytest.fixture
+def docs(spark):
+    """Documents from (doc_id, text) or (doc_id, text, lang, source)."""
+
+    def make(*rows):
+        full = []
+        for doc_id, text, *rest in rows:
+            lang, source = (*rest, None, None)[:2]
+            full.append((doc_id, text, lang, source, None if text is None else len(text)))
+        return spark.createDataFrame(full, DOCS)
+
+    return make
+
+
+@pytest.fixture
+def clashing(spark):
+    """The same documents with a column named like a result."""
+
+    def make(frame, *names):
+        for name in names:
+            frame = frame.withColumn(name, F.lit(f"kept {name}"))
+        return frame
+
+    return make

@@ -1,0 +1,116 @@
+"""Windows against all windows, the index of blocks, planted passages."""
+
+import random
+
+import numpy as np
+import pytest
+
+from gaugeline.llm import decontam
+from gaugeline.llm.common import Words
+
+
+def hashed(text):
+    raw = np.frombuffer((text or "").encode(), np.uint8)
+    return Words(raw, np.array([0, len(raw)]), decontam.EDGES).hashes()
+
+
+def result(frame, items):
+    got = decontam.contaminated(frame, items).collect()
+    return {(r.doc_id, r.item_id): (r.start_word, r.bits, round(r.similarity, 9)) for r in got}
+
+
+@pytest.fixture
+def items(spark):
+    def make(*rows):
+        return spark.createDataFrame(list(rows), "item_id long, text string")
+
+    return make
+
+
+def sentence(rng, n):
+    return [f"{rng.choice('abcdefgh')}{rng.randrange(90)}" for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_blocks_find_all_fingerprints_within_the_radius(seed):
+    rng = np.random.default_rng(seed)
+    rows = [(i, rng.integers(0, 1 << 62, 30).astype(np.uint64)) for i in range(200)]
+    index = decontam.Items.of(rows)
+    for print_ in index.prints[:20]:
+        flips = rng.choice(64, int(rng.integers(0, 14)), replace=False)
+        query = int(print_) ^ sum(1 << int(b) for b in flips)
+        want = [i for i, p in enumerate(index.prints.tolist()) if (p ^ query).bit_count() <= decontam.RADIUS]
+        assert sorted(index._near(query).tolist()) == want
+
+
+def test_masks_are_blocks_of_all_bits():
+    masks = decontam.block_masks()
+    assert len(masks) == decontam.RADIUS + 1
+    assert sum(int(m) for m in masks) == (1 << 64) - 1 and all(masks)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_windows_match_brute_force(docs, items, seed):
+    """Every window of an item's size, by the weighted similarity alone."""
+    rng = random.Random(seed)
+    texts = [sentence(rng, rng.randrange(20, 70)) for _ in range(6)]
+    rows = []
+    for i in range(30):
+        text = list(rng.choice(texts))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            at = rng.choice([0, 1, len(text) - 1, rng.randrange(len(text))])
+            text[at : at + rng.randrange(2)] = rng.choice([[], ["new"]])
+        rows.append((i, " ".join([*sentence(rng, rng.randrange(30)), *text, *sentence(rng, 20)])))
+    bench = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    index = decontam.Items.of([(i, hashed(t)) for i, t in bench])
+    want = set()
+    for i, text in rows:
+        words = hashed(text)
+        shingles = decontam.shingle_hashes(words, 5)
+        for number, size in enumerate(index.sizes.tolist()):
+            for start in range(len(words) - size + 1):
+                if index._similarity(number, shingles[start : start + size - 4]) >= decontam.SIMILAR:
+                    want.add((i, number))
+    assert want and set(result(docs(*rows), items(*bench))) == want
+
+
+def test_planted_passages(spark, documents):
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got = set(result(documents, bench))
+    texts = {r.item_id: r.text for r in bench.collect()}
+    want = {(d.doc_id, i) for d in documents.collect() for i, t in texts.items() if t in d.text}
+    assert want <= got
+    clean = documents.filter("false").union(documents.limit(0))
+    assert result(clean, bench) == {}
+
+
+def test_case_punctuation_and_place(docs, items):
+    passage = "Paris is the capital of France and has been since the tenth century or so"
+    frame = docs(
+        (1, passage), (2, f"x y z. ({passage.upper()})!"), (3, passage.replace(" ", "\n")), (4, passage[:40]),
+        (5, "nothing of the kind is in here at all, just other words that go on for a while"),
+    )
+    got = result(frame, items((7, passage), (8, passage)))
+    assert got == {(d, i): (s, 0, 1.0) for d, s in ((1, 0), (2, 3), (3, 0)) for i in (7, 8)}
+
+
+def test_items_in_blocks(docs, items, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(sentence(rng, 25)) for _ in range(9)]
+    rows, bench = docs(*enumerate(texts * 2)), items(*enumerate(texts))
+    whole = result(rows, bench)
+    assert len(whole) == 18
+    for name, value in (("ITEMS", 4), ("ITEM_WORDS", 60)):
+        monkeypatch.setattr(decontam.item_blocks, "__defaults__", (4, 60))
+        assert len(list(decontam.item_blocks(bench, "item_id", "text"))) >= 3
+    assert {k: v[0] for k, v in result(rows, bench).items()} == {k: v[0] for k, v in whole.items()}
+
+
+def test_odd_rows(docs, items):
+    passage = "one two three four five six seven eight nine ten"
+    frame = docs((1, None), (2, ""), (None, passage), (3, "w " * 200_000 + passage), (4, passage), (4, passage), (5, "one two"))
+    bench = items((1, None), (2, ""), (3, "one two"), (None, passage), (9, passage), (9, passage))
+    got = decontam.contaminated(frame, bench).collect()
+    assert {(r.doc_id, r.item_id, r.start_word) for r in got} == {(None, 9, 0), (3, 9, 200_000), (4, 9, 0)}
+    assert decontam.contaminated(frame, bench.limit(0)).count() == 0
+    assert decontam.contaminated(frame.limit(0), bench).count() == 0

@@ -1,0 +1,81 @@
+"""Words, hashes and components against plain Python."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from gaugeline.llm.common import Words, components, shingle_hashes, text_groups
+
+TEXTS = [
+    None, "", " ", "a", " A b\tC\n\nd ", "é È", "x" * 300_000, "one\x0btwo\x0cthree\r\nfour",
+    "no-break space", "tail ", " em", "(word) --- 'it's'", None, "last",
+]
+
+
+def plain(text):
+    return (text or "").encode().lower().split()
+
+
+@pytest.mark.parametrize("most", [1, 16, 1 << 20])
+def test_words_are_runs_without_ascii_space(most):
+    column = pa.array(TEXTS)
+    seen = {}
+    count = 0
+    for first, raw, offsets in text_groups(column, most):
+        words = Words(raw, offsets)
+        got = [bytes(words.text[a:b]) for a, b in zip(words.start, words.end)]
+        texts = TEXTS[first : first + len(offsets) - 1]
+        assert got == [w for t in texts for w in plain(t)]
+        assert words.size.tolist() == [len(plain(t)) for t in texts]
+        for word, value in zip(got, words.hashes().tolist()):
+            assert seen.setdefault(word, value) == value
+        count += len(texts)
+    assert count == len(TEXTS)
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_edges_are_taken_off():
+    raw = np.frombuffer(b"(Word) --- 'it's' end.", np.uint8)
+    words = Words(raw, np.array([0, len(raw)]), b"()-'.")
+    assert [bytes(words.text[a:b]) for a, b in zip(words.start, words.end)] == [b"word", b"it's", b"end"]
+
+
+def test_a_sliced_column():
+    column = pa.array(["a b", "c", "d e f"]).slice(1)
+    groups = list(text_groups(column, 100))
+    assert [(f, bytes(r), o.tolist()) for f, r, o in groups] == [(0, b"cd e f", [0, 1, 6])]
+
+
+def test_shingles_tell_order_and_length():
+    one, two, three = (np.array(x, np.uint64) for x in ([1, 2, 3], [3, 2, 1], [1, 2]))
+    found = {int(shingle_hashes(x, 5)[0]) for x in (one, two, three)}
+    assert len(found) == 3
+    assert len(shingle_hashes(np.arange(9, dtype=np.uint64), 5)) == 5
+    assert len(shingle_hashes(np.zeros(0, np.uint64), 5)) == 0
+
+
+@pytest.mark.parametrize("shape", ["none", "path", "star", "random"])
+def test_components(spark, shape):
+    rng = random.Random(3)
+    edges = {
+        "none": [],
+        "path": [(i, i + 1) for i in range(40)],
+        "star": [(500, i) for i in range(60)] + [(7, 7)],
+        "random": [(rng.randrange(300), rng.randrange(300)) for _ in range(200)],
+    }[shape]
+    parent = {x: x for e in edges for x in e}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((find(a), find(b)))
+        parent[high] = low
+    alone = {a for a, b in edges if a == b and all(a not in e for e in edges if e[0] != e[1])}
+    frame = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in components(frame).collect()}
+    assert got == {x: find(x) for x in parent if x not in alone}
