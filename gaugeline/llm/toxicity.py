@@ -1,7 +1,7 @@
 """Severity of toxic language by cumulative-link ordinal regression.
 
-Features are the words of a text, hashed into buckets, each with weight 1 + log(count), scaled to
-length one. One weight vector serves all ordered thresholds: P(grade > k) = logistic(x.w - b_k).
+Features are the words of a text and their first 4 and 5 bytes (insults are inflected), hashed into
+buckets, each with weight 1 + log(count), scaled to length one. One weight vector serves all ordered thresholds: P(grade > k) = logistic(x.w - b_k).
 The result is the expected severity, the sum over k of P(grade > k).
 
 Grades come from the labels: a clean document has grade 0; a toxic one has grade 1, 2 or 3 by
@@ -29,9 +29,11 @@ from gaugeline.llm.common import appended
 BUCKETS = 1 << 18
 #: Labelled rows of each class that the fit reads at most, taken by the smallest hash of the id.
 FIT_ROWS = 4000
-#: Distinct words of a text that the fit (not the scoring) reads at most, by smallest bucket.
-FIT_WORDS = 2000
+#: Features of a text that the fit (not the scoring) reads at most, by smallest bucket.
+FIT_WORDS = 4000
 GRADES = 3
+#: Sizes of the stems, in bytes.
+STEMS = (4, 5)
 FLAG_AT = 0.5
 #: Characters removed at the edges of a word, so that "word," and "word" are one feature.
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -44,6 +46,9 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         word = word.strip(EDGES)
         if word:
             counts[zlib.crc32(word) & (BUCKETS - 1)] += n
+            for size in STEMS:
+                if len(word) > size:
+                    counts[zlib.crc32(word[:size], size) & (BUCKETS - 1)] += n
     if not counts:
         return np.zeros(0, np.int64), np.zeros(0)
     keys = np.fromiter(counts.keys(), np.int64, len(counts))

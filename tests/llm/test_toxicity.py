@@ -37,6 +37,11 @@ def test_features():
         assert len(toxicity.features(empty)[0]) == 0
 
 
+def test_stems_are_features_too():
+    one, two = (set(toxicity.features(w)[0].tolist()) for w in (b"loweischaft", b"loweient"))
+    assert len(one) == len(two) == 3 and len(one & two) == 2
+
+
 def test_held_out_labels(spark, sf_dir, documents):
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
