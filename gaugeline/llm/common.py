@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from gaugeline.session import scratch_path
+from gaugeline.session import scratch_path, settings
 
 #: A word is a run of characters other than the six ASCII white-space characters.
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -20,11 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A to Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def id_bucket(column: Column, buckets: int) -> Column:
     """crc32 of the id written as text, modulo `buckets`; null for a null id."""
     return F.crc32(column.cast("string").cast("binary")) % buckets
@@ -52,7 +47,9 @@ def settled(frame: DataFrame) -> DataFrame:
     steps then depend on files that outlive any executor."""
     spark = frame.sparkSession
     path = scratch_path(spark, "llm")
-    frame.write.parquet(path)
+    # what the write has shuffled is not needed once it is done
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -6,7 +6,9 @@
    sets agree in SPARE + 1 parts or more. Sets that agree in a part meet through the part's signature.
    Empty parts agree by chance; a set emits them only if it has more than SPARE, for with fewer
    some part agrees that is not empty.
-3. Sets that meet, directly or through others, form a block. Every block gets a signature tree: its
+3. Linked sets meet in several parts: in SPARE + 1, less the parts that are empty in both. A pair that
+   only meets in groups of at most PAIRS sets is kept if it meets that often; the sets of a larger
+   group are kept together. What is kept, directly or through others, forms a block. Every block gets a signature tree: its
    leaves hold the token bitmaps of LEAF sets, its inner nodes the OR of the bitmaps below, the
    range of set sizes and the smallest bitmap. A dual traversal from the pair of roots drops pairs
    of nodes whose sizes, or whose largest possible overlap, rule out a link. What is left is
@@ -45,6 +47,8 @@ from gaugeline.llm.common import (
 #: to be at least 1 / similarity.
 RATIO = 1.25
 SPARE = 2
+#: Up to this many sets of a group are looked at in pairs.
+PAIRS = 8
 BITS = 2048
 LEAF = 32
 FANOUT = 8
@@ -53,6 +57,7 @@ _SALT = np.uint64(0x5851F42D4C957F2D)
 #: Distinct sets remembered in a task, so that copies are routed once for each task.
 REMEMBERED = 1_000_000
 GROUP_BYTES = 1 << 20
+CLASS_BITS = 7
 
 
 @dataclass(frozen=True)
@@ -78,31 +83,39 @@ class Rule:
         """How many shingles two linked sets of `total` shingles together can differ in."""
         return total * (100 - self.percent) // (100 + self.percent)
 
-    def signatures(self, shingles: np.ndarray) -> np.ndarray:
+    def signatures(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Signatures of the parts of a set, for its class and, if a larger partner can be in the
-        next one, for that."""
+        next one, for that; and for each how often a partner has to share one of its class. The
+        last CLASS_BITS bits of a signature are the class."""
         size = len(shingles)
         if size < self.least:
-            return np.zeros(0, np.uint64)
-        out = []
+            return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        out, needs = [], []
         own = size_class(size)
         for c in (own, own + 1):
             low, high = class_bounds(c)
             if c > own and 100 * size < self.percent * low:
                 continue
-            parts = self.most_differing(2 * high) + 1 + SPARE
+            differing = self.most_differing(2 * high)
+            spare = SPARE + differing // 8
+            parts = differing + 1 + spare
             part = (mixed(shingles ^ _SALT) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             first = np.flatnonzero(np.diff(part[order], prepend=-1))
             sums = np.add.reduceat(mixed(shingles)[order], first)
             numbers = part[order][first]
-            if parts - len(numbers) > SPARE:
+            empty = parts - len(numbers)
+            # empty parts that both have are not emitted, unless there are too many of them
+            needs.append(spare + 1 - empty if empty <= spare else 1)
+            if empty > spare:
                 full = np.zeros(parts, np.uint64)
                 full[numbers] = sums
                 sums, numbers = full, np.arange(parts)
             name = numbers.astype(np.uint64) * np.uint64(1009) + np.uint64(c)
-            out.append(mixed(sums ^ mixed(name + _SALT)))
-        return np.concatenate(out)
+            found = mixed(sums ^ mixed(name + _SALT))
+            out.append(found >> np.uint64(CLASS_BITS) << np.uint64(CLASS_BITS) | np.uint64(c))
+        lengths = [len(x) for x in out]
+        return np.concatenate(out), np.repeat(np.array(needs, np.int32), lengths)
 
     def sets(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The shingle set of each text of a column."""
@@ -243,34 +256,87 @@ def links(rule: Rule, left: Tree, right: Tree | None = None) -> Iterator[tuple[i
                 yield left.order[i], right.order[j]
 
 
-def _routed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, key, signatures) for each row."""
+def _keyed(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(doc_id, n, key): size and hash of the shingle set of each row."""
 
     def run(batches):
-        seen: set[int] = set()
         for batch in batches:
-            sizes, keys, routes = [], [], []
-            for shingles in rule.sets(batch.column("text")):
-                key = set_key(shingles)
-                known = key in seen
-                if len(seen) >= REMEMBERED:
-                    seen.clear()
-                seen.add(key)
-                sizes.append(len(shingles))
-                keys.append(key)
-                routes.append([] if known else rule.signatures(shingles).view(np.int64))
+            sets = list(rule.sets(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(keys, pa.int64()),
-                    pa.array(routes, pa.list_(pa.int64())),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([set_key(s) for s in sets], pa.int64()),
                 ],
-                names=["doc_id", "n", "key", "routes"],
+                names=["doc_id", "n", "key"],
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long, routes array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long")
+
+
+def _routes(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(key, route, need): the signatures of each set; of copies in a task, those of one."""
+
+    def run(batches):
+        seen: set[int] = set()
+        for batch in batches:
+            held = []
+            for shingles in rule.sets(batch.column("text")):
+                key = set_key(shingles)
+                if key not in seen:
+                    held.append((key, *rule.signatures(shingles)))
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(key)
+                if len(held) >= 1024:
+                    yield _packed_routes(held)
+                    held = []
+            yield _packed_routes(held)
+
+    return docs.mapInArrow(run, "key long, route long, need int")
+
+
+def _packed_routes(held: list[tuple]) -> pa.RecordBatch:
+    keys = [np.full(len(routes), key, np.int64) for key, routes, _ in held]
+    return pa.RecordBatch.from_pydict(
+        {
+            "key": np.concatenate([np.zeros(0, np.int64), *keys]),
+            "route": np.concatenate([np.zeros(0, np.uint64), *(r for _, r, _ in held)]).view(np.int64),
+            "need": np.concatenate([np.zeros(0, np.int32), *(n for _, _, n in held)]),
+        }
+    )
+
+
+def _meetings(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): sets that belong to one block. Signatures are many and made twice: kept, they would be
+    as large as the texts."""
+    rows = _routes(docs, rule)
+    groups = settled(
+        rows.groupBy("route")
+        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
+        .filter("low < high")
+        .select("route")
+    )
+    shared = settled(rows.join(groups, "route").distinct())
+    sizes = shared.groupBy("route").agg(F.count("*").alias("sets"), F.min("key").alias("low"))
+    sized = shared.join(sizes, "route")
+    large = sized.filter((F.col("sets") > PAIRS) & (F.col("key") > F.col("low")))
+    small = sized.filter(F.col("sets") <= PAIRS)
+    # at most PAIRS rows of a route
+    left = small.select("route", F.col("key").alias("a"), F.col("need").alias("need_a"))
+    right = small.select("route", F.col("key").alias("b"), F.col("need").alias("need_b"))
+    pairs = (
+        left.join(right, "route")
+        .filter("a < b")
+        .withColumn("class", F.col("route").bitwiseAND(F.lit((1 << CLASS_BITS) - 1)))
+        .groupBy("a", "b", "class")
+        .agg(F.count("*").alias("met"), F.max(F.greatest("need_a", "need_b")).alias("need"))
+        .filter("met >= need")
+    )
+    return large.select(F.col("low").alias("a"), F.col("key").alias("b")).union(
+        pairs.select("a", "b")
+    ).distinct()
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
@@ -325,19 +391,11 @@ def similar_documents(
     """(doc_id, n_shingles, component_id) for each row; component_id is the smallest id that links
     lead to."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    routed = settled(_routed(docs, rule))
+    routed = settled(_keyed(docs, rule))
     nodes = (
         routed.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
     )
-    meeting = routed.filter("n > 0").select("key", F.explode("routes").alias("route"))
-    least = (
-        meeting.groupBy("route")
-        .agg(F.min("key").alias("low"), F.max("key").alias("high"))
-        .filter("low < high")
-        .select("route", "low")
-    )
-    routes = meeting.join(least, "route").filter("key > low").select("low", "key").distinct()
-    blocks = components(routes, "low", "key").select(
+    blocks = components(_meetings(docs, rule)).select(
         F.col("node").alias("key"), F.col("component").alias("block")
     )
     members = nodes.join(blocks, "key")
