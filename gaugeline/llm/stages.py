@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 from gaugeline.llm import decontam, langid, linededup, mixing, sigtree
 from gaugeline.llm.common import settled, table
 
-#: A document needs this share of its letters in spans of one language.
-MAIN_LANGUAGE_SHARE = 0.5
+#: A document needs this share of its letters in spans of one language. Below a third it has no main
+#: language; short texts with a notice in another language stay.
+MAIN_LANGUAGE_SHARE = 1 / 3
 #: Near duplicates have a Jaccard similarity of 0.8 or more in their five-word shingles.
 NEAR = sigtree.Rule(width=5, percent=80)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are mostly in one language that the table's own labels teach.
+    """Documents with a main language, of those that the table's own labels teach.
 
     Rejected: texts that are null or have no letter, and texts whose main language covers less
-    than half of their letters. The `lang` column keeps the given value; where it is null, the
+    than a third of their letters. The `lang` column keeps the given value; where it is null, the
     predicted language takes its place."""
     model = langid.train(docs)
     given = docs.columns
