@@ -1,7 +1,7 @@
 """Benchmark decontamination by SimHash windows.
 
-For every window of a document that is as long as a benchmark item, in words, a 64-bit SimHash of
-its words is compared with the item's. The fingerprints lie in an index of RADIUS + 1 blocks of
+For every window of a document that is as long as a benchmark item, in words, or the whole
+document where it is shorter, a 64-bit SimHash of its words is compared with the item's. The fingerprints lie in an index of RADIUS + 1 blocks of
 bits: two fingerprints that differ in at most RADIUS bits agree in one block at least, so looking
 up each block finds all of them. Candidates are verified by the weighted Jaccard similarity of
 their five-word shingles; a shingle weighs as much as it is rare among the items.
@@ -128,19 +128,18 @@ class Items:
         places, at = places[hit], at[hit]
         if len(places) == 0:
             return []
-        # Windows as long as the item, over all starts that keep the shared shingle inside.
+        # Windows as long as the item, or as the document if that is shorter.
+        lengths = np.minimum(self.sizes, len(hashes))
         wanted: dict[int, set[int]] = {}
         for place, slot in zip(places.tolist(), at.tolist()):
             end = self.starts[slot + 1] if slot + 1 < len(self.starts) else len(self.owners)
             for k in range(self.starts[slot], end):
-                wanted.setdefault(int(self.sizes[self.owners[k]]), set()).add(
+                wanted.setdefault(int(lengths[self.owners[k]]), set()).add(
                     place - int(self.offsets[k])
                 )
         best: dict[int, tuple[float, int, int]] = {}
         for size, near_starts in wanted.items():
             last = len(hashes) - size
-            if last < 0:
-                continue
             # The shared shingle gives the start of an unshifted copy; earlier insertions or
             # deletions shift it by less than the words that may differ.
             slack = max(1, size // 8)
@@ -155,7 +154,7 @@ class Items:
                 window = hashes[start : start + size]
                 fingerprint = int(simhash(bit_signs(window).sum(axis=0)[None, :])[0])
                 for number in self._near(fingerprint).tolist():
-                    if self.sizes[number] != size:
+                    if lengths[number] != size:
                         continue
                     similarity = self._similarity(number, own[start : start + size - SHINGLE + 1])
                     if similarity >= SIMILAR:

@@ -74,6 +74,20 @@ def test_windows_match_brute_force(docs, items, seed):
     assert want and set(result(docs(*rows), items(*bench))) == want
 
 
+def test_documents_that_are_shortened_items(docs, items):
+    """Nothing stands around them, so no window has the item's full length."""
+    rng = random.Random(5)
+    texts = [sentence(rng, n) for n in (15, 30, 60)]
+    rows, want = [], set()
+    for number, text in enumerate(texts):
+        for cut in (1, len(text) // 12):
+            for part in (text[cut:], text[:-cut]):
+                want.add((len(rows), number))
+                rows.append((len(rows), " ".join(part)))
+    rows.append((len(rows), " ".join(texts[2][:40])))
+    assert set(result(docs(*rows), items(*((i, " ".join(t)) for i, t in enumerate(texts))))) == want
+
+
 def test_planted_passages(spark, documents):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     got = set(result(documents, bench))
