@@ -1,14 +1,17 @@
-"""Benchmark decontamination by SimHash windows.
+"""Benchmark decontamination by shingles in windows, with SimHash fingerprints.
 
-For every window of a document that is as long as a benchmark item, in words, or the whole
-document where it is shorter, a 64-bit SimHash of its words is compared with the item's. The fingerprints lie in an index of RADIUS + 1 blocks of
-bits: two fingerprints that differ in at most RADIUS bits agree in one block at least, so looking
-up each block finds all of them. Candidates are verified by the weighted Jaccard similarity of
-their five-word shingles; a shingle weighs as much as it is rare among the items.
+Every window of a document that is as long as a benchmark item, in words, or the whole document
+where it is shorter, is compared with the item by the weighted Jaccard similarity of their five-word
+shingles; a shingle weighs as much as it is rare among the items.
 
-A window can only pass the verification if it has a shingle of the item. Windows are therefore
-formed around the places where a document has a shingle of some item, which loses nothing and
-leaves most texts after one pass over their words.
+A window that passes has shingles of the item that weigh at least SIMILAR times the item: their
+share of the union is that of the similarity, and the union weighs no less than the item. Sums over
+the whole document leave the items that can pass, running sums the windows. All of these are
+verified, so that nothing is lost, wherever the edits lie.
+
+`bits` is the distance of the 64-bit SimHashes of the words of window and item. It decides nothing:
+a similarity of 0.8 allows 21 bits and more in texts of different words, and any number
+where a repeated passage is exchanged, since shingles count once and words each time.
 
 The items are read in blocks of at most ITEMS items and ITEM_WORDS words, each against all
 documents, so what a task holds does not grow with the benchmark. One longer item is a block.
@@ -22,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 from gaugeline.llm.common import Words, shingle_hashes, text_groups
 
 SHINGLE = 5
+#: Bits apart within which the index of fingerprints finds items; no bound of the search.
 RADIUS = 10
 SIMILAR = 0.8
 ITEMS = 20_000
@@ -68,13 +73,13 @@ class Items:
     prints: np.ndarray
     shingles: list[np.ndarray]
     weights: list[np.ndarray]
-    #: all shingles, sorted, and for each the items that have it and where
+    #: what the shingles that a window shares with an item must weigh at least
+    least: np.ndarray
+    #: all shingles, sorted, and for each its weight and the items that have it
     known: np.ndarray
+    weight: np.ndarray
     starts: np.ndarray
     owners: np.ndarray
-    offsets: np.ndarray
-    #: per block of bits: value -> items
-    blocks: list[dict[int, np.ndarray]]
 
     @classmethod
     def of(cls, rows: list[tuple[int, np.ndarray]]) -> "Items":
@@ -83,28 +88,32 @@ class Items:
         words = [w for _, w in rows]
         sizes = np.array([len(w) for w in words])
         prints = simhash(np.array([bit_signs(w).sum(axis=0) for w in words]))
-        each = [shingle_hashes(w, SHINGLE) for w in words]
-        owner = np.repeat(np.arange(len(rows)), [len(x) for x in each])
-        offset = np.concatenate([np.arange(len(x)) for x in each])
-        flat = np.concatenate(each)
+        sets = [np.unique(shingle_hashes(w, SHINGLE)) for w in words]
+        owner = np.repeat(np.arange(len(rows)), [len(x) for x in sets])
+        flat = np.concatenate(sets)
         order = np.argsort(flat, kind="stable")
         known, starts = np.unique(flat[order], return_index=True)
         having = np.diff(starts, append=len(flat))
-        weight = 1.0 + np.log(len(rows) / np.minimum(having, len(rows)))
-        sets = [np.unique(x) for x in each]
+        weight = 1.0 + np.log(len(rows) / having)
         weights = [weight[np.searchsorted(known, x)] for x in sets]
+        # a little less, for sums in another order
+        least = np.array([w.sum() for w in weights]) * (SIMILAR - 1e-9)
+        return cls(ids, sizes, prints, sets, weights, least, known, weight, starts, owner[order])
+
+    @cached_property
+    def blocks(self) -> list[dict[int, np.ndarray]]:
+        """Per block of bits: value -> items."""
         blocks = []
         for mask in block_masks():
             at: dict[int, list[int]] = {}
-            for number, value in enumerate((prints & mask).tolist()):
+            for number, value in enumerate((self.prints & mask).tolist()):
                 at.setdefault(value, []).append(number)
             blocks.append({k: np.array(v) for k, v in at.items()})
-        return cls(
-            ids, sizes, prints, sets, weights, known, starts, owner[order], offset[order], blocks
-        )
+        return blocks
 
     def _near(self, fingerprint: int) -> np.ndarray:
-        """Items whose fingerprints differ in at most RADIUS bits, by the blocks they share."""
+        """Items whose fingerprints differ in at most RADIUS bits, by the blocks they share. The search
+        does not rest on it."""
         value = np.uint64(fingerprint)
         found = [
             b[key] for b, m in zip(self.blocks, block_masks()) if (key := int(value & m)) in b
@@ -128,43 +137,45 @@ class Items:
         places, at = places[hit], at[hit]
         if len(places) == 0:
             return []
-        # Windows as long as the item, or as the document if that is shorter.
-        lengths = np.minimum(self.sizes, len(hashes))
-        wanted: dict[int, set[int]] = {}
-        for place, slot in zip(places.tolist(), at.tolist()):
-            end = self.starts[slot + 1] if slot + 1 < len(self.starts) else len(self.owners)
-            for k in range(self.starts[slot], end):
-                wanted.setdefault(int(lengths[self.owners[k]]), set()).add(
-                    place - int(self.offsets[k])
-                )
-        best: dict[int, tuple[float, int, int]] = {}
-        for size, near_starts in wanted.items():
-            last = len(hashes) - size
-            # The shared shingle gives the start of an unshifted copy; earlier insertions or
-            # deletions shift it by less than the words that may differ.
-            slack = max(1, size // 8)
-            starts = sorted(
-                {
-                    min(max(s + d, 0), last)
-                    for s in near_starts
-                    for d in range(-slack, slack + 1)
-                }
-            )
-            for start in starts:
-                window = hashes[start : start + size]
-                fingerprint = int(simhash(bit_signs(window).sum(axis=0)[None, :])[0])
-                for number in self._near(fingerprint).tolist():
-                    if lengths[number] != size:
-                        continue
-                    similarity = self._similarity(number, own[start : start + size - SHINGLE + 1])
-                    if similarity >= SIMILAR:
-                        bits = int(self.prints[number] ^ np.uint64(fingerprint)).bit_count()
-                        rank = (-similarity, start, bits)
-                        if number not in best or rank < best[number]:
-                            best[number] = rank
-        return [
-            (self.ids[number], start, bits, -minus) for number, (minus, start, bits) in best.items()
-        ]
+        # Items of which the document has enough shingles, each counted once.
+        slots = np.unique(at)
+        first = self.starts[slots]
+        having = np.append(self.starts, len(self.owners))[slots + 1] - first
+        each = np.repeat(first - np.cumsum(having) + having, having) + np.arange(having.sum())
+        shared = np.bincount(
+            self.owners[each], np.repeat(self.weight[slots], having), minlength=len(self.ids)
+        )
+        found = []
+        for number in np.flatnonzero(shared >= self.least).tolist():
+            # Windows as long as the item, or as the document if that is shorter.
+            size = min(int(self.sizes[number]), len(hashes))
+            width = size - SHINGLE + 1
+            best = (0.0, 0)
+            for start in self._starts(number, own, places, width, len(hashes) - size).tolist():
+                similarity = self._similarity(number, own[start : start + width])
+                best = min(best, (-similarity, start))
+                if similarity >= 1.0:
+                    break
+            if -best[0] >= SIMILAR:
+                window = hashes[best[1] : best[1] + size]
+                fingerprint = simhash(bit_signs(window).sum(axis=0)[None, :])[0]
+                bits = int(self.prints[number] ^ fingerprint).bit_count()
+                found.append((self.ids[number], best[1], bits, -best[0]))
+        return found
+
+    def _starts(self, number, own, places, width: int, last: int) -> np.ndarray:
+        """Starts of the windows of `width` shingles, up to `last`, whose shingles of the item, with
+        repeats, weigh enough."""
+        mine = self.shingles[number]
+        slot = np.minimum(np.searchsorted(mine, own[places]), len(mine) - 1)
+        is_mine = mine[slot] == own[places]
+        places = places[is_mine]
+        sums = np.concatenate([[0.0], np.cumsum(self.weights[number][slot[is_mine]])])
+        starts = np.arange(max(int(places[0]) - width + 1, 0), min(int(places[-1]), last) + 1)
+        inside = (
+            sums[np.searchsorted(places, starts + width)] - sums[np.searchsorted(places, starts)]
+        )
+        return starts[inside >= self.least[number] - 1e-9 * sums[-1]]
 
     def _similarity(self, number: int, shingles: np.ndarray) -> float:
         """Weighted Jaccard similarity. A shingle that no item has weighs like one that one has."""
@@ -172,9 +183,8 @@ class Items:
         mine, weights = self.shingles[number], self.weights[number]
         common = np.isin(mine, window, assume_unique=True)
         at = np.minimum(np.searchsorted(self.known, window), len(self.known) - 1)
-        is_known = self.known[at] == window
-        spans = np.diff(self.starts, append=len(self.owners))[at]
-        weight = 1.0 + np.log(len(self.ids) / np.where(is_known, np.minimum(spans, len(self.ids)), 1))
+        alone = 1.0 + np.log(len(self.ids))
+        weight = np.where(self.known[at] == window, self.weight[at], alone)
         shared = weights[common].sum()
         return float(shared / (weights.sum() + weight.sum() - shared))
 

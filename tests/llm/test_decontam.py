@@ -88,6 +88,50 @@ def test_documents_that_are_shortened_items(docs, items):
     assert set(result(docs(*rows), items(*((i, " ".join(t)) for i, t in enumerate(texts))))) == want
 
 
+def edited(rng, text, kind):
+    """As many words changed as a similarity of 0.8 allows, in one place."""
+    shingles = lambda t: set(zip(*(t[i:] for i in range(5))))
+    best = text
+    for n in range(1, len(text)):
+        new = [f"new{rng.random()}" for _ in range(n)]
+        at = {"cut": len(text) - n, "start": 0, "block": (len(text) - n) // 2}[kind]
+        changed = [*text[:at], *new, *text[at + n :]]
+        a, b = shingles(text), shingles(changed)
+        if len(a & b) < 0.8 * len(a | b):
+            break
+        best = changed
+    return best
+
+
+@pytest.mark.parametrize("kind", ["cut", "start", "block"])
+def test_edits_near_the_bound(kind):
+    """All weights of a single item are 1, so what `edited` returns is at least 0.8 alike."""
+    rng, far = random.Random(kind), 0
+    for size in (25, 60, 100, 200, 400):
+        for _ in range(20):
+            text = [f"{rng.random()}" for _ in range(size)]
+            index = decontam.Items.of([(0, hashed(" ".join(text)))])
+            changed = edited(rng, text, kind)
+            around = [f"x{i}" for i in range(9)] + changed + [f"y{i}" for i in range(9)]
+            for words in (changed, around):
+                got = index.matches(hashed(" ".join(words)), index.table())
+                assert len(got) == 1 and got[0][3] >= decontam.SIMILAR
+                far = max(far, got[0][2])
+    assert far > 10
+
+
+def test_moved_and_repeated_passages(docs, items):
+    text = [f"w{i}" for i in range(60)]
+    list_ = [f"w{i}" for i in range(100)]
+    bench = [(1, " ".join(text)), (2, " ".join([*list_, *["a", "b", "c", "d", "e"] * 20]).replace("w", "v"))]
+    rows = [
+        (1, " ".join(["x"] * 9 + text[30:] + text[:30] + ["y"] * 9)),
+        (2, " ".join([*list_, *["f", "g", "h", "i", "j"] * 20]).replace("w", "v")),
+    ]
+    got = result(docs(*rows), items(*bench))
+    assert set(got) == {(1, 1), (2, 2)} and got[2, 2][1] > 18
+
+
 def test_planted_passages(spark, documents):
     bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     got = set(result(documents, bench))
