@@ -13,8 +13,10 @@ verified, so that nothing is lost, wherever the edits lie.
 a similarity of 0.8 allows 21 bits and more in texts of different words, and any number
 where a repeated passage is exchanged, since shingles count once and words each time.
 
-The items are read in blocks of at most ITEMS items and ITEM_WORDS words, each against all
-documents, so what a task holds does not grow with the benchmark. One longer item is a block.
+In how many items a shingle occurs is counted over all items first. The items are then read in
+blocks of at most ITEMS items and ITEM_WORDS words, each against all documents; one longer item is a
+block. Of the benchmark a task holds a block, and the counts of the shingles that several items
+have, so that a similarity does not depend on the blocks.
 
 Defined cases: null or empty texts and items match nothing, nor does anything with fewer than
 five words. Items with equal texts each match. Items with a null id are left out. Of several
@@ -32,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import Words, shingle_hashes, text_groups
+from gaugeline.llm.common import Words, settled, shingle_hashes, text_groups
 
 SHINGLE = 5
 #: Bits apart within which the index of fingerprints finds items; no bound of the search.
@@ -64,6 +66,24 @@ def block_masks(radius: int = RADIUS) -> list[np.uint64]:
     ]
 
 
+@dataclass
+class Counts:
+    """Over all items: their number, and the shingles that several have, sorted, with their number of
+    items."""
+
+    total: int
+    common: np.ndarray
+    having: np.ndarray
+
+    def weights(self, shingles: np.ndarray) -> np.ndarray:
+        """The rarer, the heavier. A shingle that no item has weighs like one that one has."""
+        having = np.ones(len(shingles))
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, shingles), len(self.common) - 1)
+            having = np.where(self.common[at] == shingles, self.having[at], 1)
+        return 1.0 + np.log(self.total / having)
+
+
 @dataclass
 class Items:
     """An index of some benchmark items."""
@@ -80,10 +100,11 @@ class Items:
     weight: np.ndarray
     starts: np.ndarray
     owners: np.ndarray
+    counts: Counts
 
     @classmethod
-    def of(cls, rows: list[tuple[int, np.ndarray]]) -> "Items":
-        """From the ids of items and the hashes of their words."""
+    def of(cls, rows: list[tuple[int, np.ndarray]], counts: Counts | None = None) -> "Items":
+        """From the ids of items and the hashes of their words; without `counts` they are all."""
         ids = [i for i, _ in rows]
         words = [w for _, w in rows]
         sizes = np.array([len(w) for w in words])
@@ -93,12 +114,16 @@ class Items:
         flat = np.concatenate(sets)
         order = np.argsort(flat, kind="stable")
         known, starts = np.unique(flat[order], return_index=True)
-        having = np.diff(starts, append=len(flat))
-        weight = 1.0 + np.log(len(rows) / having)
+        if counts is None:
+            having = np.diff(starts, append=len(flat))
+            counts = Counts(len(rows), known[having > 1], having[having > 1])
+        weight = counts.weights(known)
         weights = [weight[np.searchsorted(known, x)] for x in sets]
         # a little less, for sums in another order
         least = np.array([w.sum() for w in weights]) * (SIMILAR - 1e-9)
-        return cls(ids, sizes, prints, sets, weights, least, known, weight, starts, owner[order])
+        return cls(
+            ids, sizes, prints, sets, weights, least, known, weight, starts, owner[order], counts
+        )
 
     @cached_property
     def blocks(self) -> list[dict[int, np.ndarray]]:
@@ -178,13 +203,11 @@ class Items:
         return starts[inside >= self.least[number] - 1e-9 * sums[-1]]
 
     def _similarity(self, number: int, shingles: np.ndarray) -> float:
-        """Weighted Jaccard similarity. A shingle that no item has weighs like one that one has."""
+        """Weighted Jaccard similarity."""
         window = np.unique(shingles)
         mine, weights = self.shingles[number], self.weights[number]
         common = np.isin(mine, window, assume_unique=True)
-        at = np.minimum(np.searchsorted(self.known, window), len(self.known) - 1)
-        alone = 1.0 + np.log(len(self.ids))
-        weight = np.where(self.known[at] == window, self.weight[at], alone)
+        weight = self.counts.weights(window)
         shared = weights[common].sum()
         return float(shared / (weights.sum() + weight.sum() - shared))
 
@@ -219,6 +242,35 @@ def item_blocks(
         yield block
 
 
+def item_counts(items: DataFrame, item_id: str, text: str) -> Counts:
+    """In how many items each shingle occurs, counted in Spark over all items that blocks hold."""
+
+    def shingles(batches):
+        for batch in batches:
+            for _, raw, offsets in text_groups(batch.column("text"), GROUP_BYTES):
+                words = Words(raw, offsets, EDGES)
+                hashes, end = words.hashes(), np.cumsum(words.size)
+                for low, high in zip(end - words.size, end):
+                    if high - low >= SHINGLE:
+                        found = np.unique(shingle_hashes(hashes[low:high], SHINGLE))
+                        yield pa.RecordBatch.from_pydict(
+                            {"shingle": found.view(np.int64), "items": np.arange(len(found)) == 0}
+                        )
+
+    rows = items.select(F.col(item_id).alias("id"), F.col(text).alias("text")).dropna()
+    counted = settled(
+        rows.select("text")
+        .mapInArrow(shingles, "shingle long, items boolean")
+        .groupBy("shingle")
+        .agg(F.count("*").alias("having"), F.sum(F.col("items").cast("long")).alias("items"))
+    )
+    total = counted.agg(F.sum("items")).first()[0] or 0
+    several = counted.filter("having > 1").select("shingle", "having").toArrow()
+    common = several.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(common)
+    return Counts(total, common[order], several.column("having").to_numpy()[order])
+
+
 PAIRS = "item_id long, start_word int, bits int, similarity double"
 
 
@@ -235,9 +287,9 @@ def contaminated(
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
     schema = f"doc_id {kind}, {PAIRS}"
-    found = None
+    counts, found = item_counts(items, item_id, item_text), None
     for block in item_blocks(items, item_id, item_text):
-        index = Items.of(block)
+        index = Items.of(block, counts)
 
         def search(batches, known=index):
             seen = known.table()

@@ -164,6 +164,27 @@ def test_items_in_blocks(docs, items, monkeypatch):
     assert {k: v[0] for k, v in result(rows, bench).items()} == {k: v[0] for k, v in whole.items()}
 
 
+def test_similarities_do_not_depend_on_blocks(docs, items, monkeypatch):
+    rng = random.Random(4)
+    head = sentence(rng, 12)
+    texts = [[*head, *sentence(rng, 14 + i)] for i in range(8)]
+    bench = items(*((i, " ".join(t)) for i, t in enumerate(texts)))
+    rows = docs(
+        *((i, " ".join(t[cut:])) for i, (t, cut) in enumerate((t, c) for t in texts for c in range(0, 13))),
+        *((200 + i, " ".join([*texts[i - 1][:14], *t[14:]])) for i, t in enumerate(texts)),
+    )
+    whole = result(rows, bench)
+    assert 30 < len(whole) and len({v[2] for v in whole.values()}) > 10
+    index = decontam.Items.of([(i, hashed(" ".join(t))) for i, t in enumerate(texts)])
+    assert whole == {
+        (r.doc_id, m[0]): (m[1], m[2], round(m[3], 9))
+        for r in rows.collect() for m in index.matches(hashed(r.text), index.table())
+    }
+    for most in (1, 3):
+        monkeypatch.setattr(decontam.item_blocks, "__defaults__", (most, 500))
+        assert result(rows, bench) == whole
+
+
 def test_odd_rows(docs, items):
     passage = "one two three four five six seven eight nine ten"
     frame = docs((1, None), (2, ""), (None, passage), (3, "w " * 200_000 + passage), (4, passage), (4, passage), (5, "one two"))
