@@ -126,7 +126,12 @@ class Model:
 
     def word_scores(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Scores of each word by language, and the letters of each word."""
-        scores, sizes = [], []
+        return self._words(text)[:2]
+
+    def _words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores, letters, and letters in scripts that no language uses, of each word."""
+        strange = ~self.uses.any(axis=1)
+        scores, sizes, others = [], [], []
         for piece in _pieces(text):
             buckets, scripts, first = _letters(piece)
             if len(first) == 0:
@@ -138,19 +143,27 @@ class Model:
             found[known[:, None] & ~allowed] = -1e9
             scores.append(found)
             sizes.append(np.diff(first, append=len(buckets)))
+            others.append(np.add.reduceat(strange[scripts].astype(np.int64), first))
         if not scores:
-            return np.zeros((0, len(self.langs))), np.zeros(0, np.int64)
-        return np.concatenate(scores), np.concatenate(sizes)
+            return np.zeros((0, len(self.langs))), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate(scores), np.concatenate(sizes), np.concatenate(others)
 
     def label(self, text: str | None, penalty: float):
         """(language, score, labels, letters): a label for each word."""
-        scores, sizes = self.word_scores(text or "")
+        return self.label_with_shares(text, penalty)[:4]
+
+    def label_with_shares(self, text: str | None, penalty: float):
+        """As `label`; and the shares of the letters in spans of that language and in a script of some
+        language, and of the letters in other scripts."""
+        scores, sizes, strange = self._words(text or "")
         if len(scores) == 0 or not self.langs:
-            return UND, 0.0, np.zeros(0, np.int64), sizes
+            return UND, 0.0, np.zeros(0, np.int64), sizes, 0.0, 0.0
         labels = best_path(scores, penalty)
         letters = np.bincount(labels, weights=sizes, minlength=len(self.langs))
         best = int(letters.argmax())
-        return self.langs[best], float(letters[best] / letters.sum()), labels, sizes
+        own = float((sizes - strange)[labels == best].sum() / letters.sum())
+        other = float(strange.sum() / letters.sum())
+        return self.langs[best], float(letters[best] / letters.sum()), labels, sizes, own, other
 
 
 def best_path(scores: np.ndarray, penalty: float) -> np.ndarray:
@@ -242,14 +255,21 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 
 
 def identify(
-    docs: DataFrame, model: Model, text: str = "text", penalty: float = SWITCH_PENALTY
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    penalty: float = SWITCH_PENALTY,
+    shares: bool = False,
 ) -> DataFrame:
     """`docs` with `lang_pred`, `score` (share of the letters in spans of that language) and
-    `spans`: language, first word, number of words and letters of each run, in order."""
+    `spans`: language, first word, number of words and letters of each run, in order. With `shares`
+    also `own_share`, the score without letters in scripts that no learned language uses, and
+    `strange_share`, the share of these letters."""
     span = "struct<lang:string,first_word:int,words:int,letters:long>"
-    names, schema = appended(
-        docs, {"lang_pred": "string", "score": "double", "spans": f"array<{span}>"}
-    )
+    wanted = {"lang_pred": "string", "score": "double", "spans": f"array<{span}>"}
+    if shares:
+        wanted |= {"own_share": "double", "strange_share": "double"}
+    names, schema = appended(docs, wanted)
     at = docs.columns.index(text)
     spans_type = pa.list_(
         pa.struct(
@@ -275,9 +295,11 @@ def identify(
 
     def run(batches):
         for batch in batches:
-            langs, scores, spans = [], [], []
+            langs, scores, spans, own, strange = [], [], [], [], []
             for value in batch.column(at).to_pylist():
-                name, score, labels, sizes = model.label(value, penalty)
+                name, score, labels, sizes, *both = model.label_with_shares(value, penalty)
+                own.append(both[0])
+                strange.append(both[1])
                 langs.append(name)
                 scores.append(score)
                 spans.append(spans_of(labels, sizes))
@@ -286,6 +308,8 @@ def identify(
                 pa.array(scores, pa.float64()),
                 pa.array(spans, spans_type),
             ]
+            if shares:
+                made += [pa.array(own, pa.float64()), pa.array(strange, pa.float64())]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *made], names=[*batch.schema.names, *names]
             )

@@ -257,22 +257,23 @@ def links(rule: Rule, left: Tree, right: Tree | None = None) -> Iterator[tuple[i
 
 
 def _keyed(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(doc_id, n, key): size and hash of the shingle set of each row."""
+    """All columns but the text, and n and key: size and hash of the shingle set of each row."""
+    passed = [c for c in docs.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
             sets = list(rule.sets(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *(batch.column(c) for c in passed),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) for s in sets], pa.int64()),
                 ],
-                names=["doc_id", "n", "key"],
+                names=[*passed, "n", "key"],
             )
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, n long, key long")
+    kinds = dict(docs.dtypes)
+    return docs.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in passed), "n long, key long"]))
 
 
 def _routes(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -391,7 +392,26 @@ def similar_documents(
     """(doc_id, n_shingles, component_id) for each row; component_id is the smallest id that links
     lead to."""
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    routed = settled(_keyed(docs, rule))
+    return _grouped(docs, docs, rule).select(
+        F.col("doc_id").alias(doc_id),
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+    )
+
+
+def similar_texts(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component) for each row; equal components, which are null without
+    shingles, tell which texts links join, also for several texts of one id."""
+    docs = docs.select("doc_id", "text")
+    return _grouped(docs, docs.withColumn("text_hash", F.xxhash64("text")), rule).select(
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "component"
+    )
+
+
+def _grouped(docs: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
+    """The columns of `named`, which are those of `docs` and more, but for the text; n, component and
+    component_id."""
+    routed = settled(_keyed(named, rule))
     nodes = (
         routed.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("doc_id"))
     )
@@ -421,16 +441,6 @@ def similar_documents(
         .select("key", "n", "doc_id", F.coalesce("component", "key").alias("component"))
     )
     smallest = names.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_node = names.join(smallest, "component").select(
-        F.col("key"), F.col("n"), "component_id"
-    )
+    of_node = names.join(smallest, "component").select("key", "n", "component", "component_id")
     # A key that holds a third of all rows is one row here, so that AQE splits the other side.
-    return (
-        routed.select("doc_id", "n", "key")
-        .join(of_node, ["key", "n"], "left")
-        .select(
-            F.col("doc_id").alias(doc_id),
-            F.col("n").alias("n_shingles"),
-            F.coalesce("component_id", "doc_id").alias("component_id"),
-        )
-    )
+    return routed.join(of_node, ["key", "n"], "left").drop("key")

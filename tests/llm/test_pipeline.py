@@ -86,6 +86,31 @@ def test_run_is_the_stages(spark, sf_dir, inputs):
     assert sorted(map(str, whole.collect())) == sorted(map(str, inputs["end"].collect()))
 
 
+def test_scripts_that_no_language_uses(spark, sf_dir, docs):
+    german, english = "der Hund und die Katze sind im Haus ", "the dog and the cat are in the house "
+    rows = docs(
+        (1, german * 9, "de", "a"), (2, english * 9, "en", "a"), (3, "漢字の文章 " * 9, None, "a"),
+        (4, "собака и кошка в доме " * 9, None, "a"), (5, german * 3 + "собака и кошка " * 2, None, "a"),
+        (6, german + "собака и кошка " * 9, None, "a"), (7, english * 9 + "漢字", None, "a"),
+    )
+    got = {r.doc_id: r.lang for r in stages.language_id(spark, rows, sf_dir).collect()}
+    assert got == {1: "de", 2: "en", 5: "de", 7: "en"}
+
+
+def test_one_row_of_each_group(spark, sf_dir, docs):
+    one, other, third = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = docs(
+        (1, one, "en", "a"), (1, one, "en", "b"), (1, one, "en", "a"), (2, other), (3, other), (3, third),
+        (4, one + " x"), (5, ""), (5, ""), (5, None), (6, None), (2, third + " y"), (None, other), (None, "z"),
+        (None, "z"), (8, "d " + other), (8, "only this"),
+    )
+    got = [(r.doc_id, r.text) for r in stages.near_duplicates(spark, rows, sf_dir).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, one), (2, other), (2, third + " y"), (5, ""), (5, None), (6, None), (None, "z"), (8, "only this")],
+        key=str,
+    )
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
 def test_odd_rows(spark, sf_dir, docs, name, stage):
     text = "the quick brown fox jumps over the lazy dog and runs away from the cat"
