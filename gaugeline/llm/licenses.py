@@ -31,6 +31,21 @@ SIMILAR = 0.8
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 # Wording of public licence notices.
+_BSD_LINE = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met:"
+)
+_BSD_TWO = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution."
+)
+_BSD_END = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY "
+    "AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+)
 TEMPLATES = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
@@ -55,12 +70,46 @@ TEMPLATES = {
         "the GNU General Public License as published by the Free Software Foundation, either version "
         "3 of the License, or (at your option) any later version.",
     ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version.",
+    ],
     "LGPL-3.0": [
         "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+        "version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.0": [
+        "This work is licensed under the GNU Library General Public License, version 2.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU Library General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU Affero General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ],
+    # the line that the BSD licences share, which does not tell which of them it is
+    "BSD": [_BSD_LINE],
+    "BSD-2-Clause": [
+        f"{_BSD_LINE} {_BSD_TWO} {_BSD_END}",
+        f"{_BSD_TWO} {_BSD_END}",
     ],
     "BSD-3-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are "
-        "permitted provided that the following conditions are met:",
+        f"{_BSD_LINE} {_BSD_TWO} 3. Neither the name of the copyright holder nor the names of its "
+        "contributors may be used to endorse or promote products derived from this software without "
+        f"specific prior written permission. {_BSD_END}",
         "Neither the name of the copyright holder nor the names of its contributors may be used to "
         "endorse or promote products derived from this software without specific prior written "
         "permission.",
@@ -89,6 +138,35 @@ TEMPLATES = {
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International "
         "License.",
     ],
+    "CC-BY-ND-4.0": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International "
+        "License.",
+    ],
+    "CC-BY-NC-SA-4.0": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License.",
+    ],
+    "CC-BY-NC-ND-4.0": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+        "International License.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to "
+        "copy, modify, publish, use, compile, sell, or distribute this software, either in source code "
+        "form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "EPL-2.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0",
+    ],
+    "EPL-1.0": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License v1.0 which accompanies this distribution, and is available at "
+        "http://www.eclipse.org/legal/epl-v10.html",
+    ],
     "CC0-1.0": [
         "To the extent possible under law, the author has waived all copyright and related or "
         "neighboring rights to this work.",

@@ -67,6 +67,33 @@ def test_notices_inside_texts():
     assert [m[0] for m in scanner.matches(b"Licensed under CC BY 4.0.")] == ["CC-BY-4.0"]
 
 
+def test_siblings_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    header = (
+        "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
+        "Public License as published by the Free Software Foundation; either version {} of the License, or (at "
+        "your option) any later version."
+    )
+    for licence, what, kind, version in (
+        ("GPL-2.0", "program", "", "2"), ("GPL-3.0", "program", "", "3"), ("LGPL-2.0", "library", "Library ", "2"),
+        ("LGPL-2.1", "library", "Lesser ", "2.1"), ("LGPL-3.0", "program", "Lesser ", "3"),
+        ("AGPL-3.0", "program", "Affero ", "3"),
+    ):
+        text = f"a b {header.format(what, kind, version)} c d"
+        assert [m[0] for m in scanner.matches(text.encode())] == [licence]
+        text = f"This work is licensed under the GNU {kind}General Public License, version {version}."
+        assert [m[0] for m in scanner.matches(text.encode())] == [licence]
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            assert [m[0] for m in scanner.matches(f"x y {text} z".encode())] == [name]
+    two, three = (licenses.TEMPLATES[f"BSD-{n}-Clause"][0] for n in (2, 3))
+    for text, name, other in ((two, "BSD-2-Clause", "BSD-3-Clause"), (three, "BSD-3-Clause", "BSD-2-Clause")):
+        changed = text.replace("copyright notice", "copyright note", 1).replace("HOLDERS AND CONTRIBUTORS", "OWNERS")
+        changed += " IN NO EVENT SHALL THE OWNERS BE LIABLE"
+        got = {m[0] for m in scanner.matches(changed.encode())}
+        assert name in got and other not in got
+
+
 def test_clean_texts_match_nothing():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for text in (None, b"", b"mit", b"the license", b"this work is licensed to nobody in particular at all"):
