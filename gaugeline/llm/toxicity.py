@@ -29,8 +29,6 @@ from gaugeline.llm.common import appended
 BUCKETS = 1 << 18
 #: Labelled rows of each class that the fit reads at most, taken by the smallest hash of the id.
 FIT_ROWS = 4000
-#: Features of a text that the fit (not the scoring) reads at most, by smallest bucket.
-FIT_WORDS = 4000
 GRADES = 3
 #: Sizes of the stems, in bytes.
 STEMS = (4, 5)
@@ -150,7 +148,7 @@ def fit(
     toxic: str = "toxic",
     rows_per_class: int = FIT_ROWS,
 ) -> Model:
-    """Fit on at most `rows_per_class` labelled documents of each class. Classes weigh as much as
+    """Fit on all features of at most `rows_per_class` labelled documents of each class. Classes weigh as much as
     their share among all labels, so thresholds fit the whole table."""
     marked = (
         labels.select(F.col(doc_id).alias("id"), F.col(toxic).alias("toxic"))
@@ -178,8 +176,8 @@ def fit(
                 {
                     "id": batch.column("id").cast(pa.int64()),
                     "toxic": pa.array([int(x > 0) for x in batch.column("toxic").to_pylist()], pa.int32()),
-                    "keys": [k[:FIT_WORDS].astype(np.int32).tobytes() for k, _ in made],
-                    "vals": [v[:FIT_WORDS].astype(np.float32).tobytes() for _, v in made],
+                    "keys": [k.astype(np.int32).tobytes() for k, _ in made],
+                    "vals": [v.astype(np.float32).tobytes() for _, v in made],
                 }
             )
 

@@ -72,6 +72,20 @@ def test_odd_rows(spark, docs, clashing):
     assert got.filter("doc_id = 1").select("severity_").distinct().count() == 1
 
 
+def test_fit_reads_all_features_of_long_texts(spark, docs):
+    words = [f"u{i}" for i in range(9000)]
+    bad = max((f"zk{i}" for i in range(4000)), key=lambda w: toxicity.features(w.encode())[0].min())
+    rows = [(i, " ".join([*words[i : 8000 + i], *[bad] * (i % 2)])) for i in range(60)]
+    cut = np.sort(toxicity.features(rows[1][1].encode())[0])[4000]
+    assert toxicity.features(bad.encode())[0].min() > cut
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.fit(docs(*rows), labels)
+    assert (model.weights[toxicity.features(bad.encode())[0]] > 0).any()
+    got = toxicity.score(docs((1, bad), (2, words[5])), model)
+    severe = {r.doc_id: r.severity for r in got.collect()}
+    assert severe[1] > severe[2] + 0.3
+
+
 @pytest.mark.parametrize("labels", [[], [(0, 1)], [(0, 0), (1, None)]])
 def test_without_both_classes_nothing_is_flagged(spark, docs, labels):
     rows = docs((0, "stupid"), (1, "fine"))
