@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontam, iblt, langid, licenses, linededup, mixing, mixlm, sigtree, toxicity, warc
+from gaugeline.llm import (
+    decontam,
+    iblt,
+    langid,
+    licenses,
+    linededup,
+    mixing,
+    mixlm,
+    prefix_bpe,
+    repair,
+    sigtree,
+    toxicity,
+    warc,
+    whitening,
+)
 from gaugeline.llm.common import id_bucket, table
 
 
@@ -87,6 +101,54 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixlm.scores(table(spark, sf_dir, "documents"), training)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by a byte-level vocabulary and decoded again."""
+    import public_tokenizers
+
+    ranks = prefix_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = prefix_bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    return prefix_bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(prefix_bpe.packed("ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the leading components of the distinct ones, in steps of 1/64."""
+    fine = whitening.usable(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    steps = F.transform("embedding", lambda c: F.floor(64 * c.cast("double")) + F.lit(1_000_000))
+    rows = fine.select("vec_id", steps.alias("x"))
+    model = whitening.fit(rows.select("x").distinct(), "x")
+    n, sums = F.lit(model.n).cast("long"), F.array(*[F.lit(s).cast("long") for s in model.sums])
+    apart = F.zip_with("x", sums, lambda x, s: F.try_subtract(F.try_multiply(n, x), s))
+    # null where it does not fit a long
+    deviation = F.aggregate(
+        apart, F.lit(0).cast("long"), lambda total, a: F.try_add(total, F.try_multiply(a, a))
+    )
+    total = model.trace or 1.0
+    explained = F.array(*[F.lit(float(e) / total) for e in model.values]).cast("array<double>")
+    found = whitening.whiten(rows.select("*", deviation.alias("deviation")), model, "x").select(
+        "vec_id", "deviation", F.posexplode("whitened").alias("place", "whitened")
+    )
+    return found.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        n.alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("place")).alias("explained"),
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation, after known damage to its rows."""
+    return repair.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -98,4 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_decontamination": op9_decontamination,
     "op10_warc": op10_warc,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_whitening": op12_whitening,
+    "op13_conversation_repair": op13_conversation_repair,
 }

@@ -1,0 +1,160 @@
+"""Conversation repair against a search over all edits, and odd rows."""
+
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.llm import repair
+from gaugeline.llm.queries import op13_conversation_repair
+
+KIND = "conv_id long, turn long, role string, text string"
+WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+STEPS = {("0", "s"): "S", ("0", "u"): "U", ("S", "u"): "U", ("U", "a"): "A", ("A", "u"): "U"}
+
+
+def broken(rows):
+    """Rows of one conversation after the damage, in order."""
+    found = []
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        fault = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        found += [(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return sorted(found, key=lambda r: (r[0] is not None, r[0] or 0, digest(r)))
+
+
+def digest(row):
+    return hashlib.sha256(f"{len(row[1])}:{row[1]}{row[2]}".encode()).digest()
+
+
+def searched(rows):
+    """Counts and the cheapest edits, by Dijkstra over whole repairs."""
+    counts = dict.fromkeys(("blank", "duplicate", "truncated"), 0)
+    faults, seen = [], set()
+    for _, role, text in rows:
+        end = text.rstrip(WHITE)
+        fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else ""
+        if fault:
+            counts[fault] += 1
+        faults.append(fault)
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    counts["gaps"] = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [role[:1] for _, role, _ in rows]
+    counts["illegal"] = sum(a + b not in ("su", "ua", "au") for a, b in itertools.pairwise(initials))
+    todo, done = [(0, "", 0, "0", ())], set()
+    while True:
+        cost, audit, at, state, made = heapq.heappop(todo)
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        if at == len(rows) and state in "0A":
+            assert re.fullmatch("(s?(ua)+)?", "".join(role[:1] for role, _ in made))
+            text = "\n".join(f"{role}:{text}" for role, text in made)
+            return counts | {"cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256(text.encode()).hexdigest()}
+        for role in ("user", "assistant"):
+            if to := STEPS.get((state, role[0])):
+                heapq.heappush(todo, (cost + 2, audit + "I", at, to, (*made, (role, ""))))
+        if at == len(rows):
+            continue
+        _, role, text = rows[at]
+        heapq.heappush(todo, (cost + 3, audit + "D", at + 1, state, made))
+        if faults[at] not in ("blank", "duplicate"):
+            more = int(faults[at] == "truncated")
+            if to := STEPS.get((state, role[:1])) if role else state:
+                heapq.heappush(todo, (cost + more, audit + "K", at + 1, to, (*made, (role, text))))
+            for other in ("user", "assistant"):
+                if to := STEPS.get((state, other[0])):
+                    heapq.heappush(todo, (cost + 2 + more, audit + "R", at + 1, to, (*made, (other, text))))
+
+
+def check(frame, result):
+    groups = defaultdict(list)
+    for row in frame.select("conv_id", "turn", "role", "text").collect():
+        groups[row.conv_id].append(tuple(row))
+    got = [r.asDict() for r in result.collect()]
+    assert len(got) == len(groups)
+    for row in got:
+        assert row == searched(broken(groups[row["conv_id"]])) | {"conv_id": row["conv_id"]}
+
+
+def test_query_against_search(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    assert frame.count() > 0
+    check(frame, op13_conversation_repair(spark, sf_dir))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rng, rows = random.Random(3), []
+    roles = ["user", "assistant", "system", "tool", "", None, "user", "assistant", "Sam", "ulf"]
+    texts = ["a.", "b!", "c", "", None, " \n", "d? ", "é…", "long text " * 300]
+    for conv in [*range(200), None]:
+        for _ in range(rng.randint(1, 14)):
+            rows.append((conv, rng.choice([None, 0, 1, 2, 3, 4, 5, 9]), rng.choice(roles), rng.choice(texts)))
+    for i in range(700):  # a long one
+        rows.append((1000, i % 500, rng.choice(["user", "assistant", "system"]), rng.choice(["x.", "y", f"z{i}!", f"w{i}"])))
+    return spark.createDataFrame(rows, KIND)
+
+
+@pytest.mark.parametrize("longest", [1, 3, 256])
+def test_odd_rows_in_pieces(odd, longest):
+    """Pieces of any size, cut anywhere, give the same repair."""
+    clashing = odd.withColumn("audit", F.lit("own")).withColumn("digest", F.lit(1)).repartition(7)
+    check(odd, repair.repair(repair.damaged(clashing), "times", longest))
+
+
+def test_pieces_are_cut_where_tasks_end(spark, odd):
+    from gaugeline.session import settings
+
+    with settings(spark, spark__sql__shuffle__partitions="40", spark__sql__adaptive__coalescePartitions__enabled="false"):
+        pieces = repair._pieces(repair._flagged(repair.damaged(odd).filter("times > 0")), 256)
+        assert pieces.filter("conv_id = 1000").count() > 5
+        check(odd, repair.repair(repair.damaged(odd), "times"))
+
+
+def test_nodes_are_shared():
+    made = []
+    plain = repair._prepended
+    try:
+        repair._prepended = lambda symbol, node: made.append(symbol) or plain(symbol, node)
+        words = sorted({"".join(w) for n in range(5) for w in itertools.product("uax", repeat=n)})
+        found = dict(repair.solve(iter(words)))
+    finally:
+        repair._prepended = plain
+    assert len(found) == len(words) and len(made) == 3 + 9 + 27 + 81  # one for each suffix
+    assert found["au"][0][repair._ASSISTANT] == (0, "KK")
+
+
+def test_dropped_and_empty(spark):
+    gone = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
+    frame = spark.createDataFrame([(gone, 0, "user", "Hi.")], KIND)
+    [row] = repair.damaged_and_repaired(frame).collect()
+    assert (row.cost, row.audit, row.gaps) == (0, "", 0)
+    assert row.repaired_sha256 == hashlib.sha256(b"").hexdigest()
+    assert repair.damaged_and_repaired(frame.limit(0)).count() == 0
+
+
+def test_repair_without_damage(spark):
+    rows = [(1, 0, "user", "Hi."), (1, 1, "user", "There?"), (1, 2, "assistant", "Yes")]
+    [row] = repair.repair(spark.createDataFrame(rows, KIND)).collect()
+    assert (row.cost, row.audit, row.illegal, row.truncated) == (3, "KIKK", 1, 1)
+
+
+def test_many_equal_rows_are_one(spark):
+    rows = spark.range(20_000).select(
+        F.lit(1).cast("long").alias("conv_id"), F.lit(2).cast("long").alias("turn"), F.lit("user").alias("role"), F.lit("Hi.").alias("text")
+    )
+    [row] = repair.repair(rows).collect()
+    assert row.duplicate == 19_999 and row.cost == 3 * 19_999 + 2
+    assert row.audit == "K" + "D" * 19_999 + "I"
