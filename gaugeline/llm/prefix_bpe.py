@@ -27,19 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.llm.common import appended
 
 #: Bytes of all tokens together that a vocabulary may have.
 MOST_BYTES = 64 << 20
 #: Matches whose encoding a task remembers, and how long they may be.
-REMEMBERED, REMEMBERED_CHARS = 1 << 18, 48
+REMEMBERED, REMEMBERED_CHARS = 1 << 17, 48
 #: Prefixes of matches of which a task remembers the last token, and pairs of tokens of which it remembers
 #: whether they may follow each other.
-PREFIXES, PAIRS = 1 << 19, 1 << 20
+PREFIXES, PAIRS = 1 << 17, 1 << 18
 #: Bytes of text that are encoded to one batch of results.
 BATCH_BYTES = 8 << 20
 #: A match depends on the text up to so many characters behind it.
@@ -405,8 +403,9 @@ def _binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
-    """`docs` with `decoded`, the bytes of the ids."""
-    names, schema = appended(docs, {"decoded": "binary"})
+    """`docs` with `decoded`, the bytes of the ids, and `packed`, the ids as little-endian unsigned 32-bit
+    integers, the form in which training reads them."""
+    names, schema = appended(docs, {"decoded": "binary", "packed": "binary"})
     at, sent = docs.columns.index(ids), _shared(docs.sparkSession, ranks)
 
     def run(batches):
@@ -423,19 +422,9 @@ def decode(docs: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFr
             np.cumsum(size[values], out=places[1:])
             held = taken.buffers()[2]
             raw = np.frombuffer(held, np.uint8)[: places[-1]] if held is not None else np.zeros(0, np.uint8)
+            made = [_binaries(raw, places[ends]), _binaries(values.astype("<u4"), ends * 4)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, _binaries(raw, places[ends])], names=[*batch.schema.names, *names]
+                [*batch.columns, *made], names=[*batch.schema.names, *names]
             )
 
     return docs.mapInArrow(run, schema)
-
-
-def packed(ids: str | Column) -> Column:
-    """Ids as little-endian unsigned 32-bit integers, the form in which training reads them."""
-
-    @F.arrow_udf(BinaryType())
-    def pack(column: pa.Array) -> pa.Array:
-        values, ends = _flat(column)
-        return _binaries(values.astype("<u4"), ends * 4)
-
-    return pack(ids)

@@ -111,7 +111,7 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_bpe.decode(encoded, ranks).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(prefix_bpe.packed("ids"), 256).alias("ids_sha256"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 

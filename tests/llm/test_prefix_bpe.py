@@ -147,8 +147,8 @@ def test_odd_rows(spark, docs, clashing, ranks, monkeypatch):
     encoded = prefix_bpe.encode(frame, ranks, PATTERN, tables=True)
     assert encoded.columns[-4:] == ["ids", "decoded", "ids_", "last_tokens"]
     back = prefix_bpe.decode(encoded, ranks, "ids_")
-    assert back.columns[-1] == "decoded_"
-    rows = back.withColumn("packed", prefix_bpe.packed("ids_")).collect()
+    assert back.columns[-2:] == ["decoded_", "packed"]
+    rows = back.collect()
     assert len(rows) == 7
     for row in rows:
         assert bytes(row.decoded_).decode() == (row.text or "") and row.ids == "kept ids"
