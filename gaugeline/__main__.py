@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from gaugeline.operators.retention import ARCHIVE_DAYS
 from gaugeline.session import spark_session
@@ -45,6 +45,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         help="tables whose streams are in use; days they have not read stay",
     )
     keep.add_argument("--as-of", type=datetime.fromisoformat, default=None)
+    keep.add_argument("--grace-hours", type=float, default=24, help="how long reads may take that have begun")
 
     args = parser.parse_args(argv)
     if args.job == "stream" and args.broker and not args.topic:
@@ -65,7 +66,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.replay(spark, pipeline)
     elif args.job == "retain":
         as_of = args.as_of or datetime.now(timezone.utc)
-        for folder in jobs.drop_old(spark, pipeline, as_of, args.archive_days, args.consumers):
+        grace = timedelta(hours=args.grace_hours)
+        for folder in jobs.drop_old(spark, pipeline, as_of, args.archive_days, args.consumers, grace):
             print(f"removed {folder}")
     else:
         if args.files:

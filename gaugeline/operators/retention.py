@@ -1,16 +1,15 @@
-"""Retention: read views without expired rows, and removal of expired date partitions."""
+"""Retention: read views without expired rows, and removal of expired days."""
 
 from __future__ import annotations
 
 from collections.abc import Collection
 from datetime import date, datetime, timedelta
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.predicates import time_bound
-from gaugeline.session import file_system
+from gaugeline.sources.days import GRACE, clear_days, day_folders, newest_files, note_days, read_days
 
 # Days kept.
 POINT_DAYS = 7
@@ -31,33 +30,22 @@ def first_kept_day(days: int, as_of: datetime) -> date:
 
 def expired_partitions(spark: SparkSession, path: str, days: int, as_of: datetime) -> list[str]:
     """date=... folders of a table, at its root or below one partition level, that end before
-    as_of - days. Lists folders only; never looks below names that start with an underscore."""
-    fs, root = file_system(spark, path)
-    if not fs.exists(root):
-        return []
-    first_kept = first_kept_day(days, as_of)
-    found = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if not status.isDirectory() or name.startswith(("_", ".")):
-            continue
-        if name.startswith("date="):
-            found.append(status)
-        elif "=" in name:
-            found.extend(
-                s for s in fs.listStatus(status.getPath())
-                if s.isDirectory() and s.getPath().getName().startswith("date=")
-            )
-    expired = []
-    for status in found:
-        value = unquote(status.getPath().getName().removeprefix("date="))
-        try:
-            day = date.fromisoformat(value)
-        except ValueError:
-            continue  # the null partition holds rows without a date: nothing says they are old
+    as_of - days and have files that still count."""
+    return sorted(folder for found in _expired(spark, path, days, as_of).values() for folder in found[1])
+
+
+def _expired(
+    spark: SparkSession, path: str, days: int, as_of: datetime
+) -> dict[date, tuple[int, list[str]]]:
+    """Newest file and folders of the expired days that have files which still count."""
+    first_kept, noted = first_kept_day(days, as_of), read_days(spark, path)
+    found = {}
+    for day, folders in day_folders(spark, path).items():
         if day < first_kept:
-            expired.append(status.getPath().toString())
-    return sorted(expired)
+            newest = newest_files(spark, folders)
+            if newest is not None and (day not in noted or newest > noted[day].upto):
+                found[day] = (newest, folders)
+    return found
 
 
 def drop_expired(
@@ -66,18 +54,13 @@ def drop_expired(
     days: int,
     as_of: datetime,
     keep: Collection[date] = (),
+    grace: timedelta = GRACE,
 ) -> list[str]:
-    """Remove expired date partitions but those in ``keep`` and return what was removed, for the
-    job's log. A streaming sink's log still names the removed files: read such a table from the first
-    kept day on."""
-    kept = {f"date={day.isoformat()}" for day in keep}
-    removed = [
-        folder
-        for folder in expired_partitions(spark, path, days, as_of)
-        if unquote(folder.rstrip("/").rpartition("/")[2]) not in kept
-    ]
-    for folder in removed:
-        fs, hadoop_path = file_system(spark, folder)
-        if not fs.delete(hadoop_path, True):
-            raise OSError(f"could not remove {folder}")
-    return removed
+    """Take expired days but those in ``keep`` out of a table that batch jobs write, and return their
+    folders, for the job's log. Reads that start later leave them out; files are deleted once the grace period
+    is over, by this call or a later one."""
+    gone = {d: f for d, f in _expired(spark, path, days, as_of).items() if d not in set(keep)}
+    if gone:
+        note_days(spark, path, {day: newest for day, (newest, _) in gone.items()})
+    clear_days(spark, path, grace)
+    return sorted(folder for _, folders in gone.values() for folder in folders)

@@ -429,9 +429,7 @@ def pipeline_replay_after_retention(spark, sf_dir):
     jobs.replay(spark, pipeline, repair)
     jobs.drop_old(spark, pipeline, EVENTS_END, POINT_DAYS, consumers=())
     jobs.replay(spark, pipeline, repair)
-    rows = read_table(
-        spark, pipeline.path("replayed"), pipeline.raw_schema, pipeline.partition_by("replayed")
-    )
+    rows = jobs.read(spark, pipeline, "replayed")
     return rows.select("offset", "well_id", *SENSORS)
 
 

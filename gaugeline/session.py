@@ -90,3 +90,36 @@ def write_note(spark: SparkSession, path: str, text: str) -> None:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
+
+
+#: Earlier numbers that stay, for readers that have just listed them.
+_KEPT_NUMBERS = 3
+
+
+def _numbers(fs, folder) -> list[int]:
+    if not fs.exists(folder):
+        return []
+    names = (status.getPath().getName() for status in fs.listStatus(folder))
+    return sorted(int(name) for name in names if name.isdigit())
+
+
+def read_latest(spark: SparkSession, folder: str) -> str | None:
+    """The text that write_latest wrote last; None if there is none."""
+    fs, path = file_system(spark, folder)
+    numbers = _numbers(fs, path)
+    return read_note(spark, f"{folder}/{numbers[-1]}") if numbers else None
+
+
+def write_latest(spark: SparkSession, folder: str, text: str) -> None:
+    """Write a text under the next number, whole or not at all: it gets its name once it is written."""
+    fs, path = file_system(spark, folder)
+    numbers = _numbers(fs, path)
+    number = numbers[-1] + 1 if numbers else 0
+    unnamed = f"{folder}/_{uuid.uuid4().hex}"
+    write_note(spark, unnamed, text)
+    _, source = file_system(spark, unnamed)
+    _, target = file_system(spark, f"{folder}/{number}")
+    if fs.exists(target) or not fs.rename(source, target):
+        raise OSError(f"could not write {folder}/{number}; does another job write there?")
+    for old in numbers[:-_KEPT_NUMBERS]:
+        fs.delete(file_system(spark, f"{folder}/{old}")[1], False)

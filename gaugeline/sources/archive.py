@@ -13,6 +13,7 @@ from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from gaugeline.functions.predicates import day_of
 from gaugeline.session import read_note, write_note
+from gaugeline.sources.days import counting, read_days
 
 # One folder per day and well suits fleets whose wells fill a file a day. Larger fleets use the
 # bucket layout: a fixed number of folders a day, and wells are found by bucket, then by the
@@ -96,26 +97,34 @@ def _partitions_last(schema: StructType, partition_by: Sequence[str]) -> StructT
     return StructType([*data, *(schema[name] for name in partition_by)])
 
 
+def read_files(
+    spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """All rows in the files of a table, with ``_metadata``."""
+    return spark.read.schema(_partitions_last(schema, partition_by)).parquet(path)
+
+
 def read_table(
     spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    reader = spark.read.schema(_partitions_last(schema, partition_by))
-    return reader.parquet(path).select(*schema.names)
+    """A table without the days that retention has taken out."""
+    files = read_files(spark, path, schema, partition_by)
+    return counting(files, read_days(spark, path)).select(*schema.names)
 
 
-def stream_table(
+def stream_files(
     spark: SparkSession,
     path: str,
     schema: StructType,
     partition_by: Sequence[str] = (),
     max_files: int = 1000,
 ) -> DataFrame:
+    """A table as a stream of its files, with ``_metadata``."""
     reader = spark.readStream.schema(_partitions_last(schema, partition_by))
     return (
         reader.option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", MAX_FILE_AGE)
         .parquet(path)
-        .select(*schema.names)
     )
 
 

@@ -13,7 +13,8 @@ from __future__ import annotations
 import warnings
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass, field, replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,19 +47,27 @@ from gaugeline.operators.retention import (
     DEAD_LETTER_DAYS,
     LEDGER_DAYS,
     POINT_DAYS,
-    drop_expired,
     first_kept_day,
 )
 from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, SOURCE_KEYS, Rule
-from gaugeline.session import file_system, read_note, write_note
-from gaugeline.streaming.progress import files_read
+from gaugeline.session import file_system
+from gaugeline.sources.days import (
+    GRACE,
+    Days,
+    clear_days,
+    counting,
+    note_days,
+    read_days,
+    write_days,
+)
+from gaugeline.streaming.progress import files_read, files_written
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
     BUCKETS,
     clustered,
     fix_buckets,
-    read_table,
-    stream_table,
+    read_files,
+    stream_files,
     with_partitions,
     write_archive,
 )
@@ -258,54 +267,68 @@ def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
 
 
 def table_stream(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
-    """A table of the pipeline as a stream, which may start before the table has rows."""
+    """A table of the pipeline as a stream, which may start before the table has rows. It leaves out files that no
+    longer count when it starts, and reads every file that comes later, also for a day that
+    retention has taken out."""
     fs, path = file_system(spark, pipeline.path(table))
     fs.mkdirs(path)
-    rows = stream_table(
-        spark,
-        pipeline.path(table),
-        pipeline.schema_of(table),
-        pipeline.partition_by(table),
-        pipeline.max_files,
+    schema = pipeline.schema_of(table)
+    files = stream_files(
+        spark, pipeline.path(table), schema, pipeline.partition_by(table), pipeline.max_files
     )
-    return _from_first_kept(spark, pipeline, table, rows)
+    for folder in folders_of(table):
+        days = read_days(spark, pipeline.path(folder))
+        files = counting(files, days, folder.partition("/")[2])
+    return files.select(*schema.names)
 
 
-def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
-    """A table of the pipeline, empty if nothing was written yet."""
-    fs, path = file_system(spark, pipeline.path(table))
-    schema = pipeline.schema_of(table)
-    if not fs.exists(path):
-        return spark.createDataFrame([], schema)
-    rows = read_table(spark, pipeline.path(table), schema, pipeline.partition_by(table))
-    return _from_first_kept(spark, pipeline, table, rows)
+def folders_of(table: str) -> list[str]:
+    """The folders of a table that retention and rewriting treat apart, by their path in the base."""
+    return [folder for folder in KEPT_DAYS if folder.partition("/")[0] == table]
 
 
-def _first_kept_file(pipeline: Pipeline, folder: str) -> str:
-    return f"{pipeline.base.rstrip('/')}/_first_kept/{folder.replace('/', '-')}"
+def rewritten_path(pipeline: Pipeline, folder: str) -> str:
+    """Where rewritten days of a folder lie: plain Parquet without a sink's log."""
+    return pipeline.path(f"rewritten/{folder}")
 
 
-def _first_kept(spark: SparkSession, pipeline: Pipeline, folder: str) -> date | None:
-    day = read_note(spark, _first_kept_file(pipeline, folder))
-    return date.fromisoformat(day) if day else None
+def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
+    """A table of the pipeline, empty if nothing was written yet: the files that its stream has written,
+    but for days that retention has taken out and for days that were rewritten, of which it reads the
+    rewritten rows."""
+    schema = pipeline.schema_of(table)
+    notes = {folder: read_days(spark, pipeline.path(folder)) for folder in folders_of(table)}
+    parts = []
+    fs, path = file_system(spark, pipeline.path(table))
+    if fs.exists(path):
+        files = read_files(spark, pipeline.path(table), schema, pipeline.partition_by(table))
+        for folder, days in notes.items():
+            files = counting(files, days, folder.partition("/")[2])
+        parts.append(files.select(*schema.names))
+    for folder, days in notes.items():
+        rows = _read_rewritten(spark, pipeline, folder, days)
+        if rows is not None:
+            parts.append(rows.select(*schema.names))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _from_first_kept(
-    spark: SparkSession, pipeline: Pipeline, table: str, rows: DataFrame
-) -> DataFrame:
-    """Rows from the first day on that retention has left. Only files of removed days may be
-    missing; the filter on their folders keeps these from being opened, and any other file that
-    is missing is an error."""
-    for folder in pipeline.kept_days:
-        name, _, part = folder.partition("/")
-        first = _first_kept(spark, pipeline, folder) if name == table else None
-        if first is not None:
-            kept = F.col("date").isNull() | (F.col("date") >= F.lit(first))
-            if part:
-                column, _, value = part.partition("=")
-                kept = (F.col(column) != value) | kept
-            rows = rows.filter(kept)
-    return rows
+def _read_rewritten(
+    spark: SparkSession, pipeline: Pipeline, folder: str, days: Days
+) -> DataFrame | None:
+    root = rewritten_path(pipeline, folder)
+    paths = [
+        f"{root}/date={day.isoformat()}/gen={noted.generation}"
+        for day, noted in days.items()
+        if noted.generation is not None
+    ]
+    if not paths:
+        return None
+    schema = pipeline.schema_of(folder.partition("/")[0])
+    data = [f for f in schema.fields if f.name != "date"]
+    stored = StructType([*data, schema["date"], StructField("gen", StringType())])
+    return spark.read.schema(stored).option("basePath", root).parquet(*paths)
 
 
 def raw_stream(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
@@ -403,8 +426,11 @@ def drop_old(
     as_of: datetime,
     archive_days: int | None = None,
     consumers: Collection[str] = ("anomalies", "points", "breaches", "alerts"),
+    grace: timedelta = GRACE,
 ) -> list[str]:
-    """Apply retention to every table; checkpoints are never touched. Returns what was removed.
+    """Apply retention to every table; checkpoints are never touched. Returns the days that were
+    taken out. Reads that start later leave them out; their files are deleted once the grace period is
+    over, by this run or a later one.
 
     A day stays, with a warning, while it has a file that one of the streams in ``consumers`` has
     not passed yet. Name only the streams that are in use.
@@ -415,44 +441,76 @@ def drop_old(
         days |= dict.fromkeys(("readings/route=raw", "replayed", "anomalies"), archive_days)
     removed = []
     for folder, kept in days.items():
-        waiting = _unread_days(spark, pipeline, folder, first_kept_day(kept, as_of), consumers)
+        path, noted = pipeline.path(folder), read_days(spark, pipeline.path(folder))
+        files, first = _files(spark, pipeline, folder), first_kept_day(kept, as_of)
+        noted = _without_past(spark, pipeline, folder, noted, files)
+        expired = counted_files(files, noted).filter(F.col("day") < F.lit(first))
+        newest = {r["day"]: r["upto"] for r in expired.groupBy("day").agg(F.max("modified").alias("upto")).collect()}
+        newest |= {
+            day: max(noted[day].upto, newest.get(day, 0))
+            for day in noted
+            if day < first and noted[day].generation is not None
+        }
+        waiting = unread_days(spark, pipeline, folder, expired, consumers) if newest else set()
         if waiting:
             warnings.warn(f"{folder}: {len(waiting)} days have files not read yet", stacklevel=2)
-        gone = drop_expired(spark, pipeline.path(folder), kept, as_of, waiting)
+        gone = {day: upto for day, upto in newest.items() if day not in waiting}
         if gone:
-            first = min([first_kept_day(kept, as_of), *waiting])
-            _keep_from(spark, pipeline, folder, first)
-        removed += gone
+            note_days(spark, path, gone)
+        clear_days(spark, path, grace, rewritten_path(pipeline, folder))
+        removed += [f"{path}/date={day.isoformat()}" for day in sorted(gone)]
     return removed
 
 
-def _keep_from(spark: SparkSession, pipeline: Pipeline, folder: str, first: date) -> None:
-    day = max(first, _first_kept(spark, pipeline, folder) or first)
-    write_note(spark, _first_kept_file(pipeline, folder), day.isoformat())
-
-
-def _unread_days(
+def _files(spark: SparkSession, pipeline: Pipeline, folder: str) -> DataFrame:
+    """(path, size, modified, day) of the files that were written to a folder of a table."""
+    table, _, part = folder.partition("/")
+    place = F.regexp_extract("path", f"{part}/date=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1)
+    written = files_written(spark, pipeline.path(table)).withColumn("day", F.try_to_date(place))
+    return written.filter("day is not null")
+
+
+def counted_files(files: DataFrame, days: Days) -> DataFrame:
+    """The files that still count. Notes of days are as few as days."""
+    if not days:
+        return files
+    rows = [(day, noted.upto) for day, noted in days.items()]
+    upto = files.sparkSession.createDataFrame(rows, "day date, upto long")
+    kept = files.join(F.broadcast(upto), "day", "left").filter("upto is null or modified > upto")
+    return kept.drop("upto")
+
+
+def _without_past(
+    spark: SparkSession, pipeline: Pipeline, folder: str, days: Days, files: DataFrame
+) -> Days:
+    """Forget the days whose files are deleted and have left the sink's log as well."""
+    done = [day for day, noted in days.items() if noted.cleared and noted.generation is None]
+    if not done:
+        return days
+    named = {r["day"] for r in files.select("day").distinct().collect()}
+    left = {day: noted for day, noted in days.items() if day not in done or day in named}
+    if len(left) < len(days):
+        write_days(spark, pipeline.path(folder), left)
+    return left
+
+
+def unread_days(
     spark: SparkSession,
     pipeline: Pipeline,
     folder: str,
-    before: date,
+    files: DataFrame,
     consumers: Collection[str],
-) -> list[date]:
-    """Days before ``before`` with files that a stream has still to read."""
+) -> set[date]:
+    """Days of ``files`` that a stream has still to read."""
     table, _, part = folder.partition("/")
     streams = [c for c in CONSUMERS.get(table, ()) if c in consumers]
-    if not streams or part == "route=dead_letter":
-        return []
-    rows = read(spark, pipeline, table).filter(F.col("date") < F.lit(before))
-    if part:
-        rows = good_readings(rows)
-    path = F.regexp_replace(F.input_file_name(), "^file:/+", "file:/")
-    files = rows.select("date", path.alias("path")).distinct()
+    if part == "route=dead_letter":
+        return set()
     days: set[date] = set()
     for stream in streams:
         unread = files.join(files_read(spark, pipeline.checkpoint(stream)), "path", "left_anti")
-        days |= {row["date"] for row in unread.select("date").distinct().collect()}
-    return sorted(days)
+        days |= {row["day"] for row in unread.select("day").distinct().collect()}
+    return days
 
 
 def await_any(spark: SparkSession) -> None:

@@ -1,4 +1,4 @@
-"""Which files a stream has read, from its checkpoint."""
+"""Which files a stream has read, from its checkpoint, and which a stream or job has written."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.session import file_system, read_note
+from gaugeline.sources.days import day_folders
 
 
 def _last_commit(spark: SparkSession, checkpoint: str) -> int | None:
@@ -36,3 +37,56 @@ def files_read(spark: SparkSession, checkpoint: str) -> DataFrame:
         path = F.regexp_replace("e.path", "^file:/+", "file:/")
         found = found.union(paths.select(path.alias("path")))
     return found.distinct()
+
+
+_WRITTEN = "path string, size long, modified long"
+
+
+def _sink_log(spark: SparkSession, path: str) -> list[str]:
+    """The files that make up the log of a file sink: its last summary and the batches after it."""
+    fs, log = file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    if not fs.exists(log):
+        return []
+    summary, batches = -1, {}
+    for status in fs.listStatus(log):
+        number, _, kind = status.getPath().getName().partition(".")
+        if number.isdigit() and kind in ("", "compact"):
+            if kind:
+                summary = max(summary, int(number))
+            batches.setdefault(int(number), {})[kind] = status.getPath().toString()
+    return [
+        found["compact"] if number == summary else found[""]
+        for number, found in sorted(batches.items())
+        if number == summary or (number > summary and "" in found)
+    ]
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(value) of text files. Spark's text source takes files in a folder with an underscore for hidden."""
+    text = spark._jsc.textFile(",".join(paths)).rdd()
+    lines = spark._jsparkSession.createDataset(text, spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(lines.toDF(), spark)
+
+
+def files_written(spark: SparkSession, path: str) -> DataFrame:
+    """(path, size, modified) of the files of a table: those that its sink has committed, or those in
+    its folders if batch jobs write it."""
+    log = _sink_log(spark, path)
+    if log:
+        lines = _lines(spark, log).filter(F.col("value").startswith("{"))
+        entry = F.from_json("value", "path string, size long, modificationTime long, action string")
+        files = lines.select(entry.alias("e")).filter("e.action = 'add'").select(
+            "e.path", "e.size", F.col("e.modificationTime").alias("modified")
+        )
+    else:
+        rows = []
+        for folders in day_folders(spark, path).values():
+            for folder in folders:
+                fs, hadoop_path = file_system(spark, folder)
+                found = fs.listFiles(hadoop_path, True)
+                while found.hasNext():
+                    status = found.next()
+                    if not status.getPath().getName().startswith(("_", ".")):
+                        rows.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+        files = spark.createDataFrame(rows, _WRITTEN)
+    return files.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/"))

@@ -1,7 +1,7 @@
 """Streams against batch, restarts, supervision, replay and retention of the pipeline tables."""
 
 import time
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -293,7 +293,8 @@ def test_replay_remembers_beyond_retention(spark, messages, tmp_path):
     jobs.replay(spark, pipeline, repair)
     jobs.run_once(spark, read_message_files(spark, folder), pipeline)
     letters = jobs.read_dead_letters(spark, pipeline).count()
-    jobs.drop_old(spark, pipeline, datetime(2024, 1, 31, tzinfo=timezone.utc), archive_days=7)
+    as_of = datetime(2024, 1, 31, tzinfo=timezone.utc)
+    jobs.drop_old(spark, pipeline, as_of, archive_days=7, grace=timedelta(0))
     assert jobs.read(spark, pipeline, "replayed").count() == 0
     assert 0 < jobs.read_dead_letters(spark, pipeline).count() < letters
     jobs.replay(spark, pipeline, repair)

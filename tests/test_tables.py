@@ -3,6 +3,7 @@
 import os
 import time
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from gaugeline.sources.archive import (
     with_partitions,
     write_archive,
 )
-from gaugeline.sources.kafka import read_message_files
-from gaugeline.sources.kafka import publish, read_messages
+from gaugeline.sources.days import note_days, read_days
+from gaugeline.sources.kafka import publish, read_message_files, read_messages
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 
@@ -199,10 +200,34 @@ def test_expired_partitions_are_dropped(spark, fleet):
     dated = after.filter("date is not null")
     assert dated.agg(F.min("date")).first()[0] == (AS_OF - timedelta(days=7)).date()
     assert dated.count() == 700 and after.count() == 3700
-    assert before.count() == 3700  # listed before the drop, read after it
+    # begun before the drop, read after it: the files stay for the grace period
+    assert before.agg(F.sum("id")).first()[0] == 2 * fleet.agg(F.sum("id")).first()[0]
     assert expired_partitions(spark, path, 7, AS_OF) == []
     assert expired_partitions(spark, f"{path}/_checkpoints/raw", 400, AS_OF) == []
     assert expired_partitions(spark, path + "-none", 7, AS_OF) == []
+    # a row that comes late for a removed day counts, until it is dropped as well
+    late = placed.filter("date = '2024-01-03'").limit(1)
+    write_archive(late, path, ["route", *BUCKET_LAYOUT])
+    assert read_table(spark, path, placed.schema).count() == 3701
+    # the next run, after the grace period, deletes what was noted and leaves the late row
+    drop_expired(spark, path, 7, AS_OF, keep=[late.first()["date"]], grace=timedelta(0))
+    assert len(list(Path(path).glob("route=raw/date=2024-01-0*/**/*.parquet"))) == 1
+    assert read_table(spark, path, placed.schema).agg(F.count("id")).first()[0] == 3701
+    assert len(drop_expired(spark, path, 7, AS_OF, grace=timedelta(0))) == 1
+    assert not list(Path(path).glob("route=raw/date=2024-01-03"))
+    assert read_table(spark, path, placed.schema).agg(F.count("id")).first()[0] == 3700
+
+
+def test_notes_are_whole(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    upto = {AS_OF.date() - timedelta(days=i): i for i in range(3)}
+    for _ in range(6):
+        note_days(spark, folder, upto)
+    assert {day: noted.upto for day, noted in read_days(spark, folder).items()} == upto
+    assert len(list((tmp_path / "t/_days").glob("[0-9]*"))) <= 4
+    # a writer that stopped before it gave the note its number leaves the last one
+    (tmp_path / "t/_days/_half").write_text("{")
+    assert len(read_days(spark, folder)) == 3
 
 
 def test_broadcast_needs_the_bound(spark):
