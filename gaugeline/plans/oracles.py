@@ -168,6 +168,14 @@ _WHOLE = f"NOT ({DAMAGED})"
 _LINE_BREACHES = _breaches("lines", LINE_RULES, "well_id, ts")
 _WELL_BREACHES = _breaches("wells", RULES, "event_id, well_id, ts")
 
+_LATE = "event_id % 13 = 5"
+_LATE_OR_KEPT = f"{_WHOLE} AND ({_LATE} OR ts >= TIMESTAMP '2024-01-24')"
+NEW_RULES = (
+    _Rule("h2s_concentration", "h2s_concentration > 4", "4.0", "critical", "h2s_concentration_high"),
+    _Rule("water_cut", "water_cut > 85", "85.0", "info", "water_cut_high"),
+    _Rule("pump_speed", "pump_speed < 6", "6.0", "warning", "pump_speed_low"),
+)
+
 _PIPELINE_BREACHES = _breaches("wells", RULES, 'event_id AS "offset", well_id', _WHOLE)
 
 ORACLES = {
@@ -318,4 +326,25 @@ ORACLES = {
         f"regexp_replace({_MESSAGE_OF_ALERT}, 'Timestamp: [^\n]*', 'Timestamp:') AS message "
         f"FROM ({_PIPELINE_BREACHES}) WHERE severity = 'critical'"
     ),
+    "pipeline_late_retention": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, {_SENSOR_LIST} FROM wells WHERE {_LATE_OR_KEPT}"
+    ),
+    "pipeline_alerts_late": (
+        f"WITH {_WELLS} SELECT sha256('readings|0|' || \"offset\" || '|' || type) AS alert_id, well_id, "
+        f"type AS anomaly_type, \"value\", threshold, {_SUBJECT} AS subject FROM ("
+        + _breaches("wells", RULES, 'event_id AS "offset", well_id', _LATE_OR_KEPT)
+        + ") WHERE severity = 'critical'"
+    ),
+    "archive_compacted_read": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, well_status, {_SENSOR_LIST}, anomaly_type "
+        f"FROM wells WHERE {_WHOLE} AND well_id IN ('WELL-AB-001', 'WELL-AB-004')"
+    ),
+    "pipeline_panel_compacted": (
+        f"WITH {_WELLS} SELECT ts, well_id, coalesce(well_status, 'unknown') AS well_status, "
+        "wellhead_pressure AS \"value\" FROM wells "
+        f"WHERE {_WHOLE} AND ts >= TIMESTAMP '2024-01-30' AND ts < TIMESTAMP '2024-01-31'"
+    ),
+    "backfill_new_rules": (
+        f"WITH {_WELLS} " + _breaches("wells", NEW_RULES, 'event_id AS "offset", well_id', _WHOLE)
+    ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
 
@@ -51,7 +52,7 @@ from gaugeline.plans.tables import (
     well_messages,
     well_readings,
 )
-from gaugeline.schema import SENSORS
+from gaugeline.schema import SENSORS, Rule
 from gaugeline.session import in_utc, scratch_path, with_rocksdb
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
@@ -63,12 +64,21 @@ from gaugeline.sources.archive import (
     write_archive,
 )
 from gaugeline.sources.baselines import default_baselines, explode_baselines
-from gaugeline.streaming import jobs
+from gaugeline.sources.kafka import read_message_files
+from gaugeline.streaming import jobs, rewrite
 
 EVENTS_END = datetime(2024, 1, 31, tzinfo=timezone.utc)
 LINES_END = datetime(2001, 11, 5, tzinfo=timezone.utc)
 ONCE = {"availableNow": True}
 WELLS = ["5", "17", "42"]
+#: Events that are delivered after the others.
+LATE = "event_id % 13 = 5"
+NO_GRACE = timedelta(0)
+NEW_RULES = (
+    Rule("h2s_concentration", "max", 4, "critical"),
+    Rule("water_cut", "max", 85, "info"),
+    Rule("pump_speed", "min", 6, "warning"),
+)
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -490,6 +500,85 @@ def pipeline_alerts(spark, sf_dir):
     )
 
 
+def _delivered(spark: SparkSession, sf_dir: str) -> tuple[jobs.Pipeline, Callable]:
+    """An empty pipeline, and a function that delivers the messages of some events to it and takes them in."""
+    pipeline = jobs.Pipeline(
+        scratch_path(spark, "pipeline"), layout=BUCKET_LAYOUT, buckets=4, trigger=ONCE
+    )
+    source = scratch_path(spark, "delivered")
+
+    def deliver(condition: str) -> None:
+        events = table(spark, sf_dir, "events").filter(condition)
+        well_messages(events, cut_off).write.mode("append").parquet(source)
+        _finish(jobs.start_ingest(read_message_files(spark, source), pipeline))
+
+    return pipeline, deliver
+
+
+def pipeline_late_retention(spark, sf_dir):
+    """Readings that arrive after retention has taken their days out: they count, and wait for a stream that has
+    not read them."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    deliver(f"NOT ({LATE})")
+    jobs.drop_old(spark, pipeline, EVENTS_END, POINT_DAYS, consumers=(), grace=NO_GRACE)
+    deliver(LATE)
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # that days wait
+        jobs.drop_old(spark, pipeline, EVENTS_END, POINT_DAYS, consumers=("breaches",), grace=NO_GRACE)
+    return jobs.read_raw(spark, pipeline).select("offset", "well_id", *SENSORS)
+
+
+def pipeline_alerts_late(spark, sf_dir):
+    """Alerts of critical breaches that come after retention has taken their days out."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    for condition in (f"NOT ({LATE})", LATE):
+        deliver(condition)
+        _finish(jobs.start_breaches(spark, pipeline))
+        _finish(jobs.start_alerts(spark, pipeline))
+        if condition != LATE:
+            used = ("breaches", "alerts")
+            jobs.drop_old(spark, pipeline, EVENTS_END, POINT_DAYS, consumers=used, grace=NO_GRACE)
+    alerts = jobs.read(spark, pipeline, "alerts")
+    return alerts.select("alert_id", "well_id", "anomaly_type", "value", "threshold", "subject")
+
+
+def archive_compacted_read(spark, sf_dir):
+    """Readings of some wells from closed days that were rewritten, twice where readings came late, and from open days."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    for condition in (f"NOT ({LATE})", LATE):
+        deliver(condition)
+        rewrite.compact(spark, pipeline, EVENTS_END, consumers=(), grace=NO_GRACE)
+    rows = for_wells(jobs.read_raw(spark, pipeline), ["WELL-AB-001", "WELL-AB-004"])
+    return rows.select("offset", "well_id", "well_status", *SENSORS, "anomaly_type")
+
+
+def _compacted_points(spark: SparkSession, sf_dir: str) -> jobs.Pipeline:
+    pipeline = _ingested(spark, sf_dir)
+    _finish(jobs.start_points(spark, pipeline))
+    later = EVENTS_END + timedelta(days=2)
+    rewrite.compact(spark, pipeline, later, ["points"], consumers=(), grace=NO_GRACE)
+    return pipeline
+
+
+def pipeline_panel_compacted(spark, sf_dir):
+    """A panel over stored points that were rewritten in the order of a space-filling curve."""
+    points = jobs.read(spark, _written_once(spark, sf_dir, _compacted_points), "points")
+    recent = sensor_panel(points, "wellhead_pressure", EVENTS_END, timedelta(hours=24))
+    return recent.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
+
+
+def backfill_new_rules(spark, sf_dir):
+    """Breaches after the rules have changed and were applied again, twice, to all days."""
+    pipeline = _ingested(spark, sf_dir)
+    _finish(jobs.start_anomalies(spark, pipeline))
+    _finish(jobs.start_breaches(spark, pipeline))
+    days = (EVENTS_END - timedelta(days=40)).date(), EVENTS_END.date()
+    for rules in (NEW_RULES[:1], NEW_RULES):
+        rewrite.backfill(spark, pipeline, *days, rules, consumers=("anomalies", "breaches"))
+    breaches = jobs.read(spark, pipeline, "breaches")
+    return breaches.select("offset", "well_id", "field", "value", "threshold", "severity", "type")
+
+
 _QUERIES = {
     "parse_messages": parse_events,
     "parse_well_messages": parse_well_messages,
@@ -542,6 +631,11 @@ _QUERIES = {
     "pipeline_anomaly_panel": pipeline_anomaly_panel,
     "pipeline_breaches": pipeline_breaches,
     "pipeline_alerts": pipeline_alerts,
+    "pipeline_late_retention": pipeline_late_retention,
+    "pipeline_alerts_late": pipeline_alerts_late,
+    "archive_compacted_read": archive_compacted_read,
+    "pipeline_panel_compacted": pipeline_panel_compacted,
+    "backfill_new_rules": backfill_new_rules,
 }
 
 

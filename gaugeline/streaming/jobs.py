@@ -306,7 +306,7 @@ def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
             files = counting(files, days, folder.partition("/")[2])
         parts.append(files.select(*schema.names))
     for folder, days in notes.items():
-        rows = _read_rewritten(spark, pipeline, folder, days)
+        rows = read_rewritten(spark, pipeline, folder, days)
         if rows is not None:
             parts.append(rows.select(*schema.names))
     if not parts:
@@ -314,7 +314,7 @@ def read(spark: SparkSession, pipeline: Pipeline, table: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _read_rewritten(
+def read_rewritten(
     spark: SparkSession, pipeline: Pipeline, folder: str, days: Days
 ) -> DataFrame | None:
     root = rewritten_path(pipeline, folder)
@@ -442,7 +442,7 @@ def drop_old(
     removed = []
     for folder, kept in days.items():
         path, noted = pipeline.path(folder), read_days(spark, pipeline.path(folder))
-        files, first = _files(spark, pipeline, folder), first_kept_day(kept, as_of)
+        files, first = files_of(spark, pipeline, folder), first_kept_day(kept, as_of)
         noted = _without_past(spark, pipeline, folder, noted, files)
         expired = counted_files(files, noted).filter(F.col("day") < F.lit(first))
         newest = {r["day"]: r["upto"] for r in expired.groupBy("day").agg(F.max("modified").alias("upto")).collect()}
@@ -462,7 +462,7 @@ def drop_old(
     return removed
 
 
-def _files(spark: SparkSession, pipeline: Pipeline, folder: str) -> DataFrame:
+def files_of(spark: SparkSession, pipeline: Pipeline, folder: str) -> DataFrame:
     """(path, size, modified, day) of the files that were written to a folder of a table."""
     table, _, part = folder.partition("/")
     place = F.regexp_extract("path", f"{part}/date=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})/", 1)
