@@ -1,0 +1,369 @@
+"""Retention under readers, compaction of closed days, and backfill."""
+
+import warnings
+from datetime import date, datetime, timedelta, timezone
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeline.functions.curves import interleaved
+from gaugeline.operators.detect import detect_any, detect_breaches
+from gaugeline.operators.panels import sensor_panel
+from gaugeline.operators.points import to_points
+from gaugeline.plans.tables import table, well_messages
+from gaugeline.schema import MESSAGE_SCHEMA, Rule
+from gaugeline.sources.archive import BUCKET_LAYOUT
+from gaugeline.sources.days import read_days
+from gaugeline.sources.kafka import read_message_files
+from gaugeline.streaming import jobs, rewrite
+
+AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
+NOW = timedelta(0)
+ONCE = {"availableNow": True}
+
+
+@pytest.fixture
+def small(spark, tmp_path):
+    """A pipeline and a function that delivers readings of some days of January to it."""
+    pipeline = jobs.Pipeline(str(tmp_path / "t"), layout=BUCKET_LAYOUT, buckets=1, trigger=ONCE)
+    offset = iter(range(10_000))
+
+    def deliver(*days, h2s=50.0, run=True, wells=1):
+        rows = []
+        for day in days:
+            for well in range(wells):
+                text = f'{{"well_id":"w{well}","timestamp":"2024-01-{day:02}T10:00:00+00:00","h2s_concentration":{h2s},"water_cut":1}}'
+                rows.append((b"w", text.encode(), "t", 0, next(offset), AS_OF, 0))
+        spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        messages = read_message_files(spark, str(tmp_path / "in"))
+        if run:
+            jobs.run_once(spark, messages, pipeline)
+        else:
+            jobs.start_ingest(messages, pipeline).awaitTermination()
+
+    return pipeline, deliver
+
+
+def days_of(rows):
+    return sorted(r["date"].day for r in rows.select("date").collect())
+
+
+def test_one_late_file_does_not_stop_retention(spark, small):
+    pipeline, deliver = small
+    deliver(1, 2, 5, 25)
+    deliver(3, run=False)
+    with pytest.warns(UserWarning, match="1 days have files not read yet"):
+        gone = jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    assert [g[-2:] for g in gone if "route=raw" in g] == ["01", "02", "05"]
+    assert days_of(jobs.read_raw(spark, pipeline)) == [3, 25]
+    with pytest.warns(UserWarning, match="not read yet"):
+        assert not [g for g in jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW) if "route=raw" in g]
+    deliver(26)  # all streams pass the late file
+    gone = jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    assert [g[-2:] for g in gone if "route=raw" in g] == ["03"]
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25, 26]
+    deliver(1)  # a day that is gone for long
+    assert days_of(jobs.read_raw(spark, pipeline)) == [1, 25, 26]
+    assert days_of(jobs.read(spark, pipeline, "points").filter("field = 'water_cut'")) == [1, 25, 26]
+
+
+def test_a_late_critical_breach_alerts(spark, small):
+    pipeline, deliver = small
+    deliver(2, 28)
+    jobs.drop_old(spark, pipeline, AS_OF, grace=NOW)
+    assert days_of(jobs.read(spark, pipeline, "alerts")) == [28]
+    deliver(2, 3)
+    assert days_of(jobs.read(spark, pipeline, "alerts")) == [2, 3, 28]
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == [2, 3, 28]
+
+
+def test_readers_in_flight_finish(spark, small):
+    pipeline, deliver = small
+    deliver(1, 2, 25)
+    before = jobs.read_raw(spark, pipeline)
+    jobs.drop_old(spark, pipeline, AS_OF, archive_days=7)
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25]
+    assert before.agg(F.sum("h2s_concentration")).first()[0] == 150
+    # the grace period is over for a later run, which need not note anything
+    assert jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW) == []
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25]
+    with pytest.raises(Exception, match="(?i)not exist"):
+        before.agg(F.sum("h2s_concentration")).first()
+
+
+def test_a_stop_between_note_and_deletion(spark, small, monkeypatch, tmp_path):
+    pipeline, deliver = small
+    deliver(1, 2, 25)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(jobs, "clear_days", stop)
+        with pytest.raises(RuntimeError, match="stopped"):
+            jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25]
+    assert list((tmp_path / "t/readings/route=raw/date=2024-01-01").glob("**/*.parquet"))
+    deliver(2, 26)  # streams restart in between
+    assert days_of(jobs.read_raw(spark, pipeline)) == [2, 25, 26]
+    gone = jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    assert [g[-2:] for g in gone if "route=raw" in g] == ["02"]
+    assert not list((tmp_path / "t/readings/route=raw").glob("date=2024-01-0*"))
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25, 26]
+
+
+def test_missing_files_of_kept_days_are_errors(spark, small, tmp_path):
+    pipeline, deliver = small
+    deliver(1, 25)
+    jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    next((tmp_path / "t/readings/route=raw/date=2024-01-25").glob("**/*.parquet")).unlink()
+    with pytest.raises(Exception, match="(?i)not exist"):
+        jobs.read_raw(spark, pipeline).agg(F.sum("water_cut")).collect()
+
+
+def test_removed_files_are_left_out_when_they_are_listed(spark, small):
+    """One comparison a row is left in the plan; files are chosen by their path before they are opened."""
+    pipeline, deliver = small
+    deliver(1, 25)
+    before = jobs.read(spark, pipeline, "readings")
+    jobs.drop_old(spark, pipeline, AS_OF, archive_days=7)
+    after = jobs.read(spark, pipeline, "readings")
+    assert files_read(before) - files_read(after) == 1
+
+
+def leaves(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
+
+
+def metric(df, name):
+    return sum(leaf.metrics().apply(name).value() for leaf in leaves(df) if leaf.metrics().contains(name))
+
+
+def files_read(df):
+    return metric(df, "numFiles")
+
+
+def rows_read(df):
+    return metric(df, "numOutputRows")
+
+
+@pytest.fixture(scope="module")
+def filled(spark, tmp_path_factory):
+    """A pipeline with many small files: messages in four deliveries."""
+    base = tmp_path_factory.mktemp("filled")
+    pipeline = jobs.Pipeline(str(base / "t"), layout=BUCKET_LAYOUT, buckets=2, trigger=ONCE)
+    rows = well_messages(table(spark, "/root/testdata/sf0.01", "events"))
+    for part in range(4):
+        rows.filter(f"offset % 4 = {part}").coalesce(2).write.mode("append").parquet(str(base / "in"))
+        jobs.run_once(spark, read_message_files(spark, str(base / "in")), pipeline)
+    return pipeline
+
+
+def contents(spark, pipeline):
+    found = {}
+    for name in ("readings", "anomalies", "points", "breaches", "alerts"):
+        rows = jobs.read(spark, pipeline, name)
+        columns = [c for c in rows.columns if c not in ("alert_ts", "message")]
+        digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+        found[name] = tuple(rows.agg(F.count("*"), digest).first())
+    return found
+
+
+def test_compaction_changes_no_row(spark, filled, tmp_path, monkeypatch):
+    before = contents(spark, filled)
+    small_files = files_read(jobs.read_raw(spark, filled))
+    in_flight = jobs.read_raw(spark, filled)
+    seen = []
+
+    def watched(note):
+        def run(*args):
+            if not seen:
+                seen.append(contents(spark, filled))  # written, not noted
+                with pytest.raises(ZeroDivisionError):  # and a run that stops here
+                    raise ZeroDivisionError
+            note(*args)
+            seen.append(contents(spark, filled))
+
+        return run
+
+    with monkeypatch.context() as patched:
+        patched.setattr(rewrite, "note_days", watched(rewrite.note_days))
+        done = rewrite.compact(spark, filled, AS_OF)
+    assert done and not any("2024-01-30" in folder for folder in done)
+    assert seen and all(contents == before for contents in seen)
+    assert contents(spark, filled) == before
+    assert in_flight.agg(F.count("water_cut")).first()[0] > 0  # its files stay for the grace period
+    assert files_read(jobs.read_raw(spark, filled)) < small_files / 3
+    # nothing new: nothing to do, but files that no longer count go after the grace period
+    assert rewrite.compact(spark, filled, AS_OF, grace=NOW) == []
+    assert contents(spark, filled) == before
+    # the streams go on
+    jobs.start_points(spark, filled).awaitTermination()
+    assert contents(spark, filled) == before
+
+
+def test_a_run_that_stops_before_the_note_leaves_nothing(spark, small, monkeypatch):
+    pipeline, deliver = small
+    deliver(1, 2, 2, 3)
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(rewrite, "note_days", stop)
+        with pytest.raises(RuntimeError):
+            rewrite.compact(spark, pipeline, AS_OF)
+    assert days_of(jobs.read_raw(spark, pipeline)) == [1, 2, 2, 3]
+    rewrite.compact(spark, pipeline, AS_OF, grace=NOW)
+    deliver(2, 4)  # late rows count beside the rewritten ones, and are taken in by the next run
+    assert days_of(jobs.read_raw(spark, pipeline)) == [1, 2, 2, 2, 3, 4]
+    done = rewrite.compact(spark, pipeline, AS_OF, grace=NOW)
+    assert [d[-2:] for d in done if "route=raw" in d] == ["02", "04"]
+    assert days_of(jobs.read_raw(spark, pipeline)) == [1, 2, 2, 2, 3, 4]
+    assert days_of(jobs.read(spark, pipeline, "alerts")) == [1, 2, 2, 2, 3, 4]
+    jobs.drop_old(spark, pipeline, datetime(2024, 1, 10), archive_days=7, grace=NOW)
+    assert days_of(jobs.read_raw(spark, pipeline)) == [3, 4]
+
+
+def test_days_that_a_stream_has_to_read_are_not_compacted(spark, small):
+    pipeline, deliver = small
+    deliver(1)
+    deliver(2, run=False)
+    done = rewrite.compact(spark, pipeline, AS_OF, ["readings/route=raw"], grace=NOW)
+    assert [d[-2:] for d in done] == ["01"]
+    deliver(3)
+    assert days_of(jobs.read(spark, pipeline, "alerts")) == [1, 2, 3]
+
+
+def test_retention_of_compacted_days(spark, small, tmp_path):
+    pipeline, deliver = small
+    deliver(1, 2, 25)
+    rewrite.compact(spark, pipeline, AS_OF, grace=NOW)
+    before = jobs.read_raw(spark, pipeline)
+    jobs.drop_old(spark, pipeline, AS_OF, archive_days=7)
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25]
+    assert before.agg(F.sum("water_cut")).first()[0] == 3
+    jobs.drop_old(spark, pipeline, AS_OF, archive_days=7, grace=NOW)
+    assert not list((tmp_path / "t/rewritten/readings/route=raw").glob("date=2024-01-0*/**/*.parquet"))
+    assert days_of(jobs.read_raw(spark, pipeline)) == [25]
+
+
+def test_notes_are_forgotten_with_the_log(spark, tmp_path):
+    """Once the sink's log no longer names the files of a day, neither do the notes."""
+    pipeline = jobs.Pipeline(str(tmp_path / "t"))
+    rows = spark.createDataFrame([("t", 0, 1, date(2024, 1, 1))], jobs.LEDGER_SCHEMA)
+    rows.write.partitionBy("date").parquet(pipeline.path("replay_ledger"))
+    jobs.drop_old(spark, pipeline, AS_OF, grace=NOW)
+    assert list(read_days(spark, pipeline.path("replay_ledger"))) == [date(2024, 1, 1)]
+    jobs.drop_old(spark, pipeline, AS_OF, grace=NOW)
+    assert read_days(spark, pipeline.path("replay_ledger")) == {}
+
+
+def test_wells_are_found_by_row_group(spark, tmp_path):
+    """Rewritten rows are in the order of wells: a read of one well opens its row groups only, and none for a
+    well that lies between others."""
+    pipeline = jobs.Pipeline(str(tmp_path / "t"))
+    wells = F.format_string("W%05d", (F.col("id") % 2000) * 2)
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "W00100").otherwise(wells).alias("well_id"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts"),
+        F.sha2(F.col("id").cast("string"), 256).alias("anomaly_type"),
+        F.lit(date(2024, 1, 1)).alias("date"),
+    )
+    wide = spark.createDataFrame([], pipeline.raw_schema).unionByName(rows, allowMissingColumns=True)
+    upto = {date(2024, 1, 1): 0}
+    rewrite._replace(spark, pipeline, "replayed", wide, upto, 4 << 20, 1 << 20, 64 << 10)
+    back = jobs.read(spark, pipeline, "replayed")
+    assert back.count() == 60_000
+    files = list((tmp_path / "t/rewritten/replayed").glob("**/*.parquet"))
+    assert len(files) == 4
+    groups = [pq.ParquetFile(f).metadata.num_row_groups for f in files]
+    assert sum(groups) > 20
+    one = back.filter("well_id = 'W03000'")
+    assert one.count() == 20 and rows_read(one) < 6_000
+    assert rows_read(back.filter("well_id = 'W03001'")) == 0
+    # a well with a third of all rows is in several files
+    hot = back.filter("well_id = 'W00100'").select(F.input_file_name()).distinct().count()
+    assert hot >= 2
+
+
+def test_a_panel_reads_a_tenth_of_the_day_at_most(spark, filled, tmp_path):
+    day = date(2024, 1, 10)
+    points = jobs.read(spark, filled, "points").filter(F.col("date") == F.lit(day))
+    # as many points as a busy day has
+    more = points.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn(
+        "well_id", F.concat("well_id", F.lit("-"), "copy")
+    )
+    pipeline = jobs.Pipeline(str(tmp_path / "t"))
+    rewrite._replace(spark, pipeline, "points", more.drop("copy"), {day: 0}, 2 << 20, 1 << 20, 16 << 10)
+    stored = jobs.read(spark, pipeline, "points")
+    total = stored.count()
+    as_of = datetime(2024, 1, 10, 12, 0, tzinfo=timezone.utc)
+    panel = sensor_panel(stored, "water_cut", as_of, timedelta(minutes=30))
+    want = sensor_panel(more, "water_cut", as_of, timedelta(minutes=30)).count()
+    assert panel.count() == want > 0
+    assert rows_read(panel) <= total / 10
+    size = needed = 0
+    for file in (tmp_path / "t/rewritten/points").glob("**/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        for i in range(meta.num_row_groups):
+            group = meta.row_group(i)
+            stats = {group.column(c).path_in_schema: group.column(c).statistics for c in range(group.num_columns)}
+            field, ts = stats["field"], stats["ts"]
+            size += group.total_byte_size
+            in_time = ts.min < as_of and ts.max >= as_of - timedelta(minutes=30)
+            needed += group.total_byte_size * (in_time and field.min <= "water_cut" <= field.max)
+    assert 0 < needed <= size / 10
+
+
+def test_interleaved_bits(spark):
+    rows = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    placed = rows.withColumn("place", interleaved([F.col("x"), F.col("y")], 3)).collect()
+    want = {(x, y): sum(((x >> i & 1) << 2 * i + 1) | ((y >> i & 1) << 2 * i) for i in range(3)) for x in range(8) for y in range(8)}
+    assert {(r.x, r.y): r.place for r in placed} == want
+    with pytest.raises(ValueError):
+        interleaved([F.col("x")] * 7, 10)
+
+
+OTHER = (Rule("h2s_concentration", "max", 4, "critical"), Rule("pump_speed", "min", 6, "warning"))
+
+
+def test_backfill_leaves_no_doubles(spark, filled):
+    raw = jobs.read_raw(spark, filled)
+    keep = ("well_id", "ts", "offset")
+    alerts = jobs.read(spark, filled, "alerts").count()
+    for rules in (OTHER, OTHER, filled.rules):
+        rewrite.backfill(spark, filled, date(2024, 1, 1), date(2024, 1, 31), rules)
+        want = detect_breaches(raw, rules, keep)
+        got = jobs.read(spark, filled, "breaches").select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+        assert jobs.read(spark, filled, "anomalies").count() == detect_any(raw, rules).count()
+    assert jobs.read(spark, filled, "alerts").count() == alerts
+
+
+def test_backfill_of_some_days(spark, small):
+    pipeline, deliver = small
+    deliver(1, 2, 3, h2s=5.0)
+    assert jobs.read(spark, pipeline, "breaches").filter("field = 'h2s_concentration'").count() == 0
+    rewrite.backfill(spark, pipeline, date(2024, 1, 2), date(2024, 1, 9), OTHER)
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == [2, 3]
+    rewrite.backfill(spark, pipeline, date(2024, 1, 2), date(2024, 1, 2))  # no rows any more
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == [3]
+    deliver(2, 3)  # late readings count beside the new rows
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == [2, 3, 3]
+    deliver(3, run=False)
+    with pytest.raises(ValueError, match="a stream has to read"):
+        rewrite.backfill(spark, pipeline, date(2024, 1, 1), date(2024, 1, 9))
+    rewrite.backfill(spark, pipeline, date(2024, 1, 1), date(2024, 1, 9), consumers=())
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == [2, 3, 3]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        jobs.drop_old(spark, pipeline, AS_OF, grace=NOW)
+    assert days_of(jobs.read(spark, pipeline, "breaches")) == []
+    assert to_points(jobs.read_raw(spark, pipeline)).count() > 0
