@@ -21,6 +21,8 @@ def spark_session(app_name: str = "gaugeline") -> SparkSession:
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config(STATE_STORE, ROCKSDB)
+        # times with least and greatest values in Parquet, so that reads of a range skip row groups
+        .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         # lets AQE split hot folders in the file sinks of streams without state
         .config("spark.sql.adaptive.streaming.stateless.enabled", "true")
         .getOrCreate()

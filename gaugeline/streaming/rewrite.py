@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.curves import interleaved
 from gaugeline.operators.detect import detect_any, detect_breaches
 from gaugeline.schema import Rule
-from gaugeline.session import file_system
+from gaugeline.session import file_system, settings
 from gaugeline.sources.archive import read_files
 from gaugeline.sources.days import GRACE, clear_days, counting, note_days, read_days, up_to
 from gaugeline.streaming import jobs
@@ -71,15 +71,17 @@ def _write(
         rows = rows.withColumn("_place", point_key(pipeline.sensors))
     order = _order(table, rows)
     dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_place")
-    (
+    writer = (
         dealt.withColumn("gen", F.lit(generation))
         .write.mode("append")
         .option("parquet.block.size", row_group_bytes)
         .option("parquet.bloom.filter.enabled#well_id", "true")
         .option("parquet.bloom.filter.expected.ndv#well_id", 100_000)
         .partitionBy("date", "gen")
-        .parquet(root)
     )
+    # Spark's default type for times has no least and greatest value in Parquet
+    with settings(rows.sparkSession, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
+        writer.parquet(root)
 
 
 def _replace(
