@@ -59,12 +59,25 @@ def rule_table(spark: SparkSession, rules: Sequence[Rule] = RULES) -> DataFrame:
     return spark.createDataFrame(rows, "field string, kind string, threshold double, severity string")
 
 
-def _checked(rules: DataFrame, sensors: Sequence[str]) -> None:
-    """A rule that cannot be applied must not vanish."""
-    known = F.col("kind").isin("max", "min") & F.col("field").isin(list(sensors))
-    bad = rules.filter(~F.coalesce(known, F.lit(False)) | F.col("threshold").isNull()).head(3)
+_RULE = ("field", "kind", "threshold", "severity")
+
+
+def _checked(rules: Iterable, sensors: Sequence[str]) -> None:
+    """A rule that cannot be applied must not vanish. A threshold is given as None if it is missing."""
+    bad = [r for r in rules if r[1] not in ("max", "min") or r[0] not in sensors or r[2] is None]
     if bad:
-        raise ValueError(f"rules of unknown kind or field, or without threshold: {bad}")
+        raise ValueError(f"rules of unknown kind or field, or without threshold: {bad[:3]}")
+
+
+def _loosest(rules: DataFrame, sensors: Sequence[str]) -> list[Rule]:
+    """For each field and kind, the limit that is broken if any rule's is. At most two for each sensor."""
+    limits = rules.groupBy("field", "kind").agg(
+        F.when(F.count_if(F.col("threshold").isNull()) == 0, F.min("threshold")).alias("low"),
+        F.max("threshold").alias("high"),
+    )
+    found = limits.limit(2 * len(sensors) + 1).collect()
+    _checked([(r["field"], r["kind"], r["low"]) for r in found], sensors)
+    return [Rule(r["field"], r["kind"], r["low"] if r["kind"] == "max" else r["high"], "") for r in found]
 
 
 def detect_with_rule_table(
@@ -77,10 +90,18 @@ def detect_with_rule_table(
 
     With a ``well_id`` column, rules without one are the default, and a rule of a well replaces the
     default of the same field and kind there. Rules are folded to one row per well, so a reading
-    is joined once. Default rules go into the plan; there are two for each sensor at most that
+    is joined once, and only readings that break the loosest limit of some field are joined: that
+    filter reaches the scan. Default rules go into the plan; there are two for each sensor at most that
     differ in field and kind, and any number of the same.
     """
-    _checked(rules, sensors)
+    of_wells = "well_id" in rules.columns
+    default = rules.filter("well_id is null") if of_wells else rules
+    chosen = [Rule(*row) for row in default.select(*_RULE).collect()]
+    _checked(chosen, sensors)
+    if not of_wells and chosen:
+        return detect_breaches(readings, chosen, keep)
+    loosest = _loosest(rules, sensors)
+    candidates = detect_any(readings, loosest) if loosest else readings.filter("false")
     numbers = F.array(*map(F.lit, sensors))
     rule = F.struct(
         F.array_position(numbers, F.col("field")).cast("int").alias("sensor_number"),
@@ -89,27 +110,26 @@ def detect_with_rule_table(
         F.col("threshold").cast("double").alias("threshold"),
         "severity",
     )
-    of_wells = "well_id" in rules.columns
-    default = rules.filter("well_id is null") if of_wells else rules
-    chosen = [
+    given = [
         F.struct(
-            F.lit(sensors.index(r["field"]) + 1).alias("sensor_number"),
-            *[F.lit(r[name]).alias(name) for name in ("field", "kind")],
-            F.lit(float(r["threshold"])).alias("threshold"),
-            F.lit(r["severity"]).alias("severity"),
+            F.lit(sensors.index(r.field) + 1).alias("sensor_number"),
+            F.lit(r.field).alias("field"),
+            F.lit(r.kind).alias("kind"),
+            F.lit(float(r.threshold)).alias("threshold"),
+            F.lit(r.severity).alias("severity"),
         )
-        for r in default.select("field", "kind", "threshold", "severity").collect()
+        for r in chosen
     ]
     kind = "array<struct<sensor_number:int,field:string,kind:string,threshold:double,severity:string>>"
-    defaults = F.array(*chosen).cast(kind)
-    rows, applied = readings, defaults
+    defaults = F.array(*given).cast(kind)
+    rows, applied = candidates, defaults
     if of_wells:
         own = (
             rules.filter("well_id is not null")
             .groupBy("well_id")
             .agg(F.collect_list(rule).cast(kind).alias("own_rules"))
         )
-        rows = readings.join(broadcast_within(own), "well_id", "left")
+        rows = candidates.join(broadcast_within(own), "well_id", "left")
         own_rules = F.coalesce("own_rules", F.array().cast(kind))
         left = F.filter(
             defaults,

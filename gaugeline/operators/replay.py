@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from gaugeline.functions.joins import broadcast_within
 from gaugeline.operators.parse import parse_messages
+from gaugeline.operators.retention import LEDGER_DAYS
 from gaugeline.schema import READING_SCHEMA, SOURCE_KEYS
 
 
@@ -42,9 +43,20 @@ def replay_stream(
     schema: StructType = READING_SCHEMA,
     repair: Column | None = None,
     required: str | None = "well_id",
+    remember: str = f"{LEDGER_DAYS} days",
+    seen: Column | None = None,
 ) -> DataFrame:
-    """Streaming form: a dead letter delivered again, however late, is dropped. The state holds the
-    position of every letter seen and grows with their number alone; there is no watermark, since
-    one would drop letters of a partition that lags."""
-    once = dead.dropDuplicates(list(SOURCE_KEYS))
+    """Streaming form: a dead letter delivered again within ``remember`` is dropped.
+
+    The state holds the position of a letter from when it is seen, by default the time of its batch,
+    and forgets it once that is over, so its size follows the letters of that time and not all there ever
+    were. Letters are kept for less, so one that could come again is remembered. What is compared with the
+    watermark is when letters are seen, which never falls back: none is too late, however old it is.
+    """
+    seen = F.current_timestamp() if seen is None else seen
+    once = (
+        dead.withColumn("_seen", seen)
+        .withWatermark("_seen", remember)
+        .dropDuplicatesWithinWatermark(list(SOURCE_KEYS))
+    )
     return parse_messages(_as_messages(once, repair), schema, required)
