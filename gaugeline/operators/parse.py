@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType, VariantType
 
 from gaugeline.functions.once import with_column_once
 from gaugeline.schema import READING_SCHEMA, SOURCE_KEYS
@@ -12,6 +12,8 @@ from gaugeline.schema import READING_SCHEMA, SOURCE_KEYS
 _CORRUPT = "_corrupt_record"
 RAW_ROUTE = "raw"
 DEAD_ROUTE = "dead_letter"
+#: Fields that a schema does not have, by name.
+EXTRA_TYPE = MapType(StringType(), VariantType())
 
 
 def _from_json(text: Column, schema: StructType) -> Column:
@@ -43,11 +45,25 @@ def _is_whole(text: Column) -> Column:
     return flat | F.coalesce(marked, F.lit(False))
 
 
+def _undeclared(text: Column, schema: StructType) -> Column:
+    """The fields that the schema does not have, null if there are none. Names alone are read first; values are
+    for the messages that have such fields."""
+    declared = F.array(*map(F.lit, schema.names))
+    more = F.size(F.array_except(F.json_object_keys(text), declared)) > 0
+    values = F.from_json(text, EXTRA_TYPE, {"allowSingleQuotes": "false"})
+    return F.when(more, F.map_filter(values, lambda name, _: ~F.array_contains(declared, name)))
+
+
 def route_messages(
-    messages: DataFrame, schema: StructType = READING_SCHEMA, required: str | None = "well_id"
+    messages: DataFrame,
+    schema: StructType = READING_SCHEMA,
+    required: str | None = "well_id",
+    extra: str | None = None,
 ) -> DataFrame:
     """Parse every message once. Adds the schema's columns, the source position, ingest_ts, the
-    original text of dead letters in ``raw`` with the reason in ``error``, and ``route``."""
+    original text of dead letters in ``raw`` with the reason in ``error``, and ``route``. With ``extra``, a column of
+    that name holds the fields of good messages that the schema does not have, as variants by name; null
+    if there are none."""
     text = F.col("value").cast("string")
     source = messages.select(
         *SOURCE_KEYS, F.col("timestamp").alias("ingest_ts"), text.alias("raw")
@@ -55,7 +71,8 @@ def route_messages(
     raw = F.col("raw")
     # Everything that reads JSON goes into this one column, so that the filters and columns on
     # top of it are compiled.
-    read = F.struct(_from_json(raw, schema).alias("d"), _is_whole(raw).alias("whole"))
+    others = [_undeclared(raw, schema).alias("others")] if extra else []
+    read = F.struct(_from_json(raw, schema).alias("d"), _is_whole(raw).alias("whole"), *others)
     parsed = with_column_once(source, "read", read)
     d, whole = F.col("read.d"), F.col("read.whole")
     parses = d.isNotNull() & d[_CORRUPT].isNull()
@@ -76,6 +93,7 @@ def route_messages(
     )
     return parsed.select(
         *[d[name].alias(name) for name in schema.names],
+        *([F.when(good, F.col("read.others")).alias(extra)] if extra else []),
         *SOURCE_KEYS,
         "ingest_ts",
         F.when(~good, raw).alias("raw"),
@@ -100,10 +118,13 @@ def good_readings(routed: DataFrame) -> DataFrame:
 
 
 def parse_messages(
-    messages: DataFrame, schema: StructType = READING_SCHEMA, required: str | None = "well_id"
+    messages: DataFrame,
+    schema: StructType = READING_SCHEMA,
+    required: str | None = "well_id",
+    extra: str | None = None,
 ) -> DataFrame:
     """Typed readings of the messages that can be read, with their source position."""
-    readings = good_readings(route_messages(messages, schema, required))
+    readings = good_readings(route_messages(messages, schema, required, extra))
     return with_event_time(readings) if "timestamp" in schema.names else readings
 
 

@@ -25,6 +25,7 @@ def replay_dead_letters(
     schema: StructType = READING_SCHEMA,
     repair: Column | None = None,
     required: str | None = "well_id",
+    extra: str | None = None,
 ) -> DataFrame:
     """Readings of the dead letters that parse now and are not in ``landed`` yet.
 
@@ -35,7 +36,8 @@ def replay_dead_letters(
     once = dead.dropDuplicates(keys)
     wanted = broadcast_within(dead.select(*keys))
     already = landed.select(*keys).join(wanted, keys, "left_semi")
-    return parse_messages(_as_messages(once.join(already, keys, "left_anti"), repair), schema, required)
+    new = _as_messages(once.join(already, keys, "left_anti"), repair)
+    return parse_messages(new, schema, required, extra)
 
 
 def replay_stream(

@@ -347,4 +347,25 @@ ORACLES = {
     "backfill_new_rules": (
         f"WITH {_WELLS} " + _breaches("wells", NEW_RULES, 'event_id AS "offset", well_id', _WHOLE)
     ),
+    "parse_extra_fields": (
+        f"WITH {_WELLS} SELECT event_id AS \"offset\", well_id, well_status, {_SENSOR_LIST}, anomaly_type, "
+        "CAST(CASE WHEN event_id % 5 = 0 THEN 2 ELSE 0 END AS INTEGER) AS n_others, "
+        "CASE WHEN event_id % 5 = 0 THEN 'v' || (event_id % 3) END AS firmware, "
+        "CASE WHEN event_id % 5 = 0 THEN event_id * 5e-1 END AS volts FROM wells"
+    ),
+    "pipeline_delivered": (
+        f"WITH {_WELLS} SELECT sha256('readings|0|' || \"offset\" || '|' || type) AS alert_id, well_id, "
+        f"type AS anomaly_type, \"value\", threshold, {_SUBJECT} AS subject "
+        f"FROM ({_PIPELINE_BREACHES}) WHERE severity = 'critical'"
+    ),
+    "stream_rule_change": (
+        f"WITH {_WELLS} "
+        + _breaches("wells", RULES, 'event_id AS "offset", well_id', f"{_WHOLE} AND NOT ({_LATE})")
+        + " UNION ALL "
+        + _breaches("wells", NEW_RULES, 'event_id AS "offset", well_id', f"{_WHOLE} AND {_LATE}")
+    ),
+    "stream_label_coverage": (
+        f"WITH {_WELLS}, whole AS (SELECT * FROM wells WHERE {_WHOLE}) "
+        + _coverage("whole", RULES, "anomaly_type", "well_id,")
+    ),
 }

@@ -43,6 +43,7 @@ from gaugeline.plans.tables import (
     LINE_SENSORS,
     cut_off,
     event_messages,
+    extended_messages,
     line_readings,
     number_quoted,
     numbers_unquoted,
@@ -52,7 +53,7 @@ from gaugeline.plans.tables import (
     well_messages,
     well_readings,
 )
-from gaugeline.schema import SENSORS, Rule
+from gaugeline.schema import RULES, SENSORS, Rule
 from gaugeline.session import in_utc, scratch_path, with_rocksdb
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
@@ -112,6 +113,21 @@ def parse_well_messages(spark, sf_dir):
     )
 
 
+def parse_extra_fields(spark, sf_dir):
+    """Fields that the schema does not have, beside those that it has."""
+    parsed = parse_messages(extended_messages(table(spark, sf_dir, "events")), extra="others")
+    return parsed.select(
+        "offset",
+        "well_id",
+        "well_status",
+        *SENSORS,
+        "anomaly_type",
+        F.coalesce(F.size(F.map_keys("others")), F.lit(0)).alias("n_others"),
+        F.expr("others['firmware']::string").alias("firmware"),
+        F.expr("variant_get(others['battery'], '$.volts', 'double')").alias("volts"),
+    )
+
+
 def dead_letter(spark, sf_dir):
     messages = event_messages(table(spark, sf_dir, "events"), cut_off)
     dead = dead_letters(messages, EVENT_MESSAGE_SCHEMA, "k")
@@ -579,7 +595,40 @@ def backfill_new_rules(spark, sf_dir):
     return breaches.select("offset", "well_id", "field", "value", "threshold", "severity", "type")
 
 
+def pipeline_delivered(spark, sf_dir):
+    """Alerts as they are delivered, once each, over two runs."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    for condition in (f"NOT ({LATE})", LATE):
+        deliver(condition)
+        for start in (jobs.start_breaches, jobs.start_alerts, jobs.start_delivery):
+            _finish(start(spark, pipeline))
+    sent = jobs.deliveries(pipeline).read(spark)
+    return sent.select("alert_id", "well_id", "anomaly_type", "value", "threshold", "subject")
+
+
+def stream_rule_change(spark, sf_dir):
+    """Breaches by rules that are replaced between two batches."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    for condition, rules in ((f"NOT ({LATE})", RULES), (LATE, NEW_RULES)):
+        deliver(condition)
+        jobs.publish_rules(spark, pipeline, rule_table(spark, rules))
+        _finish(jobs.start_rule_breaches(spark, pipeline))
+    breaches = jobs.rule_breaches(pipeline).read(spark)
+    return breaches.select("offset", "well_id", "field", "value", "threshold", "severity", "type")
+
+
+def stream_label_coverage(spark, sf_dir):
+    """Coverage of labels by well, kept up to date by a stream over two runs."""
+    pipeline, deliver = _delivered(spark, sf_dir)
+    with with_rocksdb(spark):
+        for condition in (f"NOT ({LATE})", LATE):
+            deliver(condition)
+            _finish(jobs.start_coverage(spark, pipeline))
+    return jobs.coverage(pipeline).read(spark)
+
+
 _QUERIES = {
+    "parse_extra_fields": parse_extra_fields,
     "parse_messages": parse_events,
     "parse_well_messages": parse_well_messages,
     "dead_letter": dead_letter,
@@ -636,6 +685,9 @@ _QUERIES = {
     "archive_compacted_read": archive_compacted_read,
     "pipeline_panel_compacted": pipeline_panel_compacted,
     "backfill_new_rules": backfill_new_rules,
+    "pipeline_delivered": pipeline_delivered,
+    "stream_rule_change": stream_rule_change,
+    "stream_label_coverage": stream_label_coverage,
 }
 
 

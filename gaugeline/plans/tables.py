@@ -146,4 +146,16 @@ def well_messages(events: DataFrame, damage: Callable[[Column], Column] = _untou
     return as_messages(well_readings(events), damage(text), "well_id", "readings")
 
 
+def extended_messages(events: DataFrame) -> DataFrame:
+    """Well messages of which every fifth has two fields more, one of them nested."""
+    more = F.expr("event_id % 5 = 0")
+    rows = well_readings(events).select(
+        "*",
+        F.when(more, F.concat(F.lit("v"), (F.col("event_id") % 3).cast("string"))).alias("firmware"),
+        F.when(more, F.struct((F.col("event_id") * 5e-1).alias("volts"))).alias("battery"),
+    )
+    text = F.to_json(F.struct(*READING_SCHEMA.names, "firmware", "battery"))
+    return as_messages(rows, text, "well_id", "readings")
+
+
 EVENT_MESSAGE_SCHEMA = StructType().add("k", "long")

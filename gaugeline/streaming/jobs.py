@@ -10,11 +10,13 @@ stream, where the detection filter reaches Parquet, so one more rule costs no mo
 
 from __future__ import annotations
 
+import uuid
 import warnings
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime, timedelta
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,15 @@ from pyspark.sql.types import (
 )
 
 from gaugeline.operators.alerts import critical_alerts
-from gaugeline.operators.detect import detect_any, detect_breaches
+from gaugeline.operators.coverage import label_coverage
+from gaugeline.operators.detect import (
+    detect_any,
+    detect_breaches,
+    detect_with_rule_table,
+    rule_table,
+)
 from gaugeline.operators.parse import (
+    EXTRA_TYPE,
     RAW_ROUTE,
     as_dead_letters,
     good_readings,
@@ -50,7 +59,7 @@ from gaugeline.operators.retention import (
     first_kept_day,
 )
 from gaugeline.schema import READING_SCHEMA, RULES, SENSORS, SOURCE_KEYS, Rule
-from gaugeline.session import file_system
+from gaugeline.session import file_system, read_latest, write_latest
 from gaugeline.sources.days import (
     GRACE,
     Days,
@@ -60,6 +69,7 @@ from gaugeline.sources.days import (
     read_days,
     write_days,
 )
+from gaugeline.streaming.batches import BatchTable
 from gaugeline.streaming.progress import files_read, files_written
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
@@ -121,6 +131,15 @@ ALERT_SCHEMA = StructType(
     ]
 )
 
+COVERAGE_SCHEMA = StructType(
+    [
+        StructField("well_id", StringType()),
+        StructField("anomaly_type", StringType()),
+        StructField("readings", LongType()),
+        StructField("detected", LongType()),
+        StructField("rate", DoubleType()),
+    ]
+)
 
 # Positions of replayed letters, under the day the letters arrived.
 LEDGER_SCHEMA = StructType([*_SOURCE_FIELDS, StructField("date", DateType())])
@@ -167,6 +186,8 @@ class Pipeline:
     # Files written longer ago leave the sink's log, and so the table. Keeps the log of a
     # long-lived table short; has to exceed the days that drop_old keeps.
     log_retention: str | None = None
+    # A column for the fields of messages that the schema does not have, so that none is lost.
+    extra: str | None = None
 
     def __post_init__(self):
         longest = max(self.kept_days.values(), default=0)
@@ -214,6 +235,8 @@ class Pipeline:
             StructField("ts", TimestampType()),
             StructField("date", DateType()),
         ]
+        if self.extra:
+            extra.insert(0, StructField(self.extra, EXTRA_TYPE))
         if "well_bucket" in self.layout:
             extra.append(StructField("well_bucket", IntegerType()))
         return StructType([*self.schema.fields, *extra])
@@ -260,7 +283,7 @@ def start_ingest(messages: DataFrame, pipeline: Pipeline) -> StreamingQuery:
     """Messages to the ``readings`` table. Raw readings and dead letters are folders of one sink,
     so both are written exactly once from one parse. Readings lie under their event day, dead
     letters under the day they arrived."""
-    placed = _placed(with_event_time(route_messages(messages, pipeline.schema)), pipeline)
+    placed = _placed(with_event_time(route_messages(messages, pipeline.schema, extra=pipeline.extra)), pipeline)
     arrival = utc_day(F.col("ingest_ts"))
     day = F.when(F.col("route") == RAW_ROUTE, F.col("date")).otherwise(arrival)
     return append_to(placed.withColumn("date", day), pipeline, "readings")
@@ -361,6 +384,98 @@ def start_alerts(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
     return append_to(critical_alerts(breaches, keep=("date",)), pipeline, "alerts")
 
 
+def _each_batch(
+    rows: DataFrame, pipeline: Pipeline, name: str, work: Callable[[DataFrame, int], None], mode: str = "append"
+) -> StreamingQuery:
+    return (
+        rows.writeStream.queryName(name)
+        .outputMode(mode)
+        .option("checkpointLocation", pipeline.checkpoint(name))
+        .trigger(**pipeline.trigger)
+        .foreachBatch(work)
+        .start()
+    )
+
+
+def deliveries(pipeline: Pipeline) -> BatchTable:
+    """The alerts that were delivered."""
+    return BatchTable(pipeline.path("delivered"), ALERT_SCHEMA, ["date"])
+
+
+def start_delivery(
+    spark: SparkSession, pipeline: Pipeline, send: Callable[[DataFrame], None] | None = None
+) -> StreamingQuery:
+    """Deliver every alert once: to the table of ``deliveries``, and to ``send`` if there is one.
+
+    An alert that was delivered by an earlier batch is left out, by its ``alert_id``, and a batch that
+    is repeated once it was committed is passed over. ``send`` gets the rows of a batch as they were written,
+    before the commit: if it fails midway, it gets the same rows again, and their receiver can drop
+    those it has by ``alert_id``.
+    """
+    table = deliveries(pipeline)
+
+    def work(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        days = [r["date"] for r in batch.select("date").distinct().collect()]
+        # an alert made again has the same day
+        sent = table.read(session).filter(F.col("date").isin(days)).select("alert_id", "date")
+        new = batch.dropDuplicates(["alert_id"]).join(sent, ["alert_id", "date"], "left_anti")
+        table.write(new, number, send)
+
+    return _each_batch(table_stream(spark, pipeline, "alerts"), pipeline, "delivered", work)
+
+
+def publish_rules(spark: SparkSession, pipeline: Pipeline, rules: DataFrame) -> None:
+    """Make a rule table the one that streams use from their next batch on."""
+    path = pipeline.path(f"rules/{uuid.uuid4().hex}")
+    rules.write.parquet(path)
+    write_latest(spark, pipeline.path("rules/_current"), path)
+
+
+def current_rules(spark: SparkSession, pipeline: Pipeline) -> DataFrame:
+    path = read_latest(spark, pipeline.path("rules/_current"))
+    return rule_table(spark, pipeline.rules) if path is None else spark.read.parquet(path)
+
+
+def rule_breaches(pipeline: Pipeline) -> BatchTable:
+    """Breaches of the published rules."""
+    return BatchTable(pipeline.path("rule_breaches"), BREACH_SCHEMA, ["date"])
+
+
+def start_rule_breaches(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
+    """Breaches by the rules that are published when a batch begins. A change needs no restart, and a batch
+    goes by one set of rules as a whole."""
+    table = rule_breaches(pipeline)
+    keep = ("well_id", "ts", "ingest_ts", "topic", "partition", "offset", "date")
+
+    def work(batch: DataFrame, number: int) -> None:
+        rules = current_rules(batch.sparkSession, pipeline)
+        table.write(detect_with_rule_table(batch, rules, pipeline.sensors, keep), number)
+
+    return _each_batch(raw_stream(spark, pipeline), pipeline, "rule_breaches", work)
+
+
+def coverage(pipeline: Pipeline) -> BatchTable:
+    """Readings and caught faults by label and well, so far."""
+    return BatchTable(pipeline.path("coverage"), COVERAGE_SCHEMA, snapshot=True)
+
+
+def start_coverage(spark: SparkSession, pipeline: Pipeline) -> StreamingQuery:
+    """Keep the coverage of labels by the rules up to date. The counts are the stream's state, one row for each label and
+    well; a batch hands on those that changed, which replace their rows in the snapshot."""
+    table = coverage(pipeline)
+    keys = ["well_id", "anomaly_type"]
+
+    def work(batch: DataFrame, number: int) -> None:
+        before = table.read(batch.sparkSession)
+        same = batch.select(*[F.col(c).alias(f"_{c}") for c in keys])
+        changed = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+        table.write(before.join(same, changed, "left_anti").unionByName(batch), number)
+
+    rows = label_coverage(raw_stream(spark, pipeline), pipeline.rules, by=("well_id",))
+    return _each_batch(rows, pipeline, "coverage", work, "update")
+
+
 def with_trigger(pipeline: Pipeline, **trigger) -> Pipeline:
     return replace(pipeline, trigger=trigger)
 
@@ -401,6 +516,7 @@ def replay(spark: SparkSession, pipeline: Pipeline, repair: Column | None = None
         read(spark, pipeline, "replay_ledger").select(*keys),
         pipeline.schema,
         repair,
+        extra=pipeline.extra,
     )
     placed = _placed(fixed, pipeline)
     write_archive(
