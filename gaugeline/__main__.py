@@ -1,15 +1,16 @@
-"""Command line: run the streaming pipeline, replay dead letters, apply retention."""
+"""Command line: run the streaming pipeline, replay dead letters, apply retention, rewrite days."""
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timedelta, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from gaugeline.operators.retention import ARCHIVE_DAYS
 from gaugeline.session import spark_session
 from gaugeline.sources.archive import BUCKET_LAYOUT, BUCKETS, WELL_LAYOUT
 from gaugeline.sources.kafka import read_message_files, read_messages
-from gaugeline.streaming import jobs
+from gaugeline.streaming import jobs, rewrite
+from gaugeline.streaming.supervise import ProgressLog
 
 LAYOUTS = {"well": WELL_LAYOUT, "bucket": BUCKET_LAYOUT}
 
@@ -32,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--min-partitions", type=int)
     stream.add_argument("--max-offsets", type=int)
     stream.add_argument("--log-retention", help="age at which files leave a sink's log, such as 100d")
+    stream.add_argument("--progress", help="folder for the progress and failures of the queries")
     stream.add_argument("--trigger", default="1 minute", help="time between batches, or 'once'")
 
     jobs_of.add_parser("replay", parents=[common], help="bring back dead letters that parse now")
@@ -47,6 +49,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     keep.add_argument("--as-of", type=datetime.fromisoformat, default=None)
     keep.add_argument("--grace-hours", type=float, default=24, help="how long reads may take that have begun")
 
+    pack = jobs_of.add_parser("compact", parents=[common], help="rewrite closed days in large sorted files")
+    pack.add_argument("--consumers", nargs="*", default=["anomalies", "points", "breaches", "alerts"])
+    pack.add_argument("--as-of", type=datetime.fromisoformat, default=None)
+    pack.add_argument("--grace-hours", type=float, default=24, help="how long reads may take that have begun")
+
+    again = jobs_of.add_parser("backfill", parents=[common], help="detect again over archived days")
+    again.add_argument("--first", type=date.fromisoformat, required=True)
+    again.add_argument("--last", type=date.fromisoformat, required=True)
+    again.add_argument("--consumers", nargs="*", default=["anomalies", "breaches", "alerts"])
+
     args = parser.parse_args(argv)
     if args.job == "stream" and args.broker and not args.topic:
         parser.error("--broker needs --topic")
@@ -69,7 +81,16 @@ def main(argv: list[str] | None = None) -> None:
         grace = timedelta(hours=args.grace_hours)
         for folder in jobs.drop_old(spark, pipeline, as_of, args.archive_days, args.consumers, grace):
             print(f"removed {folder}")
+    elif args.job == "compact":
+        as_of = args.as_of or datetime.now(timezone.utc)
+        grace = timedelta(hours=args.grace_hours)
+        for folder in rewrite.compact(spark, pipeline, as_of, consumers=args.consumers, grace=grace):
+            print(f"rewritten {folder}")
+    elif args.job == "backfill":
+        rewrite.backfill(spark, pipeline, args.first, args.last, consumers=args.consumers)
     else:
+        if args.progress:
+            spark.streams.addListener(ProgressLog(spark, args.progress))
         if args.files:
             messages = read_message_files(spark, args.files)
         else:

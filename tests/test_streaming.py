@@ -218,8 +218,11 @@ def test_command_line(spark, messages, tmp_path, capsys):
     args = ["--base", base, "--layout", "bucket", "--buckets", "1"]
     main(["stream", *args, "--files", messages[0], "--trigger", "once"])
     main(["replay", *args])
+    main(["compact", *args, "--as-of", "2024-01-31"])
+    main(["backfill", *args, "--first", "2024-01-25", "--last", "2024-01-28"])
     main(["retain", *args, "--archive-days", "7", "--as-of", "2024-01-31"])
-    assert "removed" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "removed" in printed and "rewritten" in printed
     with pytest.raises(SystemExit):
         arguments(["stream", "--base", base, "--broker", "b:9092"])
 
