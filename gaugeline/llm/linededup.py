@@ -1,20 +1,23 @@
 """Near-duplicate lines by a deletion-neighbourhood join, in built-in expressions only.
 
-Lines are compared as sequences of lower-cased words, cut at single blanks. Two lines are alike
-when they are equal or one insertion, deletion or replacement of a word apart; with MIN_WORDS
-words or more that is a similarity of at least 0.8. A line goes if an earlier line is alike; earlier
-means a smaller document id, then the smaller hash of its text, then the smaller line number.
-Whether that earlier line goes itself does not matter.
+Lines are compared in lower case and without white space at their ends. A line goes if an earlier line is
+equal, however short it is, or alike; earlier means a smaller document id, then the smaller hash of
+its text, then the smaller line number. Whether that earlier line goes itself does not matter.
+
+Lines are alike as sequences of units: one insertion, deletion or replacement of a unit apart. Units are words, cut
+at single blanks and tabs. A line of fewer than MIN_WORDS words but MIN_CHARS characters or more, as
+scripts without blanks, long addresses and tables have, has its characters for units. With at least MIN_WORDS words or
+MIN_CHARS characters, one edit is a similarity of 0.8 or 0.9 and more.
 
 1. Lines that are alike share their first or last half, cut as for the longer one. Only lines
    that share a half with a different line go on; the others have equal lines at most.
-2. These emit their variants: the line itself and the line without each of its words, as hashed
-   keys. Equal keys meet after an aggregation that keeps the earliest line for each key and word
+2. These emit their variants: the line itself and the line without each of its units, as hashed
+   keys. Equal keys meet after an aggregation that keeps the earliest line for each key and
    position, so a key with many lines costs one row for each position.
-3. Equal variants are candidates. The words of both lines are compared before one goes.
+3. Equal variants are candidates. The units of both lines are compared before one goes.
 
-Defined cases: a null text has no lines and stays null. Lines of fewer than MIN_WORDS words, blank
-ones among them, are never dropped and drop nothing. Equal rows (same id and text) are one
+Defined cases: a null text has no lines and stays null. Blank lines are never dropped and drop nothing.
+Shorter lines than above go if they are equal to an earlier one. Equal rows (same id and text) are one
 document and keep the same lines. A null id comes first. A document whose lines all go gets an
 empty text.
 """
@@ -26,11 +29,22 @@ from pyspark.sql import functions as F
 
 from gaugeline.llm.common import fresh_name, settled
 
-MIN_WORDS = 5
+MIN_WORDS, MIN_CHARS = 5, 10
+#: Stands before the characters of a line: two units, so that no words of one letter are one edit away.
+_BY_CHARACTER = "\x01 \x01 "
 
 
 def _norm(line: Column) -> Column:
-    return F.lower(F.btrim(line, F.lit(" \t\r")))
+    return F.lower(F.btrim(F.translate(line, "\t\r\x0b\x0c", "    "), F.lit(" ")))
+
+
+def _spaced(norm: Column, min_words: int) -> Column:
+    """The line with blanks between its units."""
+    characters = F.concat(
+        F.lit(_BY_CHARACTER), F.regexp_replace(norm, F.lit("(?s)(.)(?=.)"), F.lit("$1 "))
+    )
+    by_character = (_n_words(norm) < min_words) & (F.length(norm) >= MIN_CHARS)
+    return F.when(by_character, characters).otherwise(norm)
 
 
 def _n_words(norm: Column) -> Column:
@@ -131,14 +145,16 @@ def repeated_lines(
         source.filter(F.col("text").isNotNull())
         .select("id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .select("id", "text_hash", "line_no", _norm(F.col("line")).alias("norm"))
+        .filter(norm != "")
+        .withColumn("norm", _spaced(norm, min_words))
         .withColumn("n", _n_words(norm))
-        .filter(F.col("n") >= min_words)
         .select(
             "id",
             "text_hash",
             "line_no",
             F.xxhash64(norm).alias("line"),
-            _halves(norm, F.col("n")).alias("halves"),
+            # shorter lines have no variants: they only meet their equals
+            F.when(F.col("n") >= min_words, _halves(norm, F.col("n"))).alias("halves"),
         )
     )
     place = F.struct("id", "text_hash", "line_no")
@@ -162,7 +178,7 @@ def repeated_lines(
         lambda w: F.struct(
             w["line"].alias("line"),
             w["at"].alias("line_no"),
-            F.split(_norm(F.get(F.col("all"), w["at"])), " ").alias("words"),
+            F.split(_spaced(_norm(F.get(F.col("all"), w["at"])), min_words), " ").alias("words"),
         ),
     )
     texts = settled(

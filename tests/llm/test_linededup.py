@@ -19,6 +19,15 @@ def alike(a, b):
     return row[-1] <= 1
 
 
+def units(line, min_words=5):
+    """What an edit changes: words, or characters where there are few words; marked by kind."""
+    line = "".join(" " if c in "\t\r\x0b\x0c" else c for c in line).strip(" ").lower()
+    words = line.split(" ")
+    if len(words) < min_words and len(line) >= 10:
+        return "characters", list(line)
+    return "words", words
+
+
 def brute(rows, min_words=5):
     """Dropped lines for each (id, text)."""
     from collections import defaultdict
@@ -27,12 +36,18 @@ def brute(rows, min_words=5):
     lines = []
     for i, text in sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0)):
         for number, line in enumerate(text.split("\n")):
-            words = line.strip(" \t\r").lower().split(" ")
-            if len(words) >= min_words:
-                lines.append((i, number, words))
+            found = units(line, min_words)
+            if found[1] != [""]:
+                lines.append((i, number, *found))
+
+    def same(kind, a, other, b):
+        if (kind, a) == (other, b):
+            return True
+        return kind == other and (kind == "characters" or min(len(a), len(b)) >= min_words) and alike(a, b)
+
     dropped = defaultdict(list)
-    for k, (i, number, words) in enumerate(lines):
-        if any(alike(words, other) for _, _, other in lines[:k]):
+    for k, (i, number, *line) in enumerate(lines):
+        if any(same(*line, *other) for _, _, *other in lines[:k]):
             dropped[i].append(number)
     return dict(dropped)
 
@@ -75,6 +90,40 @@ def test_edits_at_the_ends_and_repeated_words(docs):
     assert result(docs(*rows)) == brute(rows)
 
 
+def test_short_lines_tabs_and_scripts_without_blanks(docs):
+    lines = [
+        "All rights reserved.", "all rights RESERVED. ", "Menu", "menu", "a b", "a  b", "A B", "", "  ", "}",
+        "}", "name\tage\tcity\tzip\tland", "name\tage\ttown\tzip\tland", "NAME age town zip land",
+        "这是一个没有空格的句子示例", "这是一个没有空格的句子示范", "这是一个没有空格句子示例", "这是两个没有空格的句子示范",
+        "https://example.org/a/b/c", "https://example.org/a/b/d", "https://example.org/x/y/z", "abcdefghij",
+        "a b c d e f g h i j", "abcdefghik", "four words in here", "four words in there", "four word in there!",
+        " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}" for i in range(39)),
+        " ".join(f"w{i}" for i in range(38)) + " x y", "日本語のテキスト", "日本語のテキスト",
+    ]
+    rows = list(enumerate(lines))
+    want = brute(rows)
+    assert result(docs(*rows)) == want
+    assert {1, 3, 6, 10, 12, 13, 15, 16, 17, 19, 23, 25, 28, 31} <= set(want) and not {9, 22, 20, 29} & set(want)
+
+
+def test_no_repeated_line_is_left(spark):
+    """Equal lines, counted by SQL on the lines that are left."""
+    import duckdb
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    left = linededup.drop_repeated_lines(rows).select("doc_id", "text").toPandas()
+    connection = duckdb.connect()
+    count = """
+        SELECT count(*) - count(DISTINCT line) FROM (
+            SELECT lower(trim(translate(unnest(string_split(text, chr(10))), chr(9) || chr(13), '  '))) AS line
+            FROM {}
+        ) WHERE line <> ''
+    """
+    connection.register("kept", left)
+    assert connection.execute(count.format("kept")).fetchone()[0] == 0
+    assert connection.execute(count.format("'/root/testdata/sf0.01/documents.parquet'")).fetchone()[0] > 1000
+
+
 def test_the_text_without_its_lines(docs, clashing):
     shared = "this line is in all of them"
     rows = [(1, f"first\n{shared}\nend"), (2, f"{shared}\nsecond\n\n{shared}"), (3, shared), (4, "first")]
@@ -82,7 +131,7 @@ def test_the_text_without_its_lines(docs, clashing):
     got = linededup.drop_repeated_lines(frame)
     assert got.columns == [*frame.columns, "n_lines_", "dropped_lines"]
     assert {r.doc_id: (r.text, r.n_lines_, r.dropped_lines) for r in got.collect()} == {
-        1: (rows[0][1], 3, None), 2: ("second\n", 4, [0, 3]), 3: ("", 1, [0]), 4: ("first", 1, None),
+        1: (rows[0][1], 3, None), 2: ("second\n", 4, [0, 3]), 3: ("", 1, [0]), 4: ("", 1, [0]),
     }
 
 
