@@ -35,16 +35,19 @@ _BY_CHARACTER = "\x01 \x01 "
 
 
 def _norm(line: Column) -> Column:
-    return F.lower(F.btrim(F.translate(line, "\t\r\x0b\x0c", "    "), F.lit(" ")))
+    ends = F.lower(F.btrim(line, F.lit(" \t\r")))
+    return F.when(ends.contains("\t"), F.replace(ends, F.lit("\t"), F.lit(" "))).otherwise(ends)
 
 
-def _spaced(norm: Column, min_words: int) -> Column:
-    """The line with blanks between its units."""
-    characters = F.concat(
+def _by_characters(norm: Column, n: Column, min_words: int) -> Column:
+    return (n < min_words) & (F.length(norm) >= MIN_CHARS)
+
+
+def _spaced(norm: Column) -> Column:
+    """The characters of a line with blanks between them."""
+    return F.concat(
         F.lit(_BY_CHARACTER), F.regexp_replace(norm, F.lit("(?s)(.)(?=.)"), F.lit("$1 "))
     )
-    by_character = (_n_words(norm) < min_words) & (F.length(norm) >= MIN_CHARS)
-    return F.when(by_character, characters).otherwise(norm)
 
 
 def _n_words(norm: Column) -> Column:
@@ -146,15 +149,17 @@ def repeated_lines(
         .select("id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .select("id", "text_hash", "line_no", _norm(F.col("line")).alias("norm"))
         .filter(norm != "")
-        .withColumn("norm", _spaced(norm, min_words))
         .withColumn("n", _n_words(norm))
+        .withColumn("spaced", F.when(_by_characters(norm, F.col("n"), min_words), _spaced(norm)))
         .select(
             "id",
             "text_hash",
             "line_no",
-            F.xxhash64(norm).alias("line"),
+            F.when(F.col("spaced").isNull(), F.xxhash64(norm)).otherwise(F.xxhash64("spaced")).alias("line"),
             # shorter lines have no variants: they only meet their equals
-            F.when(F.col("n") >= min_words, _halves(norm, F.col("n"))).alias("halves"),
+            F.when(F.col("n") >= min_words, _halves(norm, F.col("n")))
+            .when(F.col("spaced").isNotNull(), _halves(F.col("spaced"), _n_words(F.col("spaced"))))
+            .alias("halves"),
         )
     )
     place = F.struct("id", "text_hash", "line_no")
@@ -173,12 +178,17 @@ def repeated_lines(
         .groupBy(F.col("place.id").alias("id"), F.col("place.text_hash").alias("text_hash"))
         .agg(F.collect_list(F.struct("line", F.col("place.line_no").alias("at"))).alias("wanted"))
     )
+
+    def units(norm: Column) -> Column:
+        by_characters = _by_characters(norm, _n_words(norm), min_words)
+        return F.split(F.when(by_characters, _spaced(norm)).otherwise(norm), " ")
+
     cut = F.transform(
         "wanted",
         lambda w: F.struct(
             w["line"].alias("line"),
             w["at"].alias("line_no"),
-            F.split(_spaced(_norm(F.get(F.col("all"), w["at"])), min_words), " ").alias("words"),
+            units(_norm(F.get(F.col("all"), w["at"]))).alias("words"),
         ),
     )
     texts = settled(

@@ -21,7 +21,7 @@ def alike(a, b):
 
 def units(line, min_words=5):
     """What an edit changes: words, or characters where there are few words; marked by kind."""
-    line = "".join(" " if c in "\t\r\x0b\x0c" else c for c in line).strip(" ").lower()
+    line = line.strip(" \t\r").lower().replace("\t", " ")
     words = line.split(" ")
     if len(words) < min_words and len(line) >= 10:
         return "characters", list(line)
