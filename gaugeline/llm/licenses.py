@@ -11,6 +11,11 @@ leave the windows that can pass. Only these get the exact coefficient.
 
 Of overlapping matches the most similar stays, then the longest, then the first.
 
+Versions and variants are told apart by single words, which similarity hardly weighs. Words with digits and
+the words of VARIANTS have to stand in the window behind the words that they stand behind in the template. If others
+do, or none does, the text is of a version or variant without a template, and the match is reported
+as the licence's name without its version, with UNKNOWN.
+
 Defined cases: null and empty texts and those of one word match nothing. A template of fewer than
 two words is an error. Repeated notices are separate matches. Equal rows get equal results.
 """
@@ -28,6 +33,11 @@ from pyspark.sql import DataFrame
 from gaugeline.llm.common import appended
 
 SIMILAR = 0.8
+UNKNOWN = "-unknown-version"
+#: Words that tell variants of a licence apart, beside those with digits.
+VARIANTS = frozenset(
+    b"affero lesser library nc nd sa noncommercial noderivatives noderivs sharealike".split()
+)
 _WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 # Wording of public licence notices.
@@ -178,6 +188,15 @@ def normal_words(text: bytes | None) -> list[bytes]:
     return _WORD.findall((text or b"").lower())
 
 
+def _tells(word: bytes) -> bool:
+    return word in VARIANTS or any(48 <= c <= 57 for c in word)
+
+
+def telling(words: list[bytes]) -> set[tuple[bytes, bytes]]:
+    """The words that tell versions and variants apart, each with the word before."""
+    return {(a, b) for a, b in zip(words, words[1:]) if _tells(b)}
+
+
 @dataclass
 class Template:
     licence: str
@@ -186,6 +205,18 @@ class Template:
     bigrams: int
     #: known bigrams that a match needs
     least: float
+    #: bigrams that tell the version and variant
+    telling: set[tuple[bytes, bytes]]
+
+    def name(self, window: list[bytes]) -> str:
+        """The licence, or that its version or variant has no template."""
+        if not self.telling:
+            return self.licence
+        places = {a for a, _ in self.telling}
+        found = {(a, b) for a, b in telling(window) if a in places}
+        if found and found <= self.telling:
+            return self.licence
+        return re.sub(r"-[0-9][0-9.]*$", "", self.licence) + UNKNOWN
 
 
 class Scanner:
@@ -209,7 +240,9 @@ class Scanner:
             bigrams = set(self._bigrams([self.numbers[w] for w in words]).tolist())
             self.having[list(bigrams), k] = True
             least = similar * len(bigrams) / (2 - similar)
-            self.templates.append(Template(licence, len(words), len(bigrams), least))
+            self.templates.append(
+                Template(licence, len(words), len(bigrams), least, telling(words))
+            )
         self.any = self.having.any(axis=1)
 
     def _bigrams(self, numbers) -> np.ndarray:
@@ -240,7 +273,8 @@ class Scanner:
             for start in np.flatnonzero(inside >= template.least).tolist():
                 dice = self._dice(words, numbers, start, window, int(k))
                 if dice >= self.similar:
-                    found.append((dice, window, start, template.licence))
+                    name = template.name(words[start : start + window])
+                    found.append((dice, window, start, name))
         found.sort(key=lambda f: (-f[0], -f[1], f[2], f[3]))
         kept: list[tuple[str, int, int, float]] = []
         taken = np.zeros(len(words), bool)

@@ -16,13 +16,15 @@ document during which the budget runs out is the last one. Sums run over blocks
 within that block, so no task holds more than one block or the list of a source's blocks.
 
 Defined cases: documents without tokens (null, empty or blank text) are left out. A null source is a
-source. A single source keeps weight 1. An empty table gives an empty result. Rows with equal id
+source. A single source keeps weight 1. A budget that repeats even all tokens together more often than allowed
+is met nevertheless: the weights are the shares, which repeat least, and a warning says so. An empty table gives an empty result. Rows with equal id
 are separate documents, told apart by their text; equal rows are drawn alike.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,6 +95,9 @@ def source_weights(
         )
         return empty, 1.0
     budget = total if budget is None else budget
+    if budget > repeats * total * (1 + 1e-12):
+        message = f"{budget} tokens repeat the {total} there are more than {repeats} times"
+        warnings.warn(message, stacklevel=2)
     shared = sources.withColumn("log_share", F.log(F.col("tokens") / F.lit(total)))
     wanted = entropy * math.log(n) - 1e-12
     exponent = _bisected(shared, lambda found, _: found >= wanted)

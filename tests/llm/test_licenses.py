@@ -94,6 +94,28 @@ def test_siblings_are_told_apart():
         assert name in got and other not in got
 
 
+def test_versions_without_a_template_are_not_their_siblings():
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    header = (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
+        "Public License as published by the Free Software Foundation; either version {} of the License, or (at "
+        "your option) any later version."
+    )
+    for text, want in (
+        ("Licensed under CC BY 3.0.", None), ("Licensed under CC BY-SA 3.0.", None),  # too short to be similar
+        (header.format("", "1"), "GPL"), (header.format("Affero ", "1"), "AGPL"),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        ("This program and the accompanying materials are made available under the terms of the Eclipse Public "
+         "License 3.0 which is available at https://www.eclipse.org/legal/epl-3.0", "EPL"),
+        ("This work is licensed under a Creative Commons Attribution 3.0 International License.", "CC-BY"),
+    ):
+        got = [m[0] for m in scanner.matches(f"x y {text} z".encode())]
+        assert got == ([want + licenses.UNKNOWN] if want else []), (text, got)
+    for name, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            assert [m[0] for m in scanner.matches(f"in 2024 {text} 17 days".encode())] == [name]
+
+
 def test_clean_texts_match_nothing():
     scanner = licenses.Scanner(licenses.TEMPLATES)
     for text in (None, b"", b"mit", b"the license", b"this work is licensed to nobody in particular at all"):

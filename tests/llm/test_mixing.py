@@ -118,3 +118,10 @@ def test_odd_rows(docs):
     assert set(got) == {3, None, 4, 5} and got[5] % 2 == 0
     assert mixing.drawn(docs()).count() == 0
     assert mixing.mixed_documents(docs((1, " ", "en", "a"))).count() == 0
+
+
+def test_a_limit_that_cannot_be_met_is_told(docs):
+    frame = docs(*((i, "one two three four", None, "s") for i in range(6)))
+    with pytest.warns(UserWarning, match="more than 4"):
+        assert mixing.drawn(frame, budget=240, repeats=4.0).count() == 60
+    assert mixing.drawn(frame, budget=48, repeats=4.0).count() == 12
