@@ -20,8 +20,9 @@ Texts of a batch are worked on together: the predictions of all their bits first
 run of every text, the second, and so on. A text's score does not depend on its neighbours.
 
 Training is one pass over all training texts. Each task counts into tables of fixed size (TABLES),
-sends the strips it has used, and the sums are taken strip by strip. Starting weights are fitted to
-a bounded number of training texts, whose own bits are first taken out of the counts.
+sends the strips it has used, and the sums are taken strip by strip. Starting weights are fitted to the bits of all
+training texts, each predicted by counts out of which the bits of its own text are taken. A second pass counts
+the bits by gate, outcome and ranges of their predictions, in a table of fixed size; the fit is to this table.
 
 The base score is that of single tokens with add-one smoothing. Token counts are rows of (64-bit
 hash, count). Frequent tokens are sent to the tasks; a text's other tokens are joined to the counts.
@@ -62,9 +63,9 @@ GROUP = 4
 #: Log odds are kept in steps of 1 / STEP, up to LARGEST steps.
 STEP = 128
 LARGEST = 15 * STEP
-#: Training texts to which the starting weights are fitted: by smallest hash, and their bytes.
-FIT_ROWS = 512
-FIT_BYTES = 1 << 20
+#: Ranges of a prediction that the fit of the starting weights tells apart, and where they begin to widen.
+FIT_RANGES = 24
+FIT_BEND = 6.0
 FIT_ROUNDS = 6
 #: Pull of the fitted weights towards START.
 RIDGE = 20.0
@@ -497,45 +498,144 @@ class Model:
         return mixer.total / np.log(10.0)
 
 
-def fitted_weights(code: Code, counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Starting weights of every gate: a logistic regression, by Newton steps, on training texts
-    whose own bits are taken out of the counts first."""
-    rows, gates, turns = [], [], []
-    for text in texts:
-        tokens = Tokens(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-        symbols = code.numbers(tokens.hashes)
-        parts, _ = predicted(code, tokens, symbols, slice(None), code.first())
-        for kind, (bits, contexts, _) in enumerate(parts):
-            found = []
+_TOP = LARGEST / STEP
+_SPAN = _TOP / (1.0 + _TOP / FIT_BEND)
+_LEVEL_OF = np.searchsorted(LEVELS, np.arange(int(LEVELS[-1]) + 1), side="right").astype(np.int16)
+
+
+def _range_of(odds: np.ndarray) -> np.ndarray:
+    """The range of log odds: narrow around 0, wide at the ends."""
+    bent = odds / (np.float32(1.0) + np.abs(odds) / np.float32(FIT_BEND))
+    at = (bent + np.float32(_SPAN)) * np.float32(FIT_RANGES / (2 * _SPAN))
+    return np.clip(at, 0, FIT_RANGES - 1).astype(np.int64)
+
+
+def _middles_of_ranges() -> np.ndarray:
+    bent = (np.arange(FIT_RANGES) + 0.5) * (2 * _SPAN / FIT_RANGES) - _SPAN
+    return bent / (1.0 - np.abs(bent) / FIT_BEND)
+
+
+#: A bit 0 and a bit 1, as counts of both in one number.
+_ONE = np.array([[1, 0], [0, 1]], np.uint32).view(np.uint64).ravel()
+
+
+class Fit:
+    """Bits of the training texts by gate, ranges of their predictions and outcome. The bits of a text are
+    taken out of the counts that predict it."""
+
+    def __init__(self, code: Code, counts: np.ndarray):
+        self.code = code
+        # zeros and ones of a slot in one number, so that they are met together
+        self.pairs = counts.view(np.uint64)
+        self.own = np.zeros(1 << max(TABLES), np.uint64)
+        self.seen = np.zeros(GATES * FIT_RANGES**CONTEXTS * 2, np.uint32)
+
+    def add(self, tokens: Tokens) -> None:
+        symbols = self.code.numbers(tokens.hashes)
+        if len(tokens.size) == 1 and len(symbols) > PIECE:
+            self._add_long(tokens, symbols)
+        else:
+            self._add_group(tokens, symbols)
+
+    def _add_group(self, tokens: Tokens, symbols: np.ndarray) -> None:
+        first = np.cumsum(tokens.size) - tokens.size
+        parts, _ = predicted(self.code, tokens, symbols, slice(None), self.code.first())
+        for kind, (bits, contexts, lengths) in enumerate(parts):
+            ends = np.cumsum(np.add.reduceat(lengths, first, dtype=np.int64)).tolist()
+            rest = []
             for k in range(CONTEXTS):
                 slots = bits.slots(contexts[k], TABLES[k]).astype(np.int64)
-                table = counts[2 * OFFSETS[k] : 2 * OFFSETS[k + 1]].reshape(-1, 2)
-                used, at = np.unique(slots, return_inverse=True)
-                own = np.bincount(2 * at + bits.turns, minlength=2 * len(used)).reshape(-1, 2)
-                rest = np.maximum(table[used].astype(np.int64) - own, 0)
-                found.append(_packed(rest[:, 0], rest[:, 1])[at])
-            rows.append(np.column_stack([_unpacked(f) for f in found]))
-            gates.append(_gates(found, kind))
-            turns.append(bits.turns)
+                one, own = _ONE[bits.turns], np.empty(len(slots), np.uint64)
+                for low, high in zip([0, *ends], ends):
+                    mine = slots[low:high]
+                    np.add.at(self.own, mine, one[low:high])
+                    own[low:high] = self.own[mine]
+                    self.own[mine] = 0
+                rest.append(self._rest(k, slots, own))
+            self._count(rest, kind, bits.turns)
+
+    def _add_long(self, tokens: Tokens, symbols: np.ndarray) -> None:
+        """A text of any length, piece by piece: its own bits first, then all bits without them."""
+        own = [np.zeros(1 << b, np.uint64) for b in TABLES]
+
+        def pieces(wanted: int):
+            before = self.code.first()
+            for start in range(0, len(symbols), PIECE):
+                part = slice(start, start + PIECE)
+                parts, before = predicted(self.code, tokens, symbols, part, before)
+                for bits, contexts, _ in parts[wanted : wanted + 1]:
+                    yield bits, [bits.slots(contexts[k], TABLES[k]).astype(np.int64) for k in range(CONTEXTS)]
+
+        for kind in (0, 1):
+            for bits, slots in pieces(kind):
+                for k in range(CONTEXTS):
+                    np.add.at(own[k], slots[k], _ONE[bits.turns])
+            for bits, slots in pieces(kind):
+                rest = [self._rest(k, slots[k], own[k][slots[k]]) for k in range(CONTEXTS)]
+                self._count(rest, kind, bits.turns)
+            for table in own:
+                table[:] = 0
+
+    def _rest(self, k: int, slots: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Range and level of the slots without some bits."""
+        found = self.pairs[OFFSETS[k] : OFFSETS[k + 1]].take(slots, mode="clip").view(np.uint32)
+        own = own.view(np.uint32)
+        left = np.where(found > own, found - own, np.uint32(0)).astype(np.float32)
+        zeros, ones = left[::2], left[1::2]
+        level = _LEVEL_OF[np.minimum(zeros + ones, np.float32(LEVELS[-1])).astype(np.int64)]
+        return _range_of(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))), level
+
+    def _count(self, rest: list, kind: int, turns: np.ndarray) -> None:
+        at = _gates([level for _, level in rest], kind).astype(np.int64)
+        for ranges, _ in rest:
+            at *= FIT_RANGES
+            at += ranges
+        at *= 2
+        at += turns
+        np.add.at(self.seen, at, np.uint32(1))
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The cells that have bits, and how many; they are forgotten."""
+        cells = np.flatnonzero(self.seen)
+        n = self.seen[cells].astype(np.int64)
+        self.seen[cells] = 0
+        return cells, n
+
+
+def regressed_weights(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Starting weights of every gate: a logistic regression, by Newton steps, on the bits that `Fit` counts."""
     weights = np.tile(np.array(START), (GATES, 1))
-    if rows:
-        x_all, gate_all = np.concatenate(rows), np.concatenate(gates)
-        turn_all = np.concatenate(turns)
-        order = np.argsort(gate_all, kind="stable")
-        edges = np.searchsorted(gate_all[order], np.arange(GATES + 1))
-        for g in range(GATES):
-            at = order[edges[g] : edges[g + 1]]
-            if len(at):
-                weights[g] = _regressed(x_all[at].astype(np.float64), turn_all[at])
+    turns, cells = cells % 2, cells // 2
+    middles = _middles_of_ranges()
+    x = []
+    for _ in range(CONTEXTS):
+        x.append(middles[cells % FIT_RANGES])
+        cells = cells // FIT_RANGES
+    x = np.column_stack(x[::-1])
+    order = np.argsort(cells, kind="stable")
+    edges = np.searchsorted(cells[order], np.arange(GATES + 1))
+    for g in range(GATES):
+        at = order[edges[g] : edges[g + 1]]
+        if len(at):
+            weights[g] = _regressed(x[at], turns[at], n[at].astype(np.float64))
     return np.ascontiguousarray(weights.T.astype(np.float32))
 
 
-def _regressed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def fitted_weights(code: Code, counts: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Starting weights by some training texts."""
+    fit = Fit(code, counts)
+    for text in texts:
+        fit.add(Tokens(np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+    return regressed_weights(*fit.counted())
+
+
+def _regressed(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """`n`: how many bits there are of each row."""
     w = np.array(START)
     for _ in range(FIT_ROUNDS):
         p = 1.0 / (1.0 + np.exp(-np.clip(x @ w, -LIMIT, LIMIT)))
-        slope = x.T @ (y - p) - RIDGE * (w - START)
-        curve = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(CONTEXTS)
+        slope = x.T @ (n * (y - p)) - RIDGE * (w - START)
+        curve = (x * (n * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(CONTEXTS)
         w = w + np.clip(np.linalg.solve(curve, slope), -0.5, 0.5)
     return w
 
@@ -641,28 +741,44 @@ def train(texts: DataFrame, code: Code, text: str = "text") -> Model:
         counts[2 * strip * STRIP : 2 * (strip + 1) * STRIP] = np.frombuffer(
             raw.as_buffer(), np.uint32
         )
+    del strips
+    weights = fit_to(texts, code, counts, text)
     slots = []
     for low, high in zip(OFFSETS, OFFSETS[1:]):
         zeros, ones = counts[2 * low : 2 * high].reshape(-1, 2).T
         slots.append(_packed(zeros.astype(np.float64), ones.astype(np.float64)))
-    return Model(code, slots, fitted_weights(code, counts, _fit_texts(texts, text)))
+    return Model(code, slots, weights)
+
+
+def fit_to(texts: DataFrame, code: Code, counts: np.ndarray, text: str = "text") -> np.ndarray:
+    """Starting weights by all training texts. Tasks send the cells that they have counted, whose number is bounded."""
+
+    def run(batches):
+        fit, size = Fit(code, counts), 0
 
+        def counted():
+            cells, n = fit.counted()
+            return pa.RecordBatch.from_pydict({"cell": pa.array(cells, pa.int64()), "n": pa.array(n, pa.int64())})
+
+        for batch in batches:
+            for _, raw, offsets in text_groups(batch.column("text"), GROUP_BYTES):
+                tokens = Tokens(raw, offsets)
+                fit.add(tokens)
+                # a byte is some bits, of which 32 bits count 2^32
+                size += len(raw) + len(offsets)
+                if size >= 1 << 26:
+                    yield counted()
+                    size = 0
+        yield counted()
 
-def _fit_texts(texts: DataFrame, text: str) -> list[bytes]:
-    """Training texts to fit the starting weights: at most FIT_ROWS of them and FIT_BYTES bytes."""
-    few = (
-        texts.select(F.col(text).cast("binary").alias("text"))
-        .filter(F.octet_length("text").between(1, FIT_BYTES // 16))
-        .orderBy(F.xxhash64("text"), "text")
-        .limit(FIT_ROWS)
+    found = (
+        texts.select(F.col(text).alias("text"))
+        .mapInArrow(run, "cell long, n long")
+        .groupBy("cell")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
     )
-    found, size = [], 0
-    for row in few.collect():
-        size += len(row["text"])
-        if size > FIT_BYTES:
-            break
-        found.append(bytes(row["text"]))
-    return found
+    return regressed_weights(found.column("cell").to_numpy(), found.column("n").to_numpy())
 
 
 def scores(

@@ -14,6 +14,8 @@ from gaugeline.llm.common import text_groups
 from gaugeline.llm.queries import QUERIES
 
 TRAINING = ["the cat sat on the mat", "the dog sat on the cat", "a dog and a cat and a mouse"] * 5
+#: Each bit is in the table of each context.
+CONTEXT_BITS = mixlm.CONTEXTS
 
 
 def tokens_of(*texts):
@@ -145,6 +147,28 @@ def test_nothing_to_learn_from(spark, docs):
     assert mixlm.scores(docs(), F.lit(True)).count() == 0
 
 
+def test_weights_are_fitted_to_all_training_texts(spark, docs, monkeypatch):
+    """Every bit of every training text is counted, in tasks as in one piece, in pieces as in groups."""
+    texts = [*TRAINING, "", "zyx wvu " * 3000, *(f"text {i} of many the cat {i % 7}" for i in range(900))]
+    tokens = tokens_of(*texts)
+    keys, counts = np.unique(tokens.hashes, return_counts=True)
+    often = counts >= mixlm.TIMES
+    letters = np.bincount(tokens.text, minlength=256)
+    code = mixlm.Code.of(keys[often], counts[often], len(tokens.hashes), letters)
+    counter = mixlm.Counter(code)
+    counter.add(tokens)
+    fit = mixlm.Fit(code, counter.counts)
+    fit.add(tokens)
+    cells, n = fit.counted()
+    assert CONTEXT_BITS * n.sum() == counter.counts.sum() and not fit.seen.any() and not fit.own.any()
+    monkeypatch.setattr(mixlm, "PIECE", 100)
+    for text in texts:
+        fit.add(tokens_of(text))
+    assert [x.tolist() for x in fit.counted()] == [cells.tolist(), n.tolist()]
+    frame = docs(*enumerate(texts)).repartition(5)
+    assert np.array_equal(mixlm.fit_to(frame, code, counter.counts), mixlm.regressed_weights(cells, n))
+
+
 def test_counts_beyond_32_bits_keep_their_odds():
     counts = np.array([5, 7, 1 << 33, 1 << 32, (1 << 32) - 1, 3, 1 << 40, 0], np.uint64)
     got = mixlm.halved(counts).astype(np.float64)
