@@ -30,6 +30,9 @@ from gaugeline.streaming import jobs
 
 #: Size of a rewritten file, and of its row groups, which are what reads skip.
 FILE_BYTES = 256 << 20
+#: Bytes of rows, before Parquet packs them, that a task sorts and writes. Columns that repeat shrink a hundredfold in
+#: Parquet, so the size of files does not bound the work of a task.
+TASK_BYTES = 256 << 20
 ROW_GROUP_BYTES = 16 << 20
 #: Days that are still written to, counted back from the day of `as_of`.
 OPEN_DAYS = 1
@@ -56,6 +59,16 @@ def _order(table: str, rows: DataFrame) -> list[Column]:
     return [F.col(c) for c in ("date", *keys) if c in rows.columns]
 
 
+def bytes_of(rows: DataFrame) -> int:
+    """About the bytes of rows in a shuffle: a word for each value and for the place of each string, and what the
+    strings hold. Counted, since the size of Parquet files says little about it."""
+    kinds = {f.name: f.dataType.typeName() for f in rows.schema.fields}
+    texts = [F.octet_length(c) + 8 for c, kind in kinds.items() if kind in ("string", "binary")]
+    texts += [F.octet_length(F.col(c).cast("string")) + 8 for c, kind in kinds.items() if kind == "variant"]
+    each = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(16 + 8 * len(kinds)))
+    return rows.agg(F.coalesce(F.sum(each.cast("bigint")), F.lit(0))).first()[0]
+
+
 def _write(
     rows: DataFrame,
     pipeline: jobs.Pipeline,
@@ -98,7 +111,7 @@ def _replace(
     table, root = folder.partition("/")[0], jobs.rewritten_path(pipeline, folder)
     # a new name each time: what a run that stopped has left is never read
     generation = uuid.uuid4().hex
-    files = max(1, round(size / file_bytes))
+    files = max(1, round(size / file_bytes), -(-bytes_of(rows) // TASK_BYTES))
     _write(rows, pipeline, table, root, generation, files, row_group_bytes)
     made = {}
     for day in upto:

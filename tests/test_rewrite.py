@@ -367,3 +367,18 @@ def test_backfill_of_some_days(spark, small):
         jobs.drop_old(spark, pipeline, AS_OF, grace=NOW)
     assert days_of(jobs.read(spark, pipeline, "breaches")) == []
     assert to_points(jobs.read_raw(spark, pipeline)).count() > 0
+
+
+def test_rows_that_parquet_packs_well_are_shared_by_tasks(spark, small, monkeypatch, tmp_path):
+    """A day that is one small file is still sorted and written by many tasks if its rows are many."""
+    pipeline, deliver = small
+    deliver(1, 2, wells=400)
+    before = sorted(map(str, jobs.read(spark, pipeline, "points").collect()))
+    need = rewrite.bytes_of(jobs.read(spark, pipeline, "points"))
+    assert len(before) * 100 < need < len(before) * 400
+    monkeypatch.setattr(rewrite, "TASK_BYTES", need // 10, raising=False)
+    rewrite.compact(spark, pipeline, AS_OF, ["points"], grace=NOW)
+    assert sorted(map(str, jobs.read(spark, pipeline, "points").collect())) == before
+    files = list((tmp_path / "t/rewritten/points").glob("date=*/**/*.parquet"))
+    sizes = [pq.read_metadata(f).num_rows for f in files]
+    assert sum(sizes) == len(before) and len(sizes) >= 10 and max(sizes) < len(before) / 4
