@@ -54,7 +54,7 @@ from gaugeline.plans.tables import (
     well_readings,
 )
 from gaugeline.schema import RULES, SENSORS, Rule
-from gaugeline.session import in_utc, scratch_path, with_rocksdb
+from gaugeline.session import in_utc, scratch_path, with_open_files, with_rocksdb
 from gaugeline.sources.archive import (
     BUCKET_LAYOUT,
     MAX_FILE_AGE,
@@ -465,9 +465,14 @@ def pipeline_anomalies(spark, sf_dir):
     return jobs.read(spark, pipeline, "anomalies").select("offset", "well_id", *SENSORS)
 
 
+def _fill_points(spark: SparkSession, pipeline: jobs.Pipeline) -> None:
+    with with_open_files(spark):
+        _finish(jobs.start_points(spark, pipeline))
+
+
 def pipeline_points(spark, sf_dir):
     pipeline = _shared(spark, sf_dir)
-    _finish(jobs.start_points(spark, pipeline))
+    _fill_points(spark, pipeline)
     points = jobs.read(spark, pipeline, "points")
     times = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("ts", "ingest_ts")]
     return points.select(*times, "well_id", "well_status", "measurement", "field", "value")
@@ -476,7 +481,7 @@ def pipeline_points(spark, sf_dir):
 def pipeline_panel(spark, sf_dir):
     """A panel over the stored points: reads the folders of its days only."""
     pipeline = _shared(spark, sf_dir)
-    _finish(jobs.start_points(spark, pipeline))
+    _fill_points(spark, pipeline)
     points = jobs.read(spark, pipeline, "points")
     recent = sensor_panel(points, "wellhead_pressure", EVENTS_END, timedelta(hours=24))
     return recent.select(F.col("ts").cast("timestamp_ntz").alias("ts"), "well_id", "well_status", "value")
@@ -570,7 +575,7 @@ def archive_compacted_read(spark, sf_dir):
 
 def _compacted_points(spark: SparkSession, sf_dir: str) -> jobs.Pipeline:
     pipeline = _ingested(spark, sf_dir)
-    _finish(jobs.start_points(spark, pipeline))
+    _fill_points(spark, pipeline)
     later = EVENTS_END + timedelta(days=2)
     rewrite.compact(spark, pipeline, later, ["points"], consumers=(), grace=NO_GRACE)
     return pipeline

@@ -12,6 +12,7 @@ from gaugeline.operators.detect import detect_any, detect_breaches
 from gaugeline.operators.panels import sensor_panel
 from gaugeline.operators.parse import dead_letters, parse_messages
 from gaugeline.operators.points import to_points
+from gaugeline.plans.queries import QUERIES
 from gaugeline.plans.tables import cut_off, table, well_messages
 from gaugeline.schema import MESSAGE_SCHEMA, READING_SCHEMA
 from gaugeline.session import settings
@@ -348,3 +349,19 @@ def test_a_hot_well_of_a_stream_is_split_over_tasks(spark, tmp_path):
         stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
         jobs.append_to(stream, pipeline, "t", ["well_id"]).awaitTermination()
     assert len(list((tmp_path / "t").glob("well_id=hot/*.parquet"))) >= 4
+
+
+def test_points_are_not_sorted_by_folder(spark, monkeypatch):
+    """Tasks that write points keep files open for their folders while the stream runs."""
+    seen, start = [], jobs.start_points
+
+    def watched(session, pipeline):
+        query = start(session, pipeline)
+        seen.append(int(session.conf.get("spark.sql.maxConcurrentOutputFileWriters")))
+        return query
+
+    monkeypatch.setattr(jobs, "start_points", watched)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert QUERIES["pipeline_panel"](spark, "/root/testdata/sf0.01").count() > 0
+    assert seen and min(seen) > 31  # days of the events in January
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
