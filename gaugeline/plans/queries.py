@@ -392,12 +392,15 @@ def stream_replay(spark, sf_dir):
     """Dead letters that come in any order, and twice, come back once. The files of the stream are
     cut by event id, and times jump by up to a month from one to the next."""
     damaged = well_messages(table(spark, sf_dir, "events"), number_quoted("water_cut"))
-    letters = dead_letters(damaged)
-    source = scratch_path(spark, "letters")
-    again = letters.unionByName(letters)
+    # letters are few: parsed once and gathered, so that files, and with them batches, follow the letters
+    # and not the files of the table
+    once, source = scratch_path(spark, "letters"), scratch_path(spark, "letters")
+    dead_letters(damaged).hint("rebalance").write.parquet(once)
+    letters = spark.read.parquet(once)
     for low, high in (("1/3", "1"), ("0", "1/3")):  # newest first, then those long before
         day = F.dayofmonth("dead_ts") / 31.0
-        again.filter((day > F.expr(low)) & (day <= F.expr(high))).write.mode("append").parquet(source)
+        for _ in range(2):
+            letters.filter((day > F.expr(low)) & (day <= F.expr(high))).write.mode("append").parquet(source)
     stream = (
         spark.readStream.schema(letters.schema)
         .option("maxFilesPerTrigger", 1)

@@ -351,6 +351,18 @@ def test_a_hot_well_of_a_stream_is_split_over_tasks(spark, tmp_path):
     assert len(list((tmp_path / "t").glob("well_id=hot/*.parquet"))) >= 4
 
 
+def test_batches_of_the_replay_follow_the_letters(spark, tmp_path, monkeypatch):
+    """Many files of events, few dead letters: few batches, in which every letter comes back once."""
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
+    events.repartition(12).write.parquet(str(tmp_path / "events.parquet"))
+    paths = (str(tmp_path / f"shared/{i}") for i in range(100))
+    monkeypatch.setattr("gaugeline.plans.queries.scratch_path", lambda _, name: f"{next(paths)}/{name}")
+    rows = QUERIES["stream_replay"](spark, str(tmp_path)).select("offset").collect()
+    assert sorted(r.offset for r in rows) == sorted(r.event_id for r in events.filter("event_id % 97 = 0").collect())
+    commits = list((tmp_path / "shared").glob("*/stream/_checkpoints/replayed/commits/[0-9]*"))
+    assert 2 <= len(commits) <= 6
+
+
 def test_points_are_not_sorted_by_folder(spark, monkeypatch):
     """Tasks that write points keep files open for their folders while the stream runs."""
     seen, start = [], jobs.start_points
