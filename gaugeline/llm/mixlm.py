@@ -36,13 +36,14 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import Words, settled, text_groups
+from gaugeline.llm.common import Words, make_native, native, settled, text_groups
 
 #: Bits of the slot number in the table of each context, and its weight before the fit.
 TABLES = (21, 21, 21)
@@ -165,11 +166,15 @@ class Code:
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Symbol of each token hash; the escape for tokens without a code word."""
         found = np.zeros(len(hashes), np.int64)
-        at = self.ranges[(hashes >> np.uint64(44)).astype(np.int64)]
-        for step in range(self.most):
-            place = np.minimum(at + step, len(self.keys) - 1)
-            hit = self.keys[place] == hashes
-            found[hit] = place[hit] + 1
+        left = np.arange(len(hashes))
+        place = self.ranges.take((hashes >> np.uint64(44)).astype(np.int64)).astype(np.int64)
+        for _ in range(self.most):
+            keys = self.keys.take(place, mode="clip")
+            hit = keys == hashes
+            found[left[hit]] = place[hit] + 1
+            # keys ascend: one that is larger ends the search
+            more = keys < hashes
+            left, hashes, place = left[more], hashes[more], place[more] + 1
         return found
 
     def of_tokens(self, tokens: np.ndarray, before: tuple[int, int]):
@@ -225,6 +230,12 @@ def _turns_of_groups() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 _FIRST, _INSIDE, _TURNS = _turns_of_groups()
+#: Ways through a group, for all sizes.
+WAYS = 2 << GROUP
+#: Of the ways of full size: the slot within the group and the turn of each step, as one number for all steps.
+_STEPS = np.array([np.arange(_FIRST[way], _FIRST[way] + GROUP) for way in range(1 << GROUP, WAYS)])
+_WAY_INSIDE = np.ascontiguousarray(_INSIDE[_STEPS].astype(np.uint8)).view(np.uint32).ravel()
+_WAY_TURNS = np.ascontiguousarray(_TURNS[_STEPS]).view(np.uint32).ravel()
 
 
 class Bits:
@@ -247,25 +258,54 @@ class Bits:
         )
         bits = np.minimum(left, np.uint32(GROUP))
         top = np.uint32(1) << bits
-        tail = ((word >> (left - bits)) & (top - np.uint32(1))) | top
+        #: the bits of each group after a leading 1, and how many they are
+        self.ways = ((word >> (left - bits)) & (top - np.uint32(1))) | top
         self.sizes = bits.astype(np.int64)
-        place = np.repeat(_FIRST[tail] - (np.cumsum(self.sizes) - self.sizes), self.sizes)
-        place += np.arange(len(place))
-        self.inside = _INSIDE.take(place, mode="clip")
-        self.turns = _TURNS.take(place, mode="clip")
 
-    def slots(self, context: np.ndarray, bits: int) -> np.ndarray:
-        """Slots in a table of 2 ** bits."""
+    @cached_property
+    def whole(self) -> np.ndarray:
+        """For each group the number of the full-size way that zeros lead to."""
+        whole = self.ways.astype(np.int64) << (GROUP - self.sizes)
+        whole &= (1 << GROUP) - 1
+        return whole
+
+    @cached_property
+    def kept(self) -> np.ndarray:
+        """Which steps of the full-size ways are bits."""
+        return np.flatnonzero(np.arange(GROUP, dtype=np.uint8) < self.sizes.astype(np.uint8)[:, None])
+
+    @cached_property
+    def inside(self) -> np.ndarray:
+        return _WAY_INSIDE.take(self.whole, mode="clip").view(np.uint8).take(self.kept, mode="clip")
+
+    @cached_property
+    def turns(self) -> np.ndarray:
+        return _WAY_TURNS.take(self.whole, mode="clip").view(np.uint8).take(self.kept, mode="clip")
+
+    def cells(self, context: np.ndarray, bits: int) -> np.ndarray:
+        """For each group the number of its slots' neighbourhood in a table of 2 ** bits."""
         first = (np.repeat(context, self.groups) ^ self.path) * np.uint32(0x85EBCA6B)
         first ^= first >> np.uint32(15)
         first *= np.uint32(0x2C1B3C6D)
         first >>= np.uint32(32 - bits + GROUP)
+        return first
+
+    def slots(self, context: np.ndarray, bits: int) -> np.ndarray:
+        """Slots in a table of 2 ** bits."""
+        first = self.cells(context, bits)
         first <<= np.uint32(GROUP)
         slots = np.repeat(first, self.sizes)
         slots += self.inside
         return slots
 
 
+def _places(ways: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places in _INSIDE and _TURNS of the bits of some groups."""
+    place = np.repeat(_FIRST[ways] - (np.cumsum(sizes) - sizes), sizes)
+    place += np.arange(len(place))
+    return place
+
+
 class Tokens:
     """Tokens of some texts: the words of each, and its end. Of a word, `start` and `end` are its
     place in `text`."""
@@ -303,7 +343,8 @@ class Counter:
 
     def __init__(self, code: Code):
         self.code = code
-        self.counts = np.zeros(2 * int(OFFSETS[-1]), np.uint32)
+        # counted by whole groups: how often each way through it was taken
+        self.ways = [np.zeros(WAYS << (b - GROUP), np.uint32) for b in TABLES]
 
     def add(self, tokens: Tokens) -> None:
         symbols = self.code.numbers(tokens.hashes)
@@ -313,11 +354,24 @@ class Counter:
             parts, before = predicted(self.code, tokens, symbols, part, before)
             for bits, contexts, _ in parts:
                 for k in range(CONTEXTS):
-                    slots = bits.slots(contexts[k], TABLES[k])
-                    slots <<= np.uint32(1)
-                    slots |= bits.turns
-                    counts = self.counts[2 * OFFSETS[k] : 2 * OFFSETS[k + 1]]
-                    np.add.at(counts, slots, np.uint32(1))
+                    at = bits.cells(contexts[k], TABLES[k]) * np.uint32(WAYS)
+                    at |= bits.ways
+                    np.add.at(self.ways[k], at, np.uint32(1))
+
+    @property
+    def counts(self) -> np.ndarray:
+        counts = np.zeros(2 * int(OFFSETS[-1]), np.uint32)
+        for k in range(CONTEXTS):
+            slots = counts[2 * OFFSETS[k] : 2 * OFFSETS[k + 1]].reshape(-1, 1 << GROUP, 2)
+            ways = self.ways[k].reshape(-1, WAYS)
+            used = np.flatnonzero(ways.any(axis=1))
+            taken = np.ascontiguousarray(ways[used].T)
+            sums = np.zeros((1 << GROUP, 2, len(used)), np.uint32)
+            for way in range(2, WAYS):
+                for at in range(_FIRST[way], _FIRST[way] + way.bit_length() - 1):
+                    sums[_INSIDE[at], _TURNS[at]] += taken[way]
+            slots[used] = sums.transpose(2, 0, 1)
+        return counts
 
 
 def _odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -359,10 +413,10 @@ class Mixer:
         self.middles = np.tile(_MIDDLES, texts)
         self.total = np.zeros(texts)
 
-    def run(self, text: np.ndarray, found: list, gates: np.ndarray, turns: np.ndarray, rate: float):
-        """Score bits and learn from them. `text`: the number of each bit's text."""
+    def run(self, text: np.ndarray, bits: np.ndarray, found: list, gates: np.ndarray, turns: np.ndarray, rate: float):
+        """Score bits and learn from them. `text`, `bits`: neighbouring bits' text, and how many they are."""
         gate = gates.astype(np.int64)
-        gate += text * GATES
+        gate += np.repeat(text * GATES, bits)
         x = [_unpacked(f) for f in found]
         mixed = self.weights[0].take(gate, mode="clip")
         mixed *= x[0]
@@ -376,7 +430,7 @@ class Mixer:
         mixed += np.float32(12.0)
         mixed *= np.float32(RANGES / 24)
         bins = np.minimum(np.maximum(mixed, 0.0), RANGES - 1).astype(np.int64)
-        bins += text * RANGES
+        bins += np.repeat(text * RANGES, bits)
         # the map corrects the mixed prediction by what it has seen beyond its start
         refined = (self.ones - self.seen * self.middles) / (self.seen + MAP_PRIOR)
         q = (MAP_PART * refined).astype(np.float32).take(bins, mode="clip")
@@ -385,15 +439,16 @@ class Mixer:
         q -= zero
         np.abs(q, out=q)
         np.maximum(q, np.float32(1e-7), out=q)
-        edges = np.flatnonzero(np.diff(text, prepend=-1))
-        self.total[text[edges]] += np.add.reduceat(np.log(q), edges, dtype=np.float64)
+        first = np.flatnonzero(np.diff(text, prepend=-1))
+        edges = (np.cumsum(bits) - bits)[first]
+        np.log(q, out=q)
+        self.total[text[first]] += np.add.reduceat(q, edges, dtype=np.float64)
         bins <<= 1
         bins += turns
         now = np.bincount(bins, minlength=2 * self.texts * RANGES)
         self.ones += now[1::2]
         self.seen += now[1::2] + now[::2]
-        error = np.float32(1.0) - zero
-        error -= p
+        error = np.subtract(turns, p, dtype=np.float32)
         error *= np.float32(rate)
         for k in range(CONTEXTS):
             self.weights[k] += np.bincount(
@@ -418,12 +473,23 @@ class Model:
     #: starting weights for each context and gate
     weights: np.ndarray
 
+    @cached_property
+    def _ways(self) -> list[np.ndarray]:
+        """The slots on each full-size way through each group of each table, as one number."""
+        return [
+            slots.reshape(-1, 1 << GROUP).take(_INSIDE[_STEPS].ravel(), axis=1).view(np.uint64).ravel()
+            for slots in self.slots
+        ]
+
     def _found(self, bits: Bits, contexts: list[np.ndarray], kind: int) -> list[np.ndarray]:
         """The slots of each context, and the gates."""
-        found = [
-            self.slots[k].take(bits.slots(contexts[k], TABLES[k]).astype(np.int64), mode="clip")
-            for k in range(CONTEXTS)
-        ]
+        found = []
+        for k in range(CONTEXTS):
+            paths = bits.cells(contexts[k], TABLES[k]).astype(np.int64)
+            paths <<= GROUP
+            paths |= bits.whole
+            slots = self._ways[k].take(paths, mode="clip").view(np.int16)
+            found.append(slots.take(bits.kept, mode="clip"))
         return [*found, _gates(found, kind)]
 
     def log10(self, tokens: Tokens, symbols: np.ndarray) -> np.ndarray:
@@ -457,7 +523,7 @@ class Model:
                 for k in range(CONTEXTS + 1)
             )
             turns = np.concatenate([parts[j][0].turns[a:b] for j, a, b in spans])
-            mixer.run(np.repeat(np.array(text), lengths), slots, gates, turns, rate)
+            mixer.run(np.array(text), np.array(lengths), slots, gates, turns, rate)
         return mixer.total / np.log(10.0)
 
     def _long(self, tokens: Tokens, symbols: np.ndarray) -> np.ndarray:
@@ -478,7 +544,7 @@ class Model:
             while low < len(turns) and (final or len(turns) - low >= stop - start):
                 part = slice(low, low + stop - start)
                 *slots, gates = (f[part] for f in found)
-                mixer.run(np.zeros(len(gates), np.int64), slots, gates, turns[part], rate)
+                mixer.run(np.zeros(1, np.int64), np.array([len(gates)]), slots, gates, turns[part], rate)
                 low = min(part.stop, len(turns))
                 start, stop, rate = next(plan)
             held = [[turns[low:], [f[low:] for f in found]]]
@@ -519,15 +585,123 @@ def _middles_of_ranges() -> np.ndarray:
 _ONE = np.array([[1, 0], [0, 1]], np.uint32).view(np.uint64).ravel()
 
 
+def _rest_of(zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Range and level of counts, which are float32."""
+    level = _LEVEL_OF[np.minimum(zeros + ones, np.float32(LEVELS[-1])).astype(np.int64)]
+    return _range_of(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))), level
+
+
+def _spare(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """How many bits, of whatever kind, can be taken out of a slot without changing its range or its level."""
+    total = zeros + ones
+    level = np.searchsorted(LEVELS, total, side="right")
+    least = np.concatenate([[0], LEVELS])[level]
+    # edges of the ranges as odds; a little room for rounding
+    edges = np.arange(FIT_RANGES + 1) * (2 * _SPAN / FIT_RANGES) - _SPAN
+    edges = np.exp(edges / (1.0 - np.abs(edges) / FIT_BEND))
+    low, high = edges[:-1] * (1 + 1e-4), edges[1:] * (1 - 1e-4)
+    low[0], high[-1] = 0, np.inf
+    at = _range_of(np.log((ones + PRIOR) / (zeros + PRIOR)))
+    down = ones + PRIOR - low[at] * (zeros + PRIOR)
+    up = zeros + PRIOR - (ones + PRIOR) / high[at]
+    # no more than there are can be taken out
+    spare = np.minimum(np.where(down >= ones, np.inf, down), np.where(up >= zeros, np.inf, up))
+    return np.clip(np.minimum(spare, total - least), 0, (1 << 16) - 1).astype(np.uint16)
+
+
+@dataclass
+class Sent:
+    """An array on its way to tasks, whose copies of it lie on the disks of driver and executors."""
+
+    kind: str
+    size: int
+    raw: bytes
+
+    @classmethod
+    def of(cls, array: np.ndarray) -> "Sent":
+        return cls(array.dtype.str, array.nbytes, pa.compress(pa.py_buffer(array), codec="zstd", asbytes=True))
+
+    def array(self) -> np.ndarray:
+        return np.frombuffer(pa.decompress(self.raw, self.size, codec="zstd"), np.dtype(self.kind))
+
+
+@dataclass
+class Ways:
+    """The ways through the groups of a table."""
+
+    #: range and level of the bits on each whole way, a byte each, if its text takes it once; a shorter one begins
+    #: like that to which zeros lead
+    codes: np.ndarray
+    #: how many bits can be taken out of each slot on a way without changing these, for ways of all sizes
+    spare: np.ndarray
+
+    @classmethod
+    def of(cls, counts: np.ndarray) -> "Ways":
+        """`counts`: zeros and ones of each slot by turns."""
+        pairs = counts.reshape(-1, 2)
+        used = np.flatnonzero(pairs.any(axis=1))
+        zeros, ones = pairs[used].T.astype(np.float64)
+        # nothing comes from slots that were not used
+        spare = np.full(len(pairs), (1 << 16) - 1, np.uint16)
+        spare[used] = _spare(zeros, ones)
+        spare = np.ascontiguousarray(spare.reshape(-1, 1 << GROUP).T)
+        zeros, ones = zeros.astype(np.float32), ones.astype(np.float32)
+        one = np.float32(1)
+        codes = []
+        for rest in ((np.maximum(zeros - one, 0), ones), (zeros, np.maximum(ones - one, 0))):
+            code = np.zeros(len(pairs), np.uint32)
+            ranges, levels = _rest_of(*rest)
+            code[used] = ranges << 3 | levels
+            codes.append(np.ascontiguousarray(code.reshape(-1, 1 << GROUP).T))
+        cells = spare.shape[1]
+        found = np.zeros((1 << GROUP, cells), np.uint32)
+        least = np.full((WAYS, cells), (1 << 16) - 1, np.uint16)
+        for way in range(2, WAYS):
+            for at in range(_FIRST[way], _FIRST[way] + way.bit_length() - 1):
+                np.minimum(least[way], spare[_INSIDE[at]], out=least[way])
+                if way >= 1 << GROUP:
+                    step = np.uint32(8 * (at - _FIRST[way]))
+                    found[way - (1 << GROUP)] |= codes[_TURNS[at]][_INSIDE[at]] << step
+        return cls(np.ascontiguousarray(found.T).ravel(), np.ascontiguousarray(least.T).ravel())
+
+
+def _shares_of_cells() -> list[list[np.ndarray]]:
+    """What a code of each context adds to the number of a cell, for tokens and for bytes."""
+    codes = np.arange(256)
+    shares = []
+    for kind in (0, 1):
+        row = []
+        for k in range(CONTEXTS):
+            gate = np.full(256, kind << 6 if k == 0 else 0)
+            for place, which in enumerate(GATING[kind]):
+                if which == k:
+                    gate += (codes & 7) << (3 if place == 0 else 0)
+            at = gate * FIT_RANGES**CONTEXTS + (codes >> 3) * FIT_RANGES ** (CONTEXTS - 1 - k)
+            row.append(2 * at)
+        shares.append(row)
+    return shares
+
+
+_SHARES = _shares_of_cells()
+
+
 class Fit:
     """Bits of the training texts by gate, ranges of their predictions and outcome. The bits of a text are
-    taken out of the counts that predict it."""
+    taken out of the counts that predict it.
+
+    Texts that are not long are worked on by groups of bits. A way through a group that its text meets once finds the
+    codes of its bits in a table, and so does one from whose slots so few bits are taken that nothing changes;
+    for the others, the text's bits are counted slot by slot.
+    """
 
-    def __init__(self, code: Code, counts: np.ndarray):
+    def __init__(self, code: Code, counts: np.ndarray, ways: list[Ways] | None = None):
         self.code = code
         # zeros and ones of a slot in one number, so that they are met together
         self.pairs = counts.view(np.uint64)
+        self.ways = ways or ways_of(counts)
         self.own = np.zeros(1 << max(TABLES), np.uint64)
+        self.visits = np.zeros(1 << (max(TABLES) - GROUP), np.int32)
+        self.marked = np.zeros(len(self.visits), bool)
         self.seen = np.zeros(GATES * FIT_RANGES**CONTEXTS * 2, np.uint32)
 
     def add(self, tokens: Tokens) -> None:
@@ -541,18 +715,70 @@ class Fit:
         first = np.cumsum(tokens.size) - tokens.size
         parts, _ = predicted(self.code, tokens, symbols, slice(None), self.code.first())
         for kind, (bits, contexts, lengths) in enumerate(parts):
-            ends = np.cumsum(np.add.reduceat(lengths, first, dtype=np.int64)).tolist()
-            rest = []
-            for k in range(CONTEXTS):
-                slots = bits.slots(contexts[k], TABLES[k]).astype(np.int64)
-                one, own = _ONE[bits.turns], np.empty(len(slots), np.uint64)
-                for low, high in zip([0, *ends], ends):
-                    mine = slots[low:high]
-                    np.add.at(self.own, mine, one[low:high])
-                    own[low:high] = self.own[mine]
-                    self.own[mine] = 0
-                rest.append(self._rest(k, slots, own))
-            self._count(rest, kind, bits.turns)
+            ends = np.cumsum(np.add.reduceat(lengths, first, dtype=np.int64))
+            ends = np.searchsorted(np.cumsum(bits.sizes), ends, side="right").tolist()
+            found = [self._codes(k, bits, contexts[k], ends) for k in range(CONTEXTS)]
+            self._count_ways(found, kind, bits.whole, bits.sizes)
+
+    def _codes(self, k: int, bits: Bits, context: np.ndarray, ends: list) -> np.ndarray:
+        """A byte for each bit of each group: its range and level without the bits of its text."""
+        cells = bits.cells(context, TABLES[k]).astype(np.int64)
+        visits = np.empty(len(cells), np.int32)
+        for low, high in zip([0, *ends], ends):
+            mine = cells[low:high]
+            np.add.at(self.visits, mine, np.int32(1))
+            visits[low:high] = self.visits.take(mine, mode="clip")
+            self.visits[mine] = 0
+        paths = cells << GROUP
+        paths |= bits.whole
+        found = self.ways[k].codes.take(paths, mode="clip")
+        often = np.flatnonzero(visits > 1)
+        paths = cells.take(often) * WAYS + bits.ways.take(often)
+        often = often[visits.take(often) > self.ways[k].spare.take(paths, mode="clip")]
+        if len(often):
+            self._without_own(k, bits, cells, often, ends, found)
+        return found
+
+    def _without_own(self, k: int, bits: Bits, cells: np.ndarray, often: np.ndarray, ends: list, found: np.ndarray):
+        """Put right the codes of some groups, and of those that share slots with them in a text."""
+        chosen, sizes = [], []
+        bounds = np.searchsorted(often, [0, *ends])
+        for low, high, first, last in zip([0, *ends], ends, bounds, bounds[1:]):
+            if first < last:
+                marks = cells[often[first:last]]
+                self.marked[marks] = True
+                chosen.append(low + np.flatnonzero(self.marked.take(cells[low:high], mode="clip")))
+                self.marked[marks] = False
+                sizes.append(int(bits.sizes[chosen[-1]].sum()))
+        chosen = np.concatenate(chosen)
+        size = bits.sizes[chosen]
+        place = _places(bits.ways[chosen], size)
+        slots = np.repeat(cells[chosen] << GROUP, size)
+        slots += _INSIDE.take(place, mode="clip")
+        one, own = _ONE.take(_TURNS.take(place, mode="clip")), np.empty(len(slots), np.uint64)
+        ends = np.cumsum(sizes).tolist()
+        for low, high in zip([0, *ends], ends):
+            mine = slots[low:high]
+            np.add.at(self.own, mine, one[low:high])
+            own[low:high] = self.own[mine]
+            self.own[mine] = 0
+        ranges, levels = self._rest(k, slots, own)
+        at = np.repeat(GROUP * chosen - (np.cumsum(size) - size), size)
+        at += np.arange(len(at))
+        found.view(np.uint8)[at] = ranges << 3 | levels
+
+    def _count_ways(self, found: list[np.ndarray], kind: int, whole: np.ndarray, sizes: np.ndarray) -> None:
+        # the largest groups first: those with a bit in some place are at the front
+        order = np.argsort((GROUP - sizes).astype(np.uint8), kind="stable")
+        whole = whole.take(order)
+        codes = [f.take(order).view(np.uint8).reshape(-1, GROUP) for f in found]
+        for step in range(GROUP):
+            n = int(np.count_nonzero(sizes > step))
+            at = whole[:n] >> (GROUP - 1 - step)
+            at &= 1
+            for share, code in zip(_SHARES[kind], codes):
+                at += share.take(code[:n, step], mode="clip")
+            np.add.at(self.seen, at, np.uint32(1))
 
     def _add_long(self, tokens: Tokens, symbols: np.ndarray) -> None:
         """A text of any length, piece by piece: its own bits first, then all bits without them."""
@@ -581,9 +807,7 @@ class Fit:
         found = self.pairs[OFFSETS[k] : OFFSETS[k + 1]].take(slots, mode="clip").view(np.uint32)
         own = own.view(np.uint32)
         left = np.where(found > own, found - own, np.uint32(0)).astype(np.float32)
-        zeros, ones = left[::2], left[1::2]
-        level = _LEVEL_OF[np.minimum(zeros + ones, np.float32(LEVELS[-1])).astype(np.int64)]
-        return _range_of(np.log((ones + np.float32(PRIOR)) / (zeros + np.float32(PRIOR)))), level
+        return _rest_of(left[::2], left[1::2])
 
     def _count(self, rest: list, kind: int, turns: np.ndarray) -> None:
         at = _gates([level for _, level in rest], kind).astype(np.int64)
@@ -602,6 +826,11 @@ class Fit:
         return cells, n
 
 
+def ways_of(counts: np.ndarray) -> list[Ways]:
+    """For each table."""
+    return [Ways.of(counts[2 * low : 2 * high]) for low, high in zip(OFFSETS, OFFSETS[1:])]
+
+
 def regressed_weights(cells: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Starting weights of every gate: a logistic regression, by Newton steps, on the bits that `Fit` counts."""
     weights = np.tile(np.array(START), (GATES, 1))
@@ -644,6 +873,7 @@ def token_counts(texts: DataFrame, text: str = "text") -> tuple[DataFrame, np.nd
     """(token, n) for each token, and how often each byte occurs in the texts, lower-cased."""
 
     def run(batches):
+        make_native(globals())
         held, size, letters = [], 0, np.zeros(256, np.int64)
 
         def counted():
@@ -703,11 +933,13 @@ def train(texts: DataFrame, code: Code, text: str = "text") -> Model:
     size = int(OFFSETS[-1])
 
     def count(batches):
-        counter = Counter(code)
+        make_native(globals())
+        counter = Counter(native(code))
         for batch in batches:
             for _, raw, offsets in text_groups(batch.column("text"), GROUP_BYTES):
                 counter.add(Tokens(raw, offsets))
         strips = counter.counts.reshape(-1, 2 * STRIP)
+        del counter
         used = np.flatnonzero(strips.any(axis=1))
         for start in range(0, len(used), 64):
             part = used[start : start + 64]
@@ -753,8 +985,13 @@ def train(texts: DataFrame, code: Code, text: str = "text") -> Model:
 def fit_to(texts: DataFrame, code: Code, counts: np.ndarray, text: str = "text") -> np.ndarray:
     """Starting weights by all training texts. Tasks send the cells that they have counted, whose number is bounded."""
 
+    sent = Sent.of(counts)
+    sent_ways = [(Sent.of(w.codes), Sent.of(w.spare)) for w in ways_of(counts)]
+
     def run(batches):
-        fit, size = Fit(code, counts), 0
+        make_native(globals())
+        ways = [Ways(codes.array(), spare.array()) for codes, spare in sent_ways]
+        fit, size = Fit(native(code), sent.array(), ways), 0
 
         def counted():
             cells, n = fit.counted()
@@ -801,17 +1038,19 @@ def scores(
     # per symbol: log10(count + 1); the escape, and an end that is rare, are joined to the counts
     logs = np.zeros(len(code.keys) + 1)
     logs[np.searchsorted(code.keys, keys) + 1] = np.log10(times + 1.0)
-    model = train(taught, code)
+    trained = train(taught, code)
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches):
+        make_native(globals())
+        model, log_of = native(trained), native(logs)
         for batch in batches:
             sizes, known, sums, score, size, rare = [], [], [], [], [], []
             for _, raw, offsets in text_groups(batch.column("text"), GROUP_BYTES):
                 tokens = Tokens(raw, offsets)
-                symbols = code.numbers(tokens.hashes)
+                symbols = model.code.numbers(tokens.hashes)
                 score.append(model.log10(tokens, symbols))
-                log = logs[symbols]
+                log = log_of[symbols]
                 other = log == 0
                 first = np.cumsum(tokens.size) - tokens.size
                 sizes.append(tokens.size)

@@ -174,3 +174,49 @@ def test_counts_beyond_32_bits_keep_their_odds():
     got = mixlm.halved(counts).astype(np.float64)
     assert got[:2].tolist() == [5, 7] and got[4:6].tolist() == [(1 << 32) - 1, 3]
     assert got[2] / got[3] == 2 and got[2] < 1 << 32 and got[6] > 1 << 30 and got[7] == 0
+
+
+@pytest.mark.parametrize("times", [1, 40, 3000])
+def test_few_slots_are_counted_for_each_text(times, monkeypatch):
+    """Ways through groups of bits give what slots give, and most of them do without the slots."""
+    rng = np.random.default_rng(times)
+    words = np.array([f"w{i}" for i in range(400)])
+    share = 1 / np.arange(1, 401)
+    texts = [" ".join(rng.choice(words, 60, p=share / share.sum())) + f" new{i}" for i in range(300)]
+    tokens = tokens_of(*texts)
+    keys, counts = np.unique(tokens.hashes, return_counts=True)
+    often = counts >= mixlm.TIMES
+    code = mixlm.Code.of(keys[often], counts[often], len(tokens.hashes), np.bincount(tokens.text, minlength=256))
+    counter = mixlm.Counter(code)
+    counter.add(tokens)
+    fit = mixlm.Fit(code, counter.counts * np.uint32(times))
+    met = []
+    rest = fit._rest
+    monkeypatch.setattr(fit, "_rest", lambda k, slots, own: (met.append(len(slots)), rest(k, slots, own))[1])
+    fit.add(tokens)
+    cells, n = fit.counted()
+    assert sum(met) < {1: 0.9, 40: 0.7, 3000: 0.3}[times] * counter.counts.sum()
+    assert not (fit.own.any() or fit.visits.any() or fit.marked.any())
+    met.clear()
+    monkeypatch.setattr(mixlm, "PIECE", 7)
+    for text in texts:
+        fit.add(tokens_of(text))
+    assert sum(met) == counter.counts.sum()
+    assert [x.tolist() for x in fit.counted()] == [cells.tolist(), n.tolist()]
+
+
+def test_arrays_in_tasks_have_numpys_own_types(model):
+    """Loops of numpy that ask for a type itself are many times slower with a pickled copy of it."""
+    import pickle
+
+    from pyspark import cloudpickle
+
+    sent = pickle.loads(cloudpickle.dumps(model.code))
+    assert sent.keys.dtype is not np.dtype(np.uint64)
+    got = mixlm.native(sent)
+    assert got.keys.dtype is np.dtype(np.uint64) and np.array_equal(got.keys, model.code.keys)
+    assert got.common.dtype is got.keys.dtype and got.most == model.code.most
+
+    names = {"one": pickle.loads(cloudpickle.dumps(mixlm._ONE)), "many": [pickle.loads(cloudpickle.dumps(mixlm._TURNS))]}
+    mixlm.make_native(names)
+    assert names["one"].dtype is np.dtype(np.uint64) and names["many"][0].dtype is np.dtype(np.uint8)
