@@ -345,6 +345,8 @@ class Counter:
         self.code = code
         # counted by whole groups: how often each way through it was taken
         self.ways = [np.zeros(WAYS << (b - GROUP), np.uint32) for b in TABLES]
+        # where there is no context, by tokens
+        self.symbols = np.zeros(len(code.words), np.uint32)
 
     def add(self, tokens: Tokens) -> None:
         symbols = self.code.numbers(tokens.hashes)
@@ -352,18 +354,33 @@ class Counter:
         for start in range(0, len(symbols), PIECE):
             part = slice(start, start + PIECE)
             parts, before = predicted(self.code, tokens, symbols, part, before)
-            for bits, contexts, _ in parts:
-                for k in range(CONTEXTS):
-                    at = bits.cells(contexts[k], TABLES[k]) * np.uint32(WAYS)
-                    at |= bits.ways
-                    np.add.at(self.ways[k], at, np.uint32(1))
+            np.add.at(self.symbols, symbols[part], np.uint32(1))
+            for kind, (bits, contexts, _) in enumerate(parts):
+                for k in range(CONTEXTS if kind else CONTEXTS - 1):
+                    self._add_ways(self.ways[k], k, bits, contexts[k], np.uint32(1))
+
+    @staticmethod
+    def _add_ways(ways: np.ndarray, k: int, bits: Bits, context: np.ndarray, times) -> None:
+        at = bits.cells(context, TABLES[k]) * np.uint32(WAYS)
+        at |= bits.ways
+        np.add.at(ways, at, times)
+
+    def _without_context(self) -> np.ndarray:
+        """The ways of the last table, with those of tokens."""
+        ways, used = self.ways[-1].copy(), np.flatnonzero(self.symbols)
+        for start in range(0, len(used), PIECE):
+            part = used[start : start + PIECE]
+            bits = Bits(self.code.words[part], self.code.lengths[part], 0)
+            times = np.repeat(self.symbols[part], bits.groups)
+            self._add_ways(ways, CONTEXTS - 1, bits, np.zeros(len(part), np.uint32), times)
+        return ways
 
     @property
     def counts(self) -> np.ndarray:
         counts = np.zeros(2 * int(OFFSETS[-1]), np.uint32)
-        for k in range(CONTEXTS):
+        for k, ways in enumerate([*self.ways[:-1], self._without_context()]):
             slots = counts[2 * OFFSETS[k] : 2 * OFFSETS[k + 1]].reshape(-1, 1 << GROUP, 2)
-            ways = self.ways[k].reshape(-1, WAYS)
+            ways = ways.reshape(-1, WAYS)
             used = np.flatnonzero(ways.any(axis=1))
             taken = np.ascontiguousarray(ways[used].T)
             sums = np.zeros((1 << GROUP, 2, len(used)), np.uint32)
@@ -426,7 +443,10 @@ class Mixer:
             mixed += part
         np.minimum(mixed, LIMIT, out=mixed)
         np.maximum(mixed, -LIMIT, out=mixed)
-        p = 1.0 / (1.0 + np.exp(-mixed))
+        p = np.negative(mixed)
+        np.exp(p, out=p)
+        p += np.float32(1.0)
+        np.divide(np.float32(1.0), p, out=p)
         mixed += np.float32(12.0)
         mixed *= np.float32(RANGES / 24)
         bins = np.minimum(np.maximum(mixed, 0.0), RANGES - 1).astype(np.int64)
@@ -727,40 +747,40 @@ class Fit:
         for low, high in zip([0, *ends], ends):
             mine = cells[low:high]
             np.add.at(self.visits, mine, np.int32(1))
-            visits[low:high] = self.visits.take(mine, mode="clip")
+            self.visits.take(mine, out=visits[low:high], mode="clip")
             self.visits[mine] = 0
         paths = cells << GROUP
         paths |= bits.whole
         found = self.ways[k].codes.take(paths, mode="clip")
-        often = np.flatnonzero(visits > 1)
-        paths = cells.take(often) * WAYS + bits.ways.take(often)
-        often = often[visits.take(often) > self.ways[k].spare.take(paths, mode="clip")]
+        shared = np.flatnonzero(visits > 1)
+        paths = cells.take(shared) * WAYS + bits.ways.take(shared)
+        often = shared[visits.take(shared) > self.ways[k].spare.take(paths, mode="clip")]
         if len(often):
-            self._without_own(k, bits, cells, often, ends, found)
+            self._without_own(k, bits, cells, shared, often, ends, found)
         return found
 
-    def _without_own(self, k: int, bits: Bits, cells: np.ndarray, often: np.ndarray, ends: list, found: np.ndarray):
-        """Put right the codes of some groups, and of those that share slots with them in a text."""
-        chosen, sizes = [], []
-        bounds = np.searchsorted(often, [0, *ends])
-        for low, high, first, last in zip([0, *ends], ends, bounds, bounds[1:]):
-            if first < last:
-                marks = cells[often[first:last]]
-                self.marked[marks] = True
-                chosen.append(low + np.flatnonzero(self.marked.take(cells[low:high], mode="clip")))
-                self.marked[marks] = False
-                sizes.append(int(bits.sizes[chosen[-1]].sum()))
-        chosen = np.concatenate(chosen)
-        size = bits.sizes[chosen]
-        place = _places(bits.ways[chosen], size)
-        slots = np.repeat(cells[chosen] << GROUP, size)
+    def _without_own(self, k, bits: Bits, cells: np.ndarray, shared: np.ndarray, often: np.ndarray, ends: list, found):
+        """Put right the codes of some groups, and of those that share slots with them in a text. `shared`: all groups
+        that share slots with others in their text."""
+        # a few others that have the same mark by chance do no harm
+        marks = np.repeat(np.arange(len(ends)) * 0x9E37, np.diff([0, *ends])).take(shared)
+        marks ^= cells.take(shared)
+        marks &= len(self.marked) - 1
+        mine = marks[np.searchsorted(shared, often)]
+        self.marked[mine] = True
+        chosen = shared[self.marked.take(marks, mode="clip")]
+        self.marked[mine] = False
+        size = bits.sizes.take(chosen)
+        place = _places(bits.ways.take(chosen), size)
+        slots = np.repeat(cells.take(chosen) << GROUP, size)
         slots += _INSIDE.take(place, mode="clip")
         one, own = _ONE.take(_TURNS.take(place, mode="clip")), np.empty(len(slots), np.uint64)
-        ends = np.cumsum(sizes).tolist()
+        sums = np.concatenate([[0], np.cumsum(size)])
+        ends = sums[np.searchsorted(chosen, ends)].tolist()
         for low, high in zip([0, *ends], ends):
             mine = slots[low:high]
             np.add.at(self.own, mine, one[low:high])
-            own[low:high] = self.own[mine]
+            self.own.take(mine, out=own[low:high], mode="clip")
             self.own[mine] = 0
         ranges, levels = self._rest(k, slots, own)
         at = np.repeat(GROUP * chosen - (np.cumsum(size) - size), size)
@@ -940,18 +960,22 @@ def train(texts: DataFrame, code: Code, text: str = "text") -> Model:
                 counter.add(Tokens(raw, offsets))
         strips = counter.counts.reshape(-1, 2 * STRIP)
         del counter
-        used = np.flatnonzero(strips.any(axis=1))
+        # a task's counts are small numbers, mostly
+        most = strips.max(axis=1)
+        kinds = [np.min_scalar_type(n) for n in most]
+        used = np.flatnonzero(most)
         for start in range(0, len(used), 64):
             part = used[start : start + 64]
             yield pa.RecordBatch.from_pydict(
-                {"strip": part.astype(np.int32), "counts": [strips[i].tobytes() for i in part]}
+                {"strip": part.astype(np.int32), "counts": [strips[i].astype(kinds[i]).tobytes() for i in part]}
             )
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for strip, raw in zip(batch.column("strip").to_pylist(), batch.column("counts")):
-                found = np.frombuffer(raw.as_buffer(), np.uint32)
+                raw = raw.as_buffer()
+                found = np.frombuffer(raw, np.dtype(f"u{raw.size // (2 * STRIP)}"))
                 if strip in sums:
                     sums[strip] += found
                 else:

@@ -220,3 +220,33 @@ def test_arrays_in_tasks_have_numpys_own_types(model):
     names = {"one": pickle.loads(cloudpickle.dumps(mixlm._ONE)), "many": [pickle.loads(cloudpickle.dumps(mixlm._TURNS))]}
     mixlm.make_native(names)
     assert names["one"].dtype is np.dtype(np.uint64) and names["many"][0].dtype is np.dtype(np.uint8)
+
+
+def test_counts_are_those_of_single_bits(model, spark, docs):
+    """Ways through groups, tokens without context and narrow sums of tasks add up to the bits of each slot."""
+    texts = [*TRAINING, "the cat " * 70_000, "zyx wvu utsr " * 400, "", "a"]
+    want = np.zeros(2 * int(mixlm.OFFSETS[-1]), np.uint32)
+    counter = mixlm.Counter(model.code)
+    for text in texts:
+        tokens = tokens_of(text)
+        counter.add(tokens)
+        symbols = model.code.numbers(tokens.hashes)
+        parts, _ = mixlm.predicted(model.code, tokens, symbols, slice(None), model.code.first())
+        for bits, contexts, _ in parts:
+            for k in range(mixlm.CONTEXTS):
+                at = 2 * (bits.slots(contexts[k], mixlm.TABLES[k]).astype(np.int64) + mixlm.OFFSETS[k]) + bits.turns
+                np.add.at(want, at, np.uint32(1))
+    assert want.max() > 1 << 16 and np.array_equal(counter.counts, want)
+    assert np.array_equal(counter.counts, want)
+    got = mixlm.train(docs(*enumerate(texts)).repartition(3), model.code)
+    for k, (low, high) in enumerate(zip(mixlm.OFFSETS, mixlm.OFFSETS[1:])):
+        zeros, ones = want[2 * low : 2 * high].reshape(-1, 2).T.astype(float)
+        assert np.array_equal(got.slots[k], mixlm._packed(zeros, ones))
+
+
+def test_tables_are_sent_small():
+    counts = np.zeros(1 << 20, np.uint32)
+    counts[::100] = 7
+    sent = mixlm.Sent.of(counts)
+    assert len(sent.raw) < counts.nbytes / 20 and np.array_equal(sent.array(), counts)
+    assert sent.array().dtype is np.dtype(np.uint32)
