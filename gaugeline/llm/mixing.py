@@ -14,6 +14,8 @@ there are as many whole passes as the budget holds, and one that ends when the b
 reached. Only the block in which the last pass ends is cut, between documents: the
 document during which the budget runs out is the last one. Sums run over blocks first and then
 within that block, so no task holds more than one block or the list of a source's blocks.
+Where the last pass ends is one place for each source. With it every document finds its own draws,
+so texts meet the table of sources and are not dealt out by document.
 
 Defined cases: documents without tokens (null, empty or blank text) are left out. A null source is a
 source. A single source keeps weight 1. A budget that repeats even all tokens together more often than allowed
@@ -123,23 +125,26 @@ def source_weights(
     )
 
 
-def _hash(*columns: Column) -> Column:
+def _hash(*columns: Column | str) -> Column:
     return F.xxhash64(F.lit(SEED), *columns)
 
 
-def drawn(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    source: str = "source",
-    budget: int | None = None,
-    entropy: float = ENTROPY,
-    repeats: float = REPEATS,
-) -> DataFrame:
-    """(id, text_hash, source, tokens, weight, pass, block_order, order) with a row for each time
-    that a document is drawn; passes count from 0. Sorting a source by pass, block_order, order,
-    id and text_hash gives its sequence."""
-    counted = settled(
+def _block() -> Column:
+    return F.pmod(_hash(F.lit(1), "id", "text_hash"), F.col("blocks"))
+
+
+def _block_order(number: str, block: Column) -> Column:
+    """Place of a block in a pass over its source, whose number is in the column `number`."""
+    return _hash(F.lit(2), "source", number, block)
+
+
+def _order(number: str) -> Column:
+    """Place of a document in its block."""
+    return _hash(F.lit(3), "source", number, "id", "text_hash")
+
+
+def _counted(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
+    return settled(
         docs.select(
             F.col(doc_id).alias("id"),
             F.xxhash64(text).alias("text_hash"),
@@ -147,6 +152,17 @@ def drawn(
             tokens(F.col(text)).alias("tokens"),
         ).filter("tokens > 0")
     )
+
+
+def _planned(
+    counted: DataFrame,
+    budget: int | None = None,
+    entropy: float = ENTROPY,
+    repeats: float = REPEATS,
+) -> DataFrame:
+    """A row for each source `of`, with all that its documents need to know how often they are drawn:
+    the whole passes, and the place where the last, partial one ends. That is the block `stop`; of
+    a `cut` block the documents up to `upto`. Both are null if no partial pass is left."""
     weights, _ = source_weights(counted, budget, entropy, repeats)
     sizes = counted.groupBy("source").agg(
         F.count("*").alias("docs"), F.sum("tokens").alias("source_tokens")
@@ -163,59 +179,87 @@ def drawn(
         )
     )
     # one row for each source on the right; a hot source is split on the left
-    placed = counted.join(plan, F.expr("source <=> of")).withColumn(
-        "block", F.pmod(_hash(F.lit(1), "id", "text_hash"), F.col("blocks"))
-    )
-    placed = placed.drop("of")
-    block_order = _hash(F.lit(2), "source", "pass", "block")
+    placed = counted.join(plan, F.expr("source <=> of")).withColumn("block", _block())
     # where the last, partial pass ends: running sums over the blocks of a source
     by_block = (
         placed.groupBy("source", "block")
         .agg(
             F.sum("tokens").alias("in_block"),
-            F.first("whole").alias("pass"),
+            F.first("whole").alias("whole"),
             F.first("rest").alias("rest"),
         )
-        .withColumn("block_order", block_order)
+        .withColumn("block_order", _block_order("whole", F.col("block")))
     )
     running = Window.partitionBy("source").orderBy("block_order", "block")
-    ends = by_block.withColumn(
-        "before", F.sum("in_block").over(running) - F.col("in_block")
-    ).filter("before < rest").select(
-        F.col("source").alias("of"),
-        F.col("block").alias("of_block"),
-        "before",
-        (F.col("before") + F.col("in_block") > F.col("rest")).alias("cut"),
-    )
-    last = placed.join(ends, F.expr("source <=> of and block = of_block")).withColumn(
-        "pass", F.col("whole")
+    cut = F.col("before") + F.col("in_block") > F.col("rest")
+    ends = (
+        by_block.withColumn("before", F.sum("in_block").over(running) - F.col("in_block"))
+        .filter("before < rest")
+        .groupBy(F.col("source").alias("ending"))
+        .agg(
+            F.max(
+                F.struct(F.struct("block_order", "block").alias("stop"), "before", cut.alias("cut"))
+            ).alias("end")
+        )
+        .select("ending", "end.*")
     )
-    order = _hash(F.lit(3), "source", "pass", "id", "text_hash")
-    within = Window.partitionBy("source", "block").orderBy("order", "id", "text_hash")
-    partial = (
-        last.withColumn("order", order)
+    within = Window.partitionBy("source").orderBy("order", "id", "text_hash")
+    upto = (
+        placed.join(ends, F.expr("source <=> ending and block = stop.block"))
+        .filter("cut")
+        .withColumn("order", _order("whole"))
         .withColumn(
-            "sofar",
-            F.when(
-                F.col("cut"), F.col("before") + F.sum("tokens").over(within) - F.col("tokens")
-            ).otherwise(F.col("before")),
+            "sofar", F.col("before") + F.sum("tokens").over(within) - F.col("tokens")
         )
-        .filter("not cut or sofar < rest")
+        .filter("sofar < rest")
+        .groupBy(F.col("source").alias("cutting"))
+        .agg(F.max(F.struct("order", "id", "text_hash")).alias("upto"))
     )
-    whole = (
-        placed.filter("whole > 0")
-        .withColumn("pass", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("whole") - 1)))
-        .withColumn("order", order)
+    return settled(
+        plan.join(ends, F.expr("of <=> ending"), "left")
+        .join(upto, F.expr("of <=> cutting"), "left")
+        .select("of", "blocks", "weight", "whole", "stop", "cut", "upto")
     )
-    columns = ["id", "text_hash", "source", "tokens", "weight", "pass", "block", "order"]
+
+
+def _draws(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """`rows`, which have id, text_hash and source, once for each draw, with weight, pass, block_order
+    and order. Each row meets the one row of its source and no other document."""
+    place = F.struct(_block_order("whole", F.col("block")).alias("block_order"), "block")
+    key = F.struct(_order("whole").alias("order"), "id", "text_hash")
+    before = place < F.col("stop")
+    within = (place == F.col("stop")) & (~F.col("cut") | (key <= F.col("upto")))
+    times = F.col("whole") + F.when(before | within, 1).otherwise(0).cast("bigint")
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1)
     return (
-        whole.select(*columns)
-        .unionByName(partial.select(*columns))
-        .withColumn("block_order", block_order)
-        .drop("block")
+        # one row for each source on the right; a hot source is split on the left
+        rows.join(plan, F.expr("source <=> of"))
+        .withColumn("block", _block())
+        .withColumn("times", times)
+        .filter("times > 0")
+        .withColumn("pass", F.explode(numbers))
+        .withColumn("block_order", _block_order("pass", F.col("block")))
+        .withColumn("order", _order("pass"))
+        .select(*rows.columns, "weight", "pass", "order", "block_order")
     )
 
 
+def drawn(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    budget: int | None = None,
+    entropy: float = ENTROPY,
+    repeats: float = REPEATS,
+) -> DataFrame:
+    """(id, text_hash, source, tokens, weight, pass, block_order, order) with a row for each time
+    that a document is drawn; passes count from 0. Sorting a source by pass, block_order, order,
+    id and text_hash gives its sequence."""
+    counted = _counted(docs, doc_id, text, source)
+    return _draws(counted, _planned(counted, budget, entropy, repeats))
+
+
 def mixed_documents(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -224,16 +268,13 @@ def mixed_documents(
     **settings,
 ) -> DataFrame:
     """`docs`, each as often as it is drawn, with its `pass`, `block_order` and `order`."""
-    draws = drawn(docs, doc_id, text, source, **settings)
+    plan = _planned(_counted(docs, doc_id, text, source), **settings)
     names = [fresh_name(docs.columns, x) for x in ("pass", "block_order", "order")]
-    keys = [fresh_name([*docs.columns, *names], x) for x in ("of", "hash", "from")]
-    draws = draws.select(
-        *[F.col(a).alias(b) for a, b in zip(("id", "text_hash", "source"), keys)],
-        *[F.col(a).alias(b) for a, b in zip(("pass", "block_order", "order"), names)],
-    ).distinct()
-    same = (
-        docs[doc_id].eqNullSafe(draws[keys[0]])
-        & (F.xxhash64(docs[text]) == draws[keys[1]])
-        & docs[source].eqNullSafe(draws[keys[2]])
+    rows = docs.filter(F.col(text).rlike(WORD)).select(
+        F.struct("*").alias("row"),
+        F.col(doc_id).alias("id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.col(source).alias("source"),
     )
-    return docs.join(draws, same).select(*[docs[c] for c in docs.columns], *names)
+    added = [F.col(a).alias(b) for a, b in zip(("pass", "block_order", "order"), names)]
+    return _draws(rows, plan).select("row.*", *added)

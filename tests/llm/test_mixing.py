@@ -125,3 +125,27 @@ def test_a_limit_that_cannot_be_met_is_told(docs):
     with pytest.warns(UserWarning, match="more than 4"):
         assert mixing.drawn(frame, budget=240, repeats=4.0).count() == 60
     assert mixing.drawn(frame, budget=48, repeats=4.0).count() == 12
+
+
+def test_texts_are_not_dealt_out(spark, capsys):
+    rows, _ = many(spark)
+    mixing.mixed_documents(rows, budget=9_000).explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastExchange" in plan and "Exchange hashpartitioning" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("budget", [None, 700, 40_000])
+def test_documents_are_those_drawn(spark, monkeypatch, budget):
+    monkeypatch.setattr(mixing, "BLOCK", 16)
+    rows, _ = many(spark)
+    twice = rows.unionByName(rows.filter("doc_id % 5 = 0"))
+    rows = twice.withColumn("doc_id", F.when(F.col("doc_id") % 50 != 3, F.col("doc_id")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        draws = [(r.id, r.source, r["pass"], r.block_order, r.order) for r in mixing.drawn(rows, budget=budget).collect()]
+        got = [(r.doc_id, r.source, r["pass"], r.block_order, r.order) for r in mixing.mixed_documents(rows, budget=budget).collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(str, got)) == sorted(map(str, draws))
+    by_default = mixing.mixed_documents(rows, budget=budget).select("doc_id", "source", "pass", "block_order", "order")
+    assert sorted(map(str, map(tuple, by_default.collect()))) == sorted(map(str, draws))
