@@ -6,15 +6,20 @@
    sets agree in SPARE + 1 parts or more. Sets that agree in a part meet through the part's signature.
    Empty parts agree by chance; a set emits them only if it has more than SPARE, for with fewer
    some part agrees that is not empty.
-3. Linked sets meet in several parts: in SPARE + 1, less the parts that are empty in both. A pair that
-   only meets in groups of at most PAIRS sets is kept if it meets that often; the sets of a larger
-   group are kept together. What is kept, directly or through others, forms a block. Every block gets a signature tree: its
+3. Linked sets meet in several parts: in SPARE + 1, less the parts that are empty in both. So a set
+   can do without all but one of these meetings: it leaves its largest groups, of those with more than PAIRS sets. All
+   sets leave groups in the same order, so what two sets lose of their meetings is no more than one of
+   them has left. Passages that many texts have thus bring no texts together that share little else.
+   Of what is left, a pair that only meets in groups of at most PAIRS sets is kept if it meets often enough; the sets of
+   a larger group are kept together. What is kept, directly or through others, forms a block. Every block gets a signature tree: its
    leaves hold the token bitmaps of LEAF sets, its inner nodes the OR of the bitmaps below, the
    range of set sizes and the smallest bitmap. A dual traversal from the pair of roots drops pairs
    of nodes whose sizes, or whose largest possible overlap, rule out a link. What is left is
    compared exactly. Pairs that are already connected are not compared again.
-4. A block beyond TILE_BYTES is cut into tiles; every pair of tiles is a task of its own with two
-   trees, so no task holds more than two tiles.
+4. A block beyond TILE_BYTES is cut into tiles, by size and then by hash; every pair of tiles whose sizes may
+   link is a task of its own with two trees, so no task holds more than two tiles. The copies of the
+   sets for these tasks are made in rounds, each with about as many bytes as the sets of all texts at most, so the disk
+   does not grow with the square of a block.
 
 Links that do not connect anything new are not reported: the result is the components.
 
@@ -27,11 +32,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.llm.common import (
@@ -58,6 +64,8 @@ _SALT = np.uint64(0x5851F42D4C957F2D)
 REMEMBERED = 1_000_000
 GROUP_BYTES = 1 << 20
 CLASS_BITS = 7
+#: Bits for the number of a tile among those of one block and size.
+PART_BITS = 32
 
 
 @dataclass(frozen=True)
@@ -319,32 +327,111 @@ def _meetings(docs: DataFrame, rule: Rule) -> DataFrame:
         .filter("low < high")
         .select("route")
     )
-    shared = settled(rows.join(groups, "route").distinct())
+    shared = settled(_without_largest(settled(rows.join(groups, "route").distinct())))
     sizes = shared.groupBy("route").agg(F.count("*").alias("sets"), F.min("key").alias("low"))
     sized = shared.join(sizes, "route")
     large = sized.filter((F.col("sets") > PAIRS) & (F.col("key") > F.col("low")))
     small = sized.filter(F.col("sets") <= PAIRS)
     # at most PAIRS rows of a route
-    left = small.select("route", F.col("key").alias("a"), F.col("need").alias("need_a"))
-    right = small.select("route", F.col("key").alias("b"), F.col("need").alias("need_b"))
+    left, right = (
+        small.select(
+            "route", F.col("key").alias(x), F.col("need").alias(f"need_{x}"), F.col("gone").alias(f"gone_{x}")
+        )
+        for x in ("a", "b")
+    )
     pairs = (
         left.join(right, "route")
         .filter("a < b")
-        .withColumn("class", F.col("route").bitwiseAND(F.lit((1 << CLASS_BITS) - 1)))
+        .withColumn("class", _class_of(F.col("route")))
         .groupBy("a", "b", "class")
-        .agg(F.count("*").alias("met"), F.max(F.greatest("need_a", "need_b")).alias("need"))
-        .filter("met >= need")
+        .agg(
+            F.count("*").alias("met"),
+            F.max(F.greatest("need_a", "need_b")).alias("need"),
+            F.max(F.greatest("gone_a", "gone_b")).alias("gone"),
+        )
+        .filter("met >= need - gone")
     )
     return large.select(F.col("low").alias("a"), F.col("key").alias("b")).union(
         pairs.select("a", "b")
     ).distinct()
 
 
+def _class_of(route: Column) -> Column:
+    return route.bitwiseAND(F.lit((1 << CLASS_BITS) - 1))
+
+
+def _without_largest(shared: DataFrame) -> DataFrame:
+    """(route, key, need, gone): the rows without the largest groups of each set, of those with more than PAIRS
+    sets and fewer than it needs; `gone` is how many of its class are left out."""
+    sizes = shared.groupBy("route").agg(F.count("*").alias("sets"))
+    own = Window.partitionBy("key", _class_of(F.col("route")))
+    placed = shared.join(sizes, "route").select(
+        "route",
+        "key",
+        "need",
+        # one order for all sets
+        F.row_number().over(own.orderBy(F.desc("sets"), "route")).alias("place"),
+        F.least(F.col("need") - 1, F.count(F.when(F.col("sets") > PAIRS, 1)).over(own)).alias("gone"),
+    )
+    return placed.filter("place > gone").drop("place")
+
+
+def _tiled(members: DataFrame) -> DataFrame:
+    """`members` with the tile of each set in its block: 0 in blocks of one tile. Sets of a tile have about one size."""
+    kind = F.floor(F.log(F.col("n")) / float(np.log(RATIO)))
+    sized = members.withColumn("class", kind)
+    parts = sized.groupBy("block", "class").agg((F.sum("n") * 8).alias("bytes"))
+    whole = parts.groupBy("block").agg(F.sum("bytes").alias("block_bytes"))
+    part = F.pmod(F.xxhash64("key"), F.ceil(F.col("bytes") / TILE_BYTES))
+    tile = F.when(F.col("block_bytes") <= TILE_BYTES, 0).otherwise(
+        F.shiftleft(F.col("class"), PART_BITS) + part + 1
+    )
+    return (
+        sized.join(parts.join(whole, "block"), ["block", "class"])
+        .withColumn("tile", tile)
+        .select(*members.columns, "tile")
+    )
+
+
+def _tile_pairs(tiled: DataFrame, rule: Rule, most: int) -> DataFrame:
+    """(block, i, j, round): pairs of tiles with sets that may link by their sizes, of blocks with several tiles. Copies of
+    tiles in a round have about `most` bytes, if that is no less than all blocks have; each block has its share."""
+    tiles = (
+        tiled.filter("tile > 0")
+        .groupBy("block", "tile")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"), (F.sum("n") * 8).alias("bytes"))
+    )
+    tiles = settled(tiles)
+    total = tiles.agg(F.sum("bytes")).first()[0] or 1
+    a, b = (
+        tiles.select("block", *(F.col(c).alias(f"{c}_{x}") for c in ("tile", "low", "high", "bytes")))
+        for x in ("a", "b")
+    )
+    one = F.col("tile_a") == F.col("tile_b")
+    pairs = (
+        a.join(b, "block")
+        .filter("tile_a <= tile_b")
+        .filter(100 * F.col("high_a") >= rule.percent * F.col("low_b"))
+        .filter(100 * F.col("high_b") >= rule.percent * F.col("low_a"))
+        .select(
+            "block",
+            F.col("tile_a").alias("i"),
+            F.col("tile_b").alias("j"),
+            (F.col("bytes_a") + F.when(one, 0).otherwise(F.col("bytes_b"))).alias("bytes"),
+        )
+    )
+    whole = tiles.groupBy("block").agg(F.sum("bytes").alias("block_bytes"))
+    upto = Window.partitionBy("block").orderBy("i", "j").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("bytes").over(upto), F.lit(0))
+    share = F.col("block_bytes") * (most / total)
+    return pairs.join(whole, "block").select("block", "i", "j", F.floor(before / share).alias("round"))
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """(key, block, tiles, shingles) of the documents that stand for the nodes."""
+    """(key, block, tile, shingles) of the documents that stand for the nodes."""
     named = nodes.withColumnRenamed("doc_id", "of")
     rows = docs.join(named, docs["doc_id"].eqNullSafe(named["of"])).select(
-        "key", "block", "tiles", "text"
+        "key", "block", "tile", "text"
     )
 
     def run(batches):
@@ -355,13 +442,13 @@ def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
                 if set_key(shingles) == keys[at]:  # another row may have the same id
                     keep.append(at)
                     found.append(shingles.tobytes())
-            rest = batch.select(["key", "block", "tiles"]).take(pa.array(keep, pa.int64()))
+            rest = batch.select(["key", "block", "tile"]).take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(found, pa.binary())],
-                names=["key", "block", "tiles", "shingles"],
+                names=["key", "block", "tile", "shingles"],
             )
 
-    return rows.mapInArrow(run, "key long, block long, tiles int, shingles binary")
+    return rows.mapInArrow(run, "key long, block long, tile long, shingles binary")
 
 
 def _tile_links(rule: Rule, table: pa.Table) -> pa.Table:
@@ -386,6 +473,32 @@ def _tile_links(rule: Rule, table: pa.Table) -> pa.Table:
     )
 
 
+def _links(sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+    """(a, b): the links within tiles and between the pairs of tiles, round by round."""
+    pairs = settled(pairs)
+    rounds = 1 + (pairs.agg(F.max("round")).first()[0] or 0)
+    sets = sets if rounds == 1 else settled(sets)
+
+    def compare(tile: pa.Table) -> pa.Table:
+        return _tile_links(rule, tile)
+
+    found = []
+    for number in range(rounds):
+        # two rows for each two tiles that are copied
+        of_tile = (
+            pairs.filter(F.col("round") == number)
+            .select("block", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"), "i", "j")
+        )
+        rows = sets.filter("tile > 0") if number else sets
+        copies = (
+            rows.join(F.broadcast(of_tile), ["block", "tile"], "left")
+            .filter("tile = 0 or i is not null")
+            .select("key", "block", "tile", *(F.coalesce(x, "tile").alias(x) for x in ("i", "j")), "shingles")
+        )
+        found.append(settled(copies.groupBy("block", "i", "j").applyInArrow(compare, "a long, b long")))
+    return reduce(DataFrame.union, found)
+
+
 def similar_documents(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rule: Rule = Rule()
 ) -> DataFrame:
@@ -418,24 +531,9 @@ def _grouped(docs: DataFrame, named: DataFrame, rule: Rule) -> DataFrame:
     blocks = components(_meetings(docs, rule)).select(
         F.col("node").alias("key"), F.col("component").alias("block")
     )
-    members = nodes.join(blocks, "key")
-    tiles = members.groupBy("block").agg(
-        F.ceil(F.sum("n") * 8 / TILE_BYTES).cast("int").alias("tiles")
-    )
-    chosen = members.join(tiles, "block").select("doc_id", "key", "block", "tiles")
-    sets = _sets(docs, chosen, rule)
-    tiled = (
-        sets.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .withColumn("i", F.least("tile", "other"))
-        .withColumn("j", F.greatest("tile", "other"))
-    )
-
-    def compare(tile: pa.Table) -> pa.Table:
-        return _tile_links(rule, tile)
-
-    found = settled(tiled.groupBy("block", "i", "j").applyInArrow(compare, "a long, b long"))
-    joined = components(found)
+    tiled = settled(_tiled(nodes.join(blocks, "key")))
+    all_bytes = 8 * (routed.agg(F.sum("n")).first()[0] or 0)
+    joined = components(_links(_sets(docs, tiled, rule), _tile_pairs(tiled, rule, all_bytes), rule))
     names = (
         nodes.join(joined, nodes["key"] == joined["node"], "left")
         .select("key", "n", "doc_id", F.coalesce("component", "key").alias("component"))

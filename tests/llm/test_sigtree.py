@@ -130,6 +130,68 @@ def test_tiles_of_a_large_block(docs, monkeypatch):
     assert result(docs(*rows), Rule(3, 90)) == brute(rows, Rule(3, 90))
 
 
+def test_common_passages_make_no_blocks(docs):
+    rule = Rule(5, 80)
+    rng = random.Random(3)
+    passages = [[f"p{i}_{j}" for j in range(10)] for i in range(8)]
+    rows = []
+    for i in range(400):
+        own = [f"t{i}_{j}" for j in range(220)]
+        for at, passage in enumerate(passages):
+            own[30 * at : 30 * at] = passage
+        rows.append((i, " ".join(own)))
+    for i in range(3):  # and a near copy of some
+        words = rows[i][1].split()
+        words[rng.randrange(len(words))] = "other"
+        rows.append((400 + i, " ".join(words)))
+    frame = docs(*rows)
+    met = sigtree._meetings(frame.select("doc_id", "text"), rule).collect()
+    # all texts have the passages, but share less than a tenth
+    assert 3 <= len(met) < 100
+    joined = {(i, c) for i, _, c in result(frame, rule) if i != c}
+    assert joined == {(400, 0), (401, 1), (402, 2)}
+
+
+def test_a_large_block_is_copied_in_rounds(docs, monkeypatch):
+    rule = Rule(3, 90)
+    monkeypatch.setattr(sigtree, "TILE_BYTES", 4000)
+    rng = random.Random(5)
+    base = [f"w{j}" for j in range(100)]
+    rows = []
+    for i in range(90):
+        text = list(base)
+        for _ in range(rng.randrange(4)):
+            text[rng.randrange(100)] = f"x{rng.randrange(200)}"
+        rows.append((i, " ".join(text[: rng.choice([100, 98, 70])])))
+    seen = []
+
+    def watched(tiled, rule, most, made=sigtree._tile_pairs):
+        pairs = sigtree.settled(made(tiled, rule, most))
+        seen.append((tiled.collect(), pairs.collect(), most))
+        return pairs
+
+    monkeypatch.setattr(sigtree, "_tile_pairs", watched)
+    assert result(docs(*rows), rule) == brute(rows, rule)
+    ((members, pairs, most),) = seen
+    sets = {}
+    for row in members:
+        sets.setdefault((row.block, row.tile), []).append(row.n)
+    tiles = {x for x in sets if x[1] > 0}
+    assert len({r["round"] for r in pairs}) > 1
+    # every two tiles of a block with sizes that may link, once
+    want = [
+        (block, i, j) for block, i in tiles for other, j in tiles
+        if block == other and i <= j
+        and any(rule.linked(min(x, y), x, y) for x in sets[block, i] for y in sets[block, j])
+    ]
+    got = [(r.block, r.i, r.j) for r in pairs]
+    assert len(got) == len(set(got)) and set(want) <= set(got)
+    held = {x: 8 * sum(ns) for x, ns in sets.items()}
+    for number in {r["round"] for r in pairs}:
+        copied = sum(held[r.block, t] for r in pairs if r["round"] == number for t in {r.i, r.j})
+        assert copied <= most + 2 * max(held.values()) * len({r.block for r in pairs})
+
+
 def test_odd_rows(docs):
     long = " ".join(f"x{i}" for i in range(20_000))
     rows = [(1, None), (2, ""), (3, " \n"), (4, "one"), (5, "One"), (6, "one two"), (7, long), (8, long + " y"), (9, long)]
