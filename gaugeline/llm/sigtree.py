@@ -429,7 +429,8 @@ def _tile_pairs(tiled: DataFrame, rule: Rule, most: int) -> DataFrame:
 
 def _sets(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """(key, block, tile, shingles) of the documents that stand for the nodes."""
-    named = nodes.withColumnRenamed("doc_id", "of")
+    # texts are shuffled whether the nodes are few or many, so that disk and time grow with the input
+    named = nodes.withColumnRenamed("doc_id", "of").hint("merge")
     rows = docs.join(named, docs["doc_id"].eqNullSafe(named["of"])).select(
         "key", "block", "tile", "text"
     )
